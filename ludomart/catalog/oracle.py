@@ -291,8 +291,8 @@ _STATEMENTS = {
     "describe_profile": """
         SELECT c AS column_name, 'count' AS stat, CAST(count(x) AS STRING) AS value
         FROM line_stats GROUP BY c
-        UNION ALL SELECT c, 'mean', printf('%.4f', avg(x)) FROM line_stats GROUP BY c
-        UNION ALL SELECT c, 'stddev', printf('%.4f', stddev_samp(x)) FROM line_stats GROUP BY c
+        UNION ALL SELECT c, 'mean', printf('%.5f', avg(x)) FROM line_stats GROUP BY c
+        UNION ALL SELECT c, 'stddev', printf('%.5f', stddev_samp(x)) FROM line_stats GROUP BY c
         UNION ALL SELECT c, 'min', CASE WHEN c IN ('l_orderkey', 'l_linenumber')
             THEN CAST(CAST(min(x) AS BIGINT) AS STRING) ELSE CAST(min(x) AS STRING) END
         FROM line_stats GROUP BY c

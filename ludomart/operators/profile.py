@@ -11,7 +11,7 @@ def describe(df: DataFrame) -> DataFrame:
     """Rows (column_name, stat, value): count, mean, stddev, min, max as text.
 
     Covers numeric and text columns, like ``DataFrame.describe``; mean and stddev
-    have four decimals and are NULL for text. One aggregate over one scan.
+    have five decimals and are NULL for text. One aggregate over one scan.
     """
     fields = [
         f for f in df.schema.fields if isinstance(f.dataType, T.NumericType | T.StringType)
@@ -25,8 +25,8 @@ def describe(df: DataFrame) -> DataFrame:
             aggs += [F.avg(col).alias(f"mean{i}"), F.stddev_samp(col).alias(f"sd{i}")]
         stats = {
             "count": F.col(f"n{i}").cast("string"),
-            "mean": F.format_string("%.4f", f"mean{i}") if numeric else F.lit(None),
-            "stddev": F.format_string("%.4f", f"sd{i}") if numeric else F.lit(None),
+            "mean": F.format_string("%.5f", f"mean{i}") if numeric else F.lit(None),
+            "stddev": F.format_string("%.5f", f"sd{i}") if numeric else F.lit(None),
             "min": F.col(f"lo{i}").cast("string"),
             "max": F.col(f"hi{i}").cast("string"),
         }
