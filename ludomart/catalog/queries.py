@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -485,17 +486,23 @@ def dim_time(spark, d):
 def land_dumps(spark: SparkSession, d: str) -> str:
     """The raw dumps as the harvest leaves them; their folder."""
     root = workspace(spark, "raw")
-    write_csv(fx.raw_bgg_games(spark, d), f"{root}/bgg/games.csv")
-    write_csv(fx.raw_lists(spark, d), f"{root}/bgg/lists.csv")
-    write_json_arrays(fx.raw_accounts(spark, d), f"{root}/atlas/json_user.json")
-    write_json_arrays(profiles(spark, d), f"{root}/atlas/users")
-    write_json_arrays(fx.raw_atlas_games(spark, d), f"{root}/atlas/games")
-    write_json_arrays(fx.raw_reviews(spark, d), f"{root}/atlas/reviews")
-    raw = fx.raw_prices(spark, d)
-    for category in ("us", "uk", "used"):
-        write_json_arrays(
-            raw.filter(F.col("price_category") == category), f"{root}/atlas/prices/{category}"
-        )
+    prices_raw = fx.raw_prices(spark, d)
+    csv = {"bgg/games.csv": fx.raw_bgg_games(spark, d), "bgg/lists.csv": fx.raw_lists(spark, d)}
+    arrays = {
+        "atlas/json_user.json": fx.raw_accounts(spark, d),
+        "atlas/users": profiles(spark, d),
+        "atlas/games": fx.raw_atlas_games(spark, d),
+        "atlas/reviews": fx.raw_reviews(spark, d),
+        **{
+            f"atlas/prices/{category}": prices_raw.filter(F.col("price_category") == category)
+            for category in ("us", "uk", "used")
+        },
+    }
+    with ThreadPoolExecutor(len(csv) + len(arrays)) as pool:
+        jobs = [pool.submit(write_csv, df, f"{root}/{path}") for path, df in csv.items()]
+        jobs += [pool.submit(write_json_arrays, df, f"{root}/{path}") for path, df in arrays.items()]
+        for job in jobs:
+            job.result()
     return root
 
 
@@ -588,8 +595,10 @@ def popularity_trend(spark, d):
 
 @query
 def top_recent_games(spark, d):
+    # The keys do not change the latest date, so it is taken before they are looked up.
+    newest = facts.reviews_parsed(fx.raw_reviews(spark, d)).agg(F.max("review_datetime"))
     return insights.top_recent_games(
-        reviews_by_game(spark, d), atlas_games(spark, d), bgg_games(spark, d)
+        reviews_by_game(spark, d), atlas_games(spark, d), bgg_games(spark, d), as_of=newest.scalar()
     )
 
 

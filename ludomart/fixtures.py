@@ -108,8 +108,20 @@ SHAPES = {
 }
 
 
+# Bytes one scan task reads at most (Spark's own default).
+SPLIT_BYTES = 128 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given table. One row group cannot be split, so a small table that is one row
+    group would keep one core busy and the rest idle: such a table is dealt out to
+    all cores. A table that fills the cores by its size is left as it is scanned."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    cores = spark.sparkContext.defaultParallelism
+    if SPLIT_BYTES // 64 < size < SPLIT_BYTES * cores:
+        return df.repartition(cores)
+    return df
 
 
 def _shape(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -69,7 +69,9 @@ def previous_in_order(
     """
     blocks = ordered_blocks(df, [*group, *order])
     row = F.struct(*[F.col(g) for g in group], F.col(value).alias("_value"))
-    last = blocks.groupBy("_block").agg(F.max_by(row, "_pos").alias("_carry"))
+    ends = blocks.groupBy("_block").agg(F.max("_pos").alias("_pos"))
+    # One row per block in ends, last and carried.
+    last = blocks.join(F.broadcast(ends), ["_block", "_pos"]).select("_block", row.alias("_carry"))
     carried = last.select(
         F.lead("_block").over(Window.orderBy("_block")).alias("_block"), "_carry"
     ).filter("_block IS NOT NULL")
@@ -78,7 +80,6 @@ def previous_in_order(
     same: Column = F.lit(True)
     for g in group:
         same = same & F.col(f"_prev.{g}").eqNullSafe(F.col(g))
-    # _carry has one row per block.
     return (
         blocks.join(F.broadcast(carried), "_block", "left")
         .withColumn("_prev", prev)

@@ -24,14 +24,22 @@ def popularity_trend(reviews: DataFrame) -> DataFrame:
 
 
 def top_recent_games(
-    reviews: DataFrame, atlas: DataFrame, bgg: DataFrame, days: int = 365, k: int = 10
+    reviews: DataFrame,
+    atlas: DataFrame,
+    bgg: DataFrame,
+    days: int = 365,
+    k: int = 10,
+    as_of: Column | None = None,
 ) -> DataFrame:
     """The ``k`` most reviewed games of the last ``days``, with details of both sources.
 
-    Counts are cut to ``k`` rows before the dimensions are joined. The condition on
-    the year prunes partitions of a published table.
+    The last ``days`` end with the latest review, or at ``as_of``. The condition on the
+    year prunes partitions of a published table. Counts are cut to ``k`` rows before
+    the dimensions are joined, and used once: filtering the dimensions by them too
+    would count the reviews again.
     """
-    since = _newest(reviews, "review_datetime") - F.expr(f"INTERVAL {days} DAYS")
+    newest = _newest(reviews, "review_datetime") if as_of is None else as_of
+    since = newest - F.expr(f"INTERVAL {days} DAYS")
     top = (
         reviews.filter(
             (F.col("review_datetime") > since)
@@ -43,20 +51,19 @@ def top_recent_games(
         .orderBy(F.desc("n_reviews"), F.desc("avg_rating"), "atlas_game_id")
         .limit(k)
     )
-    # top has k rows.
     details = atlas.select(
         "atlas_game_id",
         F.col("year_published").alias("atlas_year"),
         "primary_publisher",
         F.col("min_players").alias("atlas_min_players"),
         F.col("max_players").alias("atlas_max_players"),
-    ).join(F.broadcast(top.select("atlas_game_id")), "atlas_game_id", "left_semi")
+    )
     other = bgg.select(
         "bgg_game_id",
         F.col("year_published").alias("bgg_year"),
         "designer",
         F.col("average_rating").alias("bgg_rating"),
-    ).join(F.broadcast(top.select("bgg_game_id")), "bgg_game_id", "left_semi")
+    )
     return top.join(details, "atlas_game_id", "left").join(other, "bgg_game_id", "left").select(
         "atlas_game_id",
         "game_name",
