@@ -35,7 +35,8 @@ def incremental_reviews(
     def append(batch: DataFrame, _: int) -> None:
         fresh = batch
         if _table_exists(spark, f"{target}/_SUCCESS"):
-            known = spark.read.parquet(target).select(F.col("review_id").alias("id"))
+            known = spark.read.schema("review_id STRING").parquet(target)
+            known = known.select(F.col("review_id").alias("id"))
             fresh = batch.join(known, "id", "left_anti")
         rows = facts.reviews(fresh, games, bgg, users).filter(F.col("review_datetime").isNotNull())
         (
