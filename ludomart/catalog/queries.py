@@ -21,6 +21,7 @@ from ludomart.functions import (
     primary_name,
 )
 from ludomart.operators import batch_ids, dedupe_name, dedupe_pk, dense_id, lookup, profile, quality
+from ludomart.operators.ordering import ordered_blocks
 from ludomart.plans import dims, facts, insights, landing, pipeline
 from ludomart.session import tune, workspace
 from ludomart.sources import (
@@ -700,13 +701,19 @@ def xml_games(spark, d):
     return landing.xml_games(read_xml(spark, path, "boardgame", S.XML_GAME))
 
 
-# Items per list document, so that no list has to fit one text.
-ITEMS_PER_DOCUMENT = 500
+# Items per list document and prices per payload, so that no key's rows have to fit one
+# text. Rows are cut by their written position, which is the same on every attempt.
+ROWS_PER_TEXT = 500
+
+
+def in_texts(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` with ``_block`` and ``_text``, which hold ROWS_PER_TEXT rows at most."""
+    blocks = ordered_blocks(df, keys)
+    return blocks.withColumn("_text", F.expr(f"_pos div {ROWS_PER_TEXT}"))
 
 
 @query
 def xml_list_items(spark, d):
-    raw = fx.raw_lists(spark, d)
     item = F.struct(
         F.col("objtype").alias("_subtype"),
         F.col("game_id").alias("_objectid"),
@@ -716,13 +723,9 @@ def xml_list_items(spark, d):
         F.col("bodytext").alias("body"),
     )
     documents = (
-        raw.select(
-            "geeklist_id",
-            F.expr(f"monotonically_increasing_id() div {ITEMS_PER_DOCUMENT}").alias("_doc"),
-            item.alias("item"),
-        )
-        .groupBy("geeklist_id", "_doc")
-        .agg(F.collect_list("item").alias("item"))
+        in_texts(fx.raw_lists(spark, d), "geeklist_id", "user")
+        .groupBy("geeklist_id", "_block", "_text")
+        .agg(F.collect_list(item).alias("item"))
         .select(
             F.to_xml(
                 F.struct(F.col("geeklist_id").alias("_id"), "item"), {"rowTag": "geeklist"}
@@ -763,23 +766,15 @@ def distinct_game_ids(spark, d):
     return landing.distinct_game_ids(fx.raw_reviews(spark, d))
 
 
-# Prices per payload.
-PRICES_PER_PAYLOAD = 500
-
-
 @query
 def explode_prices(spark, d):
     raw = fx.raw_prices(spark, d)
     price = F.struct(*[c for c in raw.columns if c != "price_category"])
     payloads = (
-        raw.select(
-            F.expr(f"monotonically_increasing_id() div {PRICES_PER_PAYLOAD}").alias("_doc"),
-            "price_category",
-            price.alias("_price"),
-        )
-        .groupBy("_doc", "price_category")
-        .agg(F.collect_list("_price").alias("_prices"))
-        .groupBy("_doc")
+        in_texts(raw, "name", "id")
+        .groupBy("_block", "_text", "price_category")
+        .agg(F.collect_list(price).alias("_prices"))
+        .groupBy("_block", "_text")
         .agg(F.map_from_entries(F.collect_list(F.struct("price_category", "_prices"))).alias("_map"))
         .select(F.to_json("_map").alias("payload"))
     )

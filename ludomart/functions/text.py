@@ -10,8 +10,8 @@ LISTING_NOISE = r"\b(brand new|sealed|[0-9]+(st|nd|rd|th) ed(ition)?)\b"
 
 
 def lenient_int(value: Column) -> Column:
-    """Integer or NULL; through double so that ``1999.0`` is 1999."""
-    return value.try_cast("double").try_cast("int")
+    """Integer or NULL; ``1999.0`` is 1999."""
+    return F.coalesce(value.try_cast("int"), value.try_cast("double").try_cast("int"))
 
 
 def join_list(items: Column) -> Column:

@@ -103,16 +103,8 @@ def lists_parsed(raw: DataFrame) -> DataFrame:
     return typed.withColumns({"year": F.year("post_datetime"), "month": F.month("post_datetime")})
 
 
-# Business key of a list item, then the rest of the row to make the order total.
-LIST_ITEM_ORDER = [
-    "geeklist_id",
-    "post_datetime",
-    "bgg_game_id",
-    "bgg_user_name",
-    "game_name",
-    "objtype",
-    "description",
-]
+# Business key of a list item.
+LIST_ITEM_ORDER = ["geeklist_id", "post_datetime", "bgg_game_id", "bgg_user_name"]
 
 
 def lists(raw: DataFrame, games: DataFrame) -> DataFrame:

@@ -74,7 +74,7 @@ def run(spark: SparkSession, input_dir: str, output_dir: str) -> dict[str, int]:
 
     def lists() -> DataFrame:
         return facts.lists(
-            read_csv(spark, f"{src}/bgg/lists.csv", S.BGG_LISTS),
+            read_csv(spark, f"{src}/bgg/lists.csv", S.BGG_LISTS, {"geeklist": "geeklist_id"}),
             published("atlas_games", "atlas_game_id", "game_name"),
         )
 

@@ -2,12 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping
 
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """CSV with a header, doubled quotes and newlines inside quotes."""
-    return spark.read.schema(schema).csv(path, header=True, multiLine=True, escape='"')
+from ludomart.functions import lenient_int
+
+
+def read_csv(
+    spark: SparkSession, path: str, schema: str, aliases: Mapping[str, str] | None = None
+) -> DataFrame:
+    """CSV with a header, doubled quotes and newlines inside quotes.
+
+    Columns are found by the header, whatever their order; ``aliases`` maps other
+    header names to those of ``schema``, and an absent column is NULL. Only the
+    header is read ahead. Text that is no value of the column's type becomes NULL.
+    """
+    text = spark.read.csv(path, header=True, multiLine=True, escape='"')
+    names = {(aliases or {}).get(c, c): c for c in text.columns}
+
+    def typed(field: T.StructField) -> Column:
+        if field.name not in names:
+            return F.lit(None).cast(field.dataType)
+        value = F.col(f"`{names[field.name]}`")
+        if isinstance(field.dataType, T.IntegerType):
+            return lenient_int(value)
+        return value.try_cast(field.dataType)
+
+    fields = T.StructType.fromDDL(schema).fields
+    return text.select(*[typed(f).alias(f.name) for f in fields])
 
 
 def read_json_arrays(

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows per unsplittable landing file (and the most rows gathered into one array).
-ROWS_PER_FILE = 20_000
+# Rows per unsplittable landing file, and the most rows gathered into one JSON array
+# (a text of a few MB for rows of the mart; pass less for long texts).
+ROWS_PER_FILE = 5_000
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
@@ -42,8 +44,8 @@ def publish(spark: SparkSession, staged: str, target: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV as ``read_csv`` expects it. Quoted CSV with newlines cannot be split, hence
-    the bound on rows per file."""
+    """CSV as ``read_csv`` expects it. CSV with newlines in quotes cannot be split,
+    hence the bound on rows per file."""
     df.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).csv(
         path,
         header=True,
@@ -57,17 +59,20 @@ def write_csv(df: DataFrame, path: str) -> None:
 def write_json_arrays(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
     """Files with one JSON array each, ``rows_per_file`` objects at most.
 
-    Rows are gathered by position in their partition, not by value, so no group
-    is larger than ``rows_per_file`` whatever the data look like.
+    Each task joins the rows it has, in bounded batches. Nothing is shuffled by a row
+    number, which a task that runs again after a loss could hand out differently.
     """
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            for start in range(0, len(texts), rows_per_file):
+                array = "[" + ",".join(texts[start : start + rows_per_file]) + "]"
+                yield pa.RecordBatch.from_pydict({"value": [array]})
+
     (
-        df.select(
-            F.expr(f"monotonically_increasing_id() div {rows_per_file}").alias("_file"),
-            F.struct(*df.columns).alias("_row"),
-        )
-        .groupBy("_file")
-        .agg(F.to_json(F.collect_list("_row")).alias("value"))
-        .select("value")
+        df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+        .mapInArrow(join, "value STRING")
         .write.mode("overwrite")
         .option("maxRecordsPerFile", 1)
         .text(path)

@@ -37,6 +37,14 @@ def test_csv_with_doubled_quotes_and_bad_numbers(spark, tmp_path):
     assert rows(got) == [(1, "1999", 'He said "hi", ok'), (None, "2000", "a\nb")]
 
 
+def test_csv_columns_by_header(spark, tmp_path):
+    (tmp_path / "l.csv").write_text("name,geeklist,extra\nA,7,x\nB,7.0,y\nC,z,\n")
+    got = read_csv(
+        spark, f"{tmp_path}/l.csv", "geeklist_id INT, name STRING, year INT", {"geeklist": "geeklist_id"}
+    )
+    assert rows(got) == [(7, "A", None), (7, "B", None), (None, "C", None)]
+
+
 def test_json_arrays_round_trip_and_file_size(spark, tmp_path):
     df = spark.range(25).select("id", F.array(F.lit("x"), F.lit(None)).alias("tags"))
     write_json_arrays(df.coalesce(2), f"{tmp_path}/j", rows_per_file=5)
