@@ -23,7 +23,7 @@ from ludomart.functions import (
 from ludomart.operators import batch_ids, dedupe_name, dedupe_pk, dense_id, lookup, profile, quality
 from ludomart.operators.ordering import ordered_blocks
 from ludomart.plans import dims, facts, insights, landing, pipeline
-from ludomart.session import tune, workspace
+from ludomart.session import fit_shuffles, tune, workspace
 from ludomart.sources import (
     read_csv,
     read_json_arrays,
@@ -45,7 +45,8 @@ def query(fn: Query) -> Query:
     have."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = fn(tune(spark), sf_dir)
+        fit_shuffles(tune(spark), sf_dir)
+        df = fn(spark, sf_dir)
         return df.withColumns(
             {
                 f.name: F.col(f.name).cast("timestamp_ntz")

@@ -7,9 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Buckets that rows with a NULL key are spread over.
-NULL_SPREAD = 4096
-
 
 def lookup(
     fact: DataFrame,
@@ -32,8 +29,7 @@ def lookup(
     real key by accident is harmless: the value is cleared again.
     """
     probe = F.coalesce(
-        F.col(key),
-        F.concat(F.lit("no key "), F.pmod(F.xxhash64(*spread_by), F.lit(NULL_SPREAD)).cast("string")),
+        F.col(key), F.concat(F.lit("no key "), F.xxhash64(*spread_by).cast("string"))
     )
     right = dim.select(
         F.col(dim_key or key).alias("_dim_key"), *[F.col(c).alias(f"_dim_{c}") for c in columns]

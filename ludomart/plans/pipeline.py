@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ludomart import schemas as S
 from ludomart.operators import quality
 from ludomart.plans import dims, facts
-from ludomart.session import tune
+from ludomart.session import fit_shuffles, tune
 from ludomart.sources import publish, read_csv, read_json_arrays, read_table, write_table
 
 
@@ -37,7 +37,7 @@ def run(spark: SparkSession, input_dir: str, output_dir: str) -> dict[str, int]:
     time. A stage reads what the one before published. A dump may be one file or a
     folder of files.
     """
-    tune(spark)
+    fit_shuffles(tune(spark), input_dir)
     src, out = input_dir.rstrip("/"), output_dir.rstrip("/")
 
     def published(table: str, *columns: str) -> DataFrame:

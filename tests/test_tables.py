@@ -154,6 +154,28 @@ def test_lists(star):
     assert got == [(0, 7, 1, early, "g1"), (1, 7, 1, early, "g1"), (2, 7, 1, late, "g1"), (3, 8, 2, early, None)]
 
 
+@pytest.mark.parametrize("partitions", [1, 4, 16])
+def test_facts_are_the_same_on_any_layout(raw, star, settings, partitions):
+    settings(spark__sql__shuffle__partitions=str(partitions))
+
+    def mixed(df):
+        return df.orderBy(F.rand(partitions)).repartition(partitions)
+
+    bgg, atlas = dims.bgg_details(mixed(raw["bgg"])), dims.atlas_details(mixed(raw["atlas"]))
+    users = dims.atlas_users(mixed(raw["accounts"]), mixed(raw["profiles"]))
+    assert rows(facts.reviews(mixed(raw["reviews"]), atlas, bgg, users)) == rows(star["reviews"])
+    assert rows(facts.prices(mixed(raw["prices"]), atlas, bgg)) == rows(star["prices"])
+    assert rows(facts.lists(mixed(raw["lists"]), atlas)) == rows(star["lists"])
+
+
+def test_lookups_without_broadcast(raw, star, settings):
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1"
+    )
+    again = facts.reviews(raw["reviews"], star["atlas_games"], star["bgg_games"], star["users"])
+    assert rows(again) == rows(star["reviews"])
+
+
 def test_lists_take_either_name_of_the_list_id(raw):
     renamed = raw["lists"].withColumnRenamed("geeklist_id", "geeklist")
     assert facts.lists_parsed(renamed).count() == facts.lists_parsed(raw["lists"]).count() == 4
