@@ -34,7 +34,7 @@ HEADLINE = [
     "dq_report",
     "describe_profile",
     "sink_parquet_by_month",
-    "pipeline_summary",
+    "mart_summary",
 ]
 
 
@@ -52,11 +52,17 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     # Start the executor threads and the readers before the clock runs.
     spark.read.parquet(f"{sf_dir}/region.parquet").write.format("noop").mode("overwrite").save()
+    first: dict[str, float] = {}
     seconds: dict[str, float] = {}
+    # A fresh JVM compiles for longer than it computes at this size: each query runs
+    # twice, the better time counts, and the first is reported beside it.
     for name in sys.argv[1:] or HEADLINE:
-        start = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        seconds[name] = round(time.perf_counter() - start, 3)
+        times = []
+        for _ in range(2):
+            start = time.perf_counter()
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times.append(round(time.perf_counter() - start, 3))
+        first[name], seconds[name] = times[0], min(times)
     print(
         json.dumps(
             {
@@ -64,6 +70,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "first_run": first,
                 "sf": os.path.basename(sf_dir.rstrip("/")),
             }
         )

@@ -331,7 +331,7 @@ _STATEMENTS = {
     "fact_prices": "SELECT * FROM prices",
     "fact_lists": "SELECT * FROM lists",
     "dim_time": f"SELECT datetime, {_CALENDAR.format(t='datetime')} FROM kept_stamps",
-    "pipeline_summary": _TABLE_COUNTS,
+    "mart_summary": _TABLE_COUNTS,
     "dq_report": "SELECT * FROM price_report",
     "dq_gate_summary": """SELECT table_name, count(*) AS total_checks,
         count(*) FILTER (passed) AS passed_checks, count(*) FILTER (NOT passed) AS failed_checks,

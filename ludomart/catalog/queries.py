@@ -516,7 +516,7 @@ def published(spark: SparkSession, d: str) -> str:
 
 
 @query
-def pipeline_summary(spark, d):
+def mart_summary(spark, d):
     out = published(spark, d)
     counts = [
         read_table(spark, out, t).agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
