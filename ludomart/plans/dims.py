@@ -102,14 +102,10 @@ def atlas_users(raw_accounts: DataFrame, raw_profiles: DataFrame) -> DataFrame:
 
 
 def time(*datetimes: DataFrame) -> DataFrame:
-    """Calendar rows for every distinct value of the given one-column frames.
-
-    Each input is made distinct before the union, so that the exchange carries
-    distinct values only.
-    """
-    stamps = [d.toDF("datetime").distinct() for d in datetimes]
-    every = stamps[0]
-    for more in stamps[1:]:
+    """Calendar rows for every distinct value of the given one-column frames. Each map
+    task sends its distinct values only, over one exchange for all frames."""
+    every = datetimes[0].toDF("datetime")
+    for more in datetimes[1:]:
         every = every.union(more)
     ts = F.col("datetime")
     return every.distinct().select(ts, *calendar(ts))

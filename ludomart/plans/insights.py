@@ -153,17 +153,23 @@ def trending_lists(lists: DataFrame, days: int = 7) -> DataFrame:
 
 
 def compare_sources(atlas: DataFrame, bgg: DataFrame) -> DataFrame:
-    """Details of both sources side by side, for games of the same name. The rating
-    scales differ, so the ratings are shown and not subtracted."""
-    chosen = dedupe_name(bgg, "game_name", "bgg_game_id").select("bgg_game_id", "game_name")
-    theirs = bgg.select(
+    """Details of both sources side by side, for games of the same name (of several
+    with one name, the lowest id). The rating scales differ, so the ratings are shown
+    and not subtracted."""
+    details = F.struct(
         "bgg_game_id",
         F.col("year_published").alias("bgg_year"),
         F.col("average_rating").alias("bgg_rating"),
         F.col("num_ratings").alias("bgg_num_ratings"),
         F.col("min_players").alias("bgg_min_players"),
         F.col("max_players").alias("bgg_max_players"),
-    ).join(chosen, "bgg_game_id")
+    )
+    theirs = (
+        bgg.filter(F.col("game_name").isNotNull())
+        .groupBy("game_name")
+        .agg(F.min(details).alias("_lowest"))
+        .select("game_name", "_lowest.*")
+    )
     ours = atlas.select(
         "atlas_game_id",
         "game_name",
@@ -179,22 +185,24 @@ def compare_sources(atlas: DataFrame, bgg: DataFrame) -> DataFrame:
 def game_scorecard(reviews: DataFrame, lists: DataFrame, prices: DataFrame) -> DataFrame:
     """Reviews, list mentions and best price per game that any fact mentions.
 
-    One union and one aggregate in place of a chain of full outer joins. Each fact
-    is pre-aggregated by game, so the union carries one row per game and fact.
+    One union of narrow rows and one aggregate in place of a chain of full outer
+    joins: a single exchange, to which each map task sends one row per game.
     """
     game = F.col("bgg_game_id")
-    parts = [
-        reviews.filter(game.isNotNull())
-        .groupBy(game)
-        .agg(F.count(F.lit(1)).alias("n_reviews"), F.avg("rating").alias("avg_rating")),
-        lists.filter(game.isNotNull()).groupBy(game).agg(F.count(F.lit(1)).alias("n_mentions")),
-        prices.filter(game.isNotNull()).groupBy(game).agg(F.min("price").alias("best_price")),
-    ]
-    every = parts[0]
-    for part in parts[1:]:
-        every = every.unionByName(part, allowMissingColumns=True)
-    return every.groupBy("bgg_game_id").agg(
-        *[F.max(c).alias(c) for c in ("n_reviews", "avg_rating", "n_mentions", "best_price")]
+    every = (
+        reviews.select(game, F.lit(1).alias("_review"), "rating")
+        .unionByName(lists.select(game, F.lit(1).alias("_mention")), allowMissingColumns=True)
+        .unionByName(prices.select(game, "price"), allowMissingColumns=True)
+    )
+    return (
+        every.filter(game.isNotNull())
+        .groupBy("bgg_game_id")
+        .agg(
+            F.nullif(F.count("_review"), F.lit(0)).alias("n_reviews"),
+            F.avg("rating").alias("avg_rating"),
+            F.nullif(F.count("_mention"), F.lit(0)).alias("n_mentions"),
+            F.min("price").alias("best_price"),
+        )
     )
 
 
