@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ludomart.llm import licenses
+from ludomart.llm import licenses, mixing, sharding
 from ludomart.llm.common import table
 
 
@@ -15,5 +16,34 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op7_license_scan,)}
-ORACLE: dict[str, str] = {}
+
+def op1_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
+    )
+    out = sharding.assign(docs, size="n_bytes")
+    return out.select("doc_id", "n_bytes", "shard_id", "shard_depth", "shard_bytes", "shard_rows")
+
+
+# The documents have no domain: sources are put into four by the number in their name.
+DOMAIN = "CASE WHEN source IS NULL THEN NULL ELSE concat('domain', coalesce(try_cast(regexp_extract(source, '[0-9]+', 0) AS BIGINT), 0) % 4) END"
+WEIGHTS = {
+    "domain=domain0": 4, "domain=domain1": 3, "domain=domain2": 2, "domain=domain3": 1,
+    "lang=en": 4, "lang=de": 2, "lang=fr": 2, "lang=es": 2,
+}
+
+
+def levels() -> dict:
+    return {"domain": F.expr(DOMAIN), "lang": F.col("lang"), "source": F.col("source")}
+
+
+def op3_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many tokens as there are, to the weights above, from up to four epochs."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    out = mixing.mix(docs, levels(), WEIGHTS, share=1.0, epochs=4, seed=17)
+    return out.select("doc_id", "lang", "source", "n_tokens", "leaf_tokens", "leaf_budget", "copies")
+
+
+QUERIES = {
+    f.__name__: f for f in (op1_extendible_sharding, op3_source_mixture, op7_license_scan)
+}
