@@ -78,7 +78,35 @@ def mixing_sql(share: str = "1.0", epochs: int = 4, seed: int = 17) -> str:
     FROM r"""
 
 
+
+DECONTAMINATION = r"""
+    WITH d AS (
+        SELECT doc_id, row_number() OVER () AS r,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents),
+    b AS (
+        SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM benchmark),
+    q AS (
+        SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, least(10, len(w)) AS k,
+               array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS win
+        FROM (SELECT *, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i FROM b WHERE len(w) > 0)),
+    s AS (
+        SELECT r, k, i, array_to_string(w[i:i + k - 1], ' ') AS win
+        FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i
+              FROM d, (SELECT DISTINCT k FROM q) WHERE len(w) >= k)),
+    h AS (SELECT r, i, k, item FROM s JOIN q USING (k, win)),
+    n AS (
+        SELECT r, count(DISTINCT p) AS n_hit
+        FROM (SELECT r, unnest(range(i, i + k)) AS p FROM (SELECT DISTINCT r, i, k FROM h)) GROUP BY r),
+    g AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS ids FROM h GROUP BY r)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+           coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN n USING (r) LEFT JOIN g USING (r)"""
+
 ORACLE = {
     "op1_extendible_sharding": sharding_sql(),
     "op3_source_mixture": mixing_sql(),
+    "op8_suffix_decontamination": DECONTAMINATION,
 }

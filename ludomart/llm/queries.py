@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ludomart.llm import licenses, mixing, sharding
+from ludomart.llm import decontaminate, licenses, mixing, sharding
 from ludomart.llm.common import table
 
 
@@ -44,6 +44,12 @@ def op3_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "lang", "source", "n_tokens", "leaf_tokens", "leaf_budget", "copies")
 
 
+def op8_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.report(docs, table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
-    f.__name__: f for f in (op1_extendible_sharding, op3_source_mixture, op7_license_scan)
+    f.__name__: f
+    for f in (op1_extendible_sharding, op3_source_mixture, op7_license_scan, op8_suffix_decontamination)
 }
