@@ -5,8 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ludomart.llm import decontaminate, licenses, mixing, sharding
-from ludomart.llm.common import table
+from ludomart.llm import decontaminate, licenses, mixing, sharding, toxicity
+from ludomart.llm.common import fold_of, table
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(fold_of("doc_id", 5) != 0)
+    out = toxicity.score(docs, toxicity.learn(docs, labels), keep=["doc_id"])
+    return out.select("doc_id", (fold_of("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,5 +58,5 @@ def op8_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_extendible_sharding, op3_source_mixture, op7_license_scan, op8_suffix_decontamination)
+    for f in (op1_extendible_sharding, op3_source_mixture, op5_toxicity, op7_license_scan, op8_suffix_decontamination)
 }
