@@ -43,8 +43,9 @@ FIELDS = [
 ]
 
 
-def suffix_array(seq: np.ndarray, depth: int) -> np.ndarray:
-    """Starts of the suffixes of ``seq`` in order of their first ``depth`` words at least."""
+def suffix_array(seq: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of the suffixes of ``seq`` in order of their first words, and where a suffix
+    differs from the one before it in these; ``depth`` words, rounded up to a power of two."""
     n = len(seq)
     order = np.argsort(seq)
     value = seq[order]
@@ -71,7 +72,7 @@ def suffix_array(seq: np.ndarray, depth: int) -> np.ndarray:
         head[at] = ~same
         rank[mine] = np.maximum.accumulate(np.where(~same, at, 0))
         done *= 2
-    return order
+    return order, head
 
 
 class Items:
@@ -145,7 +146,7 @@ def _search(items: Items) -> Callable[[pa.RecordBatch], dict[str, pa.Array]]:
         cover = np.zeros(size + 1, np.int64)
         pairs = [np.empty(0, np.int64)]
         if size and len(items.words):
-            order = suffix_array(seq, items.depth)
+            order, _ = suffix_array(seq, items.depth)
             for d, suffix, lo, hi in matches(seq, order, items):
                 total = hi - lo
                 place = np.repeat(lo - (np.cumsum(total) - total), total) + np.arange(int(total.sum()))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ludomart.llm import decontaminate, licenses, mixing, sharding, toxicity
+from ludomart.llm import decontaminate, html_extract, licenses, mixing, sharding, toxicity
 from ludomart.llm.common import fold_of, table
 
 
@@ -56,7 +56,19 @@ def op8_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(docs, table(spark, sf_dir, "benchmark"))
 
 
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extract(pages, keep=["page_id", "url"])
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_extendible_sharding, op3_source_mixture, op5_toxicity, op7_license_scan, op8_suffix_decontamination)
+    for f in (
+        op1_extendible_sharding,
+        op3_source_mixture,
+        op5_toxicity,
+        op7_license_scan,
+        op8_suffix_decontamination,
+        op10_main_text,
+    )
 }
