@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ludomart.llm import decontaminate, html_extract, licenses, mixing, sharding, toxicity
+from ludomart.llm import decontaminate, html_extract, licenses, mixing, quality_knn, sharding, toxicity
 from ludomart.llm.common import fold_of, table
 
 
@@ -56,6 +56,13 @@ def op8_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(docs, table(spark, sf_dir, "benchmark"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(fold_of("doc_id", 3) != 1)
+    out = quality_knn.score(docs, quality_knn.learn(docs, labels), keep=["doc_id"])
+    return out.select("doc_id", (fold_of("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
 def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html_extract.extract(pages, keep=["page_id", "url"])
@@ -69,6 +76,7 @@ QUERIES = {
         op5_toxicity,
         op7_license_scan,
         op8_suffix_decontamination,
+        op9_quality,
         op10_main_text,
     )
 }
