@@ -113,3 +113,46 @@ def components(edges: DataFrame, tag: str, a: str = "a", b: str = "b") -> DataFr
         state = tuple(now)
     nodes = links.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.union(links.select("v", "v").distinct()).toDF("node", "component")
+
+
+# Bits of the filter below: its size in a task is fixed, whatever the number of keys.
+FILTER_BITS = 1 << 24
+
+
+def key_filter(keys: DataFrame, key: str, bits: int = FILTER_BITS):
+    """A broadcast bitmap of ``bits`` bits in which every key of ``keys`` has two bits set."""
+    import numpy as np
+
+    h = F.xxhash64(F.col(f"`{key}`"))
+    bit = F.explode(F.array(F.pmod(h, F.lit(bits)), F.pmod(F.shiftright(h, 32), F.lit(bits))))
+    rows = (
+        keys.select(bit.alias("bit"))
+        .select(F.shiftright("bit", 5).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("bit") % 32).cast("int")).alias("mask"))
+        .groupBy("word")
+        .agg(F.bit_or("mask").alias("mask"))
+        .toArrow()
+    )
+    words = np.zeros(bits // 32, np.uint32)
+    words[rows.column("word").to_numpy()] = rows.column("mask").to_numpy().astype(np.uint32)
+    return keys.sparkSession.sparkContext.broadcast(words)
+
+
+def maybe_in(df: DataFrame, key: str, shared, inside: bool = True) -> DataFrame:
+    """Rows of ``df`` whose key has its bits set in a ``key_filter`` (or those whose has not):
+    no shuffle, and few rows too many where keys are few against the bits."""
+    bits = FILTER_BITS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        words = shared.value
+        for batch in batches:
+            h = batch.column("_k").to_numpy()
+            hit = np.ones(len(h), bool)
+            for b in (np.mod(h, bits), np.mod(h >> 32, bits)):
+                hit &= (words[b >> 5] >> (b & 31).astype(np.uint32)) & np.uint32(1) == 1
+            part = batch.filter(pa.array(hit if inside else ~hit))
+            if part.num_rows:
+                yield part.drop_columns(["_k"])
+
+    return df.withColumn("_k", F.xxhash64(F.col(f"`{key}`"))).mapInArrow(run, df.schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ludomart.llm import decontaminate, html_extract, licenses, mixing, quality_knn, sharding, toxicity
+from ludomart.llm import decontaminate, html_extract, licenses, mixing, ngram_join, quality_knn, sharding, toxicity
 from ludomart.llm.common import fold_of, table
 
 
@@ -32,6 +32,10 @@ def op1_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "shard_id", "shard_depth", "shard_bytes", "shard_rows")
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 # The documents have no domain: sources are put into four by the number in their name.
 DOMAIN = "CASE WHEN source IS NULL THEN NULL ELSE concat('domain', coalesce(try_cast(regexp_extract(source, '[0-9]+', 0) AS BIGINT), 0) % 4) END"
 WEIGHTS = {
@@ -72,6 +76,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_extendible_sharding,
+        op2_ngram_jaccard,
         op3_source_mixture,
         op5_toxicity,
         op7_license_scan,
