@@ -105,8 +105,20 @@ DECONTAMINATION = r"""
            coalesce(n_hit, 0) > 0 AS contaminated
     FROM d LEFT JOIN n USING (r) LEFT JOIN g USING (r)"""
 
+WARC = """
+    WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+    g AS (SELECT h, max(page_id) AS last FROM p GROUP BY h)
+    SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+           array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 +
+               ((('0x' || substr(h, 1 + 10 * (i // 8), 10))::BIGINT >> (35 - 5 * (i % 8))) & 31) AS BIGINT), 1)
+               FOR i IN range(32)], '') AS payload_digest,
+           CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to
+    FROM p JOIN g USING (h)"""
+
 ORACLE = {
     "op1_extendible_sharding": sharding_sql(),
     "op3_source_mixture": mixing_sql(),
+    "op4_warc_round_trip": WARC,
     "op8_suffix_decontamination": DECONTAMINATION,
 }

@@ -5,8 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ludomart.llm import decontaminate, html_extract, licenses, mixing, ngram_join, quality_knn, sharding, toxicity
+from ludomart.llm import decontaminate, html_extract, licenses, mixing, ngram_join, quality_knn, sharding, toxicity, warc
 from ludomart.llm.common import fold_of, table
+from ludomart.session import workspace
+
+
+def op4_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = workspace(spark, "warc")
+    warc.archive(table(spark, sf_dir, "pages"), path, "page_id", "url", "html")
+    records = warc.read(spark, path).where(F.col("record_type").isin("response", "revisit"))
+    digest = F.concat(F.lit("sha1:"), warc.base32(F.sha1("payload")))
+    number = r"^<urn:record:(-?[0-9]+)>$"
+    # The digest of a response is taken of what was read; a revisit has no payload.
+    own = F.when(F.col("record_type") == "response", digest).otherwise(F.col("payload_digest"))
+    return records.select(
+        F.regexp_extract("record_id", number, 1).alias("page_id"),
+        F.when(F.col("record_type") == "response", F.octet_length("payload").cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        F.substring_index(own, ":", -1).alias("payload_digest"),
+        "record_type",
+        F.regexp_extract("refers_to", number, 1).alias("refers_to"),
+    ).withColumns({c: F.expr(f"try_cast(nullif({c}, '') AS BIGINT)") for c in ("page_id", "refers_to")})
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +96,7 @@ QUERIES = {
         op1_extendible_sharding,
         op2_ngram_jaccard,
         op3_source_mixture,
+        op4_warc_round_trip,
         op5_toxicity,
         op7_license_scan,
         op8_suffix_decontamination,
