@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ludomart.llm import decontaminate, html_extract, licenses, mixing, ngram_join, quality_knn, sharding, toxicity, warc
+from ludomart.llm import decontaminate, html_extract, licenses, mixing, ngram_join, nn_descent, quality_knn, sharding, toxicity, warc
 from ludomart.llm.common import fold_of, table
 from ludomart.session import workspace
 
@@ -34,6 +34,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (fold_of("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op6_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.link(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(
@@ -98,6 +102,7 @@ QUERIES = {
         op3_source_mixture,
         op4_warc_round_trip,
         op5_toxicity,
+        op6_nn_descent,
         op7_license_scan,
         op8_suffix_decontamination,
         op9_quality,
