@@ -12,15 +12,20 @@ indexed too. No signature is dropped for being frequent.
 
 Signatures are packed by range of their value; a group of ranges is sorted in one task, whose
 size the number of ranges bounds. Signatures of one set only end there. What is shared gives
-candidates in two rounds:
+candidates in three rounds:
 
-1. Each set is paired with the least set of a signature they share, the one they share most
-   with; pairs are checked exactly and give components. A group of thousands of copies is
-   connected by then, at a pair for each set.
-2. Of signatures shared by several components, all pairs from distinct components are looked
-   at, in blocks. A parity sketch (the odd sketch: bit i tells whether an odd number of shingles
-   falls into it, so differing bits never outnumber differing shingles) rules out the pairs
-   whose difference is too large; the rest are checked exactly.
+1. Each set is paired with one set: of each signature the leader is the set that shares most
+   signatures, and of its leaders a set takes the one it has most in common with. Pairs are
+   checked exactly and give components: a text and its thousands of copies are connected by
+   then, at a pair for each copy.
+2. Of signatures shared by several components, each set is checked against the nearest set of
+   another component.
+3. Of signatures still shared by several components, all pairs from distinct components are
+   looked at, in blocks, and checked exactly where they may link.
+
+In 2 and 3 a parity sketch (the odd sketch: bit i tells whether an odd number of shingles falls
+into it, so differing bits never outnumber differing shingles) rules out the pairs whose
+difference is too large.
 
 Sets are told apart by their size and the 64-bit sum of their shingles' hashes: copies are one
 set from the start. Shingles are compared by 64-bit hashes.
@@ -38,7 +43,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ludomart.llm.common import components, key_filter, maybe_in, steps, stored
@@ -48,7 +53,7 @@ SHINGLE = 5
 # Similarity as a fraction; the bands below are laid out for it.
 NUM, DEN = 3, 4
 # Signatures that one task sorts.
-RANGE_ROWS = 3_000_000
+RANGE_ROWS = 4_000_000
 # Members of a group that are compared in one block.
 BLOCK = 1024
 # Cost of a signature indexed, and of a pair looked at, for the choice of an allocation; share
@@ -93,29 +98,96 @@ def allocation(band: int) -> tuple[int, int]:
     return best[1], best[2]
 
 
-def _sets(part: pa.RecordBatch, text: str) -> Iterator[tuple[int, np.ndarray]]:
-    """(row, sorted distinct shingles) of the rows of a batch that have any."""
-    h, first = words(part.column(text), SPACE)
-    row, s = shingles(h, first, SHINGLE)
-    cut = np.searchsorted(row, np.arange(part.num_rows + 1))
-    for i in np.flatnonzero(np.diff(cut)):
-        yield int(i), np.unique(s[cut[i] : cut[i + 1]])
-
-
-def _fingerprint(s: np.ndarray) -> int:
-    return int(mix(mix(s.copy()).sum(dtype=np.uint64, keepdims=True) + np.uint64(len(s))).view(np.int64)[0])
+class Sets:
+    """Distinct shingles of the rows of a batch: ``s``, sorted within ``row``; rows without
+    any do not appear. ``rows`` are those that do, ``begin`` and ``size`` their stretches."""
+
+    def __init__(self, texts: pa.Array) -> None:
+        h, first = words(texts, SPACE)
+        row, s = shingles(h, first, SHINGLE)
+        cut = np.searchsorted(row, np.arange(len(texts) + 1))
+        for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+            if hi - lo > 1:
+                s[lo:hi].sort()
+        new = np.ones(len(s), bool)
+        new[1:] = (s[1:] != s[:-1]) | (row[1:] != row[:-1])
+        self.s, row = s[new], row[new]
+        self.begin = np.flatnonzero(np.append(True, row[1:] != row[:-1])) if len(row) else np.empty(0, np.int64)
+        self.rows = row[self.begin]
+        self.size = np.diff(np.append(self.begin, len(row)))
+        # Place of a row among those that have a set, for each shingle.
+        self.own = np.repeat(np.arange(len(self.rows)), self.size)
+        self.mixed = mix(self.s.copy())
+
+    def fingerprints(self) -> np.ndarray:
+        if not len(self.rows):
+            return np.empty(0, np.int64)
+        total = np.add.reduceat(self.mixed, self.begin)
+        return mix(total + self.size.astype(np.uint64)).view(np.int64)
+
+    def sketches(self) -> list[bytes]:
+        bits = np.array([_bits(n) for n in self.size], np.int64)
+        start = np.concatenate([[0], np.cumsum(bits)])
+        place = mix(self.s ^ np.uint64(0x5BD1E995)) & (bits[self.own] - 1).astype(np.uint64)
+        odd = np.bincount(place.astype(np.int64) + start[:-1][self.own], minlength=start[-1]) & 1
+        packed = np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+        at = (start // 8).tolist()
+        return [packed[lo:hi] for lo, hi in zip(at[:-1], at[1:], strict=True)]
+
+    def elements(self) -> list[bytes]:
+        raw = self.s.tobytes()
+        return [raw[8 * lo : 8 * (lo + n)] for lo, n in zip(self.begin.tolist(), self.size.tolist(), strict=True)]
+
+    def signatures(self) -> tuple[np.ndarray, np.ndarray]:
+        """(signature, place of its row) for the band of each set and the one below."""
+        sigs, owners = [], []
+        own_band = np.searchsorted(bands(), self.size, side="right") - 1
+        for down in (0, 1):
+            band = own_band - down
+            most, segments, single = (_by_band(band, i) for i in range(3))
+            salt = mix(band.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(7))
+            ok = (band >= 0)[self.own]
+            own, m, s = self.own[ok], self.mixed[ok], self.s[ok]
+            if not len(s):
+                continue
+            # Sorted hashes fall into segments in order.
+            seg = ((s >> np.uint64(32)) * segments[own].astype(np.uint64)) >> np.uint64(32)
+            head = np.append(True, (seg[1:] != seg[:-1]) | (own[1:] != own[:-1]))
+            begin = np.flatnonzero(head)
+            total = np.add.reduceat(m, begin)
+            name = mix(seg + salt[own])
+            sigs.append(mix(total + name[begin]))
+            owners.append(own[begin])
+            # Subsets with one shingle taken away, of the first segments.
+            low = seg < single[own].astype(np.uint64)
+            if low.any():
+                at = (np.cumsum(head) - 1)[low]
+                sigs.append(mix(total[at] - m[low] + name[low]))
+                owners.append(own[low])
+            # Empty segments, where one of them may be the only one that is equal.
+            filled = np.bincount(own[begin], minlength=len(self.rows))
+            short = (band >= 0) & ((single > 0) | (filled <= most))
+            for i in np.flatnonzero(short).tolist():
+                lo, hi = np.searchsorted(own[begin], (i, i + 1))
+                empty = np.setdiff1d(np.arange(segments[i], dtype=np.uint64), seg[begin[lo:hi]])
+                sigs.append(mix(mix(empty + salt[i])))
+                owners.append(np.full(len(empty), i))
+        return np.concatenate(sigs), np.concatenate(owners)
+
+
+def _by_band(band: np.ndarray, which: int) -> np.ndarray:
+    """For each band: most shingles that differ, segments, segments allowing one difference."""
+    out = np.zeros(len(band), np.int64)
+    for b in np.unique(band[band >= 0]).tolist():
+        most = (int(bands()[b + 1]) - 1) * (DEN - NUM) // NUM
+        out[band == b] = (most, *allocation(b))[which]
+    return out
 
 
 def _bits(n: int) -> int:
     return max(64, 1 << (int(n) - 1).bit_length())
 
 
-def _sketch(s: np.ndarray) -> bytes:
-    bits = _bits(len(s))
-    odd = np.bincount((mix(s ^ np.uint64(0x5BD1E995)) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
-
-
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """For each row: key, size of its set, the set's fingerprint (null if empty) and sketch."""
 
@@ -124,8 +196,10 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
             for part in steps(batch, "_text"):
                 n = part.num_rows
                 size, fp, sketch = [0] * n, [None] * n, [None] * n
-                for i, s in _sets(part, "_text"):
-                    size[i], fp[i], sketch[i] = len(s), _fingerprint(s), _sketch(s)
+                sets = Sets(part.column("_text"))
+                got = zip(sets.rows.tolist(), sets.size.tolist(), sets.fingerprints().tolist(), sets.sketches(), strict=True)
+                for i, k, f, b in got:
+                    size[i], fp[i], sketch[i] = k, f, b
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(size, pa.int64()), pa.array(fp, pa.int64()), pa.array(sketch, pa.binary())],
                     names=["doc_id", "n_shingles", "fp", "sketch"],
@@ -135,109 +209,114 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return own.mapInArrow(run, SETS)
 
 
-def _signatures(s: np.ndarray) -> Iterator[np.ndarray]:
-    """Signatures of a set, for its own band and the one below."""
-    own = int(np.searchsorted(bands(), len(s), side="right")) - 1
-    m = mix(s.copy())
-    for band in (own, own - 1):
-        if band < 0:
-            continue
-        n, one = allocation(band)
-        # Sorted hashes fall into segments in order.
-        seg = ((s >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
-        begin = np.flatnonzero(np.append(True, seg[1:] != seg[:-1]))
-        total = np.add.reduceat(m, begin)
-        have = seg[begin]
-        salt = np.uint64((band * 0x9E3779B97F4A7C15 + 0x1234567) & (2**64 - 1))
-        yield mix(total + mix(have + salt))
-        most = (int(bands()[band + 1]) - 1) * (DEN - NUM) // NUM
-        if one:  # subsets with one shingle taken away, of the first segments
-            low = seg < np.uint64(one)
-            at = np.searchsorted(have, seg[low])
-            yield mix(total[at] - m[low] + mix(seg[low] + salt))
-        if one or n - most <= n - len(have):
-            empty = np.setdiff1d(np.arange(n, dtype=np.uint64), have)
-            yield mix(mix(empty + salt))
-
-
 def _packed(docs: DataFrame, key: str, text: str, ranges: int) -> DataFrame:
-    """Signatures of whole texts as arrays by range: (bucket, fp, number, signatures)."""
+    """Signatures of whole texts as arrays by range: the sets, how many each has there, and
+    forty bits of each, which within a range tell as many apart as a task sorts: sets that
+    agree by chance are told apart when they are checked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: set[int] = set()
-            for part in steps(batch, "_text", 8 << 20):
-                sigs, count, fps = [], [], []
-                for _, s in _sets(part, "_text"):
-                    fp = _fingerprint(s)
-                    if fp in seen:
-                        continue
-                    seen.add(fp)
-                    own = np.unique(np.concatenate(list(_signatures(s))))
-                    sigs.append(own)
-                    count.append(len(own))
-                    fps.append(fp)
-                if not fps:
+            held: list[tuple] = []
+            size = 0
+            for part in steps(batch, "_text"):
+                sets = Sets(part.column("_text"))
+                if not len(sets.rows):
                     continue
-                sig = np.concatenate(sigs)
-                owner = np.repeat(np.arange(len(fps)), count)
-                bucket = (((sig >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                sig, owner, bucket = sig[order], owner[order], bucket[order]
-                cut = np.searchsorted(bucket, np.arange(ranges + 1))
-                ids = np.array(fps, np.int64)
-                rows = ([], [], [], [])
-                for b in np.flatnonzero(np.diff(cut)):
-                    who, n = np.unique(owner[cut[b] : cut[b + 1]], return_counts=True)
-                    rows[0].append(int(b))
-                    rows[1].append(ids[who].tobytes())
-                    rows[2].append(n.astype(np.uint32).tobytes())
-                    rows[3].append(sig[cut[b] : cut[b + 1]].tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows[0], pa.int32()), *(pa.array(r, pa.binary()) for r in rows[1:])],
-                    names=["bucket", "fps", "counts", "sigs"],
-                )
+                fps = sets.fingerprints()
+                fresh = np.ones(len(fps), bool)
+                for i, f in enumerate(fps.tolist()):
+                    fresh[i] = f not in seen
+                    seen.add(f)
+                sig, owner = sets.signatures()
+                ok = fresh[owner]
+                held.append((sig[ok], fps[owner[ok]]))
+                size += int(ok.sum())
+                if size > 3_000_000:
+                    yield _by_range(held, ranges)
+                    held, size = [], 0
+            if size:
+                yield _by_range(held, ranges)
 
     own = docs.select(F.col(f"`{text}`").alias("_text"))
     return own.mapInArrow(run, "bucket int, fps binary, counts binary, sigs binary")
 
 
+def _by_range(held: list[tuple], ranges: int) -> pa.RecordBatch:
+    sig = np.concatenate([x for x, _ in held])
+    fp = np.concatenate([y for _, y in held])
+    bucket = (((sig >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)).astype(np.int32)
+    order = np.lexsort((fp, bucket))
+    sig, fp, bucket = sig[order], fp[order], bucket[order]
+    # The low bits are not used by the range.
+    low = sig.view(np.uint8).reshape(-1, 8)[:, :5]
+    cut = np.searchsorted(bucket, np.arange(ranges + 1))
+    rows = ([], [], [], [])
+    for b in np.flatnonzero(np.diff(cut)).tolist():
+        part = fp[cut[b] : cut[b + 1]]
+        at = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+        rows[0].append(b)
+        rows[1].append(part[at].tobytes())
+        rows[2].append(np.diff(np.append(at, len(part))).astype(np.uint32).tobytes())
+        rows[3].append(low[cut[b] : cut[b + 1]].tobytes())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(rows[0], pa.int32()), *(pa.array(r, pa.binary()) for r in rows[1:])],
+        names=["bucket", "fps", "counts", "sigs"],
+    )
+
+
+def _unpacked(f: pa.Scalar, c: pa.Scalar, x: pa.Scalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    low = np.frombuffer(x.as_buffer(), np.uint8).reshape(-1, 5)
+    sig = np.zeros((len(low), 8), np.uint8)
+    sig[:, :5] = low
+    return sig.view(np.uint64).ravel(), np.frombuffer(f.as_buffer(), np.int64), np.frombuffer(c.as_buffer(), np.uint32)
+
+
 def shared_signatures(docs: DataFrame, ranges: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(sig, fp, least) for signatures of several sets: each set, and the least one."""
+    """(sig, fp, lead) for signatures of several sets: each set, and the one of them that shares
+    most (in copies of a text with changes of their own, that is the text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sigs, owners = [], []
+        sigs, ids, counts, bucket = [], [], [], 0
         for batch in batches:
-            for f, c, s in zip(*(batch.column(k) for k in ("fps", "counts", "sigs")), strict=True):
-                sigs.append(np.frombuffer(s.as_buffer(), np.uint64))
-                owners.append(np.repeat(np.frombuffer(f.as_buffer(), np.int64), np.frombuffer(c.as_buffer(), np.uint32)))
-        sig = np.concatenate(sigs)
+            bucket = batch.column("bucket")[0].as_py() if batch.num_rows else bucket
+            for row in zip(*(batch.column(k) for k in ("fps", "counts", "sigs")), strict=True):
+                sig, fp, count = _unpacked(*row)
+                sigs.append(sig)
+                ids.append(fp)
+                counts.append(count)
+        fps, place = np.unique(np.concatenate(ids), return_inverse=True)
+        # Signature and number of the set in one number, so that one sort brings copies of a
+        # signature together: forty bits and twenty-four.
+        both = np.concatenate(sigs)
         del sigs
-        order = np.argsort(sig)
-        sig = sig[order]
+        both <<= np.uint64(24)
+        both |= np.repeat(place, np.concatenate(counts)).astype(np.uint64)
+        both.sort()
+        new = np.append(True, both[1:] != both[:-1])
+        both = both[new]
+        sig = both >> np.uint64(24)
         head = np.append(True, sig[1:] != sig[:-1])
-        alone = head & np.append(head[1:], True)
-        order, sig = order[~alone], sig[~alone]
-        owner = np.concatenate(owners)[order]
-        del owners
-        # One row for each signature and set.
-        sub = np.lexsort((owner, sig))
-        sig, owner = sig[sub], owner[sub]
-        new = np.append(True, (sig[1:] != sig[:-1]) | (owner[1:] != owner[:-1]))
-        sig, owner = sig[new], owner[new]
+        several = ~(head & np.append(head[1:], True))
+        both, sig = both[several], sig[several]
+        owner = (both & np.uint64((1 << 24) - 1)).astype(np.int64)
+        degree = np.bincount(owner, minlength=len(fps))
         begin = np.flatnonzero(np.append(True, sig[1:] != sig[:-1])) if len(sig) else np.empty(0, np.int64)
         size = np.diff(np.append(begin, len(sig)))
-        several = np.repeat(size > 1, size)
-        least = np.repeat(owner[begin], size)
-        sig, owner, least = sig[several], owner[several], least[several]
+        # The least of the sets of the highest degree: one number holds both.
+        rank = degree[owner] * (len(fps) + 1) + (len(fps) - owner)
+        top = np.maximum.reduceat(rank, begin) if len(begin) else rank
+        lead = np.repeat(len(fps) - top % (len(fps) + 1), size)
+        name = (sig.astype(np.int64) << 23) ^ bucket  # a name within the join, told apart by range
         for lo in range(0, len(sig), 100_000):
+            cut = slice(lo, lo + 100_000)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x[lo : lo + 100_000], pa.int64()) for x in (sig.view(np.int64), owner, least)],
-                names=["sig", "fp", "least"],
+                [pa.array(x, pa.int64()) for x in (name[cut], fps[owner[cut]], fps[lead[cut]])],
+                names=["sig", "fp", "lead"],
             )
 
     packed = _packed(docs, key, text, ranges).repartition(ranges, "bucket")
-    return packed.groupBy("bucket").applyInArrow(run, "sig bigint, fp bigint, least bigint")
+    return packed.groupBy("bucket").applyInArrow(run, "sig bigint, fp bigint, lead bigint")
 
 
 def _sets_of(docs: DataFrame, reps: DataFrame, key: str, text: str) -> DataFrame:
@@ -246,14 +325,13 @@ def _sets_of(docs: DataFrame, reps: DataFrame, key: str, text: str) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in steps(batch, "_text"):
-                ids, fps, data = part.column("doc_id").to_pylist(), [], []
-                kept = []
-                for i, s in _sets(part, "_text"):
-                    kept.append(ids[i])
-                    fps.append(_fingerprint(s))
-                    data.append(s.tobytes())
+                sets = Sets(part.column("_text"))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(kept, pa.int64()), pa.array(fps, pa.int64()), pa.array(data, pa.binary())],
+                    [
+                        part.column("doc_id").take(pa.array(sets.rows, pa.int64())),
+                        pa.array(sets.fingerprints(), pa.int64()),
+                        pa.array(sets.elements(), pa.binary()),
+                    ],
                     names=["doc_id", "fp", "elements"],
                 )
 
@@ -286,14 +364,18 @@ def verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame, key: str, text: s
     return both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
-def _far(x: np.ndarray, y: np.ndarray, size_x: np.ndarray, size_y: np.ndarray) -> np.ndarray:
-    """(rows of x, rows of y): whether sketches or sizes rule a link out."""
-    differ = np.bitwise_count(x[:, None, :] ^ y[None, :, :]).sum(2, dtype=np.int64)
+def _distance(x: np.ndarray, y: np.ndarray, size_x: np.ndarray, size_y: np.ndarray) -> np.ndarray:
+    """Differing sketch bits as a share of both sizes, for rows of x and of y; infinite where
+    sketches or sizes rule a link out."""
+    differ = np.zeros((len(x), len(y)), np.int64)
+    for j in range(x.shape[1]):
+        differ += np.bitwise_count(x[:, j, None] ^ y[None, :, j])
     total = size_x[:, None] + size_y[None, :]
     small = np.minimum(size_x[:, None], size_y[None, :])
     large = np.maximum(size_x[:, None], size_y[None, :])
     # Differing shingles are at most (DEN - NUM) / (DEN + NUM) of both sizes together.
-    return (differ * (DEN + NUM) > total * (DEN - NUM)) | (small * DEN < large * NUM)
+    far = (differ * (DEN + NUM) > total * (DEN - NUM)) | (small * DEN < large * NUM)
+    return np.where(far, np.inf, differ / total)
 
 
 def _folded(sketches: list[bytes]) -> np.ndarray:
@@ -308,32 +390,41 @@ def _folded(sketches: list[bytes]) -> np.ndarray:
     return out
 
 
-def _cross_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs (a, b) of sets of one ``cell`` from distinct components that may link."""
-
-    def pairs(fp, comp, size, sketch, side) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        bits = _folded(sketch)
-        for lo in range(0, len(fp), 128):
-            far = _far(bits[lo : lo + 128], bits, size[lo : lo + 128], size)
-            far |= comp[lo : lo + 128, None] == comp[None, :]
-            # Of a cell of two blocks only pairs across are its own.
-            far |= (side[lo : lo + 128, None] == side[None, :]) & (side.max() != side.min())
-            i, j = np.nonzero(~far)
-            i = i + lo
-            once = fp[i] < fp[j]
-            yield fp[i[once]], fp[j[once]]
+def _cross_pairs(rows: DataFrame, nearest: bool) -> DataFrame:
+    """Pairs (a, b, distance) of sets of one cell from distinct components that may link: all of
+    them with a < b, or for each set the nearest of the cell."""
+
+    def pairs(t: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        fp, comp, size, side = (t.column(c).to_numpy() for c in ("fp", "comp", "n", "side"))
+        if len(fp) < 2 or (comp == comp[0]).all():
+            return
+        bits = _folded(t.column("sketch").to_pylist())
+        two = side.min() != side.max()
+        for lo in range(0, len(fp), 256):
+            cut = slice(lo, lo + 256)
+            d = _distance(bits[cut], bits, size[cut], size)
+            d[comp[cut, None] == comp[None, :]] = np.inf
+            if two:  # of a cell of two blocks only pairs across are its own
+                d[side[cut, None] == side[None, :]] = np.inf
+            if nearest:
+                j = d.argmin(1)
+                i = np.flatnonzero(np.isfinite(d[np.arange(len(d)), j]))
+                j = j[i]
+            else:
+                i, j = np.nonzero(np.isfinite(d))
+                once = fp[lo + i] < fp[j]
+                i, j = i[once], j[once]
+            yield fp[lo + i], fp[j], d[i, j]
+
+    def out(found: list) -> pa.RecordBatch:
+        a, b, d = (np.concatenate([x[i] for x in found]) for i in range(3))
+        _, at = np.unique(np.stack([a, b], 1), axis=0, return_index=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(a[at], pa.int64()), pa.array(b[at], pa.int64()), pa.array(d[at], pa.float64())], names=["a", "b", "distance"]
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(found: list) -> pa.RecordBatch:
-            a = np.concatenate([x for x, _ in found]) if found else np.empty(0, np.int64)
-            b = np.concatenate([y for _, y in found]) if found else np.empty(0, np.int64)
-            if len(a):
-                both = np.unique(np.stack([a, b], 1), axis=0)
-                a, b = both[:, 0], both[:, 1]
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
         found, held = [], None
-        names = ["sig", "i", "j", "fp", "comp", "n", "sketch", "side"]
         for batch in batches:
             t = pa.Table.from_batches([batch])
             held = t if held is None else pa.concat_tables([held, t])
@@ -341,24 +432,51 @@ def _cross_pairs(rows: DataFrame) -> DataFrame:
             change = np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1
             if not len(change):
                 continue
-            for lo, hi in zip(np.append(0, change[:-1]), change, strict=True):
-                found.extend(_group(held.slice(lo, hi - lo), names, pairs))
-            held = held.slice(change[-1])
-            if sum(len(x) for x, _ in found) > 200_000:
+            for lo, hi in zip(np.append(0, change[:-1]).tolist(), change.tolist(), strict=True):
+                found.extend(pairs(held.slice(lo, hi - lo)))
+            held = held.slice(change[-1]).combine_chunks()
+            if sum(len(x[0]) for x in found) > 200_000:
                 yield out(found)
                 found = []
         if held is not None and held.num_rows:
-            found.extend(_group(held, names, pairs))
-        yield out(found)
+            found.extend(pairs(held))
+        if found:
+            yield out(found)
 
-    return rows.select("sig", "i", "j", "fp", "comp", "n", "sketch", "side").mapInArrow(run, "a bigint, b bigint")
+    cells = rows.select("sig", "i", "j", "fp", "comp", "n", "sketch", "side")
+    return cells.mapInArrow(run, "a bigint, b bigint, distance double")
 
 
-def _group(t: pa.Table, names: list[str], pairs) -> list:
-    fp, comp, n, side = (t.column(c).to_numpy() for c in ("fp", "comp", "n", "side"))
-    if len(fp) < 2 or (comp == comp[0]).all():
-        return []
-    return list(pairs(fp, comp, n, t.column("sketch").to_pylist(), side))
+def _cells(shared: DataFrame, comp: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Rows of the signatures that several components share, large groups as pairs of blocks."""
+    named = shared.select("sig", "fp").join(comp.toDF("fp", "comp"), "fp", "left")
+    named = stored(named.withColumn("comp", F.coalesce("comp", "fp")), "named")
+    mixed = named.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"))
+    rows = named.join(mixed.where("lo < hi").select("sig", "size"), "sig").join(sizes, "fp")
+    rows = rows.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+    rows = rows.withColumn("side", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumns({"i": F.least("side", "other"), "j": F.greatest("side", "other")})
+    rows = rows.select("sig", "i", "j", "fp", "comp", "n", "sketch", "side")
+    return rows.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
+
+
+def _near(stars: DataFrame) -> DataFrame:
+    """Pairs (a, b) that sketches and sizes do not rule out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = []
+            for x, y, p, q in zip(*(batch.column(c).to_pylist() for c in ("x", "y", "p", "q")), strict=True):
+                bits = _folded([x, y])
+                ok.append(bool(np.isfinite(_distance(bits[:1], bits[1:], np.array([p]), np.array([q]))[0, 0])))
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    return stars.select("a", "b", "p", "q", "x", "y").mapInArrow(run, "a bigint, b bigint")
+
+
+def _in_order(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -373,33 +491,29 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     ranges = max(1, int(total // RANGE_ROWS) + 1)
     shared = stored(shared_signatures(docs, ranges, key, text), "shared")
 
-    # Round 1: the least set of a signature, the one shared most, where sketches allow it.
+    # Round 1: the leader of a signature that a set shares most with.
     sizes = content.select("fp", "n", "sketch")
-    stars = shared.where("fp <> least").groupBy("fp", "least").agg(F.count("*").alias("common"))
-    stars = stars.join(sizes, "fp").join(sizes.toDF("least", "n_least", "sketch_least"), "least")
-    near = stored(_near(stars), "stars")
-    best = Window.partitionBy("a").orderBy(F.desc("common"), "b")
-    first = near.withColumn("_r", F.row_number().over(best)).where("_r = 1").select("a", "b")
-    links = stored(verify(stored(first, "first"), docs, reps, key, text), "links")
-    comp = components(links, "components")
-
-    # Round 2: what signatures join beyond these components.
-    named = shared.select("sig", "fp").join(comp.toDF("fp", "comp"), "fp", "left")
-    named = stored(named.withColumn("comp", F.coalesce("comp", "fp")), "named")
-    mixed = named.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"))
-    rows = named.join(mixed.where("lo < hi").select("sig", "size"), "sig").join(sizes, "fp")
-    # Large groups are met as pairs of blocks.
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-    rows = rows.withColumn("blocks", blocks).withColumn("mine", mine)
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.withColumns({"i": F.least("mine", "other"), "j": F.greatest("mine", "other"), "side": F.col("mine")})
-    rows = rows.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
-    pairs = _cross_pairs(rows).distinct()
-    tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-    more = stored(verify(pairs, docs, reps, key, text), "links")
-    comp = components(links.union(more), "components").toDF("fp", "comp")
+    stars = shared.where("fp <> lead").groupBy("fp", "lead").agg(F.count("*").alias("common"))
+    best = F.max_by(F.col("lead"), F.struct("common", "lead"))
+    stars = stars.groupBy(F.col("fp").alias("a")).agg(best.alias("b"))
+    stars = stars.join(sizes.toDF("a", "p", "x"), "a").join(sizes.toDF("b", "q", "y"), "b")
+    first = stored(_in_order(_near(stars)).distinct(), "pairs")
+    links = stored(verify(first, docs, reps, key, text), "links")
+    comp = stored(components(links, "components"), "components")
+
+    # Round 2: the nearest set of another component, by sketch.
+    near = _cross_pairs(_cells(shared, comp, sizes), nearest=True)
+    near = near.join(first.union(first.select("b", "a")), ["a", "b"], "left_anti")
+    near = near.groupBy("a").agg(F.min_by("b", F.struct("distance", "b")).alias("b"))
+    second = stored(_in_order(near).distinct(), "pairs")
+    links = stored(links.union(verify(second, docs, reps, key, text)), "links")
+    comp = stored(components(links, "components"), "components")
+
+    # Round 3: every other pair.
+    rest = _cross_pairs(_cells(shared, comp, sizes), nearest=False).select("a", "b").distinct()
+    rest = stored(rest.join(first.union(second), ["a", "b"], "left_anti"), "pairs")
+    links = stored(links.union(verify(rest, docs, reps, key, text)), "links")
+    comp = components(links, "components").toDF("fp", "comp")
 
     least = content.join(comp, "fp", "left").withColumn("comp", F.coalesce("comp", "fp"))
     names = least.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
@@ -408,22 +522,6 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def _near(stars: DataFrame) -> DataFrame:
-    """Pairs (a, b, common) that sketches and sizes do not rule out."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = []
-            rows = zip(*(batch.column(c).to_pylist() for c in ("sketch", "sketch_least", "n", "n_least")), strict=True)
-            for x, y, p, q in rows:
-                bits = _folded([x, y])
-                ok.append(not _far(bits[:1], bits[1:], np.array([p]), np.array([q]))[0, 0])
-            part = pa.RecordBatch.from_arrays([batch.column(c) for c in ("fp", "least", "common")], names=["a", "b", "common"])
-            yield part.filter(pa.array(ok, pa.bool_()))
-
-    return stars.select("fp", "least", "common", "n", "n_least", "sketch", "sketch_least").mapInArrow(run, "a bigint, b bigint, common bigint")
-
-
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the document of the least id of each component, and those that link with
     nothing; repeated rows of an id stay as they are."""
