@@ -84,6 +84,22 @@ def with_columns(
     return df.select(*[F.col(f"`{c}`") for c in inputs]).mapInArrow(run, out)
 
 
+def keep_where(
+    df: DataFrame, text: str, make: Callable[[], Callable[[pa.RecordBatch], list | pa.Array]], limit: int = STEP_BYTES
+) -> DataFrame:
+    """The rows, as they are, for which the function that ``make`` returns says true."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = None
+        for batch in batches:
+            if work is None:
+                work = make()
+            for part in steps(batch, text, limit):
+                yield part.filter(pa.array(work(part), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def components(edges: DataFrame, tag: str, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the least node reachable over undirected links, for every node of
     ``edges``.

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField
 
-from ludomart.llm.common import with_columns
+from ludomart.llm.common import keep_where, with_columns
 from ludomart.llm.words import ALNUM, words
 
 WINDOW = 10
@@ -280,7 +280,22 @@ def report(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **kwargs)
     )
 
 
-def remove(docs: DataFrame, benchmark: DataFrame, **kwargs) -> DataFrame:
+def remove(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    window: int = WINDOW,
+    text: str = "text",
+    item: str = "item_id",
+    item_text: str = "text",
+    block_words: int = BLOCK_WORDS,
+) -> DataFrame:
     """``docs`` without the rows in which a window of an item occurs."""
-    found = search(docs, benchmark, **kwargs)
-    return found.where(F.size("hit_items") == 0).select(*[f"`{c}`" for c in docs.columns if c in found.columns])
+    for block in blocks(benchmark, item, item_text, block_words):
+        shared = docs.sparkSession.sparkContext.broadcast((*block, window))
+
+        def make(shared=shared) -> Callable[[pa.RecordBatch], list]:
+            work = _search(Items(*shared.value))
+            return lambda part: [not x for x in work(part, text, None)["hit_items"].to_pylist()]
+
+        docs = keep_where(docs, text, make, SHARD_BYTES)
+    return docs

@@ -24,6 +24,7 @@ from ludomart.llm.common import stored
 from ludomart.llm.sharding import HASH_BITS, key_hash
 
 CELL_BITS = 12
+NEW = ("n_tokens", "leaf_tokens", "leaf_budget", "copies")
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -100,7 +101,7 @@ def mix(
     count = tokens_of(F.col(f"`{text}`")) if tokens is None else tokens
     names = [f"_{n}" for n in levels]
     node = {f"_{n}": F.coalesce(F.concat(F.lit("="), e.cast("string")), F.lit("-")) for n, e in levels.items()}
-    docs = docs.drop("n_tokens", "leaf_tokens", "leaf_budget", "copies")
+    docs = docs.drop(*NEW)
     docs = docs.withColumns({"_key": F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")), **node, "n_tokens": count})
     narrow = stored(docs.select("_key", "n_tokens", *names), "mixing")
     leaves = narrow.groupBy(*names).agg(F.sum("n_tokens").alias("tokens"))

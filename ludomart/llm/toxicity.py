@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField
 
-from ludomart.llm.common import with_columns
+from ludomart.llm.common import keep_where, with_columns
 
 SAMPLE_ROWS = 20_000
 LEXICON_TERMS = 4_000
@@ -325,3 +325,15 @@ def score(docs: DataFrame, lexicon: Lexicon, text: str = "text", keep: list[str]
         return work
 
     return with_columns(docs, text, FIELDS, make, keep)
+
+
+def clean(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not predicted toxic."""
+    shared = docs.sparkSession.sparkContext.broadcast(lexicon)
+
+    def make() -> Callable[[pa.RecordBatch], list]:
+        own = shared.value
+        find = own.matcher()
+        return lambda part: [own.probability(find(t or "")[0]) < 0.5 for t in part.column(text).to_pylist()]
+
+    return keep_where(docs, text, make)
