@@ -80,11 +80,12 @@ class Items:
 
     def __init__(self, ids: list, texts: list[str], window: int) -> None:
         h, first = words(pa.array(texts, pa.string()), ALNUM)
-        self.ids = ["" if i is None else str(i) for i in ids]
         length = np.diff(first)
         item = np.repeat(np.arange(len(texts)), length)
         self.words = h
-        self.item = item
+        # Items of one id count as one.
+        self.ids, same = np.unique(["" if i is None else str(i) for i in ids], return_inverse=True)
+        self.item = same[item] if len(item) else item
         self.left = first[1:][item] - np.arange(len(h))
         # A suffix is a window if it holds as many words as a window of its item.
         self.need = np.minimum(window, length[item])
