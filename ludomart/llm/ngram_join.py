@@ -14,16 +14,17 @@ Signatures are packed by range of their value; a group of ranges is sorted in on
 size the number of ranges bounds. Signatures of one set only end there. What is shared gives
 candidates in three rounds:
 
-1. Each set is paired with one set: of each signature the leader is the set that shares most
-   signatures, and of its leaders a set takes the one it has most in common with. Pairs are
-   checked exactly and give components: a text and its thousands of copies are connected by
-   then, at a pair for each copy.
-2. Of signatures shared by several components, each set is checked against the nearest set of
-   another component.
-3. Of signatures still shared by several components, all pairs from distinct components are
-   looked at, in blocks, and checked exactly where they may link.
-
-In 2 and 3 a parity sketch (the odd sketch: bit i tells whether an odd number of shingles falls
+1. Each set is paired with the one it shares most signatures with, of the sets it meets in
+   groups of a few and of the leaders of its large groups; the leader is the set that shares
+   most there. Pairs are checked exactly and give components: a text and its thousands of copies
+   are connected by then, at a pair for each copy.
+2. In large groups that several components share, each set is checked against the nearest set
+   of another component.
+3. All other pairs from distinct components are checked exactly where they may link: those of
+   small groups, each once for all its signatures, and those of large groups, looked at in
+   blocks.
+
+A parity sketch (the odd sketch: bit i tells whether an odd number of shingles falls
 into it, so differing bits never outnumber differing shingles) rules out the pairs whose
 difference is too large.
 
@@ -56,6 +57,8 @@ NUM, DEN = 3, 4
 RANGE_ROWS = 4_000_000
 # Members of a group that are compared in one block.
 BLOCK = 1024
+# Groups of up to so many sets give their pairs at once, each pair once for all its groups.
+SMALL = 8
 # Cost of a signature indexed, and of a pair looked at, for the choice of an allocation; share
 # of shingles that unrelated texts have in common.
 ROW_COST, PAIR_COST, COMMON = 1.0, 50.0, 0.05
@@ -265,6 +268,16 @@ def _by_range(held: list[tuple], ranges: int) -> pa.RecordBatch:
     )
 
 
+SHARED = "pair boolean, a bigint, b bigint, n bigint"
+
+
+def _rows(pair: bool, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for lo in range(0, len(a), 100_000):
+        cut = slice(lo, lo + 100_000)
+        columns = [pa.array(np.full(len(a[cut]), pair)), *(pa.array(x[cut], pa.int64()) for x in (a, b, n))]
+        yield pa.RecordBatch.from_arrays(columns, names=["pair", "a", "b", "n"])
+
+
 def _unpacked(f: pa.Scalar, c: pa.Scalar, x: pa.Scalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     low = np.frombuffer(x.as_buffer(), np.uint8).reshape(-1, 5)
     sig = np.zeros((len(low), 8), np.uint8)
@@ -273,8 +286,10 @@ def _unpacked(f: pa.Scalar, c: pa.Scalar, x: pa.Scalar) -> tuple[np.ndarray, np.
 
 
 def shared_signatures(docs: DataFrame, ranges: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(sig, fp, lead) for signatures of several sets: each set, and the one of them that shares
-    most (in copies of a text with changes of their own, that is the text)."""
+    """What signatures of several sets share. Of small groups the pairs: (pair, a, b, n) with the
+    number of signatures; of large ones the members: (not pair, a, b, n) with the set, the set of
+    its group that shares most (in copies of a text with changes of their own, that is the text),
+    and the group's name."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sigs, ids, counts, bucket = [], [], [], 0
@@ -303,20 +318,26 @@ def shared_signatures(docs: DataFrame, ranges: int, key: str = "doc_id", text: s
         degree = np.bincount(owner, minlength=len(fps))
         begin = np.flatnonzero(np.append(True, sig[1:] != sig[:-1])) if len(sig) else np.empty(0, np.int64)
         size = np.diff(np.append(begin, len(sig)))
-        # The least of the sets of the highest degree: one number holds both.
+        # Pairs of small groups, counted; two numbers of sets in one.
+        found = []
+        for n in range(2, SMALL + 1):
+            at = begin[size == n]
+            if len(at):
+                members = owner[at[:, None] + np.arange(n)]
+                found += [(members[:, i] << 24) | members[:, j] for i in range(n) for j in range(i + 1, n)]
+        pair, common = np.unique(np.concatenate(found), return_counts=True) if found else (owner[:0], owner[:0])
+        yield from _rows(True, fps[pair >> 24], fps[pair & ((1 << 24) - 1)], common)
+        # Of large groups the members, with the least of the sets of the highest degree: one
+        # number holds degree and set. The name is told apart by range.
         rank = degree[owner] * (len(fps) + 1) + (len(fps) - owner)
         top = np.maximum.reduceat(rank, begin) if len(begin) else rank
         lead = np.repeat(len(fps) - top % (len(fps) + 1), size)
-        name = (sig.astype(np.int64) << 23) ^ bucket  # a name within the join, told apart by range
-        for lo in range(0, len(sig), 100_000):
-            cut = slice(lo, lo + 100_000)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x, pa.int64()) for x in (name[cut], fps[owner[cut]], fps[lead[cut]])],
-                names=["sig", "fp", "lead"],
-            )
+        large = np.repeat(size > SMALL, size)
+        name = (sig.astype(np.int64) << 23) ^ bucket
+        yield from _rows(False, fps[owner[large]], fps[lead[large]], name[large])
 
     packed = _packed(docs, key, text, ranges).repartition(ranges, "bucket")
-    return packed.groupBy("bucket").applyInArrow(run, "sig bigint, fp bigint, lead bigint")
+    return packed.groupBy("bucket").applyInArrow(run, SHARED)
 
 
 def _sets_of(docs: DataFrame, reps: DataFrame, key: str, text: str) -> DataFrame:
@@ -461,8 +482,8 @@ def _cells(shared: DataFrame, comp: DataFrame, sizes: DataFrame) -> DataFrame:
     return rows.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
 
 
-def _near(stars: DataFrame) -> DataFrame:
-    """Pairs (a, b) that sketches and sizes do not rule out."""
+def _near(pairs: DataFrame) -> DataFrame:
+    """Pairs (a, b, n) that sketches and sizes do not rule out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -470,13 +491,13 @@ def _near(stars: DataFrame) -> DataFrame:
             for x, y, p, q in zip(*(batch.column(c).to_pylist() for c in ("x", "y", "p", "q")), strict=True):
                 bits = _folded([x, y])
                 ok.append(bool(np.isfinite(_distance(bits[:1], bits[1:], np.array([p]), np.array([q]))[0, 0])))
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            yield batch.select(["a", "b", "n"]).filter(pa.array(ok, pa.bool_()))
 
-    return stars.select("a", "b", "p", "q", "x", "y").mapInArrow(run, "a bigint, b bigint")
+    return pairs.select("a", "b", "n", "p", "q", "x", "y").mapInArrow(run, "a bigint, b bigint, n bigint")
 
 
-def _in_order(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+def _in_order(pairs: DataFrame, *more: str) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), *more)
 
 
 def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -489,28 +510,35 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     reps = content.select("doc_id", "fp")
     total = content.agg(F.sum("n")).first()[0] or 0
     ranges = max(1, int(total // RANGE_ROWS) + 1)
-    shared = stored(shared_signatures(docs, ranges, key, text), "shared")
-
-    # Round 1: the leader of a signature that a set shares most with.
+    found = stored(shared_signatures(docs, ranges, key, text), "shared")
+    members = found.where("NOT pair").select(F.col("n").alias("sig"), F.col("a").alias("fp"), F.col("b").alias("lead"))
     sizes = content.select("fp", "n", "sketch")
-    stars = shared.where("fp <> lead").groupBy("fp", "lead").agg(F.count("*").alias("common"))
-    best = F.max_by(F.col("lead"), F.struct("common", "lead"))
-    stars = stars.groupBy(F.col("fp").alias("a")).agg(best.alias("b"))
-    stars = stars.join(sizes.toDF("a", "p", "x"), "a").join(sizes.toDF("b", "q", "y"), "b")
-    first = stored(_in_order(_near(stars)).distinct(), "pairs")
+    both = _in_order(found.where("pair"), "n").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    both = both.join(sizes.toDF("a", "p", "x"), "a").join(sizes.toDF("b", "q", "y"), "b")
+    both = stored(_near(both), "pairs")
+
+    # Round 1: the set that a set shares most with, of its pairs and the leaders of its groups.
+    stars = members.where("fp <> lead").groupBy(F.col("fp").alias("a"), F.col("lead").alias("b")).agg(F.count("*").alias("n"))
+    every = both.union(both.select("b", "a", "n")).union(stars)
+    best = every.groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b"), F.max("n").alias("n"))
+    best = _in_order(best, "n").distinct().join(sizes.toDF("a", "p", "x"), "a").join(sizes.toDF("b", "q", "y"), "b")
+    first = stored(_near(best).select("a", "b").distinct(), "pairs")
     links = stored(verify(first, docs, reps, key, text), "links")
     comp = stored(components(links, "components"), "components")
 
-    # Round 2: the nearest set of another component, by sketch.
-    near = _cross_pairs(_cells(shared, comp, sizes), nearest=True)
+    # Round 2: the nearest set of another component, by sketch, in large groups.
+    near = _cross_pairs(_cells(members, comp, sizes), nearest=True)
     near = near.join(first.union(first.select("b", "a")), ["a", "b"], "left_anti")
     near = near.groupBy("a").agg(F.min_by("b", F.struct("distance", "b")).alias("b"))
     second = stored(_in_order(near).distinct(), "pairs")
     links = stored(links.union(verify(second, docs, reps, key, text)), "links")
     comp = stored(components(links, "components"), "components")
 
-    # Round 3: every other pair.
-    rest = _cross_pairs(_cells(shared, comp, sizes), nearest=False).select("a", "b").distinct()
+    # Round 3: every other pair, of small groups and of large ones.
+    named = comp.select(F.col("node").alias("a"), F.col("component").alias("c"))
+    apart = both.join(named, "a", "left").join(named.toDF("b", "d"), "b", "left")
+    apart = apart.where("NOT coalesce(c, a) <=> coalesce(d, b)").select("a", "b")
+    rest = apart.union(_cross_pairs(_cells(members, comp, sizes), nearest=False).select("a", "b")).distinct()
     rest = stored(rest.join(first.union(second), ["a", "b"], "left_anti"), "pairs")
     links = stored(links.union(verify(rest, docs, reps, key, text)), "links")
     comp = components(links, "components").toDF("fp", "comp")
