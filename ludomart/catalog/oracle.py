@@ -96,7 +96,8 @@ VIEWS = {
               FROM prices WHERE bgg_game_id IS NOT NULL) WHERE rn = 1""",
     "clean_games": """
         SELECT clean_name, min(bgg_game_id) AS bgg_game_id
-        FROM (SELECT bgg_game_id, {clean} AS clean_name FROM bgg_games) GROUP BY clean_name""",
+        FROM (SELECT bgg_game_id, {clean} AS clean_name FROM bgg_games)
+        WHERE clean_name <> '' GROUP BY clean_name""",
     "clean_prices": """
         SELECT atlas_price_id, game_name, {clean} AS clean_name FROM prices""",
     "price_checks": """
@@ -243,13 +244,13 @@ def _coverage(table: str, keys: tuple[str, ...]) -> str:
 
 _STATEMENTS = {
     "scan_csv": "SELECT * FROM part",
-    "scan_csv_multiline": "SELECT doc_id, lang, text FROM documents",
+    "scan_csv_multiline": "SELECT * FROM documents",
     "scan_json_array": "SELECT * FROM shape_accounts",
     "scan_json_glob": "SELECT id, user_id, game_id, rating, description FROM shape_reviews",
     "scan_json_nested_glob": """SELECT id, name, price, store_name, price_category,
         price_category AS folder FROM shape_prices""",
     "scan_parquet": "SELECT p_partkey AS bgg_game_id, p_name AS game_name FROM part",
-    "sink_parquet_by_col": "SELECT bgg_game_id, game_name, year_published FROM bgg_games",
+    "sink_parquet_by_col": "SELECT * FROM bgg_games",
     "sink_parquet_by_month": """SELECT atlas_price_id, game_name, price, price_datetime, year, month
         FROM prices""",
     "project_alias": """SELECT username AS user_name, url, description, gold AS atlas_gold,
@@ -287,7 +288,10 @@ _STATEMENTS = {
     "distinct_datetimes": "SELECT DISTINCT o_orderdate AS datetime FROM orders",
     "count_rows": "SELECT count(*) AS n_rows FROM lineitem",
     "count_nulls": """SELECT count(*) - count(id) AS id_nulls, count(*) - count(game_id)
-        AS game_id_nulls, count(*) - count(description) AS description_nulls FROM shape_reviews""",
+        AS game_id_nulls, count(*) - count(description) AS description_nulls,
+        count(*) - count(created) AS createdAt_nulls, count(*) - count(created) AS date_nulls,
+        count(*) - count(user_id) AS user_id_nulls, count(*) - count(rating) AS rating_nulls
+        FROM shape_reviews""",
     "describe_profile": """
         SELECT c AS column_name, 'count' AS stat, CAST(count(x) AS STRING) AS value
         FROM line_stats GROUP BY c
@@ -384,9 +388,9 @@ _STATEMENTS = {
         count(DISTINCT u.user_id) AS n_users, count(*) FILTER (r.rating >= 4) / count(*) AS high_share
         FROM reviews r LEFT JOIN users u ON r.user_id = u.user_id GROUP BY 1, 2""",
     "price_changes": """
-        SELECT atlas_price_id, bgg_game_id, store_name, price_datetime, price, prev_price,
+        SELECT atlas_price_id, bgg_game_id, store_name, currency, price_datetime, price, prev_price,
                price - prev_price AS price_diff
-        FROM (SELECT *, lag(price) OVER (PARTITION BY bgg_game_id, store_name
+        FROM (SELECT *, lag(price) OVER (PARTITION BY bgg_game_id, store_name, currency
                         ORDER BY price_datetime, atlas_price_id) AS prev_price
               FROM prices WHERE bgg_game_id IS NOT NULL)""",
     "best_price_ever": "SELECT * FROM best_prices",
@@ -395,7 +399,7 @@ _STATEMENTS = {
                count(*) FILTER (post_datetime <= mx - INTERVAL 7 DAY
                                 AND post_datetime > mx - INTERVAL 14 DAY) AS n_before
         FROM posted_items CROSS JOIN (SELECT max(post_datetime) AS mx FROM posted_items)
-        GROUP BY bgg_game_id)""",
+        GROUP BY bgg_game_id) WHERE n_now + n_before > 0""",
     "compare_sources": """
         SELECT a.game_name, a.atlas_game_id, a.year_published AS atlas_year,
                a.average_rating AS atlas_rating, a.num_ratings AS atlas_num_ratings,
@@ -407,13 +411,13 @@ _STATEMENTS = {
              JOIN bgg_games b ON n.bgg_game_id = b.bgg_game_id""",
     "game_scorecard": """
         SELECT coalesce(r.bgg_game_id, l.bgg_game_id, p.bgg_game_id) AS bgg_game_id, r.n_reviews,
-               r.avg_rating, l.n_mentions, p.best_price
+               r.avg_rating, l.n_mentions, p.currency, p.best_price
         FROM (SELECT bgg_game_id, count(*) AS n_reviews, avg(rating) AS avg_rating FROM reviews
               WHERE bgg_game_id IS NOT NULL GROUP BY bgg_game_id) r
         FULL OUTER JOIN (SELECT bgg_game_id, count(*) AS n_mentions FROM posted_items
               GROUP BY bgg_game_id) l ON r.bgg_game_id = l.bgg_game_id
-        FULL OUTER JOIN (SELECT bgg_game_id, min(price) AS best_price FROM prices
-              WHERE bgg_game_id IS NOT NULL GROUP BY bgg_game_id) p
+        FULL OUTER JOIN (SELECT bgg_game_id, currency, min(price) AS best_price FROM prices
+              WHERE bgg_game_id IS NOT NULL GROUP BY bgg_game_id, currency) p
              ON coalesce(r.bgg_game_id, l.bgg_game_id) = p.bgg_game_id""",
     "match_clean_names": """SELECT p.atlas_price_id, p.game_name, p.clean_name, g.bgg_game_id
         FROM clean_prices p LEFT JOIN clean_games g ON p.clean_name = g.clean_name""",

@@ -23,7 +23,7 @@ from ludomart.functions import (
 from ludomart.operators import batch_ids, dedupe_name, dedupe_pk, dense_id, lookup, profile, quality
 from ludomart.operators.ordering import ordered_blocks
 from ludomart.plans import dims, facts, insights, landing, pipeline
-from ludomart.session import fit_shuffles, tune, workspace
+from ludomart.session import tune, workspace
 from ludomart.sources import (
     read_csv,
     read_json_arrays,
@@ -45,7 +45,7 @@ def query(fn: Query) -> Query:
     have."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        fit_shuffles(tune(spark), sf_dir)
+        tune(spark)
         df = fn(spark, sf_dir)
         return df.withColumns(
             {
@@ -116,8 +116,9 @@ def scan_csv(spark, d):
 @query
 def scan_csv_multiline(spark, d):
     path = workspace(spark, "csv")
-    write_csv(fx.table(spark, d, "documents").select("doc_id", "lang", "text"), path)
-    return read_csv(spark, path, "doc_id BIGINT, lang STRING, text STRING")
+    write_csv(fx.table(spark, d, "documents"), path)
+    schema = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
+    return read_csv(spark, path, schema)
 
 
 @query
@@ -139,10 +140,8 @@ def scan_json_glob(spark, d):
 @query
 def scan_json_nested_glob(spark, d):
     root = workspace(spark, "json")
-    raw = fx.raw_prices(spark, d)
-    for category in ("us", "uk", "used"):
-        write_json_arrays(raw.filter(F.col("price_category") == category), f"{root}/{category}")
-    folder = F.regexp_extract(F.input_file_name(), r"([^/]+)/[^/]+$", 1)
+    write_json_arrays(fx.raw_prices(spark, d), root, folder="price_category")
+    folder = F.regexp_extract(F.input_file_name(), r"folder=([^/]+)/[^/]+$", 1)
     return read_json_arrays(spark, f"{root}/*/*.txt", S.ATLAS_PRICES).select(
         "id", "name", "price", "store_name", "price_category", folder.alias("folder")
     )
@@ -159,7 +158,7 @@ def scan_parquet(spark, d):
 def sink_parquet_by_col(spark, d):
     path = workspace(spark, "table")
     write_table(bgg_games(spark, d), path, S.PARTITIONS["bgg_games"])
-    return spark.read.parquet(path).select("bgg_game_id", "game_name", "year_published")
+    return spark.read.parquet(path).select(*S.TABLES["bgg_games"])
 
 
 @query
@@ -334,7 +333,7 @@ def count_rows(spark, d):
 def count_nulls(spark, d):
     raw = fx.raw_reviews(spark, d)
     return raw.agg(
-        *[F.count_if(F.col(c).isNull()).alias(f"{c}_nulls") for c in ("id", "game_id", "description")]
+        *[F.count_if(F.col(c).isNull()).alias(f"{c}_nulls") for c in raw.columns]
     )
 
 
@@ -488,21 +487,19 @@ def dim_time(spark, d):
 def land_dumps(spark: SparkSession, d: str) -> str:
     """The raw dumps as the harvest leaves them; their folder."""
     root = workspace(spark, "raw")
-    prices_raw = fx.raw_prices(spark, d)
     csv = {"bgg/games.csv": fx.raw_bgg_games(spark, d), "bgg/lists.csv": fx.raw_lists(spark, d)}
     arrays = {
         "atlas/json_user.json": fx.raw_accounts(spark, d),
         "atlas/users": profiles(spark, d),
         "atlas/games": fx.raw_atlas_games(spark, d),
         "atlas/reviews": fx.raw_reviews(spark, d),
-        **{
-            f"atlas/prices/{category}": prices_raw.filter(F.col("price_category") == category)
-            for category in ("us", "uk", "used")
-        },
     }
-    with ThreadPoolExecutor(len(csv) + len(arrays)) as pool:
+    with ThreadPoolExecutor(len(csv) + len(arrays) + 1) as pool:
         jobs = [pool.submit(write_csv, df, f"{root}/{path}") for path, df in csv.items()]
         jobs += [pool.submit(write_json_arrays, df, f"{root}/{path}") for path, df in arrays.items()]
+        # A folder for each category, as many as the column has.
+        by_category = {"folder": "price_category"}
+        jobs.append(pool.submit(write_json_arrays, fx.raw_prices(spark, d), f"{root}/atlas/prices", **by_category))
         for job in jobs:
             job.result()
     return root

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -109,28 +108,9 @@ SHAPES = {
 }
 
 
-# Schemas seen, so that a table's footer is asked once and not once per query.
-_schemas: dict[str, StructType] = {}
-
-# Bytes one scan task reads at most (Spark's own default).
-SPLIT_BYTES = 128 << 20
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. One row group cannot be split, so a small table that is one row
-    group would keep one core busy and the rest idle: such a table is dealt out to
-    all cores. A table that fills the cores by its size is left as it is scanned."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    if path in _schemas:
-        df = spark.read.schema(_schemas[path]).parquet(path)
-    else:
-        df = spark.read.parquet(path)
-        _schemas[path] = df.schema
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    cores = spark.sparkContext.defaultParallelism
-    if SPLIT_BYTES // 64 < size < SPLIT_BYTES * cores:
-        return df.repartition(cores)
-    return df
+    """A given table, as it is scanned."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _shape(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

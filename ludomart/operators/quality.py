@@ -40,6 +40,35 @@ TABLE_RULES = {
 }
 
 
+# The key of each table.
+TABLE_KEYS = {
+    "bgg_games": "bgg_game_id",
+    "users": "user_id",
+    "atlas_games": "atlas_game_id",
+    "reviews": "review_id",
+    "prices": "atlas_price_id",
+    "lists": "list_item_id",
+    "time": "datetime",
+}
+
+
+def same_columns(table: str, columns: list[str], expected: list[str]) -> None:
+    """Raise unless a frame has the columns of its table and no other."""
+    if sorted(columns) != sorted(expected):
+        raise QualityError(
+            f"{table}: columns missing {sorted(set(expected) - set(columns))},"
+            f" not expected {sorted(set(columns) - set(expected))}"
+        )
+
+
+def unique_gate(df: DataFrame, table: str) -> None:
+    """Raise if a key of the table is repeated."""
+    key = TABLE_KEYS[table]
+    found = pk_unique(df, table, key).first()
+    if not found.passed:
+        raise QualityError(f"{table}: {found.n_repeats} repeats of {key}")
+
+
 def check(df: DataFrame, rules: Rules) -> DataFrame:
     """Rows (table_name, check_name, column_name, severity, passed, observed, expected).
 

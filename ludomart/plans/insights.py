@@ -104,13 +104,13 @@ def high_rater_profile(
 
 
 def price_changes(prices: DataFrame) -> DataFrame:
-    """Each price with the one before it of the same game and store."""
+    """Each price with the one before it of the same game, store and currency."""
     listed = prices.filter(F.col("bgg_game_id").isNotNull()).select(
-        "atlas_price_id", "bgg_game_id", "store_name", "price_datetime", "price"
+        "atlas_price_id", "bgg_game_id", "store_name", "currency", "price_datetime", "price"
     )
     return previous_in_order(
         listed,
-        ["bgg_game_id", "store_name"],
+        ["bgg_game_id", "store_name", "currency"],
         ["price_datetime", "atlas_price_id"],
         "price",
         "prev_price",
@@ -137,16 +137,18 @@ def best_price_ever(prices: DataFrame) -> DataFrame:
 
 
 def trending_lists(lists: DataFrame, days: int = 7) -> DataFrame:
-    """Mentions per game in the last ``days``, in the ``days`` before, and the change."""
+    """Mentions per game in the last ``days``, in the ``days`` before, and the change, of
+    games mentioned in either. The condition on the year prunes a published table."""
     newest = _newest(lists, "post_datetime")
     now = newest - F.expr(f"INTERVAL {days} DAYS")
     before = newest - F.expr(f"INTERVAL {2 * days} DAYS")
     posted = F.col("post_datetime")
     return (
-        lists.groupBy("bgg_game_id")
+        lists.filter((posted > before) & (F.col("year") >= F.year(before)))
+        .groupBy("bgg_game_id")
         .agg(
             F.count_if(posted > now).alias("n_now"),
-            F.count_if((posted <= now) & (posted > before)).alias("n_before"),
+            F.count_if(posted <= now).alias("n_before"),
         )
         .withColumn("change", F.col("n_now") - F.col("n_before"))
     )
@@ -183,34 +185,42 @@ def compare_sources(atlas: DataFrame, bgg: DataFrame) -> DataFrame:
 
 
 def game_scorecard(reviews: DataFrame, lists: DataFrame, prices: DataFrame) -> DataFrame:
-    """Reviews, list mentions and best price per game that any fact mentions.
+    """Reviews, list mentions and best price per game that any fact mentions, a row for
+    each currency a game is priced in (prices in different currencies do not compare); a
+    game without a price has one row without a currency.
 
-    One union of narrow rows and one aggregate in place of a chain of full outer
-    joins: a single exchange, to which each map task sends one row per game.
+    Reviews and mentions are one union of narrow rows and one aggregate; best prices are
+    another. Both send one row per group from each map task, and are joined by game.
     """
     game = F.col("bgg_game_id")
     every = (
         reviews.select(game, F.lit(1).alias("_review"), "rating")
         .unionByName(lists.select(game, F.lit(1).alias("_mention")), allowMissingColumns=True)
-        .unionByName(prices.select(game, "price"), allowMissingColumns=True)
     )
-    return (
+    counts = (
         every.filter(game.isNotNull())
         .groupBy("bgg_game_id")
         .agg(
             F.nullif(F.count("_review"), F.lit(0)).alias("n_reviews"),
             F.avg("rating").alias("avg_rating"),
             F.nullif(F.count("_mention"), F.lit(0)).alias("n_mentions"),
-            F.min("price").alias("best_price"),
         )
     )
+    best = (
+        prices.filter(game.isNotNull())
+        .groupBy("bgg_game_id", "currency")
+        .agg(F.min("price").alias("best_price"))
+    )
+    return counts.join(best, "bgg_game_id", "full_outer").select(
+        "bgg_game_id", "n_reviews", "avg_rating", "n_mentions", "currency", "best_price"
+    )
 
 
 def match_clean_names(prices: DataFrame, bgg: DataFrame) -> DataFrame:
-    """Prices matched to games on the cleaned name."""
+    """Prices matched to games on the cleaned name. An empty cleaned name names nothing."""
     games = dedupe_name(
         bgg.withColumn("clean_name", clean_name(F.col("game_name"))), "clean_name", "bgg_game_id"
-    )
+    ).filter("clean_name <> ''")
     listed = prices.select("atlas_price_id", "game_name").withColumn(
         "clean_name", clean_name(F.col("game_name"))
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -10,22 +11,28 @@ from pyspark.sql import DataFrame, SparkSession
 from ludomart import schemas as S
 from ludomart.operators import quality
 from ludomart.plans import dims, facts
-from ludomart.session import fit_shuffles, tune
+from ludomart.session import tune
 from ludomart.sources import publish, read_csv, read_json_arrays, read_table, write_table
 
 
-def build(spark: SparkSession, table: str, frame: DataFrame, root: str) -> int:
+def build(
+    spark: SparkSession, table: str, frame: DataFrame, root: str, run_id: str | None = None
+) -> int:
     """Stage, check, publish one table; the number of its rows.
 
-    The plan runs once, for the write. The rules then read the checked columns of
-    what was written, and only a table that passes replaces the published one.
+    A frame of other columns than the table's stops here. The plan runs once, for the
+    write. The rules then read the checked columns of what was written, and only a table
+    that passes, and whose key is unique, replaces the published one. Each run stages in a
+    folder of its own.
     """
-    staged = f"{root}/_staging/{table}.parquet"
+    quality.same_columns(table, frame.columns, list(S.TABLES[table]))
+    staged = f"{root}/_staging/{run_id or uuid.uuid4().hex}/{table}.parquet"
     frame = frame.select(*S.TABLES[table])
     write_table(frame, staged, S.PARTITIONS[table])
     # With the schema at hand, also a table without rows can be read and reported.
     written = spark.read.schema(frame.schema).parquet(staged)
     rows = quality.gate(quality.check(written, quality.TABLE_RULES[table]))
+    quality.unique_gate(written, table)
     publish(spark, staged, f"{root}/{table}.parquet")
     return rows
 
@@ -37,7 +44,8 @@ def run(spark: SparkSession, input_dir: str, output_dir: str) -> dict[str, int]:
     time. A stage reads what the one before published. A dump may be one file or a
     folder of files.
     """
-    fit_shuffles(tune(spark), input_dir)
+    tune(spark)
+    run_id = uuid.uuid4().hex
     src, out = input_dir.rstrip("/"), output_dir.rstrip("/")
 
     def published(table: str, *columns: str) -> DataFrame:
@@ -93,7 +101,7 @@ def run(spark: SparkSession, input_dir: str, output_dir: str) -> dict[str, int]:
     rows: dict[str, int] = {}
     for stage in stages:
         with ThreadPoolExecutor(len(stage)) as pool:
-            jobs = {t: pool.submit(lambda t=t, f=f: build(spark, t, f(), out)) for t, f in stage.items()}
+            jobs = {t: pool.submit(lambda t=t, f=f: build(spark, t, f(), out, run_id)) for t, f in stage.items()}
             rows.update({t: job.result() for t, job in jobs.items()})
     return rows
 

@@ -22,13 +22,25 @@ SQL_SETTINGS = {
 _local_base: dict[str, str] = {}
 
 
-def get_spark(app_name: str = "ludomart", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings above; ``conf`` keys use ``__`` for dots."""
+def get_spark(
+    app_name: str = "ludomart",
+    master: str | None = None,
+    shuffle_tasks: int | None = None,
+    **conf: str,
+) -> SparkSession:
+    """A session with the settings above; ``conf`` keys use ``__`` for dots.
+
+    ``shuffle_tasks`` is the number of partitions that shuffles begin with, for the whole
+    session: about a task for each 64 MB of the largest input. AQE joins what turns out
+    small, and cannot split what began too large. Left out, Spark's own number holds.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     for key, value in SQL_SETTINGS.items():
         builder = builder.config(key, value)
+    if shuffle_tasks:
+        conf["spark__sql__adaptive__coalescePartitions__initialPartitionNum"] = str(shuffle_tasks)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return tune(builder.getOrCreate())
@@ -42,27 +54,6 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-# Input bytes per shuffle task. AQE joins small shuffle partitions but splits none
-# except skewed ones, so the number has to be high enough to begin with.
-SHUFFLE_TASK_BYTES = 64 << 20
-MOST_SHUFFLE_TASKS = 200_000
-
-
-def fit_shuffles(spark: SparkSession, path: str) -> int:
-    """Size shuffles for the data below ``path``; the number of partitions they start with.
-
-    Small inputs leave the session as it is.
-    """
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
-    wanted = min(fs.getContentSummary(where).getLength() // SHUFFLE_TASK_BYTES, MOST_SHUFFLE_TASKS)
-    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    current = int(spark.conf.get(initial, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    if wanted > current:
-        spark.conf.set(initial, str(wanted))
-    return max(wanted, current)
-
-
 def workspace(spark: SparkSession, tag: str) -> str:
     """A fresh path below the folder the cluster shares (``spark.checkpoint.dir``).
 

@@ -18,29 +18,46 @@ def read_csv(
 
     Columns are found by the header, whatever their order; ``aliases`` maps other
     header names to those of ``schema``, and an absent column is NULL. Only the
-    header is read ahead. Text that is no value of the column's type becomes NULL.
+    header is read ahead. The files of one path share one header: a file with another
+    stops the read, as its values would otherwise land in the wrong columns. Text that
+    is no value of the column's type becomes NULL.
     """
-    text = spark.read.csv(path, header=True, multiLine=True, escape='"')
+    text = spark.read.csv(path, header=True, multiLine=True, escape='"', enforceSchema=False)
     names = {(aliases or {}).get(c, c): c for c in text.columns}
 
     def typed(field: T.StructField) -> Column:
         if field.name not in names:
             return F.lit(None).cast(field.dataType)
-        value = F.col(f"`{names[field.name]}`")
-        if isinstance(field.dataType, T.IntegerType):
-            return lenient_int(value)
-        return value.try_cast(field.dataType)
+        return _lenient(F.col(f"`{names[field.name]}`"), field.dataType)
 
     fields = T.StructType.fromDDL(schema).fields
     return text.select(*[typed(f).alias(f.name) for f in fields])
 
 
+def _lenient(value: Column, kind: T.DataType) -> Column:
+    """Text as a value of a scalar type; ``1999.0`` is an integer."""
+    if isinstance(kind, T.IntegerType):
+        return lenient_int(value)
+    if isinstance(kind, T.LongType):
+        return F.coalesce(value.try_cast("bigint"), value.try_cast("double").try_cast("bigint"))
+    return value.try_cast(kind)
+
+
 def read_json_arrays(
     spark: SparkSession, path: str, schema: str, recursive: bool = False
 ) -> DataFrame:
     """Files that each hold one array of objects, or one object. One task reads one
-    file, so big dumps want many files or ``plans.landing.compact_json`` first."""
-    return spark.read.schema(schema).json(path, multiLine=True, recursiveFileLookup=recursive)
+    file, so big dumps want many files or ``plans.landing.compact_json`` first.
+
+    Scalars are read as text and typed then, so a quoted number or ``1999.0`` is no NULL."""
+    fields = T.StructType.fromDDL(schema).fields
+    nested = (T.StructType, T.ArrayType, T.MapType)
+    raw = T.StructType(
+        [T.StructField(f.name, f.dataType if isinstance(f.dataType, nested) else T.StringType()) for f in fields]
+    )
+    text = spark.read.schema(raw).json(path, multiLine=True, recursiveFileLookup=recursive)
+    scalar = {f.name: _lenient(F.col(f"`{f.name}`"), f.dataType) for f in fields if not isinstance(f.dataType, nested)}
+    return text.select(*[scalar.get(f.name, F.col(f"`{f.name}`")).alias(f.name) for f in fields])
 
 
 def read_xml(spark: SparkSession, path: str, row_tag: str, schema: str) -> DataFrame:

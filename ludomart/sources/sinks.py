@@ -8,9 +8,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows per unsplittable landing file, and the most rows gathered into one JSON array
-# (a text of a few MB for rows of the mart; pass less for long texts).
+# Rows per unsplittable landing file, and the most rows and characters gathered into one
+# JSON array; a row that is longer is an array of its own.
 ROWS_PER_FILE = 5_000
+CHARS_PER_FILE = 32 << 20
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
@@ -38,15 +39,21 @@ def publish(spark: SparkSession, staged: str, target: str) -> None:
         fs.delete(old, True)
         if not fs.rename(dest, old):
             raise OSError(f"cannot move {target} aside")
-    if not fs.rename(source, dest):
-        raise OSError(f"cannot publish {staged} as {target}")
+    try:
+        moved, cause = fs.rename(source, dest), None
+    except Exception as error:  # some file systems raise where others return false
+        moved, cause = False, error
+    if not moved:
+        if fs.exists(old):  # the table that was there comes back
+            fs.rename(old, dest)
+        raise OSError(f"cannot publish {staged} as {target}") from cause
     fs.delete(old, True)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
     """CSV as ``read_csv`` expects it. CSV with newlines in quotes cannot be split,
     hence the bound on rows per file."""
-    df.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).csv(
+    df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).csv(
         path,
         header=True,
         escape='"',
@@ -56,24 +63,48 @@ def write_csv(df: DataFrame, path: str) -> None:
     )
 
 
-def write_json_arrays(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
-    """Files with one JSON array each, ``rows_per_file`` objects at most.
+def write_json_arrays(
+    df: DataFrame,
+    path: str,
+    rows_per_file: int = ROWS_PER_FILE,
+    folder: str | None = None,
+    chars_per_file: int = CHARS_PER_FILE,
+) -> None:
+    """Files with one JSON array each, of ``rows_per_file`` objects and about
+    ``chars_per_file`` characters at most; below a folder for each value of the column
+    ``folder``, if one is named.
 
     Each task joins the rows it has, in bounded batches. Nothing is shuffled by a row
     number, which a task that runs again after a loss could hand out differently.
     """
 
+    def arrays(texts: list[str]) -> Iterator[str]:
+        held: list[str] = []
+        size = 0
+        for text in texts:
+            if held and (len(held) == rows_per_file or size + len(text) > chars_per_file):
+                yield "[" + ",".join(held) + "]"
+                held, size = [], 0
+            held.append(text)
+            size += len(text)
+        if held:
+            yield "[" + ",".join(held) + "]"
+
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for start in range(0, len(texts), rows_per_file):
-                array = "[" + ",".join(texts[start : start + rows_per_file]) + "]"
-                yield pa.RecordBatch.from_pydict({"value": [array]})
-
-    (
-        df.select(F.to_json(F.struct(*df.columns)).alias("value"))
-        .mapInArrow(join, "value STRING")
-        .write.mode("overwrite")
-        .option("maxRecordsPerFile", 1)
-        .text(path)
-    )
+            by_folder: dict[str | None, list[str]] = {}
+            for text, name in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                by_folder.setdefault(name, []).append(text)
+            for name, texts in by_folder.items():
+                for array in arrays(texts):
+                    yield pa.RecordBatch.from_pydict(
+                        {"value": [array], "folder": pa.array([name], pa.string())}
+                    )
+
+    name = F.lit("") if folder is None else F.col(folder).cast("string")
+    out = df.select(F.to_json(F.struct(*df.columns)).alias("value"), name.alias("folder"))
+    out = out.mapInArrow(join, "value STRING, folder STRING")
+    if folder is None:
+        out = out.drop("folder")
+    writer = out.write.mode("overwrite").option("maxRecordsPerFile", 1)
+    (writer if folder is None else writer.partitionBy("folder")).text(path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ludomart.functions import parse_iso
 from ludomart.plans import facts
 from ludomart.schemas import ATLAS_REVIEWS, PARTITIONS
 
@@ -23,6 +24,7 @@ def incremental_reviews(
     bgg: DataFrame,
     users: DataFrame,
     files_per_batch: int = 1000,
+    rejects: str | None = None,
 ) -> None:
     """Process the files that landed since the last call, then stop.
 
@@ -30,11 +32,17 @@ def incremental_reviews(
     anti join on the id column, and the rest is appended to its month. So a batch
     that is run again adds nothing, and late reviews need no watermark: the table
     itself is the state. Where copies of a review differ, the first to arrive stays.
+    Rows with an id whose date cannot be read go to ``rejects`` as they came, a folder for
+    each batch (beside the target by default), which a batch that is run again overwrites.
     """
+    rejects = rejects or f"{target.rstrip('/')}_rejects"
 
-    def append(batch: DataFrame, _: int) -> None:
+    def append(batch: DataFrame, number: int) -> None:
+        unread = batch.filter(F.col("id").isNotNull() & parse_iso(F.col("createdAt")).isNull())
+        unread.write.mode("overwrite").json(f"{rejects}/batch={number}")
         fresh = batch
-        if _table_exists(spark, f"{target}/_SUCCESS"):
+        # Not every committer leaves a marker file: the folder itself is asked for.
+        if _table_exists(spark, target):
             known = spark.read.schema("review_id STRING").parquet(target)
             known = known.select(F.col("review_id").alias("id"))
             fresh = batch.join(known, "id", "left_anti")

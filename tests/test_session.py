@@ -30,12 +30,13 @@ def test_workspace_needs_a_shared_folder_on_a_cluster():
         session.workspace(Cluster(), "x")
 
 
-def test_fit_shuffles(spark, settings, monkeypatch, tmp_path):
+def test_a_query_leaves_the_session_as_it_is(spark):
+    """The initial number of shuffle tasks does not hang on what ran before."""
+    from ludomart.catalog import QUERIES
+
     initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    (tmp_path / "data").write_bytes(bytes(1000))
-    assert session.fit_shuffles(spark, str(tmp_path)) == 8
-    assert spark.conf.get(initial, None) is None
-    settings(**{initial.replace(".", "__"): "8"})
-    monkeypatch.setattr(session, "SHUFFLE_TASK_BYTES", 50)
-    assert session.fit_shuffles(spark, str(tmp_path)) == 20
-    assert spark.conf.get(initial) == "20"
+    before = spark.conf.get(initial, None), spark.conf.get("spark.sql.shuffle.partitions")
+    for sf in ("0.001", "0.01"):
+        plan = QUERIES["dim_time"](spark, f"/root/testdata/sf{sf}")._jdf.queryExecution().toString()
+        assert "RoundRobin" not in plan
+    assert (spark.conf.get(initial, None), spark.conf.get("spark.sql.shuffle.partitions")) == before

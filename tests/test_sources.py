@@ -1,6 +1,7 @@
 import json
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from ludomart import schemas as S
@@ -45,6 +46,29 @@ def test_csv_columns_by_header(spark, tmp_path):
     assert rows(got) == [(7, "A", None), (7, "B", None), (None, "C", None)]
 
 
+def test_csv_of_several_headers_stops(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "a.csv").write_text("id,name,year\n1,A,1999\n")
+    (tmp_path / "d" / "b.csv").write_text("year,id,name\n2000,2,B\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, f"{tmp_path}/d", "id INT, name STRING, year INT").collect()
+
+
+def test_json_numbers_are_read_leniently(spark, tmp_path):
+    (tmp_path / "n.json").write_text(
+        json.dumps([{"a": "2", "b": 1999.0, "c": "2.5", "d": "true"}, {"a": 7.0, "b": 9007199254740993, "c": 3, "d": False}])
+    )
+    got = read_json_arrays(spark, f"{tmp_path}/n.json", "a INT, b BIGINT, c DOUBLE, d BOOLEAN")
+    assert rows(got) == [(2, 1999, 2.5, True), (7, 9007199254740993, 3.0, False)]
+
+
+def test_json_folders_come_from_the_data(spark, tmp_path):
+    df = spark.createDataFrame([(1, "us"), (2, "au"), (3, None), (4, "us")], "id INT, c STRING")
+    write_json_arrays(df, f"{tmp_path}/f", folder="c", chars_per_file=30)
+    assert len(list(Path(f"{tmp_path}/f").glob("folder=*"))) == 3
+    assert rows(read_json_arrays(spark, f"{tmp_path}/f/*", "id INT, c STRING")) == rows(df)
+
+
 def test_json_arrays_round_trip_and_file_size(spark, tmp_path):
     df = spark.range(25).select("id", F.array(F.lit("x"), F.lit(None)).alias("tags"))
     write_json_arrays(df.coalesce(2), f"{tmp_path}/j", rows_per_file=5)
@@ -80,6 +104,14 @@ def test_write_splits_a_hot_partition_value(spark, settings, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/t").count() == 90_000
 
 
+def test_publish_puts_the_old_table_back(spark, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/stage")
+    publish(spark, f"{tmp_path}/stage", f"{tmp_path}/t.parquet")
+    with pytest.raises(OSError):
+        publish(spark, f"{tmp_path}/absent", f"{tmp_path}/t.parquet")
+    assert spark.read.parquet(f"{tmp_path}/t.parquet").count() == 3
+
+
 def test_publish_replaces(spark, tmp_path):
     for n in (1, 2):
         spark.range(n).write.parquet(f"{tmp_path}/stage{n}")

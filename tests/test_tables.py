@@ -1,5 +1,7 @@
 from datetime import datetime
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -225,6 +227,13 @@ def test_failed_gate_keeps_the_published_table(spark, star, tmp_path):
     assert read_table(spark, str(tmp_path), "bgg_games").count() == 4
 
 
+def test_gate_stops_other_columns_and_repeated_keys(spark, star, tmp_path):
+    with pytest.raises(quality.QualityError, match="surplus"):
+        pipeline.build(spark, "bgg_games", star["bgg_games"].withColumn("surplus", F.lit(1)), str(tmp_path))
+    with pytest.raises(quality.QualityError, match="repeats"):
+        pipeline.build(spark, "bgg_games", star["bgg_games"].union(star["bgg_games"]), str(tmp_path))
+
+
 def test_pipeline_and_audit(spark, raw, tmp_path):
     src, out = f"{tmp_path}/raw", f"{tmp_path}/out"
     write_csv(raw["bgg"], f"{src}/bgg/games.csv")
@@ -233,8 +242,7 @@ def test_pipeline_and_audit(spark, raw, tmp_path):
     write_json_arrays(raw["profiles"], f"{src}/atlas/users")
     write_json_arrays(raw["atlas"], f"{src}/atlas/games")
     write_json_arrays(raw["reviews"], f"{src}/atlas/reviews")
-    for category in ("us", "uk", "au"):
-        write_json_arrays(raw["prices"].filter(F.col("price_category") == category), f"{src}/atlas/prices/{category}")
+    write_json_arrays(raw["prices"], f"{src}/atlas/prices", folder="price_category")
     want = {"bgg_games": 4, "users": 4, "atlas_games": 4, "reviews": 5, "prices": 4, "lists": 4, "time": 6}
     assert pipeline.run(spark, src, out) == want
     assert pipeline.run(spark, src, out) == want
@@ -249,7 +257,13 @@ def test_questions(star):
     best = rows(insights.best_price_ever(star["prices"]).select("bgg_game_id", "price", "atlas_price_id"))
     assert best == [(1, 8.0, "p2")]
     card = rows(insights.game_scorecard(star["reviews"], star["lists"], star["prices"]))
-    assert card == [(1, 2, 3.0, 3, 8.0), (2, None, None, 1, None)]
+    assert card == [(1, 2, 3.0, 3, "USD", 8.0), (2, None, None, 1, None, None)]
+    other = star["prices"].withColumns({"currency": F.lit("AUD"), "price": F.col("price") + 1})
+    both = star["prices"].union(other)
+    card = rows(insights.game_scorecard(star["reviews"], star["lists"], both).filter("bgg_game_id = 1"))
+    assert card == [(1, 2, 3.0, 3, "AUD", 9.0), (1, 2, 3.0, 3, "USD", 8.0)]
+    diffs = {r.price_diff for r in insights.price_changes(both).collect()}
+    assert diffs == {None, -2.0}
     trending = rows(insights.trending_lists(star["lists"], days=1))
     assert trending == [(1, 1, 2, -1), (2, 0, 1, -1)]
     high = rows(insights.high_rater_profile(star["reviews"], star["users"]))
@@ -263,6 +277,9 @@ def test_questions(star):
 def test_name_matching(spark, star):
     clean = rows(insights.match_clean_names(star["prices"], star["bgg_games"]).select("atlas_price_id", "bgg_game_id"))
     assert clean == [("p1", 1), ("p2", 1), ("p3", 1), ("p4", None)]
+    signs = spark.createDataFrame([(5, "!!"), (6, "Sealed")], "bgg_game_id INT, game_name STRING")
+    listing = spark.createDataFrame([("x", "Brand New & Sealed")], "atlas_price_id STRING, game_name STRING")
+    assert [r.bgg_game_id for r in insights.match_clean_names(listing, signs).collect()] == [None]
     games = spark.createDataFrame(
         [(5, "Red Sea"), (6, "Red"), (7, "Sea of Red Stars"), (8, "Stars"), (9, "red sea"), (10, "!")],
         "bgg_game_id INT, game_name STRING",
@@ -286,6 +303,12 @@ def test_incremental_reviews_equal_the_batch(spark, raw, star):
         incremental_reviews(spark, f"{source}/*", target, checkpoint, *dimensions, files_per_batch=2)
     got = spark.read.parquet(target).select(*S.TABLES["reviews"])
     assert rows(got) == rows(star["reviews"])
-    # Nothing is lost or doubled when the stream forgets what it has seen.
+    # Reviews without a readable date are kept apart, as they came.
+    undated = {r.id for r in reviews.filter("id IS NOT NULL AND createdAt IS NULL").collect()}
+    assert {r.id for r in spark.read.json(f"{target}_rejects/*").collect()} == undated == {"r1", "r6"}
+    # Nothing is lost or doubled when the stream forgets what it has seen, or when the table
+    # has no marker file.
+    for marker in Path(target.removeprefix("file:")).glob("_SUCCESS"):
+        marker.unlink()
     incremental_reviews(spark, f"{source}/*", target, workspace(spark, "stream"), *dimensions)
     assert spark.read.parquet(target).count() == 5
