@@ -54,7 +54,9 @@ SHINGLE = 5
 # Similarity as a fraction; the bands below are laid out for it.
 NUM, DEN = 3, 4
 # Signatures that one task sorts.
-RANGE_ROWS = 4_000_000
+RANGE_ROWS = 2_500_000
+# Signatures that a task packs at a time.
+PACK_ROWS = 1_500_000
 # Members of a group that are compared in one block.
 BLOCK = 1024
 # Groups of up to so many sets give their pairs at once, each pair once for all its groups.
@@ -235,7 +237,7 @@ def _packed(docs: DataFrame, key: str, text: str, ranges: int) -> DataFrame:
                 ok = fresh[owner]
                 held.append((sig[ok], fps[owner[ok]]))
                 size += int(ok.sum())
-                if size > 3_000_000:
+                if size > PACK_ROWS:
                     yield _by_range(held, ranges)
                     held, size = [], 0
             if size:
