@@ -32,7 +32,7 @@ from ludomart.llm.words import ALNUM, words
 
 WINDOW = 10
 BLOCK_WORDS = 1 << 20
-SHARD_BYTES = 6 << 20
+SHARD_BYTES = 3 << 20
 
 FIELDS = [
     StructField("n_words", LongType()),
