@@ -35,6 +35,12 @@ HEADLINE = [
     "describe_profile",
     "sink_parquet_by_month",
     "mart_summary",
+    "xml_games",
+    "explode_prices",
+    "compact_json",
+    "incremental_reviews",
+    "truncation_audit",
+    "join_users_left",
 ]
 
 

@@ -603,11 +603,8 @@ def top_recent_games(spark, d):
 
 @query
 def high_rater_profile(spark, d):
-    people = users(spark, d)
-    fact = facts.reviews(
-        fx.raw_reviews(spark, d), atlas_games(spark, d), bgg_games(spark, d), people
-    )
-    return insights.high_rater_profile(fact, people)
+    parsed = facts.reviews_parsed(fx.raw_reviews(spark, d))
+    return insights.high_rater_profile(parsed, users(spark, d), user="atlas_user_id")
 
 
 @query

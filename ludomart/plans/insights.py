@@ -81,23 +81,26 @@ def top_recent_games(
 
 
 def high_rater_profile(
-    reviews: DataFrame, users: DataFrame, min_rating: float = 4.0
+    reviews: DataFrame, users: DataFrame, min_rating: float = 4.0, user: str = "user_id"
 ) -> DataFrame:
     """Reviews, users and share of high ratings per level and premium flag.
 
-    Reviews are counted per user before the join, so the join and the count of
-    users see one row per user. Unmatched reviews form the NULL group.
+    ``user`` is the column of both that names a user; with the source's own id the fact
+    needs no lookup. Reviews are counted per user before the join, so the join and the
+    count of users see one row per user. Unmatched reviews form the NULL group.
     """
-    per_user = reviews.groupBy("user_id").agg(
+    per_user = reviews.groupBy(user).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("rating") >= min_rating).alias("n_high")
     )
-    traits = users.select("user_id", "atlas_level", "atlas_premium")
+    traits = users.select(
+        user, F.col("user_id").alias("_known"), "atlas_level", "atlas_premium"
+    ).filter(F.col(user).isNotNull())
     return (
-        per_user.join(traits, "user_id", "left")
+        per_user.join(traits, user, "left")
         .groupBy("atlas_level", "atlas_premium")
         .agg(
             F.sum("n").alias("n_reviews"),
-            F.count("user_id").alias("n_users"),
+            F.count("_known").alias("n_users"),
             (F.sum("n_high") / F.sum("n")).alias("high_share"),
         )
     )

@@ -156,8 +156,10 @@ def truncation_audit(users: DataFrame, reviews: DataFrame, limit: int = PAGE_LIM
 
 
 def file_letter() -> Column:
-    """First character of the name of the file a row comes from."""
-    return F.substring(F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1), 1, 1)
+    """First character of the name of the file a row comes from. Spark gives the name as
+    in a URL, but for plus signs."""
+    name = F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1)
+    return F.substring(F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), 1, 1)
 
 
 def compact_json(

@@ -166,11 +166,11 @@ def test_explode_prices(spark):
 def test_compact_json_by_file_letter(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
-    for stem, ids in {"a1": ["1", "2"], "a2": ["3"], "B1": ["4"]}.items():
+    for stem, ids in {"a1": ["1", "2"], "a2": ["3"], "B1": ["4"], "+p": ["5"], "x y": ["6"], "%z": ["7"], "éa": ["8"]}.items():
         (source / f"{stem}.json").write_text(json.dumps([{"id": i} for i in ids]))
     landing.compact_json(spark, f"{source}/*.json", f"{tmp_path}/out", "id STRING")
     got = spark.read.schema("id STRING, letter STRING").json(f"{tmp_path}/out")
-    assert rows(got) == [("1", "a"), ("2", "a"), ("3", "a"), ("4", "B")]
+    assert rows(got) == [("1", "a"), ("2", "a"), ("3", "a"), ("4", "B"), ("5", "+"), ("6", "x"), ("7", "%"), ("8", "é")]
 
 
 def test_count_json_records(spark, tmp_path):
