@@ -21,8 +21,8 @@ candidates in three rounds:
 2. In large groups that several components share, each set is checked against the nearest set
    of another component.
 3. All other pairs from distinct components are checked exactly where they may link: those of
-   small groups, each once for all its signatures, and those of large groups, looked at in
-   blocks.
+   small groups, each once for all its signatures, and those of large groups, where all
+   sets of one leader are looked at together, in blocks.
 
 A parity sketch (the odd sketch: bit i tells whether an odd number of shingles falls
 into it, so differing bits never outnumber differing shingles) rules out the pairs whose
@@ -470,9 +470,11 @@ def _cross_pairs(rows: DataFrame, nearest: bool) -> DataFrame:
     return cells.mapInArrow(run, "a bigint, b bigint, distance double")
 
 
-def _cells(shared: DataFrame, comp: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Rows of the signatures that several components share, large groups as pairs of blocks."""
-    named = shared.select("sig", "fp").join(comp.toDF("fp", "comp"), "fp", "left")
+def _cells(members: DataFrame, comp: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Rows of the cells that several components share, large cells as pairs of blocks. A cell
+    holds all sets that a leader leads: each group lies in the cell of its leader, so pairs meet
+    once for all their signatures of one leader."""
+    named = members.join(comp.toDF("fp", "comp"), "fp", "left")
     named = stored(named.withColumn("comp", F.coalesce("comp", "fp")), "named")
     mixed = named.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"))
     rows = named.join(mixed.where("lo < hi").select("sig", "size"), "sig").join(sizes, "fp")
@@ -519,6 +521,8 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     both = both.join(sizes.toDF("a", "p", "x"), "a").join(sizes.toDF("b", "q", "y"), "b")
     both = stored(_near(both), "pairs")
 
+    cells = stored(members.select(F.col("lead").alias("sig"), "fp").distinct(), "cells")
+
     # Round 1: the set that a set shares most with, of its pairs and the leaders of its groups.
     stars = members.where("fp <> lead").groupBy(F.col("fp").alias("a"), F.col("lead").alias("b")).agg(F.count("*").alias("n"))
     every = both.union(both.select("b", "a", "n")).union(stars)
@@ -529,7 +533,7 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     comp = stored(components(links, "components"), "components")
 
     # Round 2: the nearest set of another component, by sketch, in large groups.
-    near = _cross_pairs(_cells(members, comp, sizes), nearest=True)
+    near = _cross_pairs(_cells(cells, comp, sizes), nearest=True)
     near = near.join(first.union(first.select("b", "a")), ["a", "b"], "left_anti")
     near = near.groupBy("a").agg(F.min_by("b", F.struct("distance", "b")).alias("b"))
     second = stored(_in_order(near).distinct(), "pairs")
@@ -540,7 +544,7 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     named = comp.select(F.col("node").alias("a"), F.col("component").alias("c"))
     apart = both.join(named, "a", "left").join(named.toDF("b", "d"), "b", "left")
     apart = apart.where("NOT coalesce(c, a) <=> coalesce(d, b)").select("a", "b")
-    rest = apart.union(_cross_pairs(_cells(members, comp, sizes), nearest=False).select("a", "b")).distinct()
+    rest = apart.union(_cross_pairs(_cells(cells, comp, sizes), nearest=False).select("a", "b")).distinct()
     rest = stored(rest.join(first.union(second), ["a", "b"], "left_anti"), "pairs")
     links = stored(links.union(verify(rest, docs, reps, key, text)), "links")
     comp = components(links, "components").toDF("fp", "comp")
