@@ -34,6 +34,7 @@ def bgg_details(raw: DataFrame) -> DataFrame:
 
 def atlas_details(raw: DataFrame) -> DataFrame:
     """One row per game of the second source; nested names flattened."""
+    # Raw field -> table column.
     games = raw.select(
         F.col("id").alias("atlas_game_id"),
         F.col("name").alias("game_name"),
@@ -59,6 +60,7 @@ def atlas_details(raw: DataFrame) -> DataFrame:
 
 def user_accounts(raw: DataFrame) -> DataFrame:
     """Account list, one row per user name; of copies the most experienced stays."""
+    # Raw field -> table column.
     accounts = raw.select(
         F.col("username").alias("user_name"),
         "url",
@@ -72,6 +74,7 @@ def user_accounts(raw: DataFrame) -> DataFrame:
 
 def user_profiles(raw: DataFrame) -> DataFrame:
     """Profiles seen with reviews, one row per id."""
+    # Raw field -> table column.
     profiles = raw.select(
         F.col("id").alias("atlas_user_id"),
         F.col("is_premium").alias("atlas_premium"),

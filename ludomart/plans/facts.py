@@ -17,6 +17,7 @@ from ludomart.schemas import TABLES
 def reviews_parsed(raw: DataFrame) -> DataFrame:
     """One row per review id. Rows without id or date are dropped before the
     dedupe, so that a copy without a date cannot displace a dated one."""
+    # Raw field -> table column.
     rows = raw.select(
         F.col("id").alias("review_id"),
         F.col("createdAt").alias("created"),
@@ -49,6 +50,7 @@ def reviews(raw: DataFrame, games: DataFrame, bgg: DataFrame, users: DataFrame)
 
 def prices_parsed(raw: DataFrame) -> DataFrame:
     """One row per price id: the newest, then the first category in order."""
+    # Raw field -> table column.
     rows = raw.select(
         F.col("id").alias("atlas_price_id"),
         F.col("updated_at").alias("updated"),
@@ -83,6 +85,7 @@ def prices(raw: DataFrame, games: DataFrame, bgg: DataFrame) -> DataFrame:
 def lists_parsed(raw: DataFrame) -> DataFrame:
     """List items with a list id and a readable date. Takes either column name that
     the harvest has used for the list id."""
+    # Raw field -> table column.
     rows = raw.withColumnsRenamed(
         {
             "geeklist": "geeklist_id",

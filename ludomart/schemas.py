@@ -100,6 +100,7 @@ TABLES = {
     ],
     "time": ["datetime", "minute", "hour", "day", "week", "month", "year", "weekday"],
 }
+# Columns that partition the tables.
 PARTITIONS = {
     "bgg_games": ["year_published"],
     "users": ["atlas_level"],
