@@ -57,6 +57,8 @@ NUM, DEN = 3, 4
 RANGE_ROWS = 2_500_000
 # Signatures that a task packs at a time.
 PACK_ROWS = 1_500_000
+# Sets of a block in which pairs are checked.
+PAIR_BLOCK = 256
 # Members of a group that are compared in one block.
 BLOCK = 1024
 # Groups of up to so many sets give their pairs at once, each pair once for all its groups.
@@ -365,26 +367,50 @@ def _sets_of(docs: DataFrame, reps: DataFrame, key: str, text: str) -> DataFrame
 
 
 def verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame, key: str, text: str) -> DataFrame:
-    """Of ``pairs`` (a, b), those whose sets link."""
-    wanted = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
-    reps = stored(reps.join(wanted, "fp", "left_semi"), "wanted")
+    """Of ``pairs`` (a, b), those whose sets link.
+
+    Pairs are put into cells, and a set goes to each of its cells once, however many pairs it
+    has there: a cell is a pair of blocks of a connected group of pairs, or holds several small
+    groups.
+    """
+    pairs = stored(pairs, "pairs")
+    group = stored(components(pairs, "groups"), "groups")
+    count = group.count()
+    reps = stored(reps.join(group.select(F.col("node").alias("fp")), "fp", "left_semi"), "wanted")
     sets = stored(_sets_of(docs, reps, key, text), "sets")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                both = int((y[at] == x).sum())
-                ok.append(DEN * both >= NUM * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    with_a = pairs.join(sets.select(F.col("fp").alias("a"), F.col("elements").alias("x")), "a")
-    both = with_a.join(sets.select(F.col("fp").alias("b"), F.col("elements").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
+    blocks = group.groupBy("component").agg(F.ceil(F.count("*") / PAIR_BLOCK).cast("long").alias("blocks"))
+    side = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    member = group.join(blocks, "component").withColumn("side", side)
+    cells = pairs.join(member.select(F.col("node").alias("a"), "component", "blocks", F.col("side").alias("s")), "a")
+    cells = cells.join(member.select(F.col("node").alias("b"), F.col("side").alias("t")), "b")
+    few = F.pmod(F.xxhash64("component"), F.lit(max(1, count // PAIR_BLOCK)))
+    cells = cells.select(
+        F.when(F.col("blocks") > 1, F.col("component")).otherwise(few).alias("c"),
+        F.when(F.col("blocks") > 1, F.least("s", "t")).otherwise(-1).alias("i"),
+        F.when(F.col("blocks") > 1, F.greatest("s", "t")).otherwise(-1).alias("j"),
+        "a",
+        "b",
+    )
+    cells = stored(cells, "cells")
+    there = cells.select("c", "i", "j", F.col("a").alias("fp")).union(cells.select("c", "i", "j", "b")).distinct()
+    there = there.join(sets, "fp")
+    # Names of its own: both sides come from one table.
+    there = there.toDF("fp", "d", "k", "l", "elements")
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        raw = right.column("elements")
+        held = {f: np.frombuffer(e.as_buffer(), np.uint64) for f, e in zip(right.column("fp").to_pylist(), raw, strict=True)}
+        ok = []
+        for a, b in zip(left.column("a").to_pylist(), left.column("b").to_pylist(), strict=True):
+            x, y = held[a], held[b]
+            if len(x) > len(y):
+                x, y = y, x
+            at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+            both = int((y[at] == x).sum())
+            ok.append(DEN * both >= NUM * (len(x) + len(y) - both))
+        return left.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    return cells.groupBy("c", "i", "j").cogroup(there.groupBy("d", "k", "l")).applyInArrow(run, "a bigint, b bigint")
 
 
 def _distance(x: np.ndarray, y: np.ndarray, size_x: np.ndarray, size_y: np.ndarray) -> np.ndarray:
