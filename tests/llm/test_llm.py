@@ -342,6 +342,36 @@ def test_vectors_equal_brute_force(spark):
     assert nn_descent.link(df.limit(0)).count() == 0
 
 
+def test_dense_clusters_side_by_side_are_joined(spark):
+    """Lists full of a cluster's own members do not hide the links to the cluster beside it, also
+    where another cluster has nearly all links."""
+    rnd = np.random.default_rng(9)
+
+    def cluster(first, n, centre):
+        noise = rnd.standard_normal((n, 24)) * 0.012
+        return [(first + i, (centre + noise[i]).tolist()) for i in range(n)]
+
+    one, way, far = np.eye(24)[:3]
+    rows = cluster(0, 40, one) + cluster(100, 40, 0.93 * one + 0.3676 * way) + cluster(1000, 900, far)
+    x = np.array([v for _, v in rows])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    near = x @ x.T >= 0.9
+    assert near[:80, :80].mean() > 0.95 and near[:40, :40].all() and not near[:80, 80:].any()
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    out = nn_descent.link(df).collect()
+    links = dict(zip([i for i, _ in rows], (near.sum(1) - 1).tolist(), strict=True))
+    assert {r.vec_id: (r.n_links, r.component_id) for r in out} == {i: (n, 1000 if i >= 1000 else 0) for i, n in links.items()}
+
+
+def test_audit_names_links_between_components(spark):
+    points = [(n, np.array(v).tobytes(), n // 2) for n, v in enumerate([[1.0, 0.0], [0.0, 1.0], [0.96, 0.28], [0.8, 0.6]])]
+    df = spark.createDataFrame(points, "node long, v binary, component long")
+    found = nn_descent.audit(spark, df.drop("component"), df.select("node", "component"), 0.9, 10)
+    assert {(r.a, r.b) for r in found.collect()} == {(0, 2), (2, 0)}
+    one = df.selectExpr("node", "0L AS component")
+    assert nn_descent.audit(spark, df.drop("component"), one, 0.9, 10).isEmpty()
+
+
 # Licenses
 
 
