@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,7 +51,7 @@ FAMILIES = (
     ("epl-2", "epl|eclipse", "(?:epl|eclipse public license)(?: version)? ?(?:v )?2(?: 0)?", "epl 2 0"),
     ("eupl-1.2", "eupl|european union", "(?:eupl|european union public licen[sc]e)(?: version)?(?: v)? ?1 2", "eupl 1 2"),
     ("cddl-1", "cddl|common development", "(?:cddl|common development and distribution license)(?: version)? ?1(?: 0)?", "cddl 1 0"),
-    ("cpl-1", "common public", "common public license(?: version)?(?: 1 0)?", "cpl 1 0"),
+    ("cpl-1", "common public|cpl", "common public license(?: version)?(?: 1 0)?", "cpl 1 0"),
     ("isc", "isc", "isc", "isc"),
     ("zlib", "zlib", "zlib(?: libpng)?", "zlib"),
     ("boost-1", "boost|bsl", "boost(?: software)?(?: license)?(?: version)?(?: 1(?: 0)?)?", "bsl 1 0"),
@@ -74,24 +74,17 @@ FAMILIES = (
     ("cc-by-nc-nd", "cc by|creative commons", "(?:cc by nc nd|creative commons attribution non ?commercial no ?deriv(?:s|atives))(?: international)?(?: [1-4] [0-9])?", "cc by nc nd [1-4] [0-9]"),
 )
 
-# Priority, weight, expression around a name {n} or an identifier {i}. A lower
-# priority number wins.
+# Priority, weight, keywords (one has to occur), expression around a name {n} or an
+# identifier {i}. A lower priority number wins.
 SIGNATURES = (
-    (0, 1.0, "spdx license identifier {i}"),
-    (1, 0.95, "(?:licensed|released|distributed|available|provided|published|used) (?:to you )?under (?:the )?(?:terms (?:and conditions )?of )?(?:the )?{n}(?: licen[sc]e)?"),
-    (1, 0.95, "(?:subject to|governed by|covered by|complies with) (?:the )?(?:terms (?:and conditions )?of )?(?:the )?{n}(?: licen[sc]e)?"),
-    (2, 0.9, "under (?:the )?(?:terms (?:and conditions )?of )?(?:the )?{n} licen[sc]e"),
-    (2, 0.9, "under (?:the )?terms (?:and conditions )?of (?:the )?{n}"),
-    (3, 0.8, "licen[sc]e(?:d|s)?(?: is| type| name)? (?:the )?{n}"),
-    (3, 0.8, "(?:the )?{n} licen[sc]e(?: agreement)?"),
-    (4, 0.6, "copyright (?:c )?(?:[0-9]{{4}} )?(?:[^ ]+ ){{0,6}}{n}(?: licen[sc]e)?"),
-)
-
-# A text with none of these, in any case, holds nothing that a rule or phrase
-# could find.
-GATE = (
-    "licen", "copyright", "spdx", "cc", "terms", "subject", "governed", "covered",
-    "complies",
+    (0, 1.0, "spdx", "spdx license identifier {i}"),
+    (1, 0.95, "under", "(?:licensed|released|distributed|available|provided|published|used) (?:to you )?under (?:the )?(?:terms (?:and conditions )?of )?(?:the )?{n}(?: licen[sc]e)?"),
+    (1, 0.95, "subject to|governed|covered|complies", "(?:subject to|governed by|covered by|complies with) (?:the )?(?:terms (?:and conditions )?of )?(?:the )?{n}(?: licen[sc]e)?"),
+    (2, 0.9, "under", "under (?:the )?(?:terms (?:and conditions )?of )?(?:the )?{n} licen[sc]e"),
+    (2, 0.9, "under", "under (?:the )?terms (?:and conditions )?of (?:the )?{n}"),
+    (3, 0.8, "licen", "licen[sc]e(?:d|s)?(?: is| type| name)? (?:the )?{n}"),
+    (3, 0.8, "licen", "(?:the )?{n} licen[sc]e(?: agreement)?"),
+    (4, 0.6, "copyright", "copyright (?:c )?(?:[0-9]{{4}} )?(?:[^ ]+ ){{0,6}}{n}(?: licen[sc]e)?"),
 )
 
 # Places of a phrase have this weight.
@@ -102,7 +95,7 @@ def rules() -> list[tuple[str, int, float, str, str]]:
     """(keyword, priority, weight, label, expression) for every family and signature."""
     out = []
     for label, keyword, name, identifier in FAMILIES:
-        for priority, weight, around in SIGNATURES:
+        for priority, weight, _, around in SIGNATURES:
             body = around.format(n=name, i=identifier)
             out.append((keyword, priority, weight, label, f"(?<= ){body}(?= )"))
     return out
@@ -114,10 +107,22 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _gated(text: Column) -> Column:
-    """Whether a text holds a keyword. Lower case of letters beyond ASCII may add a match and
-    takes none away."""
-    return _let(F.lower(text), lambda low: reduce(or_, [F.contains(low, F.lit(k)) for k in GATE]))
+def _gated(text: Column, base: tuple) -> Column:
+    """Whether a text holds, in any case, the words of a keyword of a family and of a signature,
+    or of a phrase: every rule needs the first two. Words may be parted by anything in the text,
+    so each is looked for by itself. Lower case of letters beyond ASCII may add a match and
+    takes none away, but for words that have such letters: these are not asked for."""
+
+    def holds(low: Column, phrases: set[str]) -> Column:
+        def all_words(phrase: str) -> Column:
+            return reduce(and_, [F.contains(low, F.lit(w)) for w in phrase.split() if w.isascii()], F.lit(True))
+
+        return reduce(or_, [all_words(p) for p in sorted(phrases)], F.lit(False))
+
+    around = {k for _, _, keyword, _ in SIGNATURES for k in keyword.split("|")}
+    names = {k for _, keyword, _, _ in FAMILIES for k in keyword.split("|")}
+    phrases = {phrase for _, phrase in base}
+    return _let(F.lower(text), lambda low: (holds(low, around) & holds(low, names)) | holds(low, phrases))
 
 
 def _words_in(piece: Column) -> Column:
@@ -234,7 +239,7 @@ def scan(df: DataFrame, text: str = "text", base: tuple = BASE) -> DataFrame:
     none = F.lit(None).cast(
         f"struct<n:bigint,first:bigint,last:bigint,base:array<string>,spans:array<struct<{HIT}>>>"
     )
-    df = df.withColumn("_scan", F.when(_gated(raw), _let(norm, all_of)).otherwise(none))
+    df = df.withColumn("_scan", F.when(_gated(raw, base), _let(norm, all_of)).otherwise(none))
     labels = F.coalesce("_scan.base", F.array().cast("array<string>"))
     spans = F.coalesce("_scan.spans", F.array().cast(f"array<struct<{HIT}>>"))
     strongest = F.greatest(

@@ -409,6 +409,44 @@ def test_spans_equal_brute_force(spark):
         assert got[i] == sorted((x[2], x[3], x[4]) for x in kept)
 
 
+def least_match(node):
+    """A short text that a parsed expression matches."""
+    out = ""
+    for op, arg in node:
+        if str(op) == "LITERAL":
+            out += chr(arg)
+        elif str(op) == "IN":
+            out += chr(arg[0][1][0] if str(arg[0][0]) == "RANGE" else arg[0][1]) if str(arg[0][0]) != "NEGATE" else "x"
+        elif str(op) in ("MAX_REPEAT", "MIN_REPEAT"):
+            out += least_match(arg[2]) * arg[0]
+        elif str(op) == "SUBPATTERN":
+            out += least_match(arg[-1])
+        elif str(op) == "BRANCH":
+            out += least_match(arg[1][0])
+        elif str(op) == "NOT_LITERAL":
+            out += "x"
+        else:
+            assert str(op) in ("ASSERT", "ASSERT_NOT"), op
+    return out
+
+
+def test_a_text_with_nothing_but_a_match_is_found(spark):
+    rules = licenses.rules()
+    texts = [least_match(re._parser.parse(e)) for *_, e in rules] + ["This tool is released under the GPL version 3"]
+    assert len(rules) == 320 and all(re.search(e, f" {t} ") for (*_, e), t in zip(rules, texts))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: r for r in licenses.scan(df).collect()}
+    lost = [t for i, t in enumerate(texts) if not out[i].spans or not out[i].labels]
+    assert not lost
+    assert out[320].labels == "gpl-3"
+
+
+def test_phrases_of_ones_own_need_no_other_word(spark):
+    own = (("free", "free of all rights"), ("é", "É à"))
+    df = spark.createDataFrame([(0, "It is FREE-of all rights."), (1, "x É, à y"), (2, "free of rights")], "doc_id long, text string")
+    assert {r.doc_id: (r.base_labels, r.n_base) for r in licenses.scan(df, base=own).collect()} == {0: ("free", 1), 1: ("é", 1), 2: ("", 0)}
+
+
 # Decontamination
 
 
