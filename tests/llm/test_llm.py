@@ -512,6 +512,25 @@ def test_main_text(spark, html, want):
     assert [(r.text, r.n_chars) for r in html_extract.extract(df).collect()] == [(want, len(want))]
 
 
+LONG = " ".join(f"w{i}" for i in range(20))
+
+
+@pytest.mark.parametrize(
+    "html,want",
+    [
+        ("<html><head><title>t</title><meta charset=utf-8><body><p>text</p>", "text"),
+        ("<head><title>t</title><link rel=x><p>a<p>b", "a b"), ("<head><title>t</title>plain", "plain"),
+        ("<article class='post has-sidebar'><p>a</p></article>", "a"), ("<div class='content with-sidebar'>a</div>", "a"),
+        ("<div class='comments-open'>a</div><p class='no-comments'>b", "a b"), ("<article class='comment'>a</article>", "a"),
+        (f"<div class='widget'>{LONG}<div class='ad'>x</div></div><p>y", f"{LONG} y"),
+        (f"<article>a</article><div class='comments'>{LONG}</div>", "a"),
+        ("<p>a<span class='share-links'>b</span>c</p><div class='site-footer'>d</div><div class='side-bar'>e</div>", "ac"),
+    ],
+)
+def test_hints_and_open_heads_lose_no_text(html, want):
+    assert " ".join(t for t, _ in html_extract.blocks(html)) == want
+
+
 def test_repeated_runs_are_boilerplate_where_markup_is_silent(spark):
     same = " ".join(f"boiler{i}" for i in range(20))
     rows = [(i, "http://h/a", f"<div>{same}</div><div>own text of page {i}</div><div>start{i} {same}</div>") for i in range(5)]
