@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ludomart.llm import decontaminate, html_extract, licenses, mixing, ngram_join, nn_descent, quality_knn, sharding, toxicity, warc
+from ludomart.llm import bpe, decontaminate, html_extract, licenses, mixing, ngram_join, nn_descent, quality_knn, sharding, toxicity, warc
 from ludomart.llm.common import fold_of, table
 from ludomart.session import workspace
 
@@ -94,6 +94,21 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(pages, keep=["page_id", "url"])
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, keep=["doc_id"])
+    both = bpe.decode(encoded, ranks, keep=["doc_id", "ids"])
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -107,5 +122,6 @@ QUERIES = {
         op8_suffix_decontamination,
         op9_quality,
         op10_main_text,
+        op12_byte_bpe,
     )
 }
