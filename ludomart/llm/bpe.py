@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ from ludomart.llm.words import bytes_of
 
 # Bytes of text whose pieces are replayed at once, and of known pieces that a task keeps.
 BLOCK_BYTES = 4 << 20
-KEPT_BYTES = 48 << 20
+KEPT_BYTES = 32 << 20
 # What a known piece takes besides its bytes, about, and the token ids decoded at once.
 PIECE_BYTES = 64
 DECODED_IDS = 1 << 20
@@ -155,6 +156,8 @@ def _encoder(shared, pattern: str, kept_bytes: int) -> Callable[[pa.RecordBatch,
     import regex
 
     v = shared.value
+    data, at = v["data"].tobytes(), v["offsets"].tolist()
+    whole = {data[a:b]: i for a, b, i in zip(at, at[1:], v["ids"].tolist(), strict=False)}
     pair_ranks = dict(zip(v["pairs"].tolist(), v["merged"].tolist(), strict=True))
     cut = regex.compile(pattern)
     known: dict[str, list[int]] = {}
@@ -163,20 +166,21 @@ def _encoder(shared, pattern: str, kept_bytes: int) -> Callable[[pa.RecordBatch,
     def encode(column: pa.Array) -> pa.Array:
         nonlocal size
         texts = [cut.findall(t) if t else [] for t in column.to_pylist()]
-        # In order of appearance, so that a task that runs again does the same.
-        new = [p for p in dict.fromkeys(p for pieces in texts for p in pieces) if p not in known]
-        if new:
-            if size > kept_bytes:
-                known.clear()
-                size = 0
-                new = list(dict.fromkeys(p for pieces in texts for p in pieces))
-            raw = [p.encode() for p in new]
-            known.update(zip(new, replay(raw, v, pair_ranks), strict=True))
-            size += sum(map(len, raw)) + PIECE_BYTES * len(raw)
+        new = set().union(*texts).difference(known)
+        if new and size > kept_bytes:
+            known.clear()
+            size = 0
+            new = set().union(*texts)
+        raw = {p: p.encode() for p in new}
+        size += sum(map(len, raw.values())) + PIECE_BYTES * len(raw)
+        # A piece that is a token itself needs no merge.
+        known.update((p, [whole[b]]) for p, b in raw.items() if b in whole)
+        parts = [p for p, b in raw.items() if b not in whole]
+        if parts:
+            known.update(zip(parts, replay([raw[p] for p in parts], v, pair_ranks), strict=True))
         ids, offsets = [], [0]
         for pieces in texts:
-            for p in pieces:
-                ids += known[p]
+            ids.extend(chain.from_iterable(map(known.__getitem__, pieces)))
             offsets.append(len(ids))
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
 

@@ -116,9 +116,50 @@ WARC = """
            CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to
     FROM p JOIN g USING (h)"""
 
+def crc32_sql(text: str) -> str:
+    """The unsigned crc32 of ASCII text, from its polynomial."""
+    bits = "list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))"
+    codes = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, CASE WHEN {text} = '' THEN [] ELSE {codes} END), lambda c, b: {bits}), 4294967295::BIGINT)"
+
+
+RUNS = rf"""
+    WITH w0 AS (
+        SELECT doc_id, {crc32_sql("coalesce(CAST(doc_id AS VARCHAR), '')")} AS h,
+               list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+        FROM documents),
+    w1 AS (SELECT doc_id, w, h % 10 = 0 AND len(w) > 0 AS hit, len(w) AS n, h // 10 AS g FROM w0),
+    w2 AS (
+        SELECT doc_id, CASE WHEN hit THEN list_transform(range(n), lambda i: w[1 + CASE WHEN i < g % n THEN i
+                   ELSE g % n + (i - g % n) % (1 + (n - g % n) // (3 + g % 8)) END]) ELSE w END AS w
+        FROM w1),
+    pos AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i FROM w2),
+    same AS (
+        SELECT a.doc_id, a.i, b.i - a.i AS q
+        FROM pos a JOIN pos b ON a.doc_id = b.doc_id AND a.word = b.word AND b.i > a.i),
+    island AS (
+        SELECT doc_id, q, min(i) AS s, count(*) AS m
+        FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS grp FROM same)
+        GROUP BY doc_id, q, grp HAVING count(*) >= q AND count(*) + q >= 12),
+    run AS (SELECT doc_id, s, m + q AS length, min(q) AS p FROM island GROUP BY doc_id, s, m + q),
+    listed AS (
+        SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || length || ',' || p || chr(10), '' ORDER BY s, p) AS lines,
+               min({{'l': -length, 's': s, 'p': p}}) AS best
+        FROM run GROUP BY doc_id),
+    kept AS (
+        SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text
+        FROM pos WHERE NOT EXISTS (
+            SELECT 1 FROM run r WHERE r.doc_id = pos.doc_id AND pos.i >= r.s + r.p AND pos.i < r.s + r.length)
+        GROUP BY doc_id)
+    SELECT d.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best.s AS start, (-best.l)::BIGINT AS length,
+           best.p AS period, (-best.l * 1000 // best.p)::BIGINT AS exponent_milli,
+           sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+    FROM documents d LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
 ORACLE = {
     "op1_extendible_sharding": sharding_sql(),
     "op3_source_mixture": mixing_sql(),
     "op4_warc_round_trip": WARC,
     "op8_suffix_decontamination": DECONTAMINATION,
+    "op13_periodic_runs": RUNS,
 }

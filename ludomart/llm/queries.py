@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ludomart.llm import bpe, decontaminate, html_extract, licenses, mixing, ngram_join, nn_descent, quality_knn, sharding, toxicity, warc
+from ludomart.llm import bpe, decontaminate, html_extract, licenses, mixing, ngram_join, nn_descent, quality_knn, runs, sharding, toxicity, warc
 from ludomart.llm.common import fold_of, table
 from ludomart.session import workspace
 
@@ -109,6 +109,48 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """Texts of a tenth of the ids, of which a last part repeats a stretch of words: where and
+    of what period follows from the crc32 of the id. The others stay as they are."""
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    g = F.floor(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) / 10).cast("long")
+
+    def tail(w):
+        n = F.size(w).cast("long")
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8)).cast("long")
+        turned = F.transform(
+            F.sequence(F.lit(0).cast("long"), n - 1),
+            lambda i: F.get(w, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")),
+        )
+        return F.when(n > 0, F.array_join(turned, " "))
+
+    # One element, so that the words are split once.
+    text = F.element_at(F.transform(F.array(words), tail), 1)
+    return docs.withColumn("text", F.when(fold_of("doc_id", 10) == 0, text).otherwise(F.col("text")))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = runs.detect(with_periodic_tails(docs), keep=["doc_id"])
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    found = found.withColumn(
+        "longest",
+        F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("start"), (-r.period).alias("period")))),
+    )
+    length, period = F.col("longest.length"), -F.col("longest.period")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("longest.start")).alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(length * 1000 / period).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -123,5 +165,6 @@ QUERIES = {
         op9_quality,
         op10_main_text,
         op12_byte_bpe,
+        op13_periodic_runs,
     )
 }
