@@ -156,10 +156,43 @@ RUNS = rf"""
            sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
     FROM documents d LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)"""
 
+TRIE = rf"""
+    WITH t AS (
+        SELECT conv_id, turn, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+               len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS w
+        FROM conversations WHERE conv_id IS NOT NULL),
+    own AS (SELECT conv_id, list({{'k': k, 'w': w}} ORDER BY turn NULLS FIRST, k, w) AS p FROM t GROUP BY conv_id),
+    cut AS (SELECT *, {crc32_sql("CAST(conv_id AS VARCHAR)")} % 4 AS h FROM own),
+    path AS (
+        SELECT c.conv_id, list_concat(coalesce(b.p[1:h], []), c.p[h + 1:]) AS p
+        FROM cut c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 20),
+    member AS (
+        SELECT conv_id, depth, md5(array_to_string(list_transform(p[1:depth], lambda x: x.k), ',')) AS label,
+               depth = len(p) AS ended, CASE WHEN depth = 0 THEN 0 ELSE p[depth].w END AS w
+        FROM (SELECT *, unnest(range(len(p) + 1)) AS depth FROM path)),
+    node AS (
+        SELECT depth, label, min(conv_id) AS conv_id, count(*) AS n, max(w) AS w,
+               coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ended), '') AS ends
+        FROM member GROUP BY depth, label),
+    parent AS (
+        SELECT node.depth, node.label, up.label AS up_label
+        FROM node JOIN member up ON up.conv_id = node.conv_id AND up.depth = node.depth - 1),
+    kids AS (SELECT depth - 1 AS depth, up_label AS label, count(*) AS n_children FROM parent GROUP BY ALL),
+    full_ AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN kids USING (depth, label)),
+    below AS (
+        SELECT up.depth, up.label, sum((v.n_children = 0)::INT) AS n_leaves, sum((v.n - 1) * v.w) AS saved
+        FROM full_ v JOIN member up ON up.conv_id = v.conv_id AND up.depth <= v.depth GROUP BY ALL)
+    SELECT v.depth::BIGINT AS depth, v.conv_id, u.conv_id AS parent_conv_id, v.n::BIGINT AS n_convs,
+           v.n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens,
+           sha256(v.ends) AS ends_sha256
+    FROM full_ v JOIN below USING (depth, label) LEFT JOIN parent p USING (depth, label)
+    LEFT JOIN node u ON u.depth = v.depth - 1 AND u.label = p.up_label"""
+
 ORACLE = {
     "op1_extendible_sharding": sharding_sql(),
     "op3_source_mixture": mixing_sql(),
     "op4_warc_round_trip": WARC,
     "op8_suffix_decontamination": DECONTAMINATION,
+    "op11_prefix_trie": TRIE,
     "op13_periodic_runs": RUNS,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ludomart.llm import bpe, decontaminate, html_extract, licenses, mixing, ngram_join, nn_descent, quality_knn, runs, sharding, toxicity, warc
+from ludomart.llm import bpe, decontaminate, html_extract, licenses, mixing, ngram_join, nn_descent, prefix_trie, quality_knn, runs, sharding, toxicity, warc
 from ludomart.llm.common import fold_of, table
 from ludomart.session import workspace
 
@@ -94,6 +94,27 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(pages, keep=["page_id", "url"])
 
 
+def with_shared_heads(rows: DataFrame) -> DataFrame:
+    """Paths of which up to three first turns, by the crc32 of the id, are those of the
+    conversation with the last id before that 20 divides."""
+    h = (F.crc32(F.col("conv_id").cast("string")) % 4).cast("int")
+    heads = rows.where("conv_id % 20 = 0").select(
+        F.col("conv_id").alias("head"), *[F.slice(c, 1, 3).alias(f"head_{c}") for c in ("keys", "words")]
+    )
+    rows = rows.withColumns({"head": F.expr("conv_id - conv_id % 20"), "h": h}).join(heads, "head", "left")
+
+    def joined(c: str):
+        own = F.slice(c, F.col("h") + 1, F.greatest(F.size(c), F.lit(1)))
+        return F.when(F.col(f"head_{c}").isNull(), own).otherwise(F.concat(F.slice(f"head_{c}", F.lit(1), F.col("h")), own))
+
+    return rows.select("conv_id", *[joined(c).alias(c) for c in ("keys", "words")])
+
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = prefix_trie.paths(table(spark, sf_dir, "conversations"))
+    return prefix_trie.nodes(with_shared_heads(rows)).drop("turn_md5")
+
+
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -164,6 +185,7 @@ QUERIES = {
         op8_suffix_decontamination,
         op9_quality,
         op10_main_text,
+        op11_prefix_trie,
         op12_byte_bpe,
         op13_periodic_runs,
     )
