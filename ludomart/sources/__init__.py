@@ -5,11 +5,14 @@ from ludomart.sources.sinks import (
     write_json_arrays,
     write_table,
 )
+from ludomart.sources.split import read_csv_split, read_json_split
 
 __all__ = [
     "publish",
     "read_csv",
+    "read_csv_split",
     "read_json_arrays",
+    "read_json_split",
     "read_table",
     "read_xml",
     "write_csv",

@@ -23,6 +23,11 @@ def read_csv(
     is no value of the column's type becomes NULL.
     """
     text = spark.read.csv(path, header=True, multiLine=True, escape='"', enforceSchema=False)
+    return named_columns(text, schema, aliases)
+
+
+def named_columns(text: DataFrame, schema: str, aliases: Mapping[str, str] | None = None) -> DataFrame:
+    """Columns of text, found by name or alias, as the types of ``schema``."""
     names = {(aliases or {}).get(c, c): c for c in text.columns}
 
     def typed(field: T.StructField) -> Column:
@@ -50,14 +55,28 @@ def read_json_arrays(
     file, so big dumps want many files or ``plans.landing.compact_json`` first.
 
     Scalars are read as text and typed then, so a quoted number or ``1999.0`` is no NULL."""
+    text = spark.read.schema(json_raw(schema)).json(path, multiLine=True, recursiveFileLookup=recursive)
+    return text.select(*json_columns(schema))
+
+
+def _is_nested(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.StructType, T.ArrayType, T.MapType))
+
+
+def json_raw(schema: str) -> T.StructType:
+    """``schema`` with scalars as text."""
     fields = T.StructType.fromDDL(schema).fields
-    nested = (T.StructType, T.ArrayType, T.MapType)
-    raw = T.StructType(
-        [T.StructField(f.name, f.dataType if isinstance(f.dataType, nested) else T.StringType()) for f in fields]
-    )
-    text = spark.read.schema(raw).json(path, multiLine=True, recursiveFileLookup=recursive)
-    scalar = {f.name: _lenient(F.col(f"`{f.name}`"), f.dataType) for f in fields if not isinstance(f.dataType, nested)}
-    return text.select(*[scalar.get(f.name, F.col(f"`{f.name}`")).alias(f.name) for f in fields])
+    return T.StructType([T.StructField(f.name, f.dataType if _is_nested(f.dataType) else T.StringType()) for f in fields])
+
+
+def json_columns(schema: str, within: str | None = None) -> list[Column]:
+    """Columns of ``json_raw``, or fields of the struct ``within``, as the types of ``schema``."""
+
+    def typed(f: T.StructField) -> Column:
+        value = F.col(within).getField(f.name) if within else F.col(f"`{f.name}`")
+        return (value if _is_nested(f.dataType) else _lenient(value, f.dataType)).alias(f.name)
+
+    return [typed(f) for f in T.StructType.fromDDL(schema).fields]
 
 
 def read_xml(spark: SparkSession, path: str, row_tag: str, schema: str) -> DataFrame:
