@@ -8,6 +8,8 @@ from __future__ import annotations
 import re
 
 from ludomart.fixtures import SHAPES
+from ludomart.operators.quality import TABLE_KEYS
+from ludomart.schemas import TABLES
 
 VIEWS = {
     **SHAPES,
@@ -176,16 +178,6 @@ VIEWS = {
         UNION ALL SELECT 'time', 'column_count', NULL, 'error', true, 8, 8
         UNION ALL SELECT 'time', 'not_null', 'datetime', 'error',
                count(datetime) = count(*), count(*) - count(datetime), 0 FROM kept_stamps""",
-    "game_checks": """
-        SELECT count(*) AS n, count(*) FILTER (NOT max_players > 0) AS max_players,
-               count(*) FILTER (NOT min_age BETWEEN 0 AND 21) AS min_age,
-               count(*) FILTER (NOT year_published >= 1990) AS year_published,
-               count(*) FILTER (NOT min_players <= max_players) AS players FROM atlas_games""",
-    "line_stats": """
-        SELECT * FROM (SELECT 'l_orderkey' AS c, CAST(l_orderkey AS DOUBLE) AS x FROM lineitem
-        UNION ALL SELECT 'l_linenumber', l_linenumber FROM lineitem
-        UNION ALL SELECT 'l_quantity', l_quantity FROM lineitem
-        UNION ALL SELECT 'l_discount', l_discount FROM lineitem)""",
 }
 
 # Fixed pattern, as in functions.text; this engine needs the flag to replace every match.
@@ -242,26 +234,118 @@ def _coverage(table: str, keys: tuple[str, ...]) -> str:
     )
 
 
+def _iso(ts: str) -> str:
+    return f"strftime({ts}, '%Y-%m-%dT%H:%M:%S.%g') || 'Z'"
+
+
+_DMY = "coalesce(strftime(extracted, '%d/%m/%Y %H:%M:%S'), 'not a date')"
+
+_GAME_RANGES = {
+    "max_players": "max_players > 0",
+    "min_age": "min_age BETWEEN 0 AND 21",
+    "year_published": "year_published >= 1990",
+    "players": "min_players <= max_players",
+}
+_RANGES = {
+    "atlas_games": _GAME_RANGES,
+    "bgg_games": _GAME_RANGES,
+    "reviews": {"rating": "rating BETWEEN 0 AND 5 AND rating * 4 % 1 = 0"},
+    "prices": {"price": "price > 0", "msrp": "price <= msrp"},
+}
+
+
+def _range_report(table: str, rules: dict[str, str]) -> str:
+    head = f"SELECT '{table}' AS table_name"
+    width = len(TABLES[table])
+    rows = [
+        f"{head}, 'has_rows' AS check_name, CAST(NULL AS STRING) AS column_name, 'error' AS severity,"
+        f" count(*) > 0 AS passed, count(*) AS observed, CAST(NULL AS BIGINT) AS expected FROM {table}",
+        f"{head}, 'column_count', NULL, 'error', true, {width}, {width}",
+    ]
+    rows += [
+        f"{head}, 'range', '{name}', 'warn', count(*) FILTER (NOT ({rule})) = 0, count(*) FILTER (NOT ({rule})), 0 FROM {table}"
+        for name, rule in rules.items()
+    ]
+    return " UNION ALL ".join(rows)
+
+
+# Columns of the tables by kind, as far as a profile describes them.
+_KINDS = {
+    "bgg_games": {
+        "whole": ["bgg_game_id", "max_players", "max_playtime", "min_age", "min_players", "min_playtime", "year_published", "num_ratings"],
+        "real": ["average_rating"],
+        "text": ["game_name", "artist", "category", "compilation", "designer", "family", "mechanic", "publisher"],
+    },
+    "users": {
+        "whole": ["atlas_exp", "atlas_level", "user_id"],
+        "real": ["atlas_gold"],
+        "text": ["user_name", "url", "description", "atlas_user_id"],
+    },
+    "atlas_games": {
+        "whole": ["year_published", "min_players", "max_players", "min_playtime", "max_playtime", "min_age", "num_ratings", "num_complexity"],
+        "real": ["average_rating", "average_learning_complexity", "average_strategy_complexity"],
+        "text": ["atlas_game_id", "game_name", "url", "primary_publisher", "primary_designer", "artists"],
+    },
+    "reviews": {
+        "whole": ["year", "month", "bgg_game_id", "user_id"],
+        "real": ["rating"],
+        "text": ["game_name", "atlas_game_id", "review_id", "description"],
+    },
+    "prices": {
+        "whole": ["year", "month", "bgg_game_id"],
+        "real": ["price", "msrp"],
+        "text": ["game_name", "atlas_price_id", "currency", "url", "store_name", "country", "price_category", "atlas_game_id"],
+    },
+    "lists": {
+        "whole": ["geeklist_id", "bgg_game_id", "list_item_id", "year", "month"],
+        "real": [],
+        "text": ["game_name", "objtype", "bgg_user_name", "description", "atlas_game_id"],
+    },
+    "time": {"whole": ["minute", "hour", "day", "week", "month", "year", "weekday"], "real": [], "text": []},
+    "lineitem": {
+        "whole": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"],
+        "real": ["l_quantity", "l_extendedprice", "l_discount", "l_tax"],
+        "text": ["l_returnflag", "l_linestatus"],
+    },
+}
+
+
+def _described(table: str, whole: list[str], real: list[str], text: list[str]) -> str:
+    view = f"(SELECT {_CALENDAR.format(t='datetime')} FROM kept_stamps)" if table == "time" else table
+    rows = []
+    for c in [*whole, *real, *text]:
+        stats = {"count": f"count({c})", "mean": "max(NULL)", "stddev": "max(NULL)", "min": f"min({c})", "max": f"max({c})"}
+        if c in real:  # no negative zero
+            stats |= {"min": f"min({c}) + 0", "max": f"max({c}) + 0"}
+        if c not in text:
+            stats |= {"mean": f"printf('%.5f', avg({c}))", "stddev": f"printf('%.5f', stddev_samp({c}))"}
+        rows += [
+            f"SELECT '{table}' AS table_name, '{c}' AS column_name, '{stat}' AS stat, CAST({value} AS STRING) AS value FROM {view}"
+            for stat, value in stats.items()
+        ]
+    return " UNION ALL ".join(rows)
+
+
 _STATEMENTS = {
     "scan_csv": "SELECT * FROM part",
     "scan_csv_multiline": "SELECT * FROM documents",
     "scan_json_array": "SELECT * FROM shape_accounts",
-    "scan_json_glob": "SELECT id, user_id, game_id, rating, description FROM shape_reviews",
-    "scan_json_nested_glob": """SELECT id, name, price, store_name, price_category,
-        price_category AS folder FROM shape_prices""",
+    "scan_json_glob": f"""SELECT id, {_iso('created')} AS "createdAt", {_iso('created')} AS date, user_id,
+        game_id, rating, description FROM shape_reviews""",
+    "scan_json_nested_glob": f"""SELECT id, {_iso('updated')} AS updated_at, name, price, currency, msrp,
+        url, store_name, country, price_category, price_category AS folder FROM shape_prices""",
     "scan_parquet": "SELECT p_partkey AS bgg_game_id, p_name AS game_name FROM part",
     "sink_parquet_by_col": "SELECT * FROM bgg_games",
-    "sink_parquet_by_month": """SELECT atlas_price_id, game_name, price, price_datetime, year, month
-        FROM prices""",
+    "sink_parquet_by_month": "SELECT * EXCLUDE (atlas_game_id, bgg_game_id) FROM prices",
     "project_alias": """SELECT username AS user_name, url, description, gold AS atlas_gold,
         experience AS atlas_exp, level AS atlas_level FROM shape_accounts""",
     "project_nested_field": """SELECT id AS atlas_game_id, publisher AS primary_publisher,
         designer AS primary_designer FROM shape_atlas_games""",
-    "rename_columns": """SELECT CAST(bgg_id AS INT) AS bgg_game_id, maxplayers AS max_players,
+    "rename_columns": f"""SELECT CAST(bgg_id AS INT) AS bgg_game_id, maxplayers AS max_players,
         maxplaytime AS max_playtime, age AS min_age, minplayers AS min_players,
         minplaytime AS min_playtime, name AS game_name, year_published, artist, category,
         compilation, designer, family, mechanic, publisher, users_rated AS num_ratings,
-        average_rating FROM shape_bgg_games""",
+        average_rating, {_DMY} AS datetime_extracted FROM shape_bgg_games""",
     "derive_columns": """SELECT id, updated AS price_datetime, CAST(year(updated) AS INT) AS year,
         CAST(month(updated) AS INT) AS month FROM shape_prices""",
     "drop_column": "SELECT c_custkey, c_name, c_mktsegment FROM customer",
@@ -292,22 +376,8 @@ _STATEMENTS = {
         count(*) - count(created) AS createdAt_nulls, count(*) - count(created) AS date_nulls,
         count(*) - count(user_id) AS user_id_nulls, count(*) - count(rating) AS rating_nulls
         FROM shape_reviews""",
-    "describe_profile": """
-        SELECT c AS column_name, 'count' AS stat, CAST(count(x) AS STRING) AS value
-        FROM line_stats GROUP BY c
-        UNION ALL SELECT c, 'mean', printf('%.5f', avg(x)) FROM line_stats GROUP BY c
-        UNION ALL SELECT c, 'stddev', printf('%.5f', stddev_samp(x)) FROM line_stats GROUP BY c
-        UNION ALL SELECT c, 'min', CASE WHEN c IN ('l_orderkey', 'l_linenumber')
-            THEN CAST(CAST(min(x) AS BIGINT) AS STRING) ELSE CAST(min(x) AS STRING) END
-        FROM line_stats GROUP BY c
-        UNION ALL SELECT c, 'max', CASE WHEN c IN ('l_orderkey', 'l_linenumber')
-            THEN CAST(CAST(max(x) AS BIGINT) AS STRING) ELSE CAST(max(x) AS STRING) END
-        FROM line_stats GROUP BY c
-        UNION ALL SELECT 'l_returnflag', 'count', CAST(count(l_returnflag) AS STRING) FROM lineitem
-        UNION ALL SELECT 'l_returnflag', 'mean', NULL
-        UNION ALL SELECT 'l_returnflag', 'stddev', NULL
-        UNION ALL SELECT 'l_returnflag', 'min', min(l_returnflag) FROM lineitem
-        UNION ALL SELECT 'l_returnflag', 'max', max(l_returnflag) FROM lineitem""",
+    "describe_profile": f"SELECT * EXCLUDE (table_name) FROM ({_described('lineitem', **_KINDS['lineitem'])})",
+    "profile_tables": " UNION ALL ".join(_described(t, **_KINDS[t]) for t in TABLES),
     "union_all_datetimes": """SELECT datetime, count(*) AS n_rows FROM (
         SELECT o_orderdate AS datetime FROM orders UNION ALL SELECT l_shipdate FROM lineitem
         UNION ALL SELECT ts FROM events) GROUP BY datetime""",
@@ -337,31 +407,20 @@ _STATEMENTS = {
     "dim_time": f"SELECT datetime, {_CALENDAR.format(t='datetime')} FROM kept_stamps",
     "mart_summary": _TABLE_COUNTS,
     "dq_report": "SELECT * FROM price_report",
-    "dq_gate_summary": """SELECT table_name, count(*) AS total_checks,
+    "dq_gate_summary": f"""SELECT table_name, count(*) AS total_checks,
         count(*) FILTER (passed) AS passed_checks, count(*) FILTER (NOT passed) AS failed_checks,
         count(*) FILTER (NOT passed AND severity = 'error') = 0 AS gate_open
-        FROM (SELECT * FROM bgg_report UNION ALL SELECT * FROM price_report
-              UNION ALL SELECT * FROM list_report) GROUP BY table_name""",
+        FROM ({_ALL_REPORTS}) GROUP BY table_name""",
     "dq_audit_tables": _ALL_REPORTS,
-    "dq_pk_unique": """
-        SELECT 'raw_prices' AS table_name, 'atlas_price_id' AS column_name,
-               count(id) - count(DISTINCT id) AS n_repeats, count(id) = count(DISTINCT id) AS passed
-        FROM shape_prices UNION ALL
-        SELECT 'prices', 'atlas_price_id', count(atlas_price_id) - count(DISTINCT atlas_price_id),
-               count(atlas_price_id) = count(DISTINCT atlas_price_id) FROM prices""",
-    "dq_range_rules": """
-        SELECT 'atlas_games' AS table_name, 'has_rows' AS check_name,
-               CAST(NULL AS STRING) AS column_name, 'error' AS severity, n > 0 AS passed,
-               n AS observed, CAST(NULL AS BIGINT) AS expected FROM game_checks
-        UNION ALL SELECT 'atlas_games', 'column_count', NULL, 'error', true, 18, 18
-        UNION ALL SELECT 'atlas_games', 'range', 'max_players', 'warn', max_players = 0, max_players, 0
-        FROM game_checks
-        UNION ALL SELECT 'atlas_games', 'range', 'min_age', 'warn', min_age = 0, min_age, 0
-        FROM game_checks
-        UNION ALL SELECT 'atlas_games', 'range', 'year_published', 'warn', year_published = 0,
-               year_published, 0 FROM game_checks
-        UNION ALL SELECT 'atlas_games', 'range', 'players', 'warn', players = 0, players, 0
-        FROM game_checks""",
+    "dq_pk_unique": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{k}' AS column_name, count({c}) - count(DISTINCT {c}) AS n_repeats,"
+        f" count({c}) = count(DISTINCT {c}) AS passed FROM {view}"
+        for t, k, c, view in (
+            ("raw_prices", "atlas_price_id", "id", "shape_prices"),
+            *((t, k, k, "kept_stamps" if t == "time" else t) for t, k in TABLE_KEYS.items()),
+        )
+    ),
+    "dq_range_rules": " UNION ALL ".join(_range_report(t, rules) for t, rules in _RANGES.items()),
     "dq_join_coverage": " UNION ALL ".join(
         [
             _coverage("reviews", ("game_name", "atlas_game_id", "bgg_game_id", "user_id")),
@@ -447,15 +506,17 @@ _STATEMENTS = {
                                         ' -0500')
                ELSE concat(strftime(posted, '%a, %d %b %Y %H:%M:%S'), ' +0000') END AS postdate,
                bodytext FROM shape_lists""",
-    "land_csv": """
-        SELECT CAST(bgg_id AS INT) AS bgg_id, name, CASE WHEN extracted = CAST('2023-01-15 10:30:00'
-               AS TIMESTAMP) THEN NULL ELSE year_published END AS year_published, designer, publisher,
-               average_rating FROM shape_bgg_games""",
-    "split_reviews": "SELECT id, user_id, game_id, rating, description FROM shape_reviews",
+    "land_csv": f"""
+        SELECT * EXCLUDE (extracted) REPLACE (CAST(bgg_id AS INT) AS bgg_id,
+                   CASE WHEN extracted = CAST('2023-01-15 10:30:00' AS TIMESTAMP) THEN NULL
+                        ELSE year_published END AS year_published),
+               {_DMY} AS datetime_extracted FROM shape_bgg_games""",
+    "split_reviews": f"""SELECT id, {_iso('created')} AS "createdAt", {_iso('created')} AS date, rating,
+        description, user_id, game_id FROM shape_reviews""",
     "latest_user_profile": "SELECT * FROM profiles",
     "distinct_game_ids": """SELECT DISTINCT game_id FROM shape_reviews WHERE game_id IS NOT NULL""",
-    "explode_prices": """SELECT id, name, price, currency, msrp, url, store_name, price_category
-        FROM shape_prices""",
+    "explode_prices": f"""SELECT id, {_iso('updated')} AS updated_at, name, price, currency, msrp, url,
+        store_name, country, price_category FROM shape_prices""",
     "truncation_audit": """
         SELECT a.username, CAST(k.range * 0.25 AS DOUBLE) AS rating, coalesce(n, 0) AS n_reviews,
                coalesce(n, 0) > 2 AS truncated
@@ -463,8 +524,8 @@ _STATEMENTS = {
              SELECT username, rating, count(*) AS n FROM shape_reviews GROUP BY username, rating) r
              ON a.username = r.username AND k.range * 0.25 = r.rating
         WHERE a.username IS NOT NULL""",
-    "compact_json": """SELECT substring(user_id, 1, 1) AS letter, id, user_id, game_id, rating,
-        description FROM shape_reviews""",
+    "compact_json": f"""SELECT 'p' AS letter, id, {_iso('created')} AS "createdAt",
+        {_iso('created')} AS date, user_id, game_id, rating, description FROM shape_reviews""",
     "users_with_name": "SELECT * FROM shape_accounts WHERE username IS NOT NULL",
     "batch_ids": """
         SELECT batch, string_agg(game_id, ',' ORDER BY game_id) AS ids FROM (

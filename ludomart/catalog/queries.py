@@ -25,8 +25,8 @@ from ludomart.operators.ordering import ordered_blocks
 from ludomart.plans import dims, facts, insights, landing, pipeline
 from ludomart.session import tune, workspace
 from ludomart.sources import (
-    read_csv,
-    read_json_arrays,
+    read_csv_split,
+    read_json_split,
     read_table,
     read_xml,
     write_csv,
@@ -99,6 +99,25 @@ def lists(spark: SparkSession, d: str) -> DataFrame:
     return facts.lists(fx.raw_lists(spark, d), atlas_games(spark, d))
 
 
+def time(spark: SparkSession, d: str) -> DataFrame:
+    return dims.time(
+        facts.reviews_parsed(fx.raw_reviews(spark, d)).select("review_datetime"),
+        facts.prices_parsed(fx.raw_prices(spark, d)).select("price_datetime"),
+        facts.lists_parsed(fx.raw_lists(spark, d)).select("post_datetime"),
+    )
+
+
+FRAMES = {
+    "bgg_games": bgg_games,
+    "users": users,
+    "atlas_games": atlas_games,
+    "reviews": reviews,
+    "prices": prices,
+    "lists": lists,
+    "time": time,
+}
+
+
 # --- scans and sinks -------------------------------------------------------------------
 
 
@@ -110,41 +129,38 @@ def scan_csv(spark, d):
         "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT,"
         " p_retailprice DOUBLE"
     )
-    return read_csv(spark, path, schema)
+    return read_csv_split(spark, path, schema)
 
 
 @query
 def scan_csv_multiline(spark, d):
+    """The documents as CSV files without a bound on their rows; ranges of them are read."""
     path = workspace(spark, "csv")
-    write_csv(fx.table(spark, d, "documents"), path)
+    write_csv(fx.table(spark, d, "documents"), path, rows_per_file=0)
     schema = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
-    return read_csv(spark, path, schema)
+    return read_csv_split(spark, path, schema)
 
 
 @query
 def scan_json_array(spark, d):
     path = workspace(spark, "json")
     write_json_arrays(fx.raw_accounts(spark, d), path)
-    return read_json_arrays(spark, path, S.ATLAS_USERS)
+    return read_json_split(spark, path, S.ATLAS_USERS)
 
 
 @query
 def scan_json_glob(spark, d):
     path = workspace(spark, "json")
     write_json_arrays(fx.raw_reviews(spark, d), path)
-    return read_json_arrays(spark, f"{path}/*.txt", S.ATLAS_REVIEWS).select(
-        "id", "user_id", "game_id", "rating", "description"
-    )
+    return read_json_split(spark, f"{path}/*.txt", S.ATLAS_REVIEWS)
 
 
 @query
 def scan_json_nested_glob(spark, d):
     root = workspace(spark, "json")
     write_json_arrays(fx.raw_prices(spark, d), root, folder="price_category")
-    folder = F.regexp_extract(F.input_file_name(), r"folder=([^/]+)/[^/]+$", 1)
-    return read_json_arrays(spark, f"{root}/*/*.txt", S.ATLAS_PRICES).select(
-        "id", "name", "price", "store_name", "price_category", folder.alias("folder")
-    )
+    rows = read_json_split(spark, f"{root}/*/*.txt", S.ATLAS_PRICES, file="folder")
+    return rows.withColumn("folder", F.regexp_extract("folder", r"folder=([^/]+)/[^/]+$", 1))
 
 
 @query
@@ -165,9 +181,7 @@ def sink_parquet_by_col(spark, d):
 def sink_parquet_by_month(spark, d):
     path = workspace(spark, "table")
     write_table(facts.prices_parsed(fx.raw_prices(spark, d)), path, S.PARTITIONS["prices"])
-    return spark.read.parquet(path).select(
-        "atlas_price_id", "game_name", "price", "price_datetime", "year", "month"
-    )
+    return spark.read.parquet(path)
 
 
 # --- projections and filters -----------------------------------------------------------
@@ -196,8 +210,7 @@ def project_nested_field(spark, d):
 
 @query
 def rename_columns(spark, d):
-    renamed = fx.raw_bgg_games(spark, d).withColumnsRenamed(dims.BGG_NAMES)
-    return renamed.drop("datetime_extracted")
+    return fx.raw_bgg_games(spark, d).withColumnsRenamed(dims.BGG_NAMES)
 
 
 @query
@@ -339,10 +352,14 @@ def count_nulls(spark, d):
 
 @query
 def describe_profile(spark, d):
-    return profile.describe(
-        fx.table(spark, d, "lineitem").select(
-            "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag"
-        )
+    return profile.describe(fx.table(spark, d, "lineitem"))
+
+
+@query
+def profile_tables(spark, d):
+    """Every number and text of all seven tables."""
+    return landing.union_parts(
+        *[profile.describe(frame(spark, d)).withColumn("table_name", F.lit(t)) for t, frame in FRAMES.items()]
     )
 
 
@@ -477,11 +494,7 @@ def fact_lists(spark, d):
 
 @query
 def dim_time(spark, d):
-    return dims.time(
-        facts.reviews_parsed(fx.raw_reviews(spark, d)).select("review_datetime"),
-        facts.prices_parsed(fx.raw_prices(spark, d)).select("price_datetime"),
-        facts.lists_parsed(fx.raw_lists(spark, d)).select("post_datetime"),
-    )
+    return time(spark, d)
 
 
 def land_dumps(spark: SparkSession, d: str) -> str:
@@ -532,11 +545,7 @@ def dq_report(spark, d):
 
 @query
 def dq_gate_summary(spark, d):
-    reports = [
-        quality.check(bgg_games(spark, d), quality.TABLE_RULES["bgg_games"]),
-        quality.check(prices(spark, d), quality.TABLE_RULES["prices"]),
-        quality.check(lists(spark, d), quality.TABLE_RULES["lists"]),
-    ]
+    reports = [quality.check(frame(spark, d), quality.TABLE_RULES[t]) for t, frame in FRAMES.items()]
     return quality.summary(landing.union_parts(*reports))
 
 
@@ -547,28 +556,32 @@ def dq_audit_tables(spark, d):
 
 @query
 def dq_pk_unique(spark, d):
+    """The keys of all seven tables, and those of a raw dump, in which prices are repeated."""
     raw_ids = fx.raw_prices(spark, d).select(F.col("id").alias("atlas_price_id"))
     return landing.union_parts(
         quality.pk_unique(raw_ids, "raw_prices", "atlas_price_id"),
-        quality.pk_unique(
-            facts.prices_parsed(fx.raw_prices(spark, d)), "prices", "atlas_price_id"
-        ),
+        *[quality.pk_unique(frame(spark, d), t, quality.TABLE_KEYS[t]) for t, frame in FRAMES.items()],
     )
 
 
 @query
 def dq_range_rules(spark, d):
-    rules = quality.Rules(
-        "atlas_games",
-        18,
-        ranges={
-            "max_players": F.col("max_players") > 0,
-            "min_age": F.col("min_age").between(0, 21),
-            "year_published": F.col("year_published") >= 1990,
-            "players": F.col("min_players") <= F.col("max_players"),
-        },
+    """Dirty values that are kept: of both game tables, ratings and prices."""
+    games = {
+        "max_players": F.col("max_players") > 0,
+        "min_age": F.col("min_age").between(0, 21),
+        "year_published": F.col("year_published") >= 1990,
+        "players": F.col("min_players") <= F.col("max_players"),
+    }
+    ranges = {
+        "atlas_games": games,
+        "bgg_games": games,
+        "reviews": {"rating": F.col("rating").between(0, 5) & (F.col("rating") * 4 % 1 == 0)},
+        "prices": {"price": F.col("price") > 0, "msrp": F.col("price") <= F.col("msrp")},
+    }
+    return landing.union_parts(
+        *[quality.check(FRAMES[t](spark, d), quality.Rules(t, len(S.TABLES[t]), ranges=r)) for t, r in ranges.items()]
     )
-    return quality.check(atlas_games(spark, d), rules)
 
 
 @query
@@ -739,16 +752,12 @@ def land_csv(spark, d):
     late = games.filter(~F.col("datetime_extracted").startswith("15/"))
     write_csv(landing.union_parts(late, early), path)
     columns = [f"{c.name} {c.dataType.simpleString()}" for c in landing.union_parts(late, early).schema]
-    return read_csv(spark, path, ", ".join(columns)).select(
-        "bgg_id", "name", "year_published", "designer", "publisher", "average_rating"
-    )
+    return read_csv_split(spark, path, ", ".join(columns))
 
 
 @query
 def split_reviews(spark, d):
-    return landing.split_reviews(fx.raw_nested_reviews(spark, d)).select(
-        "id", "user_id", "game_id", "rating", "description"
-    )
+    return landing.split_reviews(fx.raw_nested_reviews(spark, d))
 
 
 @query
@@ -773,9 +782,7 @@ def explode_prices(spark, d):
         .agg(F.map_from_entries(F.collect_list(F.struct("price_category", "_prices"))).alias("_map"))
         .select(F.to_json("_map").alias("payload"))
     )
-    return landing.explode_prices(payloads).select(
-        "id", "name", "price", "currency", "msrp", "url", "store_name", "price_category"
-    )
+    return landing.explode_prices(payloads)
 
 
 @query
@@ -791,13 +798,9 @@ def truncation_audit(spark, d):
 def compact_json(spark, d):
     source, target = workspace(spark, "json"), workspace(spark, "compact")
     write_json_arrays(fx.raw_reviews(spark, d), source)
-    # The harvest names a file by the user whose reviews it holds.
-    landing.compact_json(
-        spark, source, target, S.ATLAS_REVIEWS, letter=F.substring("user_id", 1, 1)
-    )
-    return spark.read.schema(S.ATLAS_REVIEWS + ", letter STRING").json(target).select(
-        "letter", "id", "user_id", "game_id", "rating", "description"
-    )
+    # The letter is that of the files, which Spark has named "part-...".
+    landing.compact_json(spark, source, target, S.ATLAS_REVIEWS)
+    return spark.read.schema(S.ATLAS_REVIEWS + ", letter STRING").json(target)
 
 
 @query

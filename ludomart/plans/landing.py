@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ludomart.functions import join_list, primary_name
 from ludomart.operators import dedupe_pk
 from ludomart.schemas import PRICE_PAYLOAD, XML_LIST
-from ludomart.sources import read_json_arrays
+from ludomart.sources import read_json_split
 
 # The rating scale, 0 to 5 in quarter steps.
 RATING_STEP = 0.25
@@ -155,10 +155,10 @@ def truncation_audit(users: DataFrame, reviews: DataFrame, limit: int = PAGE_LIM
     )
 
 
-def file_letter() -> Column:
-    """First character of the name of the file a row comes from. Spark gives the name as
+def file_letter(path: Column) -> Column:
+    """First character of the name of the file at ``path``. Spark gives the name as
     in a URL, but for plus signs."""
-    name = F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1)
+    name = F.regexp_extract(path, r"([^/]+)$", 1)
     return F.substring(F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), 1, 1)
 
 
@@ -171,16 +171,15 @@ def compact_json(
     split, unlike arrays. ``rebalance`` keeps a letter's files few and still spreads
     a letter that holds most rows.
     """
-    rows = read_json_arrays(spark, source, schema).withColumn(
-        "letter", file_letter() if letter is None else letter
-    )
+    rows = read_json_split(spark, source, schema, file="_path")
+    rows = rows.withColumn("letter", file_letter(F.col("_path")) if letter is None else letter).drop("_path")
     rows.hint("rebalance", "letter").write.mode("overwrite").partitionBy("letter").json(target)
 
 
 def count_json_records(spark: SparkSession, root: str) -> DataFrame:
     """Records per dataset folder in a tree of JSON files."""
-    records = read_json_arrays(spark, root, "id STRING", recursive=True)
-    below = F.substring_index(F.input_file_name(), root.rstrip("/") + "/", -1)
+    records = read_json_split(spark, root, "id STRING", recursive=True, file="_path")
+    below = F.substring_index("_path", root.rstrip("/") + "/", -1)
     return (
         records.select(F.substring_index(below, "/", 1).alias("dataset"))
         .groupBy("dataset")

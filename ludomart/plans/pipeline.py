@@ -12,7 +12,7 @@ from ludomart import schemas as S
 from ludomart.operators import quality
 from ludomart.plans import dims, facts
 from ludomart.session import tune
-from ludomart.sources import publish, read_csv, read_json_arrays, read_table, write_table
+from ludomart.sources import publish, read_csv_split, read_json_split, read_table, write_table
 
 
 def build(
@@ -52,22 +52,22 @@ def run(spark: SparkSession, input_dir: str, output_dir: str) -> dict[str, int]:
         return read_table(spark, out, table, *columns)
 
     def bgg_games() -> DataFrame:
-        return dims.bgg_details(read_csv(spark, f"{src}/bgg/games.csv", S.BGG_GAMES))
+        return dims.bgg_details(read_csv_split(spark, f"{src}/bgg/games.csv", S.BGG_GAMES))
 
     def users() -> DataFrame:
         return dims.atlas_users(
-            read_json_arrays(spark, f"{src}/atlas/json_user.json", S.ATLAS_USERS),
-            read_json_arrays(spark, f"{src}/atlas/users", S.ATLAS_PROFILES),
+            read_json_split(spark, f"{src}/atlas/json_user.json", S.ATLAS_USERS),
+            read_json_split(spark, f"{src}/atlas/users", S.ATLAS_PROFILES),
         )
 
     def atlas_games() -> DataFrame:
         return dims.atlas_details(
-            read_json_arrays(spark, f"{src}/atlas/games", S.ATLAS_GAMES)
+            read_json_split(spark, f"{src}/atlas/games", S.ATLAS_GAMES)
         )
 
     def reviews() -> DataFrame:
         return facts.reviews(
-            read_json_arrays(spark, f"{src}/atlas/reviews", S.ATLAS_REVIEWS),
+            read_json_split(spark, f"{src}/atlas/reviews", S.ATLAS_REVIEWS),
             published("atlas_games", "atlas_game_id", "game_name"),
             published("bgg_games", "bgg_game_id", "game_name"),
             published("users", "user_id", "atlas_user_id"),
@@ -75,14 +75,14 @@ def run(spark: SparkSession, input_dir: str, output_dir: str) -> dict[str, int]:
 
     def prices() -> DataFrame:
         return facts.prices(
-            read_json_arrays(spark, f"{src}/atlas/prices/*", S.ATLAS_PRICES),
+            read_json_split(spark, f"{src}/atlas/prices/*", S.ATLAS_PRICES),
             published("atlas_games", "atlas_game_id", "game_name"),
             published("bgg_games", "bgg_game_id", "game_name"),
         )
 
     def lists() -> DataFrame:
         return facts.lists(
-            read_csv(spark, f"{src}/bgg/lists.csv", S.BGG_LISTS, {"geeklist": "geeklist_id"}),
+            read_csv_split(spark, f"{src}/bgg/lists.csv", S.BGG_LISTS, {"geeklist": "geeklist_id"}),
             published("atlas_games", "atlas_game_id", "game_name"),
         )
 
