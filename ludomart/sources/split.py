@@ -6,13 +6,14 @@ ranges. ``_Format.sep`` ends its pieces: the newline for CSV, the closing brace
 record's end is a piece's end. A piece maps the state before it, (inside quotes, depth), to the
 state after it: it may turn the first, and adds to the depth what depends on the first.
 
-Pass one composes the maps of all pieces of a range into one row for each range. A running
-composition over the ranges of a file gives the state in which each one begins. Pass two cuts
-each range into records, starting from that state, and hands them to ``from_csv`` or
+Pass one composes the maps of all pieces of a range into one row for each range; a file of one
+range needs none. A running composition over the ranges of a file gives the state in which each
+one begins. Pass two cuts each range into records, starting from that state, and hands them to ``from_csv`` or
 ``from_json``. Parts of records that cross a range's border, two for each range at most, are put
 together by a shuffle of their own; nothing else is shuffled.
 
-What is broadcast has one entry for each range, that is for each ``maxPartitionBytes`` of input.
+What is broadcast has one entry for each such range, that is for each ``maxPartitionBytes`` of
+input at most.
 Both passes must see the same ranges: a range that pass one did not see stops the read.
 """
 
@@ -24,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -54,37 +56,51 @@ def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
-def _summed(values: np.ndarray, at: np.ndarray) -> np.ndarray:
-    total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
-    return total[at[1:]] - total[at[:-1]]
-
-
 def _csv_maps(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     raw, at = _bytes(column)
     none = np.zeros(len(column), np.int64)
     # A doubled quote turns the state twice, so counting is enough.
-    return _summed(raw == 0x22, at) % 2 == 1, none, none
+    before = np.searchsorted(np.flatnonzero(raw == 0x22), at)
+    return np.diff(before) % 2 == 1, none, none
+
+
+# What a byte means to the scanner of JSON.
+_QUOTE, _SLASH, _OPEN, _CLOSE = 1, 2, 3, 4
+_MEANS = np.zeros(256, np.uint8)
+_MEANS[[0x22, 0x5C]] = _QUOTE, _SLASH
+_MEANS[[0x5B, 0x7B]] = _OPEN
+_MEANS[[0x5D, 0x7D]] = _CLOSE
 
 
 def _json_maps(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     raw, at = _bytes(column)
-    quote = raw == 0x22
-    slash = np.flatnonzero(raw == 0x5C)
+    means = _MEANS[raw]
+    place = np.flatnonzero(means)
+    means = means[place]
+    quote = means == _QUOTE
+    slash = np.flatnonzero(means == _SLASH)
     if len(slash):
         # In a row of backslashes every second one escapes; an escape never crosses a piece,
         # as a backslash cannot stand before a brace.
         head = np.ones(len(slash), bool)
-        head[1:] = np.diff(slash) > 1
-        nth = np.arange(len(slash)) - np.maximum.accumulate(np.where(head, np.arange(len(slash)), 0))
-        escaped = slash[nth % 2 == 0] + 1
-        quote[escaped[escaped < len(raw)]] = False
-    before = np.cumsum(quote) - quote
-    inside = (before - np.repeat(np.concatenate([[0], np.cumsum(quote)])[at[:-1]], np.diff(at))) % 2 == 1
-    step = (np.isin(raw, [0x5B, 0x7B])).astype(np.int64) - np.isin(raw, [0x5D, 0x7D])
-    flip = _summed(quote, at) % 2 == 1
+        head[1:] = np.diff(place[slash]) > 1
+        nth = np.arange(len(slash))
+        escapes = slash[(nth - np.maximum.accumulate(np.where(head, nth, 0))) % 2 == 0]
+        after = escapes[escapes + 1 < len(place)]
+        after = after[place[after + 1] == place[after] + 1] + 1
+        quote[after] = False
+    begin = np.searchsorted(place, at)
+    total = np.concatenate([[0], np.cumsum(quote)])
+    inside = (total[:-1] - np.repeat(total[begin[:-1]], np.diff(begin))) % 2 == 1
+    step = (means == _OPEN).astype(np.int64) - (means == _CLOSE)
+
+    def summed(steps: np.ndarray) -> np.ndarray:
+        sums = np.concatenate([[0], np.cumsum(steps)])
+        return sums[begin[1:]] - sums[begin[:-1]]
+
+    flip = (total[begin[1:]] - total[begin[:-1]]) % 2 == 1
     # The brace that ends the piece counts where it stands outside.
-    outside = _summed(np.where(inside, 0, step), at) - ~flip
-    return flip, outside, _summed(np.where(inside, step, 0), at) - flip
+    return flip, summed(step * ~inside) - ~flip, summed(step * inside) - flip
 
 
 _CSV = _Format("\n", _csv_maps, False, lambda text: F.regexp_replace(text, r"\r$", ""))
@@ -93,46 +109,55 @@ _JSON = _Format("}", _json_maps, True, lambda text: F.concat(F.ltrim(text, F.lit
 
 def _pieces(spark: SparkSession, path: str, form: _Format, recursive: bool) -> DataFrame:
     text = spark.read.option("lineSep", form.sep).option("recursiveFileLookup", recursive).text(path)
-    return text.select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value"
-    )
+    meta = F.col("_metadata")
+    start = meta["file_block_start"]
+    whole = (start == 0) & (meta["file_block_length"] >= meta["file_size"])
+    return text.select(meta["file_path"].alias("file"), start.alias("start"), whole.alias("whole"), "value")
 
 
-def _by_range(batch: pa.RecordBatch) -> Iterator[tuple[str, int, pa.Array]]:
-    """The stretches of a batch that belong to one range."""
+def _by_range(batch: pa.RecordBatch) -> Iterator[tuple[str, int, bool, pa.Array]]:
+    """The stretches of a batch that belong to one range: file, start, whether the range is the
+    whole file, pieces."""
     files, starts = batch.column("file").dictionary_encode(), batch.column("start").to_numpy()
     code = files.indices.to_numpy()
     cut = np.flatnonzero((code[1:] != code[:-1]) | (starts[1:] != starts[:-1])) + 1
     for a, b in zip([0, *cut.tolist()], [*cut.tolist(), batch.num_rows], strict=True):
         if b > a:
-            yield files.dictionary[int(code[a])].as_py(), int(starts[a]), batch.column("value").slice(a, b - a)
+            file, whole = files.dictionary[int(code[a])].as_py(), batch.column("whole")[a].as_py()
+            yield file, int(starts[a]), whole, batch.column("value").slice(a, b - a)
+
+
+def _level(form: _Format, first: str) -> int:
+    return int(form.nested and first.lstrip("\ufeff \t\r\n").startswith("["))
 
 
 def _states(pieces: DataFrame, form: _Format) -> dict[str, dict[int, tuple[bool, int, int]]]:
-    """Pass one: {file: {start of a range: (inside quotes, depth, depth at which records end)}}."""
+    """Pass one, over the files of several ranges: {file: {start of a range: (inside quotes,
+    depth, depth at which records end)}}."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[str, int], list] = {}
         for batch in batches:
-            for file, start, values in _by_range(batch):
+            for file, start, _, values in _by_range(batch):
                 flip, outside, inside = form.maps(values)
                 odd = (np.cumsum(flip) - flip) % 2 == 1
-                own = bool(flip.sum() % 2), int(np.where(odd, inside, outside).sum()), int(np.where(odd, outside, inside).sum())
+                own = int(np.where(odd, inside, outside).sum()), int(np.where(odd, outside, inside).sum())
                 if (file, start) not in held:
-                    first = values[0].as_py().lstrip("\ufeff \t\r\n") if start == 0 and form.nested else ""
-                    held[file, start] = [False, 0, 0, first.startswith("[")]
+                    held[file, start] = [False, 0, 0, _level(form, values[0].as_py()) if start == 0 else 0]
                 row = held[file, start]
-                row[1] += own[2] if row[0] else own[1]
-                row[2] += own[1] if row[0] else own[2]
-                row[0] ^= own[0]
+                row[1] += own[row[0]]
+                row[2] += own[not row[0]]
+                row[0] ^= bool(flip.sum() % 2)
         if held:
-            names = ("flip", "outside", "inside", "array")
+            names = ("flip", "outside", "inside", "level")
             columns = dict(zip(names, map(list, zip(*held.values(), strict=True)), strict=True))
             yield pa.RecordBatch.from_pydict(
                 {"file": [f for f, _ in held], "start": pa.array([s for _, s in held], pa.int64())} | columns
             )
 
-    ranges = pieces.mapInArrow(run, "file STRING, start LONG, flip BOOLEAN, outside LONG, inside LONG, array BOOLEAN")
+    ranges = pieces.where("NOT whole").mapInArrow(
+        run, "file STRING, start LONG, flip BOOLEAN, outside LONG, inside LONG, level LONG"
+    )
     order = Window.partitionBy("file").orderBy("start")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     turned = F.coalesce(F.sum(F.col("flip").cast("int")).over(before), F.lit(0)) % 2 == 1
@@ -142,7 +167,7 @@ def _states(pieces: DataFrame, form: _Format) -> dict[str, dict[int, tuple[bool,
         "start",
         "quoted",
         F.coalesce(F.sum("add").over(before), F.lit(0)).alias("depth"),
-        F.max(F.col("array").cast("int")).over(Window.partitionBy("file")).alias("level"),
+        F.max("level").over(Window.partitionBy("file")).alias("level"),
         (F.col("quoted") != F.col("flip")).alias("quoted_after"),
         F.lead("start").over(order).isNull().alias("last"),
     ).toArrow()
@@ -154,78 +179,126 @@ def _states(pieces: DataFrame, form: _Format) -> dict[str, dict[int, tuple[bool,
     return out
 
 
-def _records(pieces: DataFrame, form: _Format) -> DataFrame:
-    """(file, value, first) of every record; ``first`` is true for a file's first one."""
-    states = pieces.sparkSession.sparkContext.broadcast(_states(pieces, form))
+_PARTS = "file STRING, value STRING, first BOOLEAN, start LONG, piece INT, opens BOOLEAN, closes BOOLEAN"
+
+
+def _cutter(form: _Format, states, parts: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Pass two: the whole records of ranges (file, value, first), or with ``parts`` what ranges
+    hold of records that cross a border: part 0 or 1 of the range, and whether the record opens
+    or closes there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, open_, held, seen = None, False, [], False
         out: list[tuple] = []
 
-        def add(text: str, piece: int | None, opens: bool, closes: bool):
-            """A whole record, or what a range holds of one: its part 0 or 1."""
-            nonlocal seen
-            if piece is None and not text.strip("\r"):
-                return
-            out.append((now[0], now[1], text, now[1] == 0 and not seen and opens, piece, opens, closes))
-            seen = True
+        def part(piece: int, opens: bool, closes: bool):
+            if parts:
+                out.append((now[0], form.sep.join(held), now[1] == 0 and not seen and opens, now[1], piece, opens, closes))
+            held.clear()
 
-        def border():
+        def ended():
             """The end of a range: what is left of its last record, or of one all through it."""
+            if now is not None and now[2] and quoted:
+                raise ValueError(f"quotes of {now[0]} do not pair")
             if now is not None and held:
-                add(form.sep.join(held), 0 if open_ else 1, not open_, False)
+                part(0 if open_ else 1, not open_, False)
+
+        def made(file: str | None, values: pa.Array, first: bool) -> pa.RecordBatch:
+            n = len(values)
+            return pa.RecordBatch.from_arrays(
+                [pa.repeat(pa.scalar(file, pa.string()), n), values, pa.repeat(pa.scalar(first), n)], names=["file", "value", "first"]
+            )
 
-        def made() -> pa.RecordBatch:
-            names = ["file", "start", "value", "first", "piece", "opens", "closes"]
-            kinds = [pa.string(), pa.int64(), pa.string(), pa.bool_(), pa.int32(), pa.bool_(), pa.bool_()]
+        def crossing() -> pa.RecordBatch:
+            names = ["file", "value", "first", "start", "piece", "opens", "closes"]
+            kinds = [pa.string(), pa.string(), pa.bool_(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_()]
             columns = list(zip(*out, strict=True)) if out else [[] for _ in names]
             out.clear()
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
         for batch in batches:
-            for file, start, values in _by_range(batch):
-                if now != (file, start):
-                    border()
-                    now, held, seen = (file, start), [], False
-                    if start not in states.value.get(file, {}):
+            for file, start, whole, values in _by_range(batch):
+                if now != (file, start, whole):
+                    ended()
+                    now, held, seen, open_ = (file, start, whole), [], False, False
+                    if whole:
+                        quoted, depth, level = False, 0, _level(form, values[0].as_py())
+                    elif start in states.value.get(file, {}):
+                        quoted, depth, level = states.value[file][start]
+                        open_ = start > 0 and (quoted or depth != level)
+                    else:
                         raise RuntimeError(f"{file} was planned in other ranges than it is read in; read it again")
-                    quoted, depth, level = states.value[file][start]
-                    open_ = start > 0 and (quoted or depth != level)
                 flip, outside, inside = form.maps(values)
                 after = (np.cumsum(flip) + quoted) % 2 == 1
                 deep = depth + np.cumsum(np.where(after ^ flip, inside, outside))
-                ends = (np.flatnonzero(~after & (deep == level)) + 1).tolist()
+                ends = np.flatnonzero(~after & (deep == level)) + 1
                 quoted, depth = bool(after[-1]), int(deep[-1])
-                texts = values.to_pylist()
-                for a, b in zip([0, *ends], ends, strict=False):
-                    text = form.sep.join([*held, *texts[a:b]])
-                    held = []
-                    add(text, 0 if open_ else None, not open_, True)
+                begin = 0
+                if len(ends) and (open_ or held):
+                    held += values.slice(0, int(ends[0])).to_pylist()
+                    if open_:
+                        part(0, False, True)
+                    else:
+                        joined = pa.array([form.sep.join(held)])
+                        held = []
+                        if not parts:
+                            yield made(file, joined, start == 0 and not seen)
+                        seen = True
                     open_ = False
-                held += texts[ends[-1] if ends else 0 :]
+                    begin, ends = int(ends[0]), ends[1:]
+                if len(ends):
+                    starts = np.concatenate([[begin], ends[:-1]])
+                    one = ends - starts == 1
+                    # Empty lines between records are none.
+                    alone = values.take(pa.array(starts[one]))
+                    filled = ~np.isin(starts, starts[one][pc.is_in(alone, pa.array(["", "\r"])).to_numpy(zero_copy_only=False)])
+                    starts, stops, one = starts[filled], ends[filled], one[filled]
+                    if start == 0 and not seen and len(starts):
+                        if not parts:
+                            yield made(file, pa.array([form.sep.join(values.slice(starts[0], stops[0] - starts[0]).to_pylist())]), True)
+                        seen = True
+                        starts, stops, one = starts[1:], stops[1:], one[1:]
+                    if not parts and len(starts):
+                        yield made(file, values.take(pa.array(starts[one])), False)
+                        if not one.all():
+                            texts = values.to_pylist()
+                            more = [form.sep.join(texts[a:b]) for a, b in zip(starts[~one].tolist(), stops[~one].tolist(), strict=True)]
+                            yield made(file, pa.array(more, pa.string()), False)
+                    begin = int(ends[-1])
                 # One text in place of many, for a record over many batches.
-                held = [form.sep.join(held)] if held else []
-            yield made()
-        border()
-        yield made()
-
-    kinds = "file STRING, start LONG, value STRING, first BOOLEAN, piece INT, opens BOOLEAN, closes BOOLEAN"
-    # Written to no table: a task that runs again reads the same range and cuts it alike.
-    cut = pieces.mapInArrow(run, kinds)
-    whole = cut.where(F.col("piece").isNull()).select("file", "value", "first")
-    order = Window.partitionBy("file").orderBy("start", "piece")
-    parts = cut.where(F.col("piece").isNotNull()).withColumn("record", F.sum(F.col("opens").cast("int")).over(order))
-    joined = (
-        parts.groupBy("file", "record")
-        .agg(
-            F.sort_array(F.collect_list(F.struct("start", "piece", "value"))).alias("all"),
-            F.bool_or("first").alias("first"),
-            F.bool_or("closes").alias("closed"),
+                rest = [*held, *values.slice(begin).to_pylist()]
+                held = [form.sep.join(rest)] if rest else []
+            if parts:
+                yield crossing()
+        ended()
+        if parts:
+            yield crossing()
+
+    return run
+
+
+def _records(pieces: DataFrame, form: _Format) -> DataFrame:
+    """(file, value, first) of every record; ``first`` is true for a file's first one."""
+    planned = _states(pieces, form)
+    states = pieces.sparkSession.sparkContext.broadcast(planned)
+    records = pieces.mapInArrow(_cutter(form, states, False), "file STRING, value STRING, first BOOLEAN")
+    if planned:  # else no file has a border
+        # Written to no table: a task that runs again reads the same range and cuts it alike.
+        parts = pieces.where("NOT whole").mapInArrow(_cutter(form, states, True), _PARTS)
+        order = Window.partitionBy("file").orderBy("start", "piece")
+        joined = (
+            parts.withColumn("record", F.sum(F.col("opens").cast("int")).over(order))
+            .groupBy("file", "record")
+            .agg(
+                F.sort_array(F.collect_list(F.struct("start", "piece", "value"))).alias("all"),
+                F.bool_or("first").alias("first"),
+                F.bool_or("closes").alias("closed"),
+            )
+            .where("closed")  # else what follows the last record of a file
+            .select("file", F.array_join("all.value", form.sep).alias("value"), "first")
         )
-        .where("closed")  # else what follows the last record of a file
-        .select("file", F.array_join("all.value", form.sep).alias("value"), "first")
-    )
-    return whole.unionByName(joined).withColumn("value", form.clean(F.col("value")))
+        records = records.unionByName(joined)
+    return records.withColumn("value", form.clean(F.col("value")))
 
 
 def read_csv_split(
