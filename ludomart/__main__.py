@@ -12,8 +12,11 @@ def main() -> None:
     parser = argparse.ArgumentParser(prog="ludomart", description=__doc__)
     parser.add_argument("input", help="folder of the raw dumps (any Hadoop path)")
     parser.add_argument("output", help="folder of the tables (any Hadoop path)")
+    parser.add_argument("--table", action="append", choices=list(pipeline.DEPENDS), help="build this table only; may be repeated")
+    parser.add_argument("--downstream", action="store_true", help="and all tables that depend on those")
     args = parser.parse_args()
-    for table, rows in pipeline.run(get_spark(), args.input, args.output).items():
+    tables = pipeline.downstream(args.table) if args.table and args.downstream else args.table
+    for table, rows in pipeline.run(get_spark(), args.input, args.output, tables).items():
         print(f"{table}: {rows} rows")
 
 

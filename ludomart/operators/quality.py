@@ -69,18 +69,33 @@ def unique_gate(df: DataFrame, table: str) -> None:
         raise QualityError(f"{table}: {found.n_repeats} repeats of {key}")
 
 
+def metrics(rules: Rules) -> list[Column]:
+    """Row count, NULL counts and range violations, as aggregates of one pass."""
+    return [
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in (*rules.not_null, *rules.warn_not_null)],
+        *[F.count_if(~ok).alias(f"_range_{name}") for name, ok in rules.ranges.items()],
+    ]
+
+
+def gate_metrics(rules: Rules, columns: int, seen: Mapping[str, int]) -> int:
+    """Raise if values of ``metrics`` fail a rule of severity ``error``, else the number of rows."""
+    failed = [] if seen["_rows"] else [f"{rules.table}: has_rows observed 0"]
+    if columns != rules.columns:
+        failed.append(f"{rules.table}: column_count observed {columns}")
+    failed += [f"{rules.table}: not_null {c} observed {seen[f'_null_{c}']}" for c in rules.not_null if seen[f"_null_{c}"]]
+    if failed:
+        raise QualityError("; ".join(failed))
+    return seen["_rows"]
+
+
 def check(df: DataFrame, rules: Rules) -> DataFrame:
     """Rows (table_name, check_name, column_name, severity, passed, observed, expected).
 
-    ``df`` is read once: row count, NULL counts and range violations are the
-    aggregates of a single ``agg``.
+    ``df`` is read once, for the aggregates of ``metrics``.
     """
     nulls = [(c, "error") for c in rules.not_null] + [(c, "warn") for c in rules.warn_not_null]
-    counts = df.agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c, _ in nulls],
-        *[F.count_if(~ok).alias(f"_range_{name}") for name, ok in rules.ranges.items()],
-    )
+    counts = df.agg(*metrics(rules))
 
     def row(name: str, column: str | None, severity: str, passed: Column, seen: Column, want):
         return F.struct(

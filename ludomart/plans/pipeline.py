@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,40 +11,73 @@ from ludomart import schemas as S
 from ludomart.operators import quality
 from ludomart.plans import dims, facts
 from ludomart.session import tune
-from ludomart.sources import publish, read_csv_split, read_json_split, read_table, write_table
+from ludomart.sources import read_csv_split, read_json_split, read_table, snapshots, write_table
 
 
-def build(
-    spark: SparkSession, table: str, frame: DataFrame, root: str, run_id: str | None = None
-) -> int:
-    """Stage, check, publish one table; the number of its rows.
+def build(spark: SparkSession, table: str, frame: DataFrame, root: str) -> int:
+    """Write, check, publish one table; the number of its rows.
 
     A frame of other columns than the table's stops here. The plan runs once, for the
-    write. The rules then read the checked columns of what was written, and only a table
-    that passes, and whose key is unique, replaces the published one. Each run stages in a
-    folder of its own.
+    write, which counts what the rules need. A snapshot that fails, or whose key is not
+    unique (the key column is read back for that), is emptied, and readers keep the old one.
     """
     quality.same_columns(table, frame.columns, list(S.TABLES[table]))
-    staged = f"{root}/_staging/{run_id or uuid.uuid4().hex}/{table}.parquet"
+    rules = quality.TABLE_RULES[table]
+    snapshot = snapshots.begin(spark, root, table)
     frame = frame.select(*S.TABLES[table])
-    write_table(frame, staged, S.PARTITIONS[table])
-    # With the schema at hand, also a table without rows can be read and reported.
-    written = spark.read.schema(frame.schema).parquet(staged)
-    rows = quality.gate(quality.check(written, quality.TABLE_RULES[table]))
-    quality.unique_gate(written, table)
-    publish(spark, staged, f"{root}/{table}.parquet")
+    try:
+        seen = write_table(frame, snapshot.path, S.PARTITIONS[table], quality.metrics(rules))
+        rows = quality.gate_metrics(rules, len(frame.columns), seen)
+        quality.unique_gate(spark.read.schema(frame.schema).parquet(snapshot.path), table)
+    except quality.QualityError:
+        snapshots.discard(spark, snapshot)
+        raise
+    snapshots.commit(spark, snapshot, rows)
     return rows
 
 
-def run(spark: SparkSession, input_dir: str, output_dir: str) -> dict[str, int]:
-    """All seven tables in order of dependency; rows per table.
+# What a table reads besides its dumps.
+DEPENDS = {
+    "bgg_games": [],
+    "users": [],
+    "atlas_games": [],
+    "reviews": ["atlas_games", "bgg_games", "users"],
+    "prices": ["atlas_games", "bgg_games"],
+    "lists": ["atlas_games"],
+    "time": ["reviews", "prices", "lists"],
+}
+
+
+def stages(tables: Iterable[str]) -> list[list[str]]:
+    """``tables`` in steps: those of a step depend on those of earlier ones only."""
+    left, out = set(tables), []
+    if unknown := left - set(DEPENDS):
+        raise ValueError(f"no such tables: {sorted(unknown)}")
+    while left:
+        ready = [t for t in DEPENDS if t in left and not left & set(DEPENDS[t])]
+        out.append(ready)
+        left -= set(ready)
+    return out
+
+
+def downstream(tables: Iterable[str]) -> list[str]:
+    """``tables`` and all that depend on them, in order of building."""
+    out = set(tables)
+    for step in stages(DEPENDS):
+        out |= {t for t in step if out & set(DEPENDS[t])}
+    return [t for t in DEPENDS if t in out]
+
+
+def run(
+    spark: SparkSession, input_dir: str, output_dir: str, tables: Iterable[str] | None = None
+) -> dict[str, int]:
+    """All seven tables, or only ``tables``, in order of dependency; rows per table.
 
     Tables of one stage do not depend on each other and are built at the same
-    time. A stage reads what the one before published. A dump may be one file or a
-    folder of files.
+    time. A stage reads what the one before published; a table that is not built has to be
+    published already. A dump may be one file or a folder of files.
     """
     tune(spark)
-    run_id = uuid.uuid4().hex
     src, out = input_dir.rstrip("/"), output_dir.rstrip("/")
 
     def published(table: str, *columns: str) -> DataFrame:
@@ -93,15 +125,19 @@ def run(spark: SparkSession, input_dir: str, output_dir: str) -> dict[str, int]:
             published("lists", "post_datetime"),
         )
 
-    stages: list[dict[str, Callable[[], DataFrame]]] = [
-        {"bgg_games": bgg_games, "users": users, "atlas_games": atlas_games},
-        {"reviews": reviews, "prices": prices, "lists": lists},
-        {"time": time},
-    ]
+    frames: dict[str, Callable[[], DataFrame]] = {
+        "bgg_games": bgg_games,
+        "users": users,
+        "atlas_games": atlas_games,
+        "reviews": reviews,
+        "prices": prices,
+        "lists": lists,
+        "time": time,
+    }
     rows: dict[str, int] = {}
-    for stage in stages:
+    for stage in stages(DEPENDS if tables is None else tables):
         with ThreadPoolExecutor(len(stage)) as pool:
-            jobs = {t: pool.submit(lambda t=t, f=f: build(spark, t, f(), out, run_id)) for t, f in stage.items()}
+            jobs = {t: pool.submit(lambda t=t: build(spark, t, frames[t](), out)) for t in stage}
             rows.update({t: job.result() for t, job in jobs.items()})
     return rows
 

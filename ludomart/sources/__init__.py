@@ -1,14 +1,13 @@
-from ludomart.sources.readers import read_csv, read_json_arrays, read_table, read_xml
+from ludomart.sources.readers import read_csv, read_json_arrays, read_xml
 from ludomart.sources.sinks import (
-    publish,
     write_csv,
     write_json_arrays,
     write_table,
 )
+from ludomart.sources.snapshots import read_table
 from ludomart.sources.split import read_csv_split, read_json_split
 
 __all__ = [
-    "publish",
     "read_csv",
     "read_csv_split",
     "read_json_arrays",

@@ -82,9 +82,3 @@ def json_columns(schema: str, within: str | None = None) -> list[Column]:
 def read_xml(spark: SparkSession, path: str, row_tag: str, schema: str) -> DataFrame:
     """One row per ``row_tag`` element; attributes arrive with a leading underscore."""
     return spark.read.schema(schema).format("xml").option("rowTag", row_tag).load(path)
-
-
-def read_table(spark: SparkSession, root: str, table: str, *columns: str) -> DataFrame:
-    """A published table, narrowed to ``columns`` (the scan reads only those)."""
-    df = spark.read.parquet(f"{root.rstrip('/')}/{table}.parquet")
-    return df.select(*columns) if columns else df

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 # Rows per unsplittable landing file, and the most rows and characters gathered into one
@@ -14,40 +14,24 @@ ROWS_PER_FILE = 5_000
 CHARS_PER_FILE = 32 << 20
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Overwrite a Parquet table partitioned by column.
+def write_table(
+    df: DataFrame, path: str, partition_by: Sequence[str], metrics: Sequence[Column] = ()
+) -> dict[str, int]:
+    """Overwrite a Parquet table partitioned by column; the values of ``metrics`` over it.
+
+    Metrics are observed in the stage that writes, where each partition counts once, so that
+    nothing has to be read back for them.
 
     ``rebalance`` brings the rows of a partition value together, so few files are
     written, but AQE splits a value that holds too many rows (a hot month, the
     games without a year) over several tasks; ``repartition`` would not.
     """
-    (
-        df.hint("rebalance", *partition_by)
-        .write.mode("overwrite")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
-
-
-def publish(spark: SparkSession, staged: str, target: str) -> None:
-    """Put a checked staging folder in the place of the published one."""
-    jvm = spark._jvm.org.apache.hadoop.fs
-    source, dest, old = jvm.Path(staged), jvm.Path(target), jvm.Path(f"{target}.old")
-    fs = dest.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(dest.getParent())
-    if fs.exists(dest):
-        fs.delete(old, True)
-        if not fs.rename(dest, old):
-            raise OSError(f"cannot move {target} aside")
-    try:
-        moved, cause = fs.rename(source, dest), None
-    except Exception as error:  # some file systems raise where others return false
-        moved, cause = False, error
-    if not moved:
-        if fs.exists(old):  # the table that was there comes back
-            fs.rename(old, dest)
-        raise OSError(f"cannot publish {staged} as {target}") from cause
-    fs.delete(old, True)
+    df = df.hint("rebalance", *partition_by)
+    seen = Observation()
+    if metrics:
+        df = df.observe(seen, *metrics)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return seen.get if metrics else {}
 
 
 def write_csv(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:

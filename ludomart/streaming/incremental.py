@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,9 +11,15 @@ from ludomart.plans import facts
 from ludomart.schemas import ATLAS_REVIEWS, PARTITIONS
 
 
-def _table_exists(spark: SparkSession, path: str) -> bool:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+def _known_ids(spark: SparkSession, path: str) -> DataFrame | None:
+    """Ids in the table; none if there is no table yet. Not every committer leaves a marker
+    file: the folder itself is asked for."""
+    try:
+        return spark.read.schema("review_id STRING").parquet(path).select(F.col("review_id").alias("id"))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def incremental_reviews(
@@ -41,10 +48,7 @@ def incremental_reviews(
         unread = batch.filter(F.col("id").isNotNull() & parse_iso(F.col("createdAt")).isNull())
         unread.write.mode("overwrite").json(f"{rejects}/batch={number}")
         fresh = batch
-        # Not every committer leaves a marker file: the folder itself is asked for.
-        if _table_exists(spark, target):
-            known = spark.read.schema("review_id STRING").parquet(target)
-            known = known.select(F.col("review_id").alias("id"))
+        if (known := _known_ids(spark, target)) is not None:
             fresh = batch.join(known, "id", "left_anti")
         rows = facts.reviews(fresh, games, bgg, users).filter(F.col("review_datetime").isNotNull())
         (

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from ludomart import schemas as S
 from ludomart.plans import landing
 from ludomart.sources import (
-    publish,
     read_csv,
     read_json_arrays,
     read_table,
     read_xml,
+    snapshots,
     write_csv,
     write_json_arrays,
     write_table,
@@ -87,7 +87,9 @@ def test_json_objects_arrays_and_missing_fields(spark, tmp_path):
 
 def test_table_round_trip_with_null_partition(spark, tmp_path):
     df = spark.createDataFrame([(1, 1999), (2, None), (3, -3500)], "id INT, year INT")
-    write_table(df, f"{tmp_path}/t.parquet", ["year"])
+    snapshot = snapshots.begin(spark, str(tmp_path), "t")
+    write_table(df, snapshot.path, ["year"])
+    snapshots.commit(spark, snapshot, 3)
     assert rows(read_table(spark, str(tmp_path), "t")) == rows(df)
     plan = read_table(spark, str(tmp_path), "t", "id").filter("year = 1999")
     assert "PartitionFilters: [isnotnull(year" in plan._jdf.queryExecution().toString()
@@ -104,22 +106,6 @@ def test_write_splits_a_hot_partition_value(spark, settings, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/t").count() == 90_000
 
 
-def test_publish_puts_the_old_table_back(spark, tmp_path):
-    spark.range(3).write.parquet(f"{tmp_path}/stage")
-    publish(spark, f"{tmp_path}/stage", f"{tmp_path}/t.parquet")
-    with pytest.raises(OSError):
-        publish(spark, f"{tmp_path}/absent", f"{tmp_path}/t.parquet")
-    assert spark.read.parquet(f"{tmp_path}/t.parquet").count() == 3
-
-
-def test_publish_replaces(spark, tmp_path):
-    for n in (1, 2):
-        spark.range(n).write.parquet(f"{tmp_path}/stage{n}")
-        publish(spark, f"{tmp_path}/stage{n}", f"{tmp_path}/out/t.parquet")
-    assert read_table(spark, f"{tmp_path}/out", "t").count() == 2
-    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["t.parquet"]
-
-
 GAMES_XML = """<boardgames>
 <boardgame objectid="1"><yearpublished>1999</yearpublished><minplayers>2</minplayers>
 <maxplayers>4</maxplayers><minplaytime>10</minplaytime><maxplaytime>20</maxplaytime><age>8</age>
