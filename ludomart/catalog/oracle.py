@@ -406,6 +406,12 @@ _STATEMENTS = {
     "fact_lists": "SELECT * FROM lists",
     "dim_time": f"SELECT datetime, {_CALENDAR.format(t='datetime')} FROM kept_stamps",
     "mart_summary": _TABLE_COUNTS,
+    "mart_from_harvest": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS n_rows, count(DISTINCT {k}) AS n_keys,"
+        f" CAST(sum({'epoch(datetime)' if t == 'time' else 'length(user_name)' if t == 'users' else 'length(game_name)'})"
+        f" AS BIGINT) AS carried FROM {'kept_stamps' if t == 'time' else t}"
+        for t, k in TABLE_KEYS.items()
+    ),
     "dq_report": "SELECT * FROM price_report",
     "dq_gate_summary": f"""SELECT table_name, count(*) AS total_checks,
         count(*) FILTER (passed) AS passed_checks, count(*) FILTER (NOT passed) AS failed_checks,

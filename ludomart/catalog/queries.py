@@ -22,7 +22,7 @@ from ludomart.functions import (
 )
 from ludomart.operators import batch_ids, dedupe_name, dedupe_pk, dense_id, lookup, profile, quality
 from ludomart.operators.ordering import ordered_blocks
-from ludomart.plans import dims, facts, insights, landing, pipeline
+from ludomart.plans import dims, facts, harvest, insights, landing, pipeline
 from ludomart.session import tune, workspace
 from ludomart.sources import (
     read_csv_split,
@@ -720,8 +720,8 @@ def in_texts(df: DataFrame, *keys: str) -> DataFrame:
     return blocks.withColumn("_text", F.expr(f"_pos div {ROWS_PER_TEXT}"))
 
 
-@query
-def xml_list_items(spark, d):
+def list_documents(spark: SparkSession, d: str) -> DataFrame:
+    """(_id, item): lists with their items."""
     item = F.struct(
         F.col("objtype").alias("_subtype"),
         F.col("game_id").alias("_objectid"),
@@ -730,19 +730,66 @@ def xml_list_items(spark, d):
         F.col("postdate").alias("_postdate"),
         F.col("bodytext").alias("body"),
     )
-    documents = (
+    return (
         in_texts(fx.raw_lists(spark, d), "geeklist_id", "user")
         .groupBy("geeklist_id", "_block", "_text")
         .agg(F.collect_list(item).alias("item"))
-        .select(
-            F.to_xml(
-                F.struct(F.col("geeklist_id").alias("_id"), "item"), {"rowTag": "geeklist"}
-            ).alias("value")
-        )
+        .select(F.col("geeklist_id").alias("_id"), "item")
     )
+
+
+@query
+def xml_list_items(spark, d):
+    lists = list_documents(spark, d)
+    documents = lists.select(F.to_xml(F.struct("_id", "item"), {"rowTag": "geeklist"}).alias("value"))
     return landing.xml_list_items(documents)
 
 
+def harvest_payloads(spark: SparkSession, d: str) -> str:
+    """XML and nested JSON as the two sources hand them out; their folder."""
+    root = workspace(spark, "harvest")
+    games = fx.raw_bgg_games(spark, d).filter(F.col("datetime_extracted").startswith("15/"))
+    value = F.struct(F.col("name").alias("_VALUE"), F.lit("true").alias("_primary"))
+    tags = {"artist": "artist", "category": "category", "designer": "designer", "family": "family", "mechanic": "mechanic", "publisher": "publisher"}
+    xml = games.select(
+        F.col("bgg_id").alias("_objectid"),
+        F.array(value).alias("name"),
+        *["maxplayers", "maxplaytime", "age", "minplayers", "minplaytime"],
+        F.col("year_published").alias("yearpublished"),
+        *[F.array(c).alias(f"boardgame{tag}") for c, tag in tags.items()],
+        F.struct(F.struct(F.col("users_rated").alias("usersrated"), F.col("average_rating").alias("average")).alias("ratings")).alias("statistics"),
+    )
+    xml.write.format("xml").option("rowTag", "boardgame").option("rootTag", "boardgames").save(f"{root}/bgg/games")
+    lists = list_documents(spark, d)
+    lists.write.format("xml").option("rowTag", "geeklist").option("rootTag", "lists").save(f"{root}/bgg/lists")
+    write_json_arrays(fx.raw_accounts(spark, d), f"{root}/atlas/users")
+    write_json_arrays(fx.raw_atlas_games(spark, d), f"{root}/atlas/games")
+    write_json_arrays(fx.raw_nested_reviews(spark, d), f"{root}/atlas/reviews")
+    price_payloads(spark, d).write.text(f"{root}/atlas/prices")
+    return root
+
+
+@query
+def mart_from_harvest(spark, d):
+    """From XML and nested JSON through the dumps to the published tables: rows of each, its
+    distinct keys, and a sum over the names or dates that came all the way."""
+    raw, out = workspace(spark, "raw"), workspace(spark, "mart")
+    harvest.run(spark, harvest_payloads(spark, d), raw, "15/01/2023 10:30:00")
+    pipeline.run(spark, raw, out)
+    carried = {t: F.length("game_name") for t in S.TABLES if "game_name" in S.TABLES[t]}
+    carried |= {"users": F.length("user_name"), "time": F.unix_timestamp("datetime")}
+    counts = [
+        read_table(spark, out, t).agg(
+            F.lit(t).alias("table_name"),
+            F.count(F.lit(1)).alias("n_rows"),
+            F.countDistinct(quality.TABLE_KEYS[t]).alias("n_keys"),
+            F.sum(carried[t].cast("long")).alias("carried"),
+        )
+        for t in S.TABLES
+    ]
+    return landing.union_parts(*counts)
+
+
 @query
 def land_csv(spark, d):
     """Two harvest batches, one without the years, to one CSV dump and back."""
@@ -770,11 +817,11 @@ def distinct_game_ids(spark, d):
     return landing.distinct_game_ids(fx.raw_reviews(spark, d))
 
 
-@query
-def explode_prices(spark, d):
+def price_payloads(spark: SparkSession, d: str) -> DataFrame:
+    """(payload): maps of category to prices, as text."""
     raw = fx.raw_prices(spark, d)
     price = F.struct(*[c for c in raw.columns if c != "price_category"])
-    payloads = (
+    return (
         in_texts(raw, "name", "id")
         .groupBy("_block", "_text", "price_category")
         .agg(F.collect_list(price).alias("_prices"))
@@ -782,7 +829,11 @@ def explode_prices(spark, d):
         .agg(F.map_from_entries(F.collect_list(F.struct("price_category", "_prices"))).alias("_map"))
         .select(F.to_json("_map").alias("payload"))
     )
-    return landing.explode_prices(payloads)
+
+
+@query
+def explode_prices(spark, d):
+    return landing.explode_prices(price_payloads(spark, d))
 
 
 @query

@@ -52,11 +52,15 @@ def xml_games(games: DataFrame) -> DataFrame:
 
 
 def xml_list_items(documents: DataFrame, text: str = "value") -> DataFrame:
-    """One row per item of each list document, the list id pushed down. Items without
-    attributes are skipped."""
-    parsed = documents.select(F.from_xml(F.col(text), XML_LIST).alias("list"))
+    """One row per item of each list document, given as text."""
+    return list_items(documents.select(F.from_xml(F.col(text), XML_LIST).alias("list")).select("list.*"))
+
+
+def list_items(lists: DataFrame) -> DataFrame:
+    """One row per item of each list of ``schemas.XML_LIST``, the list id pushed down. Items
+    without attributes are skipped."""
     return (
-        parsed.select(F.col("list._id").alias("geeklist_id"), F.explode("list.item").alias("item"))
+        lists.select(F.col("_id").alias("geeklist_id"), F.explode("item").alias("item"))
         .filter(
             F.coalesce(
                 F.col("item._subtype"),

@@ -5,12 +5,13 @@ from ludomart.sources.sinks import (
     write_table,
 )
 from ludomart.sources.snapshots import read_table
-from ludomart.sources.split import read_csv_split, read_json_split
+from ludomart.sources.split import read_csv_split, read_json_objects, read_json_split
 
 __all__ = [
     "read_csv",
     "read_csv_split",
     "read_json_arrays",
+    "read_json_objects",
     "read_json_split",
     "read_table",
     "read_xml",

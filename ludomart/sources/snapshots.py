@@ -1,7 +1,7 @@
 """Published tables as immutable snapshots and a log that says which one is current.
 
-    root/table/000007-3f2a9c1e/    a snapshot: Parquet, written once, never renamed
-    root/_manifests/table/         the log: one small JSON file for each step
+    root/table/20260102T030405123456-3f2a9c1e/    a snapshot: Parquet, written once, never renamed
+    root/_manifests/table/                        the log: one small JSON file for each step
 
 A publisher notes that a snapshot has begun, writes it, and notes that it is published. Spark's
 append makes a note visible at once or not at all, so a reader finds the old table or the new
@@ -20,8 +20,9 @@ from datetime import UTC, datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
-NOTE = "version LONG, snapshot STRING, state STRING, n_rows LONG, noted_at TIMESTAMP"
+NOTE = "snapshot STRING, state STRING, n_rows LONG, noted_at TIMESTAMP"
 KEEP = 2
 
 
@@ -29,7 +30,6 @@ KEEP = 2
 class Snapshot:
     root: str
     table: str
-    version: int
     name: str
 
     @property
@@ -49,12 +49,18 @@ def history(spark: SparkSession, root: str, table: str) -> list[Row]:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return []
-    return sorted(notes, key=lambda n: (n.version, n.snapshot, n.noted_at))
+    return sorted(notes, key=lambda n: (n.noted_at, n.snapshot))
 
 
 def _note(spark: SparkSession, snapshot: Snapshot, state: str, rows: int | None = None) -> None:
-    note = (snapshot.version, snapshot.name, state, rows, datetime.now(UTC))
-    spark.createDataFrame([note], NOTE).coalesce(1).write.mode("append").json(_log(snapshot.root, snapshot.table))
+    values = (
+        F.lit(snapshot.name).alias("snapshot"),
+        F.lit(state).alias("state"),
+        F.lit(rows).cast("long").alias("n_rows"),
+        F.lit(datetime.now(UTC)).alias("noted_at"),
+    )
+    # A range of one row and one partition: a single task writes a single file.
+    spark.range(0, 1, 1, 1).select(*values).write.mode("append").json(_log(snapshot.root, snapshot.table))
 
 
 def _published(notes: list[Row]) -> list[Row]:
@@ -65,8 +71,8 @@ def _published(notes: list[Row]) -> list[Row]:
 
 def begin(spark: SparkSession, root: str, table: str) -> Snapshot:
     """A new snapshot to write to."""
-    version = max((n.version for n in history(spark, root, table)), default=0) + 1
-    snapshot = Snapshot(root.rstrip("/"), table, version, f"{version:06d}-{uuid.uuid4().hex[:8]}")
+    name = f"{datetime.now(UTC):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+    snapshot = Snapshot(root.rstrip("/"), table, name)
     _note(spark, snapshot, "begun")
     return snapshot
 
@@ -79,7 +85,7 @@ def commit(spark: SparkSession, snapshot: Snapshot, rows: int, keep: int = KEEP)
 
 def discard(spark: SparkSession, snapshot: Snapshot) -> None:
     """Empty a snapshot and note that it is gone."""
-    spark.createDataFrame([], "gone BOOLEAN").write.mode("overwrite").parquet(snapshot.path)
+    spark.range(0, 0, 1, 1).write.mode("overwrite").parquet(snapshot.path)
     _note(spark, snapshot, "expired")
 
 
@@ -92,10 +98,10 @@ def expire(spark: SparkSession, root: str, table: str, keep: int = KEEP) -> list
         return []
     kept = {n.snapshot for n in published[-max(keep, 1) :]}
     gone = {n.snapshot for n in notes if n.state == "expired"}
-    old = {n.snapshot: n.version for n in notes if n.snapshot not in kept | gone and n.version <= published[-1].version}
-    for name, version in old.items():
-        discard(spark, Snapshot(root.rstrip("/"), table, version, name))
-    return sorted(old)
+    old = sorted({n.snapshot for n in notes if n.noted_at <= published[-1].noted_at} - kept - gone)
+    for name in old:
+        discard(spark, Snapshot(root.rstrip("/"), table, name))
+    return old
 
 
 def current(spark: SparkSession, root: str, table: str) -> str:
@@ -103,8 +109,7 @@ def current(spark: SparkSession, root: str, table: str) -> str:
     published = _published(history(spark, root, table))
     if not published:
         raise FileNotFoundError(f"no table {table} is published below {root}")
-    last = published[-1]
-    return Snapshot(root.rstrip("/"), table, last.version, last.snapshot).path
+    return Snapshot(root.rstrip("/"), table, published[-1].snapshot).path
 
 
 def read_table(spark: SparkSession, root: str, table: str, *columns: str) -> DataFrame:

@@ -337,3 +337,9 @@ def read_json_split(
     parsed = records.select("file", F.from_json("value", raw).alias("row"))
     kept = [F.col("file").alias(file)] if file else []
     return parsed.select(*json_columns(schema, "row"), *kept)
+
+
+def read_json_objects(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
+    """(file, value): the text of every object of such files, for payloads whose fields are
+    not known ahead."""
+    return _records(_pieces(spark, path, _JSON, recursive), _JSON).drop("first")
