@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -28,6 +30,27 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free(df: DataFrame, *names: str) -> list[str]:
+    """``names`` for columns of one's own, with underscores before those that ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
+def share(spark: SparkSession, value):
+    """A broadcast of an object of this subpackage, which ``shared`` gives back. It travels by
+    value, as the workers may lack the package; plain broadcasts go by reference."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def shared(broadcast):
+    return pickle.loads(broadcast.value)
+
+
 def fold_of(column: str, n: int) -> Column:
     """crc32 of the id as text, modulo ``n``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % F.lit(n)
@@ -157,18 +180,19 @@ def maybe_in(df: DataFrame, key: str, shared, inside: bool = True) -> DataFrame:
     """Rows of ``df`` whose key has its bits set in a ``key_filter`` (or those whose has not):
     no shuffle, and few rows too many where keys are few against the bits."""
     bits = FILTER_BITS
+    (hashed,) = free(df, "_k")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
         words = shared.value
         for batch in batches:
-            h = batch.column("_k").to_numpy()
+            h = batch.column(hashed).to_numpy()
             hit = np.ones(len(h), bool)
             for b in (np.mod(h, bits), np.mod(h >> 32, bits)):
                 hit &= (words[b >> 5] >> (b & 31).astype(np.uint32)) & np.uint32(1) == 1
             part = batch.filter(pa.array(hit if inside else ~hit))
             if part.num_rows:
-                yield part.drop_columns(["_k"])
+                yield part.drop_columns([hashed])
 
-    return df.withColumn("_k", F.xxhash64(F.col(f"`{key}`"))).mapInArrow(run, df.schema)
+    return df.withColumn(hashed, F.xxhash64(F.col(f"`{key}`"))).mapInArrow(run, df.schema)

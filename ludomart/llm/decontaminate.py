@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField
 
-from ludomart.llm.common import keep_where, with_columns
+from ludomart.llm.common import free, keep_where, with_columns
 from ludomart.llm.words import ALNUM, words
 
 WINDOW = 10
@@ -244,8 +244,9 @@ def search(
 
 def _pass(docs: DataFrame, text: str, shared, keep: list[str], again: bool) -> DataFrame:
     names = [f.name for f in FIELDS]
+    (so_far,) = free(docs, "_found")
     if again:  # what earlier passes found comes in as one column
-        docs = docs.withColumn("_found", F.struct(*names)).drop(*names)
+        docs = docs.withColumn(so_far, F.struct(*names)).drop(*names)
 
     def make() -> Callable[[pa.RecordBatch], dict[str, pa.Array]]:
         work = _search(Items(*shared.value))
@@ -253,7 +254,7 @@ def _pass(docs: DataFrame, text: str, shared, keep: list[str], again: bool) -> D
         def step(part: pa.RecordBatch) -> dict[str, pa.Array]:
             before = None
             if again:
-                flat = part.column("_found").flatten()
+                flat = part.column(so_far).flatten()
                 before = dict(zip(names, flat, strict=True))
             return work(part, text, before)
 
@@ -261,7 +262,7 @@ def _pass(docs: DataFrame, text: str, shared, keep: list[str], again: bool) -> D
 
     if not again:
         return with_columns(docs, text, FIELDS, make, keep, SHARD_BYTES)
-    return with_columns(docs, text, FIELDS, make, [*keep, "_found"], SHARD_BYTES).drop("_found")
+    return with_columns(docs, text, FIELDS, make, [*keep, so_far], SHARD_BYTES).drop(so_far)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **kwargs) -> DataFrame:

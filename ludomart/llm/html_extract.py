@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from ludomart.llm.common import stored, with_columns
+from ludomart.llm.common import free, stored, with_columns
 from ludomart.llm.decontaminate import suffix_array
 from ludomart.llm.words import SPACE, words
 
@@ -278,34 +278,35 @@ def extract(
     kept = [c for c in (pages.columns if keep is None else keep) if c not in ("text", "n_chars")]
     host = F.regexp_extract(F.coalesce(F.col(f"`{url}`"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)
     size = F.coalesce(F.octet_length(F.col(f"`{html}`")), F.lit(0)).cast("long")
-    pages = pages.withColumn("_host", host)
+    host_, n_, shard_, texts_, kinds_ = free(pages, "_host", "_n", "_shard", "_texts", "_kinds")
+    pages = pages.withColumn(host_, host)
     # Written first: Spark then knows its size and joins it in place if it is small, so that
     # the pages of a large host are not brought together for the join.
-    shards = pages.groupBy("_host").agg(F.ceil(F.sum(size) / shard_bytes).alias("_n")).where("_n > 1")
+    shards = pages.groupBy(host_).agg(F.ceil(F.sum(size) / shard_bytes).alias(n_)).where(F.col(n_) > 1)
     shards = stored(shards, "hosts")
 
     def make():
         def work(part: pa.RecordBatch) -> dict[str, pa.Array]:
             rows = [blocks(h) if h else [] for h in part.column(html).to_pylist()]
             return {
-                "_texts": pa.array([[t for t, _ in r] for r in rows], pa.list_(pa.string())),
-                "_kinds": pa.array([[k for _, k in r] for r in rows], pa.list_(pa.int32())),
+                texts_: pa.array([[t for t, _ in r] for r in rows], pa.list_(pa.string())),
+                kinds_: pa.array([[k for _, k in r] for r in rows], pa.list_(pa.int32())),
             }
 
         return work
 
-    fields = [StructField("_texts", ArrayType(StringType())), StructField("_kinds", ArrayType(IntegerType()))]
-    names = list(dict.fromkeys([*kept, key, "_host"]))
+    fields = [StructField(texts_, ArrayType(StringType())), StructField(kinds_, ArrayType(IntegerType()))]
+    names = list(dict.fromkeys([*kept, key, host_]))
     parsed = with_columns(pages, html, fields, make, names)
-    shard = F.pmod(F.xxhash64(F.col(f"`{key}`")), F.coalesce("_n", F.lit(1)))
-    parsed = parsed.join(shards, "_host", "left").withColumn("_shard", shard).drop("_n")
+    shard = F.pmod(F.xxhash64(F.col(f"`{key}`")), F.coalesce(n_, F.lit(1)))
+    parsed = parsed.join(shards, host_, "left").withColumn(shard_, shard).drop(n_)
     out = StructType([*(pages.schema[c] for c in kept), StructField("text", StringType()), StructField("n_chars", LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = pa.Table.from_batches(list(batches)).combine_chunks()
         ids = shard.column(key).combine_chunks().dictionary_encode("encode")
         page = (ids.chunk(0) if isinstance(ids, pa.ChunkedArray) else ids).indices.to_numpy(zero_copy_only=False)
-        texts = _choose(shard.column("_texts").to_pylist(), shard.column("_kinds").to_pylist(), page, min_words)
+        texts = _choose(shard.column(texts_).to_pylist(), shard.column(kinds_).to_pylist(), page, min_words)
         yield pa.RecordBatch.from_arrays(
             [shard.column(c).combine_chunks() for c in kept]
             + [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
@@ -313,6 +314,6 @@ def extract(
         )
 
     # Dealt by both: a join by host alone would satisfy the grouping, with a host in one task.
-    parsed = parsed.select(*names, "_shard", "_texts", "_kinds").repartition("_host", "_shard")
-    grouped = parsed.groupBy("_host", "_shard")
+    parsed = parsed.select(*[f"`{c}`" for c in names], shard_, texts_, kinds_).repartition(host_, shard_)
+    grouped = parsed.groupBy(host_, shard_)
     return grouped.applyInArrow(run, out)

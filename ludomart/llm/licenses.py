@@ -19,6 +19,8 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ludomart.llm.common import free
+
 # Word characters are digits, letters, and everything beyond ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -239,19 +241,20 @@ def scan(df: DataFrame, text: str = "text", base: tuple = BASE) -> DataFrame:
     none = F.lit(None).cast(
         f"struct<n:bigint,first:bigint,last:bigint,base:array<string>,spans:array<struct<{HIT}>>>"
     )
-    df = df.withColumn("_scan", F.when(_gated(raw, base), _let(norm, all_of)).otherwise(none))
-    labels = F.coalesce("_scan.base", F.array().cast("array<string>"))
-    spans = F.coalesce("_scan.spans", F.array().cast(f"array<struct<{HIT}>>"))
+    (scan_,) = free(df, "_scan")
+    df = df.withColumn(scan_, F.when(_gated(raw, base), _let(norm, all_of)).otherwise(none))
+    labels = F.coalesce(f"{scan_}.base", F.array().cast("array<string>"))
+    spans = F.coalesce(f"{scan_}.spans", F.array().cast(f"array<struct<{HIT}>>"))
     strongest = F.greatest(
         F.coalesce(F.array_max(F.transform(spans, lambda x: x["weight"])), F.lit(0.0)),
-        F.when(F.col("_scan.n") > 0, F.lit(BASE_WEIGHT)).otherwise(F.lit(0.0)),
+        F.when(F.col(f"{scan_}.n") > 0, F.lit(BASE_WEIGHT)).otherwise(F.lit(0.0)),
     )
     return df.withColumns(
         {
             "n_words": F.regexp_count(raw, F.lit(WORD)).cast("long"),
-            "n_base": F.coalesce("_scan.n", F.lit(0).cast("long")),
-            "first_word": F.col("_scan.first"),
-            "last_word": F.col("_scan.last"),
+            "n_base": F.coalesce(f"{scan_}.n", F.lit(0).cast("long")),
+            "first_word": F.col(f"{scan_}.first"),
+            "last_word": F.col(f"{scan_}.last"),
             "base_labels": F.array_join(F.array_sort(F.array_distinct(labels)), ","),
             "spans": spans,
             "labels": F.array_join(
@@ -259,4 +262,4 @@ def scan(df: DataFrame, text: str = "text", base: tuple = BASE) -> DataFrame:
             ),
             "score": strongest.cast("double"),
         }
-    ).drop("_scan")
+    ).drop(scan_)

@@ -101,8 +101,14 @@ def mix(
     count = tokens_of(F.col(f"`{text}`")) if tokens is None else tokens
     names = [f"_{n}" for n in levels]
     node = {f"_{n}": F.coalesce(F.concat(F.lit("="), e.cast("string")), F.lit("-")) for n, e in levels.items()}
-    docs = docs.drop(*NEW)
-    docs = docs.withColumns({"_key": F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")), **node, "n_tokens": count})
+    kept = [c for c in docs.columns if c.lower() not in NEW]
+    # The columns of the documents travel as one, so that their names meet none of those below.
+    docs = docs.select(
+        F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`").alias(f"_{c}") for c in kept]).alias("_row"),
+        F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")).alias("_key"),
+        *[e.alias(n) for n, e in node.items()],
+        count.alias("n_tokens"),
+    )
     narrow = stored(docs.select("_key", "n_tokens", *names), "mixing")
     leaves = narrow.groupBy(*names).agg(F.sum("n_tokens").alias("tokens"))
     leaves = budgets(leaves, list(levels), weights or {}, budget, share, epochs)
@@ -147,7 +153,8 @@ def mix(
             "copies": (F.col("_full") + F.when(taken, 1).otherwise(0)).cast("int"),
         }
     )
-    return out.select(*[f"`{c}`" for c in docs.columns if c not in [*names, "_key"]], "leaf_tokens", "leaf_budget", "copies")
+    own = [F.col("_row").getField(f"_{c}").alias(c) for c in kept]
+    return out.select(*own, "n_tokens", "leaf_tokens", "leaf_budget", "copies")
 
 
 def expand(mixed: DataFrame) -> DataFrame:

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ludomart.llm.common import components, key_filter, maybe_in, steps, stored
+from ludomart.llm.common import components, free, key_filter, maybe_in, steps, stored
 from ludomart.llm.words import SPACE, mix, shingles, words
 
 SHINGLE = 5
@@ -587,7 +587,8 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     nothing; repeated rows of an id stay as they are."""
     gone = stored(link(docs, key, text).where("doc_id <> component_id").select("doc_id").distinct(), "gone")
     shared = key_filter(gone, "doc_id")
-    own = docs.withColumn("_id", F.col(f"`{key}`").cast("long"))
-    sure = maybe_in(own, "_id", shared, inside=False)
-    rest = maybe_in(own, "_id", shared).join(gone.toDF("_id"), "_id", "left_anti")
-    return sure.unionByName(rest).drop("_id")
+    (number,) = free(docs, "_id")
+    own = docs.withColumn(number, F.col(f"`{key}`").cast("long"))
+    sure = maybe_in(own, number, shared, inside=False)
+    rest = maybe_in(own, number, shared).join(gone.toDF(number), number, "left_anti").select(own.columns)
+    return sure.unionByName(rest).drop(number)

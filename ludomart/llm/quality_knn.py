@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField
 
-from ludomart.llm.common import with_columns
+from ludomart.llm.common import share, shared, with_columns
 from ludomart.llm.words import SPACE, bytes_of, words
 
 TERMS = 4096
@@ -191,10 +191,10 @@ FIELDS = [StructField("score", DoubleType()), StructField("predicted", IntegerTy
 
 def score(docs: DataFrame, model: Model | None, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``docs`` (or their columns ``keep``) with score and predicted."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    sent = share(docs.sparkSession, model)
 
     def make() -> Callable[[pa.RecordBatch], dict[str, pa.Array]]:
-        own = shared.value
+        own = shared(sent)
 
         def work(part: pa.RecordBatch) -> dict[str, pa.Array]:
             p = np.full(part.num_rows, 0.5) if own is None else own.score(part.column(text))

@@ -83,10 +83,13 @@ def assign(
     shard_bytes and shard_rows of its bucket. ``size`` names a column of bytes to use instead
     of the text's length."""
     new = ("shard_id", "shard_depth", "shard_bytes", "shard_rows")
-    df = df.drop(*new)
+    kept = [c for c in df.columns if c.lower() not in new]
     bytes_ = F.octet_length(F.col(f"`{text}`")) if size is None else F.col(f"`{size}`")
-    df = df.withColumns(
-        {"_h": key_hash(F.col(f"`{key}`")), "_size": F.coalesce(bytes_.cast("long"), F.lit(0).cast("long"))}
+    # The columns of the frame travel as one, so that their names meet none of those below.
+    df = df.select(
+        F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`").alias(f"_{c}") for c in kept]).alias("_row"),
+        key_hash(F.col(f"`{key}`")).alias("_h"),
+        F.coalesce(bytes_.cast("long"), F.lit(0).cast("long")).alias("_size"),
     )
     sizes = stored(df.select(F.col("_h").alias("h"), F.col("_size").alias("size")), "sizes")
     tables = directory(sizes, limit)
@@ -109,7 +112,7 @@ def assign(
     ).drop("_leaf")
     if len(tables) * PASS_BITS >= HASH_BITS:
         df = _paged(df, limit)
-    return df.drop("_h", "_size")
+    return df.select(*[F.col("_row").getField(f"_{c}").alias(c) for c in kept], *new)
 
 
 def _paged(df: DataFrame, limit: int) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField
 
-from ludomart.llm.common import keep_where, with_columns
+from ludomart.llm.common import keep_where, share, shared, with_columns
 
 SAMPLE_ROWS = 20_000
 LEXICON_TERMS = 4_000
@@ -265,10 +265,10 @@ def _exceptions(counts: DataFrame, terms: dict[str, float], n1: int, n0: int) ->
 def _fit(lexicon: Lexicon, sample: DataFrame) -> None:
     """The logistic curve over the densities of the sample: two numbers by Newton's method on
     a histogram of the densities."""
-    shared = sample.sparkSession.sparkContext.broadcast(lexicon)
+    sent = share(sample.sparkSession, lexicon)
 
     def densities(batches):
-        score = shared.value.matcher()
+        score = shared(sent).matcher()
         for batch in batches:
             x = [score(t)[0] for t in batch.column("_text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -306,10 +306,10 @@ FIELDS = [
 
 def score(docs: DataFrame, lexicon: Lexicon, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``docs`` (or their columns ``keep``) with toxic_terms, n_words, score, predicted."""
-    shared = docs.sparkSession.sparkContext.broadcast(lexicon)
+    sent = share(docs.sparkSession, lexicon)
 
     def make() -> Callable[[pa.RecordBatch], dict[str, pa.Array]]:
-        own = shared.value
+        own = shared(sent)
         find = own.matcher()
 
         def work(part: pa.RecordBatch) -> dict[str, pa.Array]:
@@ -329,10 +329,10 @@ def score(docs: DataFrame, lexicon: Lexicon, text: str = "text", keep: list[str]
 
 def clean(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic."""
-    shared = docs.sparkSession.sparkContext.broadcast(lexicon)
+    sent = share(docs.sparkSession, lexicon)
 
     def make() -> Callable[[pa.RecordBatch], list]:
-        own = shared.value
+        own = shared(sent)
         find = own.matcher()
         return lambda part: [own.probability(find(t or "")[0]) < 0.5 for t in part.column(text).to_pylist()]
 
