@@ -33,6 +33,8 @@ HEADLINE = [
     "dedupe_pk",
     "dq_report",
     "describe_profile",
+    "scan_csv_multiline",
+    "scan_json_nested_glob",
     "sink_parquet_by_month",
     "mart_summary",
     "xml_games",
