@@ -6,9 +6,9 @@ signature of a segment. H and the number of segments hang on a band of set sizes
 so that a set has signatures for its own band and for the one below, where it is the larger
 partner. A segment may instead allow for one difference: its signature and those of its subsets
 with one shingle taken away are indexed, and it counts as two segments. How many segments do so
-is chosen by cost for each band. Segments in which a set has nothing are left out while so many
-others remain that one of them must be equal; sets with more empty segments than that have them
-indexed too. No signature is dropped for being frequent.
+is chosen by cost for each band. Segments in which a set has nothing, or nothing but the shingle taken
+away, are left out while they are fewer than the segments that a pair has equal, so that another
+one of those is equal; sets with more have them indexed too. No signature is dropped for being frequent.
 
 Signatures are packed by range of their value; a group of ranges is sorted in one task, whose
 size the number of ranges bounds. Signatures of one set only end there. What is shared gives
@@ -41,6 +41,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cache
+from math import erfc, exp, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +58,8 @@ NUM, DEN = 3, 4
 RANGE_ROWS = 2_500_000
 # Signatures that a task packs at a time.
 PACK_ROWS = 1_500_000
+# Sets of a range that are numbered in the bits beside a signature.
+PACKED_SETS = 1 << 24
 # Sets of a block in which pairs are checked.
 PAIR_BLOCK = 256
 # Members of a group that are compared in one block.
@@ -65,7 +68,7 @@ BLOCK = 1024
 SMALL = 8
 # Cost of a signature indexed, and of a pair looked at, for the choice of an allocation; share
 # of shingles that unrelated texts have in common.
-ROW_COST, PAIR_COST, COMMON = 1.0, 50.0, 0.05
+ROW_COST, PAIR_COST, COMMON = 1.0, 300.0, 0.1
 
 SETS = "doc_id bigint, n_shingles bigint, fp bigint, sketch binary"
 
@@ -80,29 +83,47 @@ def bands(limit: int = 1 << 40) -> np.ndarray:
 
 
 @cache
-def allocation(band: int) -> tuple[int, int]:
-    """(segments, segments that allow for one difference) of a band: the cheapest pair that
-    covers every difference two sets of the band can have."""
+def allocation(band: int) -> tuple[int, int, int]:
+    """(segments, segments that allow for one difference, segments that are equal in both sets of
+    any pair that links) of a band: the cheapest layout that covers every difference two sets of
+    the band can have."""
     low, high = int(bands()[band]), int(bands()[band + 1]) - 1
     most = high * (DEN - NUM) // NUM  # shingles that differ, for a smaller set of this band
     best = None
     for part in (0.0, 0.25, 0.5, 0.75, 1.0):
-        # More segments than differences, beyond those that are likely to be empty.
         n = max(1, int((most + 1) / (1 + part)))
-        while True:
+        while n <= 3 * low or best is None:
             one = round(n * part)
-            size = low / n
-            none = np.exp(-size)
-            spare = n * none + 3 * np.sqrt(n * none * (1 - none)) if part == 0 else 0
-            if n + one >= most + 1 + spare or (n > 3 * low and n + one > most):
-                break
-            n += max(1, n // 64)
-        rows = n - one + one * (1 + low / n)
-        chance = COMMON ** max(1.0, low / n) * (n - one) + COMMON ** max(1.0, low / n - 1) * one
-        cost = rows * ROW_COST + chance * PAIR_COST
-        if best is None or cost < best[0]:
-            best = cost, n, one
-    return best[1], best[2]
+            equal = _equal(n, one, most)
+            if equal > 0:
+                cost = _cost(low, n, one, equal)
+                if best is None or cost < best[0]:
+                    best = cost, n, one, equal
+            n += max(1, n // 32)
+    return best[1:]
+
+
+def _cost(low: int, n: int, one: int, equal: int) -> float:
+    """Signatures of a set of ``low`` shingles, and what it shares with unrelated sets."""
+    mean = low / n
+    none, nearly = exp(-mean), exp(-mean) * (1 + mean)
+    rows = n * (1 - none) + one * mean * (1 - none)
+    # Unrelated texts share a segment if all that it holds of either is common to both.
+    own = mean * (1 - COMMON)
+    chance = exp(-2 * own) * (1 - exp(-mean * COMMON)) * (n - one + one * (1 + own) ** 2)
+    # Bare segments are indexed by sets that have as many of them as pairs have equal ones.
+    bare = (n - one) * none + one * nearly
+    spread = (n - one) * none * (1 - nearly) + one * nearly * (1 - nearly)
+    many = erfc((equal - bare) / sqrt(2 * spread + 1e-9)) / 2
+    chance += many**2 * ((n - one) * none**2 + one * nearly**2)
+    return rows * ROW_COST + chance * PAIR_COST
+
+
+def _equal(n: int, one: int, most: int) -> int:
+    """Of ``n`` segments, ``one`` of which take two differences to spoil, those that ``most``
+    differences leave."""
+    plain = min(most, n - one)
+    return n - plain - min(one, (most - plain) // 2)
 
 
 class Sets:
@@ -151,7 +172,7 @@ class Sets:
         own_band = np.searchsorted(bands(), self.size, side="right") - 1
         for down in (0, 1):
             band = own_band - down
-            most, segments, single = (_by_band(band, i) for i in range(3))
+            segments, single, equal = (_by_band(band, i) for i in range(3))
             salt = mix(band.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(7))
             ok = (band >= 0)[self.own]
             own, m, s = self.own[ok], self.mixed[ok], self.s[ok]
@@ -165,15 +186,18 @@ class Sets:
             name = mix(seg + salt[own])
             sigs.append(mix(total + name[begin]))
             owners.append(own[begin])
-            # Subsets with one shingle taken away, of the first segments.
+            # Segments in which a set is empty, or would be with one shingle taken away: while they
+            # are fewer than the segments that a pair has equal, another of those is equal.
             low = seg < single[own].astype(np.uint64)
+            at = np.cumsum(head) - 1
+            bare = low & (np.diff(np.append(begin, len(seg)))[at] == 1)
+            filled = np.bincount(own[begin], minlength=len(self.rows))
+            short = (band >= 0) & (segments - filled + np.bincount(own[bare], minlength=len(self.rows)) >= equal)
+            # Subsets with one shingle taken away, of the first segments.
+            low &= ~bare | short[own]
             if low.any():
-                at = (np.cumsum(head) - 1)[low]
-                sigs.append(mix(total[at] - m[low] + name[low]))
+                sigs.append(mix(total[at[low]] - m[low] + name[low]))
                 owners.append(own[low])
-            # Empty segments, where one of them may be the only one that is equal.
-            filled = np.bincount(own[begin], minlength=len(self.rows))
-            short = (band >= 0) & ((single > 0) | (filled <= most))
             for i in np.flatnonzero(short).tolist():
                 lo, hi = np.searchsorted(own[begin], (i, i + 1))
                 empty = np.setdiff1d(np.arange(segments[i], dtype=np.uint64), seg[begin[lo:hi]])
@@ -183,11 +207,10 @@ class Sets:
 
 
 def _by_band(band: np.ndarray, which: int) -> np.ndarray:
-    """For each band: most shingles that differ, segments, segments allowing one difference."""
+    """For each band, a number of its allocation."""
     out = np.zeros(len(band), np.int64)
     for b in np.unique(band[band >= 0]).tolist():
-        most = (int(bands()[b + 1]) - 1) * (DEN - NUM) // NUM
-        out[band == b] = (most, *allocation(b))[which]
+        out[band == b] = allocation(b)[which]
     return out
 
 
@@ -216,7 +239,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return own.mapInArrow(run, SETS)
 
 
-def _packed(docs: DataFrame, key: str, text: str, ranges: int) -> DataFrame:
+def _packed(docs: DataFrame, text: str, ranges: int) -> DataFrame:
     """Signatures of whole texts as arrays by range: the sets, how many each has there, and
     forty bits of each, which within a range tell as many apart as a task sorts: sets that
     agree by chance are told apart when they are checked."""
@@ -289,7 +312,7 @@ def _unpacked(f: pa.Scalar, c: pa.Scalar, x: pa.Scalar) -> tuple[np.ndarray, np.
     return sig.view(np.uint64).ravel(), np.frombuffer(f.as_buffer(), np.int64), np.frombuffer(c.as_buffer(), np.uint32)
 
 
-def shared_signatures(docs: DataFrame, ranges: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+def shared_signatures(docs: DataFrame, ranges: int, text: str = "text", packed_sets: int = PACKED_SETS) -> DataFrame:
     """What signatures of several sets share. Of small groups the pairs: (pair, a, b, n) with the
     number of signatures; of large ones the members: (not pair, a, b, n) with the set, the set of
     its group that shares most (in copies of a text with changes of their own, that is the text),
@@ -306,19 +329,23 @@ def shared_signatures(docs: DataFrame, ranges: int, key: str = "doc_id", text: s
                 counts.append(count)
         fps, place = np.unique(np.concatenate(ids), return_inverse=True)
         # Signature and number of the set in one number, so that one sort brings copies of a
-        # signature together: forty bits and twenty-four.
-        both = np.concatenate(sigs)
-        del sigs
-        both <<= np.uint64(24)
-        both |= np.repeat(place, np.concatenate(counts)).astype(np.uint64)
-        both.sort()
-        new = np.append(True, both[1:] != both[:-1])
-        both = both[new]
-        sig = both >> np.uint64(24)
+        # signature together: forty bits and twenty-four. More sets than that are sorted apart.
+        sig, owner = np.concatenate(sigs), np.repeat(place, np.concatenate(counts))
+        del sigs, ids, counts, place
+        if len(fps) <= packed_sets:
+            sig <<= np.uint64(24)
+            sig |= owner.astype(np.uint64)
+            sig.sort()
+            owner = (sig & np.uint64((1 << 24) - 1)).astype(np.int64)
+            sig >>= np.uint64(24)
+        else:
+            order = np.lexsort((owner, sig))
+            sig, owner = sig[order], owner[order]
+        new = np.append(True, (sig[1:] != sig[:-1]) | (owner[1:] != owner[:-1]))
+        sig, owner = sig[new], owner[new]
         head = np.append(True, sig[1:] != sig[:-1])
         several = ~(head & np.append(head[1:], True))
-        both, sig = both[several], sig[several]
-        owner = (both & np.uint64((1 << 24) - 1)).astype(np.int64)
+        sig, owner = sig[several], owner[several]
         degree = np.bincount(owner, minlength=len(fps))
         begin = np.flatnonzero(np.append(True, sig[1:] != sig[:-1])) if len(sig) else np.empty(0, np.int64)
         size = np.diff(np.append(begin, len(sig)))
@@ -328,9 +355,9 @@ def shared_signatures(docs: DataFrame, ranges: int, key: str = "doc_id", text: s
             at = begin[size == n]
             if len(at):
                 members = owner[at[:, None] + np.arange(n)]
-                found += [(members[:, i] << 24) | members[:, j] for i in range(n) for j in range(i + 1, n)]
+                found += [(members[:, i] << 32) | members[:, j] for i in range(n) for j in range(i + 1, n)]
         pair, common = np.unique(np.concatenate(found), return_counts=True) if found else (owner[:0], owner[:0])
-        yield from _rows(True, fps[pair >> 24], fps[pair & ((1 << 24) - 1)], common)
+        yield from _rows(True, fps[pair >> 32], fps[pair & ((1 << 32) - 1)], common)
         # Of large groups the members, with the least of the sets of the highest degree: one
         # number holds degree and set. The name is told apart by range.
         rank = degree[owner] * (len(fps) + 1) + (len(fps) - owner)
@@ -340,7 +367,7 @@ def shared_signatures(docs: DataFrame, ranges: int, key: str = "doc_id", text: s
         name = (sig.astype(np.int64) << 23) ^ bucket
         yield from _rows(False, fps[owner[large]], fps[lead[large]], name[large])
 
-    packed = _packed(docs, key, text, ranges).repartition(ranges, "bucket")
+    packed = _packed(docs, text, ranges).repartition(ranges, "bucket")
     return packed.groupBy("bucket").applyInArrow(run, SHARED)
 
 
@@ -540,7 +567,10 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     reps = content.select("doc_id", "fp")
     total = content.agg(F.sum("n")).first()[0] or 0
     ranges = max(1, int(total // RANGE_ROWS) + 1)
-    found = stored(shared_signatures(docs, ranges, key, text), "shared")
+    # A text is indexed once, by its representative; what the filter lets by is one set again below.
+    own_text = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("_text"))
+    first_of = maybe_in(own_text, "doc_id", key_filter(reps, "doc_id"))
+    found = stored(shared_signatures(first_of, ranges, "_text"), "shared")
     members = found.where("NOT pair").select(F.col("n").alias("sig"), F.col("a").alias("fp"), F.col("b").alias("lead"))
     sizes = content.select("fp", "n", "sketch")
     both = _in_order(found.where("pair"), "n").groupBy("a", "b").agg(F.sum("n").alias("n"))

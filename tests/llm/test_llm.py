@@ -160,11 +160,37 @@ def test_near_duplicates_of_many_short_texts(spark):
 def test_every_allocation_covers_the_differences():
     for band in range(45):
         most = (int(ngram_join.bands()[band + 1]) - 1) // 3
-        n, one = ngram_join.allocation(band)
+        n, one, equal = ngram_join.allocation(band)
         assert n + one > most
+        # Spoiling is cheapest where one difference does; none of the segments counted is left out.
+        left, spoiled = most, min(most, n - one)
+        spoiled += min(one, (left - spoiled) // 2)
+        assert equal == n - spoiled > 0
     assert any(ngram_join.allocation(b)[1] for b in range(8))
 
 
+def test_sets_of_a_range_beyond_the_packed_numbers(spark):
+    rnd = random.Random(11)
+    base = [" ".join(f"w{rnd.randrange(10**6)}" for _ in range(60)) for _ in range(20)]
+    rows = [(i, f"{base[i % 20]} x{i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = [sorted(map(tuple, ngram_join.shared_signatures(docs, 3, packed_sets=n).collect())) for n in (1 << 24, 10)]
+    assert out[0] == out[1] and len(out[0]) > 300
+
+
+def test_most_of_the_rows_share_signatures(spark):
+    """A third of the sets are copies with changes of their own, another third shares a passage."""
+    rnd = random.Random(12)
+    word = lambda: f"w{rnd.randrange(10**6)}"
+    text, passage = [word() for _ in range(90)], " ".join(word() for _ in range(55))
+    rows = [(i, " ".join([*text[: 3 + i % 40], word(), *text[4 + i % 40 :]])) for i in range(150)]
+    rows += [(i, f"{' '.join(word() for _ in range(rnd.randrange(10, 60)))} {passage}") for i in range(150, 300)]
+    rows += [(i, " ".join(word() for _ in range(rnd.randrange(80)))) for i in range(300, 450)]
+    size, comp = jaccard_components(rows)
+    out = ngram_join.link(spark.createDataFrame(rows, "doc_id long, text string").repartition(7)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == {d: (size[d], comp[d]) for d, _ in rows}
+
+
 def test_sets_that_differ_by_the_limit_share_a_signature():
     rnd = random.Random(2)
     for n in (1, 2, 3, 4, 7, 9, 15, 40, 90, 300, 1200):
