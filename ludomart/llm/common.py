@@ -176,22 +176,28 @@ def key_filter(keys: DataFrame, key: str, bits: int = FILTER_BITS):
     return keys.sparkSession.sparkContext.broadcast(words)
 
 
+def in_filter(hashes: pa.Array, words) -> pa.Array:
+    """Which of the keys with these ``xxhash64`` have their bits set in a ``key_filter``."""
+    import numpy as np
+
+    h = hashes.to_numpy()
+    hit = np.ones(len(h), bool)
+    for b in (np.mod(h, FILTER_BITS), np.mod(h >> 32, FILTER_BITS)):
+        hit &= (words[b >> 5] >> (b & 31).astype(np.uint32)) & np.uint32(1) == 1
+    return pa.array(hit)
+
+
 def maybe_in(df: DataFrame, key: str, shared, inside: bool = True) -> DataFrame:
     """Rows of ``df`` whose key has its bits set in a ``key_filter`` (or those whose has not):
     no shuffle, and few rows too many where keys are few against the bits."""
-    bits = FILTER_BITS
     (hashed,) = free(df, "_k")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
+        import pyarrow.compute as pc
 
-        words = shared.value
         for batch in batches:
-            h = batch.column(hashed).to_numpy()
-            hit = np.ones(len(h), bool)
-            for b in (np.mod(h, bits), np.mod(h >> 32, bits)):
-                hit &= (words[b >> 5] >> (b & 31).astype(np.uint32)) & np.uint32(1) == 1
-            part = batch.filter(pa.array(hit if inside else ~hit))
+            hit = in_filter(batch.column(hashed), shared.value)
+            part = batch.filter(hit if inside else pc.invert(hit))
             if part.num_rows:
                 yield part.drop_columns([hashed])
 

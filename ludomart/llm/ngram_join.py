@@ -48,16 +48,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ludomart.llm.common import components, free, key_filter, maybe_in, steps, stored
+from ludomart.llm.common import components, free, in_filter, key_filter, maybe_in, steps, stored
 from ludomart.llm.words import SPACE, mix, shingles, words
 
 SHINGLE = 5
 # Similarity as a fraction; the bands below are laid out for it.
 NUM, DEN = 3, 4
 # Signatures that one task sorts.
-RANGE_ROWS = 2_500_000
+RANGE_ROWS = 1_500_000
 # Signatures that a task packs at a time.
-PACK_ROWS = 1_500_000
+PACK_ROWS = 1_000_000
 # Sets of a range that are numbered in the bits beside a signature.
 PACKED_SETS = 1 << 24
 # Sets of a block in which pairs are checked.
@@ -239,13 +239,15 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return own.mapInArrow(run, SETS)
 
 
-def _packed(docs: DataFrame, text: str, ranges: int) -> DataFrame:
-    """Signatures of whole texts as arrays by range: the sets, how many each has there, and
+def _packed(docs: DataFrame, ranges: int, key: str, text: str, wanted=None) -> DataFrame:
+    """Signatures of whole texts (of keys in the filter ``wanted``) as arrays by range: the sets, how many each has there, and
     forty bits of each, which within a range tell as many apart as a task sorts: sets that
     agree by chance are told apart when they are checked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if wanted is not None:
+                batch = batch.filter(in_filter(batch.column("_k"), wanted.value))
             seen: set[int] = set()
             held: list[tuple] = []
             size = 0
@@ -268,7 +270,7 @@ def _packed(docs: DataFrame, text: str, ranges: int) -> DataFrame:
             if size:
                 yield _by_range(held, ranges)
 
-    own = docs.select(F.col(f"`{text}`").alias("_text"))
+    own = docs.select(F.xxhash64(F.col(f"`{key}`").cast("long")).alias("_k"), F.col(f"`{text}`").alias("_text"))
     return own.mapInArrow(run, "bucket int, fps binary, counts binary, sigs binary")
 
 
@@ -312,7 +314,9 @@ def _unpacked(f: pa.Scalar, c: pa.Scalar, x: pa.Scalar) -> tuple[np.ndarray, np.
     return sig.view(np.uint64).ravel(), np.frombuffer(f.as_buffer(), np.int64), np.frombuffer(c.as_buffer(), np.uint32)
 
 
-def shared_signatures(docs: DataFrame, ranges: int, text: str = "text", packed_sets: int = PACKED_SETS) -> DataFrame:
+def shared_signatures(
+    docs: DataFrame, ranges: int, key: str = "doc_id", text: str = "text", wanted=None, packed_sets: int = PACKED_SETS
+) -> DataFrame:
     """What signatures of several sets share. Of small groups the pairs: (pair, a, b, n) with the
     number of signatures; of large ones the members: (not pair, a, b, n) with the set, the set of
     its group that shares most (in copies of a text with changes of their own, that is the text),
@@ -367,16 +371,18 @@ def shared_signatures(docs: DataFrame, ranges: int, text: str = "text", packed_s
         name = (sig.astype(np.int64) << 23) ^ bucket
         yield from _rows(False, fps[owner[large]], fps[lead[large]], name[large])
 
-    packed = _packed(docs, text, ranges).repartition(ranges, "bucket")
+    packed = _packed(docs, ranges, key, text, wanted).repartition(ranges, "bucket")
     return packed.groupBy("bucket").applyInArrow(run, SHARED)
 
 
 def _sets_of(docs: DataFrame, reps: DataFrame, key: str, text: str) -> DataFrame:
     """(fp, elements) of the sets whose documents are in ``reps`` (doc_id, fp)."""
 
+    wanted = key_filter(reps, "doc_id")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in steps(batch, "_text"):
+            for part in steps(batch.filter(in_filter(batch.column("_k"), wanted.value)), "_text"):
                 sets = Sets(part.column("_text"))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -388,7 +394,8 @@ def _sets_of(docs: DataFrame, reps: DataFrame, key: str, text: str) -> DataFrame
                 )
 
     own = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("_text"))
-    found = maybe_in(own, "doc_id", key_filter(reps, "doc_id")).mapInArrow(run, "doc_id bigint, fp bigint, elements binary")
+    own = own.withColumn("_k", F.xxhash64("doc_id"))
+    found = own.mapInArrow(run, "doc_id bigint, fp bigint, elements binary")
     # Exactly the wanted ones, once each although a row may be repeated.
     return found.join(reps, ["doc_id", "fp"], "left_semi").groupBy("fp").agg(F.first("elements").alias("elements"))
 
@@ -568,9 +575,7 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     total = content.agg(F.sum("n")).first()[0] or 0
     ranges = max(1, int(total // RANGE_ROWS) + 1)
     # A text is indexed once, by its representative; what the filter lets by is one set again below.
-    own_text = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("_text"))
-    first_of = maybe_in(own_text, "doc_id", key_filter(reps, "doc_id"))
-    found = stored(shared_signatures(first_of, ranges, "_text"), "shared")
+    found = stored(shared_signatures(docs, ranges, key, text, key_filter(reps, "doc_id")), "shared")
     members = found.where("NOT pair").select(F.col("n").alias("sig"), F.col("a").alias("fp"), F.col("b").alias("lead"))
     sizes = content.select("fp", "n", "sketch")
     both = _in_order(found.where("pair"), "n").groupBy("a", "b").agg(F.sum("n").alias("n"))
