@@ -1,22 +1,30 @@
 """Main text of web pages, with a suffix array over the pages of a host.
 
 A page is cut into blocks (paragraphs, headings, list items and the like) with what the markup
-says of them: part of an article, part of something that is never text of the page (menus,
-forms, scripts, adverts, comments and so on), or neither. The token streams of a host's pages
-are then concatenated and their suffix array is built; where neighbours in it share ``min_words``
-words and come from distinct pages, that run repeats on the host. Of a block that the markup
-leaves open, covered words are boilerplate: it is kept with the runs that are unique, if a page
-has no article. Text inside an article is never removed for being repeated, since copies of
-articles are content.
-
-A host may hold a third of all pages, so hosts are cut into shards of about ``shard_bytes`` by
-a hash of the page's key; a shard is one group, which its bytes bound, and a page that is larger
-is a group of its own kind. Repetition is looked for within a shard: boilerplate of a host is on
-a fair part of its pages, hence on many of every shard's.
+says of each: text of an article, something that is never text of the page (menus, forms,
+scripts, adverts, comments and so on), or neither, an open block. Text inside ``main`` or an
+article is kept, also what repeats, since passages and copies of articles are content. Text
+outside ``main`` is not, where a page has one: ``main`` is by definition what the page is about.
+An article rules nothing out beside it, as it may be a teaser.
+
+Open blocks are decided by what repeats on the host. The token stream of a page goes through all
+its blocks; suffix arrays over the streams of a task's pages bring equal beginnings of ``min_words``
+words together, one row for each such run and task, and the rows of all tasks are counted by host
+and run. A run on two distinct pages of a host, or a whole shorter block on ``min_pages`` of them,
+is boilerplate, wherever on the host these pages lie: open blocks that runs cover whole are
+removed, also by runs that go on in other blocks, and of others the runs that lie within them;
+unique runs stay. Pages with the same text are copies and count as one page.
+
+A host may hold a third of all pages. Its runs are counted by an aggregate that is partial first,
+so no run's pages are gathered; its open pages are cut into shards of about ``shard_bytes`` by a
+hash of their key, and each gets the repeated runs that it has. Shards decide nothing: all see
+the counts of the whole host. Pages without an open block are not shuffled at all.
 
 Defined results: null html is empty and gives an empty text; a null or odd url is a host of its
 own; repeated rows of one key count as one page; other columns pass through, and a column named
-as a new one is replaced.
+as a new one is replaced. An element that its class or id calls an advert, comments or the like
+is out wherever the page has other live text, and stays if it has none. Runs and hosts are
+compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -29,13 +37,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from ludomart.llm.common import free, stored, with_columns
+from ludomart.llm.common import free, in_filter, key_filter, steps, stored, with_columns
 from ludomart.llm.decontaminate import suffix_array
-from ludomart.llm.words import SPACE, words
+from ludomart.llm.words import SPACE, mix, shingles, words
 
 MIN_WORDS = 16
+# Pages of a host that a shorter block has to be on.
+MIN_PAGES = 3
 SHARD_BYTES = 4 << 20
 
 # Elements of HTML by their role.
@@ -62,11 +72,11 @@ HINT = frozenset(
     "topbar banner ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion "
     "cookie cookies consent gdpr notice notices alert comment comments disqus replies respond share sharing social "
     "related recommended subscribe newsletter signup login popup modal overlay widget pagination pager skiplink "
-    "copyright legal toolbar search".split()
+    "copyright legal toolbar search commentlist commentslist commentary usercomments readercomments discussion".split()
 )
 PLACE = frozenset(
     "site page main top bottom left right primary secondary global box block list bar wrapper container area "
-    "section links buttons post posts article".split()
+    "section links buttons post posts article user users reader readers thread count".split()
 )
 PAIRS = (("side", "bar"), ("page", "header"), ("site", "header"), ("skip", "link"))
 # Elements of a head; any other tag, or text, ends it.
@@ -85,17 +95,17 @@ def _hint(names: str) -> bool:
 
 class _Page(HTMLParser):
     """Blocks of a page as (text, kind): kind 1 inside an article, 0 where markup says nothing.
-    Dead parts give no block. A class or id is a hint only: an article is never dead for it, nor
-    an element with most of the page's words, if there are ``MIN_WORDS``, and no article beside it."""
+    Dead parts give no block. A class or id is a hint only: an article is never dead for it, unless
+    it lies in another one, and of a page that is all hints the least hinted text stays."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, bool, bool]] = []  # name, dead, article, hint
-        self.dead = self.main = self.n_hints = 0
-        self.hints: tuple[int, ...] = ()  # open elements with a hint
-        self.words: list[tuple[str, tuple[int, ...]]] = []
+        self.open: list[tuple[str, bool, int, bool]] = []  # name, dead, article (2: main), hint
+        self.dead = self.hints = 0
+        self.within = [0, 0, 0]  # open elements of each of these kinds
+        self.words: list[tuple[str, int]] = []  # text and number of hints around it
         self.kind = 0
-        self.parts: list[tuple[list[tuple[str, tuple[int, ...]]], int]] = []
+        self.parts: list[tuple[list[tuple[str, int]], int]] = []
 
     def end_block(self) -> None:
         if self.words:
@@ -103,30 +113,22 @@ class _Page(HTMLParser):
             self.words = []
 
     def blocks(self) -> list[tuple[str, int]]:
-        total, article = 0, False
-        size = [0] * (self.n_hints + 1)
-        for words, kind in self.parts:
-            for data, hints in words:
-                n = len(data.split())
-                total += n
-                article = article or bool(kind and n and not hints)
-                for h in hints:
-                    size[h] += n
-        dead = {h for h, n in enumerate(size) if article or n < MIN_WORDS or 2 * n <= total}
+        least = min((hints for words, _ in self.parts for data, hints in words if data.strip()), default=0)
         out = []
         for words, kind in self.parts:
-            text = " ".join("".join(data for data, hints in words if dead.isdisjoint(hints)).split())
+            text = " ".join("".join(data for data, hints in words if hints == least).split())
             if text:
                 out.append((text, kind))
-        return out
+        if any(kind == 2 for _, kind in out):
+            out = [x for x in out if x[1] == 2]
+        return [(text, min(kind, 1)) for text, kind in out]
 
     def _pop(self, to: int) -> None:
         while len(self.open) > to:
-            _, dead, main, hint = self.open.pop()
+            _, dead, article, hint = self.open.pop()
             self.dead -= dead
-            self.main -= main
-            if hint:
-                self.hints = self.hints[:-1]
+            self.within[article] -= 1
+            self.hints -= hint
 
     def _end_head(self, at_body: bool) -> None:
         if at_body:
@@ -161,25 +163,27 @@ class _Page(HTMLParser):
                     break
         if tag in VOID:
             return
-        is_main = tag in ("article", "main")
+        article = {"main": 2, "article": 1}.get(tag, 0)
         hint = False
-        dead = tag in DEAD or (tag == "header" and not self.main)
+        inside = self.within[1] + self.within[2] > 0
+        dead = tag in DEAD or (tag == "header" and not inside)
         if attrs:
             known = dict(attrs)
             role = (known.get("role") or "").lower()
-            is_main = is_main or role in ("main", "article") or (known.get("itemprop") or "").lower() == "articlebody"
+            if role == "main":
+                article = 2
+            elif not article and (role == "article" or (known.get("itemprop") or "").lower() == "articlebody"):
+                article = 1
             named = f"{known.get('class') or ''} {known.get('id') or ''}"
             hidden = "hidden" in known or (known.get("aria-hidden") or "") == "true"
             style = (known.get("style") or "").replace(" ", "").lower()
             if tag not in ("html", "body", "main"):
                 dead = dead or role in ROLES or hidden or "display:none" in style
-                hint = not is_main and _hint(named)
-        self.open.append((tag, dead, is_main, hint))
-        if hint:
-            self.n_hints += 1
-            self.hints = (*self.hints, self.n_hints)
+                hint = (not article or inside) and _hint(named)
+        self.open.append((tag, dead, article, hint))
+        self.hints += hint
         self.dead += dead
-        self.main += is_main
+        self.within[article] += 1
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -199,7 +203,7 @@ class _Page(HTMLParser):
             self._end_head(False)
         if not self.dead:
             if not self.words:
-                self.kind = int(self.main > 0)
+                self.kind = 2 if self.within[2] else int(self.within[1] > 0)
             self.words.append((data, self.hints))
 
 
@@ -212,55 +216,118 @@ def blocks(html: str) -> list[tuple[str, int]]:
     return page.blocks()
 
 
-def _covered(texts: pa.Array, page: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """(covered, first): for each word of the texts, whether it lies in a run of ``min_words``
-    words that another page has too; and where the words of each text begin."""
-    h, first = words(texts, SPACE)
-    n = len(first) - 1
-    count = np.diff(first)
-    # A word of its own kind stands behind every text, so that no run goes across.
-    size = len(h) + n
-    start = first[:-1] + np.arange(n)
-    body = np.ones(size, bool)
-    body[start + count] = False
-    seq = np.zeros(size, np.uint64)
-    seq[body] = h
-    owner = np.repeat(page, count + 1)
-    order, head = suffix_array(seq, min_words)
-    group = np.cumsum(head) - 1
-    # A text of fewer words has no run: its end is met first.
-    ends = np.repeat(start + count, count + 1)
-    fits = (ends - np.arange(size) >= min_words)[order]
-    same_page = np.ones(size, bool)
-    same_page[1:] = head[1:] | (owner[order[1:]] == owner[order[:-1]])
-    several = np.zeros(int(group[-1]) + 1 if size else 0, bool)
-    several[group[~same_page]] = True
-    at = order[several[group] & fits] if size else order
-    change = np.zeros(size + 1, np.int64)
-    np.add.at(change, at, 1)
-    np.add.at(change, at + min_words, -1)
-    return (np.cumsum(change[:-1]) > 0)[body], first
-
-
-def _choose(texts: list[list[str]], kinds: list[list[int]], page: np.ndarray, min_words: int) -> list[str]:
-    """The main text of each page of a shard."""
-    flat = [t for row in texts for t in row]
-    sizes = [len(row) for row in texts]
-    if not flat:
-        return [""] * len(texts)
-    covered, first = _covered(pa.array(flat, pa.large_string()), np.repeat(page, sizes), min_words)
-    out, at = [], 0
-    for row, kind in zip(texts, kinds, strict=True):
-        article = any(kind)
+class _Streams:
+    """Words of pages given as blocks, one a line: of each page one stream, of each block its words."""
+
+    def __init__(self, texts: pa.Array, min_words: int) -> None:
+        self.lines = [t.split("\n") if t else [] for t in texts.to_pylist()]
+        self.k = min_words
+        self.h, self.first = words(texts, SPACE)
+        count = [line.count(" ") + 1 for row in self.lines for line in row]
+        self.block = np.concatenate([[0], np.cumsum(count, dtype=np.int64)])
+        self.page = np.repeat(np.arange(len(self.lines)), [len(row) for row in self.lines])  # of a block
+
+    def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(page, start, name) of the runs of ``min_words`` words of each stream."""
+        page, name = shingles(self.h, self.first, self.k)
+        size = np.diff(self.first)
+        start = np.arange(len(page)) - np.searchsorted(page, page) + self.first[:-1][page]
+        full = size[page] >= self.k
+        return page[full], start[full], name[full].view(np.int64)
+
+    def short(self) -> tuple[np.ndarray, np.ndarray]:
+        """(block, name) of the blocks that have fewer words than a run."""
+        block, name = shingles(self.h, self.block, self.k)
+        few = np.diff(self.block)[block] < self.k
+        return block[few], mix(name[few] ^ np.uint64(0x2545F4914F6CDD1D)).view(np.int64)
+
+
+RUNS = "host bigint, shard bigint, name bigint, pages int, page bigint"
+
+
+def _repeats(pages: DataFrame, min_words: int, min_pages: int, wanted=None) -> DataFrame:
+    """Runs and short blocks of ``pages`` (host, shard, page, texts), of which ``page`` tells pages
+    apart: name, the number of pages that makes it boilerplate, and of the pages of a task that have it
+    as many. With a filter ``wanted`` only names in it."""
+
+    def work(part: pa.RecordBatch) -> pa.RecordBatch:
+        host, shard, own = (part.column(c).to_numpy(zero_copy_only=False) for c in ("host", "shard", "page"))
+        streams = _Streams(part.column("texts"), min_words)
+        page, start, name = streams.runs()
+        # Behind every stream a word of its own kind, so that no suffix goes on in the next one.
+        gap = np.arange(len(part))
+        seq = np.zeros(len(streams.h) + len(part), np.uint64)
+        seq[np.arange(len(streams.h)) + np.repeat(gap, np.diff(streams.first))] = streams.h
+        order, head = suffix_array(seq, min_words)
+        group = np.empty(len(seq), np.int64)
+        group[order] = np.cumsum(head)
+        group = group[start + page]
+        block, label = streams.short()
+        page, name = np.concatenate([page, streams.page[block]]), np.concatenate([name, label])
+        _, label = np.unique(label, return_inverse=True)
+        group = np.concatenate([group, label + len(seq) + 1])
+        need = np.where(group > len(seq), min_pages, 2)
+        # Of each run, host and shard the first pages: as many as are needed to tell.
+        by = np.lexsort((own[page], shard[page], host[page], group))
+        key = np.stack([group[by], host[page[by]], shard[page[by]]], 1)
+        new = np.append(True, (key[1:] != key[:-1]).any(1))[: len(by)]
+        other = new | np.append(True, own[page[by[1:]]] != own[page[by[:-1]]])[: len(by)]
+        by, new = by[other], new[other]
+        begin = np.flatnonzero(new)
+        place = np.arange(len(by)) - np.repeat(begin, np.diff(np.append(begin, len(by))))
+        by = by[place < need[by]]
+        page = page[by]
+        columns = [host[page], shard[page], name[by], need[by].astype(np.int32), own[page]]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["host", "shard", "name", "pages", "page"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in steps(batch, "texts"):
+                yield work(part)
+
+    found = pages.select("host", "shard", "page", "texts").mapInArrow(run, RUNS)
+    if wanted is None:
+        return found
+
+    def those(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(in_filter(batch.column("k"), wanted.value)).drop_columns(["k"])
+
+    return found.withColumn("k", F.xxhash64("name")).mapInArrow(those, RUNS)
+
+
+def _choose(texts: pa.Array, kinds: list[str], repeated: np.ndarray, min_words: int) -> list[str]:
+    """The main text of each page: blocks of articles, and what does not repeat of the others."""
+    streams = _Streams(texts, min_words)
+    _, start, name = streams.runs()
+    at = start[np.isin(name, repeated)]
+
+    def cover(at: np.ndarray) -> np.ndarray:
+        change = np.zeros(len(streams.h) + 1, np.int64)
+        np.add.at(change, at, 1)
+        np.add.at(change, at + min_words, -1)
+        return np.cumsum(change[:-1]) > 0
+
+    # Runs that go across blocks take whole blocks only, or the first words of unique text behind
+    # a repeated block would go with it if they are common words.
+    covered = cover(at)
+    ends = np.searchsorted(streams.block, at, side="right")
+    inside = cover(at[at + min_words <= streams.block[ends]]) if len(at) else covered
+    block, label = streams.short()
+    gone = np.zeros(len(streams.page), bool)
+    gone[block[np.isin(label, repeated)]] = True
+    out, j = [], 0
+    for row, kind in zip(streams.lines, kinds, strict=True):
         kept = []
-        for j, (t, k) in enumerate(zip(row, kind, strict=True), at):
-            hit = covered[first[j] : first[j + 1]]
-            if k or (not article and not hit.any()):
-                kept.append(t)
-            elif not article and not hit.all():
-                unique = [w for w, c in zip(t.split(), hit, strict=True) if not c]
-                kept.append(" ".join(unique))
-        at += len(row)
+        for line, k in zip(row, kind, strict=True):
+            cut = slice(streams.block[j], streams.block[j + 1])
+            hit = inside[cut]
+            gone[j] |= covered[cut].all()
+            if k == "1" or not (gone[j] or hit.any()):
+                kept.append(line)
+            elif not gone[j]:
+                kept.append(" ".join(w for w, c in zip(line.split(" "), hit, strict=True) if not c))
+            j += 1
         out.append(" ".join(kept))
     return out
 
@@ -272,48 +339,58 @@ def extract(
     html: str = "html",
     keep: list[str] | None = None,
     min_words: int = MIN_WORDS,
+    min_pages: int = MIN_PAGES,
     shard_bytes: int = SHARD_BYTES,
 ) -> DataFrame:
     """``pages`` (or their columns ``keep``) with text and n_chars."""
     kept = [c for c in (pages.columns if keep is None else keep) if c not in ("text", "n_chars")]
     host = F.regexp_extract(F.coalesce(F.col(f"`{url}`"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)
-    size = F.coalesce(F.octet_length(F.col(f"`{html}`")), F.lit(0)).cast("long")
-    host_, n_, shard_, texts_, kinds_ = free(pages, "_host", "_n", "_shard", "_texts", "_kinds")
-    pages = pages.withColumn(host_, host)
-    # Written first: Spark then knows its size and joins it in place if it is small, so that
-    # the pages of a large host are not brought together for the join.
-    shards = pages.groupBy(host_).agg(F.ceil(F.sum(size) / shard_bytes).alias(n_)).where(F.col(n_) > 1)
-    shards = stored(shards, "hosts")
+    host_, key_, texts_, kinds_, shard_, n_ = free(pages, "_host", "_key", "_texts", "_kinds", "_shard", "_n")
+    pages = pages.withColumns({host_: F.xxhash64(host), key_: F.xxhash64(F.col(f"`{key}`"))})
 
     def make():
         def work(part: pa.RecordBatch) -> dict[str, pa.Array]:
             rows = [blocks(h) if h else [] for h in part.column(html).to_pylist()]
             return {
-                texts_: pa.array([[t for t, _ in r] for r in rows], pa.list_(pa.string())),
-                kinds_: pa.array([[k for _, k in r] for r in rows], pa.list_(pa.int32())),
+                texts_: pa.array(["\n".join(t for t, _ in r) for r in rows], pa.string()),
+                kinds_: pa.array(["".join(str(k) for _, k in r) for r in rows], pa.string()),
             }
 
         return work
 
-    fields = [StructField(texts_, ArrayType(StringType())), StructField(kinds_, ArrayType(IntegerType()))]
-    names = list(dict.fromkeys([*kept, key, host_]))
-    parsed = with_columns(pages, html, fields, make, names)
-    shard = F.pmod(F.xxhash64(F.col(f"`{key}`")), F.coalesce(n_, F.lit(1)))
-    parsed = parsed.join(shards, host_, "left").withColumn(shard_, shard).drop(n_)
-    out = StructType([*(pages.schema[c] for c in kept), StructField("text", StringType()), StructField("n_chars", LongType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = pa.Table.from_batches(list(batches)).combine_chunks()
-        ids = shard.column(key).combine_chunks().dictionary_encode("encode")
-        page = (ids.chunk(0) if isinstance(ids, pa.ChunkedArray) else ids).indices.to_numpy(zero_copy_only=False)
-        texts = _choose(shard.column(texts_).to_pylist(), shard.column(kinds_).to_pylist(), page, min_words)
-        yield pa.RecordBatch.from_arrays(
-            [shard.column(c).combine_chunks() for c in kept]
-            + [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
-            names=[*kept, "text", "n_chars"],
-        )
-
-    # Dealt by both: a join by host alone would satisfy the grouping, with a host in one task.
-    parsed = parsed.select(*[f"`{c}`" for c in names], shard_, texts_, kinds_).repartition(host_, shard_)
-    grouped = parsed.groupBy(host_, shard_)
-    return grouped.applyInArrow(run, out)
+    # Blocks hold no line breaks, so they are kept as lines.
+    fields = [StructField(texts_, StringType()), StructField(kinds_, StringType())]
+    parsed = stored(with_columns(pages, html, fields, make, [*kept, host_, key_]), "blocks")
+    columns = [F.col(f"`{c}`") for c in kept]
+    marked = parsed.where(~F.col(kinds_).contains("0"))
+    clear = marked.select(*columns, F.translate(texts_, "\n", " ").alias("text"))
+    clear = clear.withColumn("n_chars", F.length("text").cast("long"))
+
+    unclear = parsed.where(F.col(kinds_).contains("0"))
+    sizes = unclear.groupBy(host_).agg(F.ceil(F.sum(F.octet_length(texts_)) / shard_bytes).alias(n_)).where(F.col(n_) > 1)
+    shard = F.pmod(key_, F.coalesce(n_, F.lit(1)))
+    # Written first: Spark then knows its size and joins it in place if it is small, so that
+    # the pages of a large host are not brought together for the join.
+    unclear = unclear.join(stored(sizes, "hosts"), host_, "left").withColumn(shard_, shard).drop(n_)
+
+    def named(df: DataFrame, shard) -> DataFrame:
+        # Copies of a page are one page.
+        return df.select(F.col(host_).alias("host"), shard.alias("shard"), F.xxhash64(texts_).alias("page"), F.col(texts_).alias("texts"))
+
+    runs = stored(_repeats(named(unclear, F.col(shard_)), min_words, min_pages), "runs")
+    beside = _repeats(named(marked, F.lit(-1).cast("long")), min_words, min_pages, key_filter(runs, "name"))
+    count = runs.union(beside).groupBy("host", "name", "pages").agg(F.countDistinct("page").alias("n"))
+    repeated = count.where("n >= pages").select("host", "name")
+    hits = runs.select("host", "shard", "name").distinct().join(repeated, ["host", "name"], "left_semi").select("host", "shard", "name")
+    out = StructType([*(parsed.schema[c] for c in kept), StructField("text", StringType()), StructField("n_chars", LongType())])
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        repeated = right.column("name").to_numpy()
+        texts = left.column(texts_).combine_chunks()
+        texts = pa.concat_arrays(texts.chunks) if isinstance(texts, pa.ChunkedArray) else texts
+        chosen = _choose(texts, left.column(kinds_).to_pylist(), repeated, min_words)
+        own = [left.column(c) for c in kept]
+        return pa.Table.from_arrays([*own, pa.array(chosen, pa.string()), pa.array([len(t) for t in chosen], pa.int64())], names=[*kept, "text", "n_chars"])
+
+    rest = unclear.groupBy(host_, shard_).cogroup(hits.groupBy("host", "shard")).applyInArrow(run, out)
+    return clear.union(rest)

@@ -530,7 +530,7 @@ def test_longest_match(spark):
         ("<article>a<script>var x='</p>'</script><style>p{}</style><!-- c --><form>f</form>b<div class='cookie-notice'>n</div></article>", "a b"),
         ("<div id='sidebar'>s</div><div class='content'><p>text</p></div>", "text"),
         ("<ul><li>a<li>b</ul><table><tr><td>c<td>d</table>", "a b c d"),
-        ("", ""), (None, ""), ("plain &lt;b&gt; &#233;", "plain <b> é"), ("<div class='ad'>x", ""),
+        ("", ""), (None, ""), ("plain &lt;b&gt; &#233;", "plain <b> é"), ("<div class='ad'>x", "x"), ("<div class='ad'>x</div>y", "y"),
     ],
 )
 def test_main_text(spark, html, want):
@@ -548,7 +548,10 @@ LONG = " ".join(f"w{i}" for i in range(20))
         ("<head><title>t</title><link rel=x><p>a<p>b", "a b"), ("<head><title>t</title>plain", "plain"),
         ("<article class='post has-sidebar'><p>a</p></article>", "a"), ("<div class='content with-sidebar'>a</div>", "a"),
         ("<div class='comments-open'>a</div><p class='no-comments'>b", "a b"), ("<article class='comment'>a</article>", "a"),
-        (f"<div class='widget'>{LONG}<div class='ad'>x</div></div><p>y", f"{LONG} y"),
+        (f"<div class='widget'>{LONG}<div class='ad'>x</div></div><p>y", "y"), (f"<div class='widget'>{LONG}<div class='ad'>x</div></div>", LONG),
+        (f"<p>{' '.join(LONG.split()[:8])}</p><div class='comments'>{LONG} {LONG}</div>", " ".join(LONG.split()[:8])),
+        ("<main><p>a</p><ol class='commentlist'><li>c</ol><div class='user-comments'>d</div><article class='comment'>e</article></main>", "a"),
+        ("<div class='content'><p>all the text</p></div><article>teaser</article>", "all the text teaser"),
         (f"<article>a</article><div class='comments'>{LONG}</div>", "a"),
         ("<p>a<span class='share-links'>b</span>c</p><div class='site-footer'>d</div><div class='side-bar'>e</div>", "ac"),
     ],
@@ -567,3 +570,56 @@ def test_repeated_runs_are_boilerplate_where_markup_is_silent(spark):
     assert html_extract.extract(df.limit(0)).count() == 0
     repeated = df.where("page_id = 1").union(df.where("page_id = 1"))
     assert {r.text for r in html_extract.extract(repeated).collect()} == {f"{same} own text of page 1 start1 {same}"}
+
+
+def test_menus_and_footers_without_markup(spark):
+    menu = "<ul><li>Home<li>About us<li>Contact</ul>"
+    rows = [(i, "http://h/a", f"{menu}<div><p>own {i}</p><p>words {i}</p></div><div>all rights kept {i % 1}</div>") for i in range(5)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html_extract.extract(df).collect()} == {i: f"own {i} words {i}" for i in range(5)}
+    # On two pages they are no boilerplate yet.
+    assert "Home About us Contact own 1" in html_extract.extract(df.where("page_id < 2")).where("page_id = 1").first().text
+
+
+def naive_main_text(rows, k, least):
+    pages = {i: (url.split("/")[2], html_extract.blocks(html)) for i, url, html in rows}
+    runs, short = {}, {}
+    for host, page in pages.values():
+        stream = " ".join(t for t, _ in page).split()
+        name = "\n".join(t for t, _ in page)
+        for j in range(len(stream) - k + 1):
+            runs.setdefault((host, *stream[j : j + k]), set()).add(name)
+        for t, _ in page:
+            if len(t.split()) < k:
+                short.setdefault((host, t), set()).add(name)
+    out = {}
+    for i, (host, page) in pages.items():
+        stream = " ".join(t for t, _ in page).split()
+        found = [j for j in range(len(stream) - k + 1) if len(runs[(host, *stream[j : j + k])]) > 1]
+        gone = {x for j in found for x in range(j, j + k)}
+        kept, at = [], 0
+        for t, kind in page:
+            own = t.split()
+            place = range(at, at + len(own))
+            at += len(own)
+            within = {x for j in found if j >= place[0] and j + k <= at for x in range(j, j + k)}
+            if kind or not (gone.issuperset(place) or (len(own) < k and len(short[host, t]) >= least)):
+                kept += [w for j, w in zip(place, own, strict=True) if kind or j not in within]
+        out[i] = " ".join(kept)
+    return out
+
+
+@pytest.mark.parametrize("shard_bytes", [60, 1 << 20])
+def test_repeats_over_all_shards_of_a_host_as_by_brute_force(spark, shard_bytes):
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(9)]
+    passages = [" ".join(rng.choices(vocabulary, k=rng.randint(1, 9))) for _ in range(12)]
+    rows = []
+    for i in range(60):
+        tags = rng.choices(["p", "div", "li", "article"], weights=[4, 4, 4, 1], k=rng.randint(0, 6))
+        text = [rng.choice(passages) if rng.random() < 0.5 else " ".join(rng.choices(vocabulary, k=rng.randint(1, 7))) for _ in tags]
+        rows.append((i, f"http://h{i % 2}/x", "".join(f"<{t}>{x}</{t}>" for t, x in zip(tags, text, strict=True))))
+    rows += [(100, *rows[3][1:]), (101, *rows[4][1:])]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract(df, min_words=4, shard_bytes=shard_bytes).collect()}
+    assert got == naive_main_text(rows, 4, html_extract.MIN_PAGES)
