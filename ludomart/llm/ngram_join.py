@@ -240,9 +240,9 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
 
 def _packed(docs: DataFrame, ranges: int, key: str, text: str, wanted=None) -> DataFrame:
-    """Signatures of whole texts (of keys in the filter ``wanted``) as arrays by range: the sets, how many each has there, and
-    forty bits of each, which within a range tell as many apart as a task sorts: sets that
-    agree by chance are told apart when they are checked."""
+    """Signatures of whole texts (of keys in the filter ``wanted``) as arrays by range: the sets,
+    how many each has there, and forty bits of each, which within a range tell as many apart as a
+    task sorts: sets that agree by chance are told apart when they are checked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -404,24 +404,27 @@ def verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame, key: str, text: s
     """Of ``pairs`` (a, b), those whose sets link.
 
     Pairs are put into cells, and a set goes to each of its cells once, however many pairs it
-    has there: a cell is a pair of blocks of a connected group of pairs, or holds several small
-    groups.
+    has there: a cell is a pair of blocks of a group of pairs, or holds several small groups. A
+    group is named by the least set next to either set of a pair, so pairs around a set, or of
+    sets that are all alike, are together.
     """
     pairs = stored(pairs, "pairs")
-    group = stored(components(pairs, "groups"), "groups")
-    count = group.count()
-    reps = stored(reps.join(group.select(F.col("node").alias("fp")), "fp", "left_semi"), "wanted")
+    count = pairs.count()
+    near = pairs.union(pairs.select("b", "a")).groupBy("a").agg(F.min("b").alias("m"))
+    near = near.select(F.col("a").alias("fp"), F.least("a", "m").alias("m"))
+    grouped = pairs.join(near.toDF("a", "ma"), "a").join(near.toDF("b", "mb"), "b")
+    grouped = stored(grouped.select(F.least("ma", "mb").alias("g"), "a", "b"), "groups")
+    member = grouped.select("g", F.col("a").alias("fp")).union(grouped.select("g", "b")).distinct()
+    reps = stored(reps.join(member.select("fp").distinct(), "fp", "left_semi"), "wanted")
     sets = stored(_sets_of(docs, reps, key, text), "sets")
-    blocks = group.groupBy("component").agg(F.ceil(F.count("*") / PAIR_BLOCK).cast("long").alias("blocks"))
-    side = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    member = group.join(blocks, "component").withColumn("side", side)
-    cells = pairs.join(member.select(F.col("node").alias("a"), "component", "blocks", F.col("side").alias("s")), "a")
-    cells = cells.join(member.select(F.col("node").alias("b"), F.col("side").alias("t")), "b")
-    few = F.pmod(F.xxhash64("component"), F.lit(max(1, count // PAIR_BLOCK)))
+    blocks = member.groupBy("g").agg(F.ceil(F.count("*") / PAIR_BLOCK).cast("long").alias("blocks"))
+    cells = grouped.join(blocks, "g")
+    s, t = (F.pmod(F.xxhash64(x), F.col("blocks")) for x in ("a", "b"))
+    few = F.pmod(F.xxhash64("g"), F.lit(max(1, count // PAIR_BLOCK)))
     cells = cells.select(
-        F.when(F.col("blocks") > 1, F.col("component")).otherwise(few).alias("c"),
-        F.when(F.col("blocks") > 1, F.least("s", "t")).otherwise(-1).alias("i"),
-        F.when(F.col("blocks") > 1, F.greatest("s", "t")).otherwise(-1).alias("j"),
+        F.when(F.col("blocks") > 1, F.col("g")).otherwise(few).alias("c"),
+        F.when(F.col("blocks") > 1, F.least(s, t)).otherwise(-1).alias("i"),
+        F.when(F.col("blocks") > 1, F.greatest(s, t)).otherwise(-1).alias("j"),
         "a",
         "b",
     )
@@ -598,7 +601,8 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     near = near.join(first.union(first.select("b", "a")), ["a", "b"], "left_anti")
     near = near.groupBy("a").agg(F.min_by("b", F.struct("distance", "b")).alias("b"))
     second = stored(_in_order(near).distinct(), "pairs")
-    links = stored(links.union(verify(second, docs, reps, key, text)), "links")
+    # What is connected already goes on as a link from each set to its component.
+    links = comp.toDF("a", "b").union(verify(second, docs, reps, key, text))
     comp = stored(components(links, "components"), "components")
 
     # Round 3: every other pair, of small groups and of large ones.
@@ -607,7 +611,7 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     apart = apart.where("NOT coalesce(c, a) <=> coalesce(d, b)").select("a", "b")
     rest = apart.union(_cross_pairs(_cells(cells, comp, sizes), nearest=False).select("a", "b")).distinct()
     rest = stored(rest.join(first.union(second), ["a", "b"], "left_anti"), "pairs")
-    links = stored(links.union(verify(rest, docs, reps, key, text)), "links")
+    links = comp.toDF("a", "b").union(verify(rest, docs, reps, key, text))
     comp = components(links, "components").toDF("fp", "comp")
 
     least = content.join(comp, "fp", "left").withColumn("comp", F.coalesce("comp", "fp"))
