@@ -13,7 +13,8 @@ does not hang on the layout), and so is what is sent to the tasks: ``sample_rows
 
 Defined results: a null or empty text is the empty row, which is compared like any other;
 repeated rows are scored each for itself; rows without a label and labels without a row teach
-nothing; with no labels at all the score is 0.5; ties between neighbours go to the earlier id;
+nothing; with no labels at all the score is 0.5; cosines are in double precision, rounded to 12
+places, and ties between neighbours go to the earlier id, as text;
 other columns pass through and a column named as a new one is replaced.
 """
 
@@ -121,11 +122,11 @@ class Model:
         for _ in range(4):
             q, _ = np.linalg.qr(x.T @ (x @ q))
         _, _, v = np.linalg.svd(x @ q, full_matrices=False)
-        self.axes = np.ascontiguousarray((q @ v.T)[:, :dims])
+        self.axes = np.ascontiguousarray((q @ v.T)[:, :dims], np.float64)
         self.vectors = self.project(x)
 
     def project(self, x: np.ndarray) -> np.ndarray:
-        z = x @ self.axes
+        z = x.astype(np.float64) @ self.axes
         return z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
 
     def score(self, texts: pa.Array) -> np.ndarray:
@@ -133,9 +134,14 @@ class Model:
         for lo in range(0, len(texts), BLOCK_ROWS):
             part = texts.slice(lo, BLOCK_ROWS)
             z = self.project(matrix(counts(part), styles(part), self.idf))
-            sim = z @ self.vectors.T
-            near = np.argpartition(-sim, self.k - 1, axis=1)[:, : self.k]
-            weight = np.clip(np.take_along_axis(sim, near, 1), 1e-6, None).astype(np.float64) ** 4
+            # The last bits of a product hang on the shape of the block.
+            sim = np.round(z @ self.vectors.T, 12)
+            last = np.partition(sim, -self.k, axis=1)[:, -self.k, None]
+            above, tied = sim > last, sim == last
+            # Of neighbours as far as the last one, the earlier ones.
+            above |= tied & (np.cumsum(tied, 1) <= self.k - above.sum(1, keepdims=True))
+            near = np.nonzero(above)[1].reshape(len(sim), self.k)
+            weight = np.clip(np.take_along_axis(sim, near, 1), 1e-6, None) ** 4
             out.append((weight * self.label[near]).sum(1) / weight.sum(1))
         return np.concatenate(out) if out else np.empty(0)
 

@@ -623,3 +623,22 @@ def test_repeats_over_all_shards_of_a_host_as_by_brute_force(spark, shard_bytes)
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r.page_id: r.text for r in html_extract.extract(df, min_words=4, shard_bytes=shard_bytes).collect()}
     assert got == naive_main_text(rows, 4, html_extract.MIN_PAGES)
+
+
+def test_votes_equal_plain_ones_whatever_the_block():
+    rng = random.Random(3)
+    texts = [" ".join(rng.choices("ab cd ef gh ij kl mn".split(), k=rng.randint(0, 12))) for _ in range(300)]
+    texts[20:60] = [texts[20]] * 40  # more copies than neighbours: ties
+    column = pa.array(texts, pa.string())
+    count, style = quality_knn.counts(column), quality_knn.styles(column)
+    label = np.array([i % 3 == 0 for i in range(300)])
+    model = quality_knn.Model(count, style, label, 16, 15, 1)
+    whole = model.score(column)
+    x = quality_knn.matrix(count, style, model.idf)
+    for i in range(0, 300, 7):
+        z = model.project(x[i : i + 1])[0]
+        sims = [round(float(np.dot(z, v)), 12) for v in model.vectors]
+        near = sorted(range(300), key=lambda j: (-sims[j], j))[:15]
+        weight = [max(sims[j], 1e-6) ** 4 for j in near]
+        assert abs(whole[i] - sum(w for w, j in zip(weight, near, strict=True) if label[j]) / sum(weight)) < 1e-9
+        assert model.score(column.slice(i, 1))[0] == whole[i]
