@@ -34,7 +34,9 @@ from ludomart.sources import (
     write_table,
 )
 from ludomart.streaming import incremental_reviews as stream_reviews
+    write_xml,
 
+from ludomart.sources.sinks import PACKED
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -508,10 +510,10 @@ def land_dumps(spark: SparkSession, d: str) -> str:
         "atlas/reviews": fx.raw_reviews(spark, d),
     }
     with ThreadPoolExecutor(len(csv) + len(arrays) + 1) as pool:
-        jobs = [pool.submit(write_csv, df, f"{root}/{path}") for path, df in csv.items()]
-        jobs += [pool.submit(write_json_arrays, df, f"{root}/{path}") for path, df in arrays.items()]
+        jobs = [pool.submit(write_csv, df, f"{root}/{path}", packed=True) for path, df in csv.items()]
+        jobs += [pool.submit(write_json_arrays, df, f"{root}/{path}", packed=True) for path, df in arrays.items()]
         # A folder for each category, as many as the column has.
-        by_category = {"folder": "price_category"}
+        by_category = {"folder": "price_category", "packed": True}
         jobs.append(pool.submit(write_json_arrays, fx.raw_prices(spark, d), f"{root}/atlas/prices", **by_category))
         for job in jobs:
             job.result()
@@ -711,6 +713,7 @@ def xml_games(spark, d):
 
 # Items per list document and prices per payload, so that no key's rows have to fit one
 # text. Rows are cut by their written position, which is the same on every attempt.
+PAYLOADS_PER_FILE = 20
 ROWS_PER_TEXT = 500
 
 
@@ -759,13 +762,14 @@ def harvest_payloads(spark: SparkSession, d: str) -> str:
         *[F.array(c).alias(f"boardgame{tag}") for c, tag in tags.items()],
         F.struct(F.struct(F.col("users_rated").alias("usersrated"), F.col("average_rating").alias("average")).alias("ratings")).alias("statistics"),
     )
-    xml.write.format("xml").option("rowTag", "boardgame").option("rootTag", "boardgames").save(f"{root}/bgg/games")
+    write_xml(xml, f"{root}/bgg/games", "boardgame", "boardgames")
     lists = list_documents(spark, d)
-    lists.write.format("xml").option("rowTag", "geeklist").option("rootTag", "lists").save(f"{root}/bgg/lists")
-    write_json_arrays(fx.raw_accounts(spark, d), f"{root}/atlas/users")
-    write_json_arrays(fx.raw_atlas_games(spark, d), f"{root}/atlas/games")
-    write_json_arrays(fx.raw_nested_reviews(spark, d), f"{root}/atlas/reviews")
-    price_payloads(spark, d).write.text(f"{root}/atlas/prices")
+    write_xml(lists, f"{root}/bgg/lists", "geeklist", "lists")
+    write_json_arrays(fx.raw_accounts(spark, d), f"{root}/atlas/users", packed=True)
+    write_json_arrays(fx.raw_atlas_games(spark, d), f"{root}/atlas/games", packed=True)
+    write_json_arrays(fx.raw_nested_reviews(spark, d), f"{root}/atlas/reviews", packed=True)
+    payloads = price_payloads(spark, d).write.options(**PACKED)
+    payloads.option("maxRecordsPerFile", PAYLOADS_PER_FILE).text(f"{root}/atlas/prices")
     return root
 
 

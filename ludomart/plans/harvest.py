@@ -66,18 +66,18 @@ def run(
     spark: SparkSession, harvest: str, raw: str, extracted: str, only: Iterable[str] | None = None
 ) -> list[str]:
     """Write all dumps, or those named in ``only``; the names written. ``extracted`` is the
-    time of the harvest, as ``dd/MM/yyyy HH:mm:ss``. Dumps are overwritten, so a job that is
+    time of the harvest, as ``dd/MM/yyyy HH:mm:ss``. Dumps are gzipped files of bounded size and overwritten, so a job that is
     run again leaves the same dumps."""
     tune(spark)
     harvest, raw = harvest.rstrip("/"), raw.rstrip("/")
     jobs: dict[str, Callable[[], None]] = {
-        "bgg/games.csv": lambda: write_csv(bgg_games(spark, harvest, extracted), f"{raw}/bgg/games.csv"),
-        "bgg/lists.csv": lambda: write_csv(bgg_lists(spark, harvest), f"{raw}/bgg/lists.csv"),
-        "atlas/json_user.json": lambda: write_json_arrays(accounts(spark, harvest), f"{raw}/atlas/json_user.json"),
-        "atlas/users": lambda: write_json_arrays(profiles(spark, harvest), f"{raw}/atlas/users"),
-        "atlas/games": lambda: write_json_arrays(atlas_games(spark, harvest), f"{raw}/atlas/games"),
-        "atlas/reviews": lambda: write_json_arrays(reviews(spark, harvest), f"{raw}/atlas/reviews"),
-        "atlas/prices": lambda: write_json_arrays(prices(spark, harvest), f"{raw}/atlas/prices", folder="price_category"),
+        "bgg/games.csv": lambda: write_csv(bgg_games(spark, harvest, extracted), f"{raw}/bgg/games.csv", packed=True),
+        "bgg/lists.csv": lambda: write_csv(bgg_lists(spark, harvest), f"{raw}/bgg/lists.csv", packed=True),
+        "atlas/json_user.json": lambda: write_json_arrays(accounts(spark, harvest), f"{raw}/atlas/json_user.json", packed=True),
+        "atlas/users": lambda: write_json_arrays(profiles(spark, harvest), f"{raw}/atlas/users", packed=True),
+        "atlas/games": lambda: write_json_arrays(atlas_games(spark, harvest), f"{raw}/atlas/games", packed=True),
+        "atlas/reviews": lambda: write_json_arrays(reviews(spark, harvest), f"{raw}/atlas/reviews", packed=True),
+        "atlas/prices": lambda: write_json_arrays(prices(spark, harvest), f"{raw}/atlas/prices", folder="price_category", packed=True),
     }
     names = list(jobs) if only is None else list(only)
     if unknown := set(names) - set(jobs):

@@ -3,6 +3,7 @@ from ludomart.sources.sinks import (
     write_csv,
     write_json_arrays,
     write_table,
+    write_xml,
 )
 from ludomart.sources.snapshots import read_table
 from ludomart.sources.split import read_csv_split, read_json_objects, read_json_split
@@ -18,4 +19,5 @@ __all__ = [
     "write_csv",
     "write_json_arrays",
     "write_table",
+    "write_xml",
 ]

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ from pyspark.sql import functions as F
 # JSON array; a row that is longer is an array of its own.
 ROWS_PER_FILE = 5_000
 CHARS_PER_FILE = 32 << 20
+# For text that is written in files of bounded size, each read by one task in any case.
+PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 
 
 def write_table(
@@ -34,10 +38,11 @@ def write_table(
     return seen.get if metrics else {}
 
 
-def write_csv(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+def write_csv(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE, packed: bool = False) -> None:
     """CSV as ``read_csv`` expects it. CSV with newlines in quotes cannot be split,
-    hence the bound on rows per file."""
-    df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).csv(
+    hence the bound on rows per file. ``packed`` files are gzipped."""
+    writer = df.write.options(**PACKED) if packed else df.write
+    writer.mode("overwrite").option("maxRecordsPerFile", rows_per_file).csv(
         path,
         header=True,
         escape='"',
@@ -47,42 +52,51 @@ def write_csv(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> N
     )
 
 
+def write_xml(df: DataFrame, path: str, row_tag: str, root_tag: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Gzipped XML documents as ``read_xml`` expects them. One task reads a document, hence the
+    bound on its rows."""
+    writer = df.write.options(**PACKED).option("maxRecordsPerFile", rows_per_file)
+    writer.format("xml").option("rowTag", row_tag).option("rootTag", root_tag).save(path)
+
+
 def write_json_arrays(
     df: DataFrame,
     path: str,
     rows_per_file: int = ROWS_PER_FILE,
     folder: str | None = None,
     chars_per_file: int = CHARS_PER_FILE,
+    packed: bool = False,
 ) -> None:
     """Files with one JSON array each, of ``rows_per_file`` objects and about
     ``chars_per_file`` characters at most; below a folder for each value of the column
-    ``folder``, if one is named.
+    ``folder``, if one is named. ``packed`` files are gzipped.
 
     Each task joins the rows it has, in bounded batches. Nothing is shuffled by a row
     number, which a task that runs again after a loss could hand out differently.
     """
 
-    def arrays(texts: list[str]) -> Iterator[str]:
-        held: list[str] = []
-        size = 0
-        for text in texts:
-            if held and (len(held) == rows_per_file or size + len(text) > chars_per_file):
-                yield "[" + ",".join(held) + "]"
-                held, size = [], 0
-            held.append(text)
-            size += len(text)
-        if held:
-            yield "[" + ",".join(held) + "]"
+    def arrays(texts: pa.Array) -> pa.Array:
+        ends = np.cumsum(pc.utf8_length(texts).to_numpy(), dtype=np.int64)
+        cuts = [0]
+        while cuts[-1] < len(texts):
+            lo = cuts[-1]
+            most = chars_per_file + (int(ends[lo - 1]) if lo else 0)
+            cuts.append(min(lo + rows_per_file, max(lo + 1, int(np.searchsorted(ends, most, side="right")))))
+        # Offsets past the end end at the last row.
+        offsets = np.minimum(cuts, len(texts))
+        joined = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), texts), ",")
+        return pc.binary_join_element_wise("[", joined, "]", "")
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            by_folder: dict[str | None, list[str]] = {}
-            for text, name in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                by_folder.setdefault(name, []).append(text)
-            for name, texts in by_folder.items():
-                for array in arrays(texts):
-                    yield pa.RecordBatch.from_pydict(
-                        {"value": [array], "folder": pa.array([name], pa.string())}
+            folders = batch.column("folder").dictionary_encode(null_encoding="encode")
+            code = folders.indices.to_numpy()
+            for i, name in enumerate(folders.dictionary.to_pylist()):
+                texts = batch.column("value").take(pa.array(np.flatnonzero(code == i)))
+                made = arrays(texts)
+                for n in range(len(made)):
+                    yield pa.RecordBatch.from_arrays(
+                        [made.slice(n, 1), pa.array([name], pa.string())], names=["value", "folder"]
                     )
 
     name = F.lit("") if folder is None else F.col(folder).cast("string")
@@ -90,5 +104,6 @@ def write_json_arrays(
     out = out.mapInArrow(join, "value STRING, folder STRING")
     if folder is None:
         out = out.drop("folder")
-    writer = out.write.mode("overwrite").option("maxRecordsPerFile", 1)
+    writer = out.write.options(**PACKED) if packed else out.write
+    writer = writer.mode("overwrite").option("maxRecordsPerFile", 1)
     (writer if folder is None else writer.partitionBy("folder")).text(path)
