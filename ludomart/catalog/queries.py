@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,7 +23,7 @@ from ludomart.functions import (
     primary_name,
 )
 from ludomart.operators import batch_ids, dedupe_name, dedupe_pk, dense_id, lookup, profile, quality
-from ludomart.operators.ordering import ordered_blocks
+from ludomart.operators.ordering import ordered_blocks, sorted_ranges
 from ludomart.plans import dims, facts, harvest, insights, landing, pipeline
 from ludomart.session import tune, workspace
 from ludomart.sources import (
@@ -32,11 +34,11 @@ from ludomart.sources import (
     write_csv,
     write_json_arrays,
     write_table,
+    write_xml,
 )
+from ludomart.sources.sinks import PACKED
 from ludomart.streaming import incremental_reviews as stream_reviews
-    write_xml,
 
-from ludomart.sources.sinks import PACKED
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -704,14 +706,14 @@ def xml_games(spark, d):
             ).alias("statistics"),
         )
     )
+    write_xml(games, path, "boardgame", "boardgames")
     return landing.xml_games(read_xml(spark, path, "boardgame", S.XML_GAME))
 
-    write_xml(games, path, "boardgame", "boardgames")
 
 # Items per list document and prices per payload, so that no key's rows have to fit one
 # text. Rows are cut by their written position, which is the same on every attempt.
-PAYLOADS_PER_FILE = 20
 ROWS_PER_TEXT = 500
+PAYLOADS_PER_FILE = 20
 
 
 def in_texts(df: DataFrame, *keys: str) -> DataFrame:
@@ -822,14 +824,29 @@ def price_payloads(spark: SparkSession, d: str) -> DataFrame:
     """(payload): maps of category to prices, as text."""
     raw = fx.raw_prices(spark, d)
     price = F.struct(*[c for c in raw.columns if c != "price_category"])
-    return (
-        in_texts(raw, "name", "id")
-        .groupBy("_block", "_text", "price_category")
-        .agg(F.collect_list(price).alias("_prices"))
-        .groupBy("_block", "_text")
-        .agg(F.map_from_entries(F.collect_list(F.struct("price_category", "_prices"))).alias("_map"))
-        .select(F.to_json("_map").alias("payload"))
-    )
+
+    def payload(categories: list[str], prices: list[str]) -> str:
+        by_category: dict[str, list[str]] = {}
+        for category, text in zip(categories, prices, strict=True):
+            by_category.setdefault(category, []).append(text)
+        return "{" + ",".join(f"{json.dumps(c)}:[{','.join(t)}]" for c, t in by_category.items()) + "}"
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The last rows of a batch wait for those of the next one.
+        categories, prices = [], []
+        for batch in batches:
+            categories += batch.column(0).to_pylist()
+            prices += batch.column(1).to_pylist()
+            full = len(prices) // ROWS_PER_TEXT * ROWS_PER_TEXT
+            cuts = [slice(lo, lo + ROWS_PER_TEXT) for lo in range(0, full, ROWS_PER_TEXT)]
+            yield pa.RecordBatch.from_pydict({"payload": pa.array([payload(categories[c], prices[c]) for c in cuts], pa.string())})
+            categories, prices = categories[full:], prices[full:]
+        if prices:
+            yield pa.RecordBatch.from_pydict({"payload": [payload(categories, prices)]})
+
+    # Texts are cut in the task that sorts the rows, so nothing is shuffled again or written first.
+    rows = sorted_ranges(raw, ["name", "id"]).select("price_category", F.to_json(price).alias("price"))
+    return rows.mapInArrow(join, "payload STRING")
 
 
 @query

@@ -21,20 +21,24 @@ from ludomart.session import workspace
 _ROW_BITS = 33
 
 
+def sorted_ranges(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` in partitions by range of the order that ``ordered_blocks`` gives, each sorted."""
+    order = [F.col(k).asc_nulls_first() for k in keys]
+    others = [c for c in df.columns if c not in keys]
+    if others:
+        order.append(F.xxhash64(*others).asc())
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def ordered_blocks(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``df`` sorted by ``keys`` (NULL first) plus ``_block`` and ``_pos`` (from 0).
 
     Rows equal in all keys are ordered by a hash of their other columns: a total
     order whose key stays short, since Spark samples keys to the driver.
     """
-    order = [F.col(k).asc_nulls_first() for k in keys]
-    others = [c for c in df.columns if c not in keys]
-    if others:
-        order.append(F.xxhash64(*others).asc())
     path = workspace(df.sparkSession, "ordered")
     (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        sorted_ranges(df, keys)
         .withColumn("_m", F.monotonically_increasing_id())
         .withColumn("_block", F.shiftright("_m", _ROW_BITS).cast("int"))
         .withColumn("_pos", F.col("_m").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))

@@ -62,3 +62,14 @@ def test_xml_documents_are_bounded(spark, tmp_path):
     assert sorted(int(r[0]) for r in back.collect()) == list(range(12))
 
 
+def test_price_payloads_take_one_exchange_of_the_prices(spark):
+    payloads = Q.price_payloads(spark, SMALL)
+    text = plan(payloads)
+    assert text.count("rangepartitioning") == 1 and "HashAggregate" not in text and "ordered-" not in text
+    prices = landing.explode_prices(payloads)
+    raw = Q.fx.raw_prices(spark, SMALL).select(*prices.columns)
+    assert prices.exceptAll(raw).count() == raw.exceptAll(prices).count() == 0
+    most = payloads.select(F.regexp_count("payload", F.lit('"id":')).alias("n")).agg(F.max("n")).first()[0]
+    assert most == Q.ROWS_PER_TEXT
+
+
