@@ -315,7 +315,7 @@ def read_csv_split(
     fields = ", ".join(f"c{i} STRING" for i in range(len(names)))
     records = _records(_pieces(spark, path, _CSV, False), _CSV)
     row = F.from_csv("value", fields, options)
-    rows = records.select("file", "first", row.alias("row"))
+    rows = records.select("file", "first", F.explode(F.array(row)).alias("row"))
     cells = F.array(*[F.lower(F.coalesce(F.col(f"row.c{i}"), F.lit(f"_c{i}"))) for i in range(len(names))])
     header = F.array(*[F.lit(n.lower()) for n in names])
     stop = F.raise_error(F.concat(F.lit("another header in "), F.col("file")))
@@ -333,8 +333,8 @@ def read_json_split(
     that cannot be read is a row of NULLs. ``file`` names a column for the file's path.
     """
     records = _records(_pieces(spark, path, _JSON, recursive), _JSON)
-    raw = json_raw(schema)
-    parsed = records.select("file", F.from_json("value", raw).alias("row"))
+    # A record is parsed once: a filter on its fields cannot be pushed below a generator.
+    parsed = records.select("file", F.explode(F.array(F.from_json("value", json_raw(schema)))).alias("row"))
     kept = [F.col("file").alias(file)] if file else []
     return parsed.select(*json_columns(schema, "row"), *kept)
 

@@ -73,3 +73,11 @@ def test_price_payloads_take_one_exchange_of_the_prices(spark):
     assert most == Q.ROWS_PER_TEXT
 
 
+def test_records_are_parsed_once_under_a_filter(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"id":"a","rating":"1.5"},{"id":null},{"rating":2},{"id":7x}]')
+    rows = read_json_split(spark, str(tmp_path / "a.json"), "id STRING, rating DOUBLE")
+    # An object that cannot be read is a row of NULLs.
+    assert sorted(map(tuple, rows.collect()), key=str) == [("a", 1.5), (None, 2.0), (None, None), (None, None)]
+    kept = rows.dropna(subset=["id", "rating"])
+    assert plan(kept).count("from_json(") == 1
+    assert [tuple(r) for r in kept.collect()] == [("a", 1.5)]
