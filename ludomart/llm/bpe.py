@@ -5,8 +5,9 @@ sets the pieces it has not met before one after the other as a single row of byt
 inverted index maps each merge, by its rank, to the positions of the token pairs that it joins;
 the merges are replayed over the whole block in order of rank, each at the positions of its own
 list, from left to right. A merge changes two neighbour pairs, which enter the lists of their
-ranks; a list may hold positions that an earlier merge has changed, which are skipped. No piece
-is ever scanned again. A piece's ids are kept for the next blocks of the task, up to
+ranks; a list may hold positions that an earlier merge has changed, which are skipped. Long lists
+are merged as arrays, where no two of their pairs overlap and no merge of an earlier rank becomes
+possible; else position by position. No piece is ever scanned again. A piece's ids are kept for the next blocks of the task, up to
 ``KEPT_BYTES`` of pieces, after which the task starts anew: that costs time and changes no id.
 
 Pieces are independent, so any order of blocks gives the same ids, and no shuffle is needed.
@@ -22,6 +23,7 @@ Special tokens have no meaning: their text is encoded as any other.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Callable, Iterator
 from itertools import chain
 
@@ -40,6 +42,9 @@ KEPT_BYTES = 48 << 20
 # What a known piece takes besides its bytes, about, and the token ids decoded at once.
 PIECE_BYTES = 64
 DECODED_IDS = 1 << 20
+# Positions of a merge from which on they are merged as arrays.
+LONG_LIST = 48
+_TOKEN = (1 << 32) - 1
 
 
 class Ranks:
@@ -62,6 +67,12 @@ class Ranks:
         keys = np.array(sorted(pairs), np.int64)
         self.pairs = keys
         self.merged = np.array([pairs[k] for k in keys.tolist()], np.int64)
+        # The same with the right token first, and the pairs in order of rank.
+        turned = (keys & _TOKEN) << 32 | keys >> 32
+        order = np.argsort(turned)
+        self.turned, self.turned_merged = turned[order], self.merged[order]
+        order = np.argsort(self.merged, kind="stable")
+        self.ranked, self.ranks = keys[order], self.merged[order]
 
     def plain(self) -> dict[str, np.ndarray]:
         return dict(self.__dict__)
@@ -73,6 +84,47 @@ def read_ranks(path: str) -> Ranks:
         return Ranks({base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())})
 
 
+def _ranks_beside(token: int, others: np.ndarray, keys: np.ndarray, merged: np.ndarray) -> np.ndarray:
+    """Rank of the pair of ``token`` and each of ``others`` in sorted ``keys``; -1 where there is none."""
+    lo, hi = np.searchsorted(keys, (token << 32, (token + 1) << 32))
+    if lo == hi:
+        return np.full(len(others), -1)
+    near = keys[lo:hi] & _TOKEN
+    at = np.minimum(np.searchsorted(near, others), hi - lo - 1)
+    return np.where(near[at] == others, merged[lo:hi][at], -1)
+
+
+def _merge_all(now: int, places: list[int], token: np.ndarray, right: np.ndarray, left: np.ndarray, v: dict[str, np.ndarray]):
+    """Merge the pairs of rank ``now`` at ``places`` at once: (ranks, positions) of the pairs that
+    come of it; None, and nothing merged, where their order counts."""
+    i = np.unique(np.array(places, np.int64))
+    i = i[(token[i] >= 0) & (right[i] >= 0)]
+    key = token[i] << 32 | token[right[i]]
+    lo, hi = np.searchsorted(v["ranks"], (now, now + 1))
+    fits = np.zeros(len(i), bool)
+    for known in v["ranked"][lo:hi].tolist():
+        fits |= key == known
+    i = i[fits]
+    j = right[i]
+    if (i[1:] == j[:-1]).any():  # overlapping pairs, as in a run of one token
+        return None
+    k, h = right[j], left[i]
+    after = np.where(k >= 0, token[k], -1)
+    before = np.where(h >= 0, token[h], -1)
+    follow = _ranks_beside(now, after, v["pairs"], v["merged"])
+    lead = _ranks_beside(now, before, v["turned"], v["turned_merged"])
+    twice = int(_ranks_beside(now, np.array([now]), v["pairs"], v["merged"])[0])
+    if any(((r >= 0) & (r < now)).any() for r in (follow, lead, np.array([twice]))):
+        return None
+    token[i], token[j], right[i] = now, -1, k
+    left[k[k >= 0]] = i[k >= 0]
+    # Where two merged pairs touch, the new pair is that of both, listed with the first.
+    touch = i[1:] == k[:-1]
+    follow[:-1][touch] = twice
+    lead[1:][touch] = -1
+    return np.concatenate([follow[follow >= 0], lead[lead >= 0]]), np.concatenate([i[follow >= 0], h[lead >= 0]])
+
+
 def replay(pieces: list[bytes], v: dict[str, np.ndarray], pair_ranks: dict[int, int]) -> list[list[int]]:
     """The ids of each piece."""
     import heapq
@@ -104,11 +156,27 @@ def replay(pieces: list[bytes], v: dict[str, np.ndarray], pair_ranks: dict[int,
     queue = list(index)
     heapq.heapify(queue)
 
-    token, right, left = tokens.tolist(), after.tolist(), before.tolist()
+    # One memory each, for single positions and for arrays of them.
+    token, right, left = (array("q", x.astype(np.int64).tobytes()) for x in (tokens, after, before))
+    views = [np.frombuffer(x, np.int64) for x in (token, right, left)]
     find = pair_ranks.get
     while queue:
         now = heapq.heappop(queue)
         places = index.pop(now)
+        made = _merge_all(now, places, *views, v) if len(places) >= LONG_LIST else None
+        if made is not None:
+            ranks, where = made
+            order = np.argsort(ranks, kind="stable")
+            ranks, where = ranks[order], where[order]
+            cuts = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
+            firsts = ranks[np.append(0, cuts)].tolist() if len(ranks) else []
+            for r, p in zip(firsts, np.split(where, cuts), strict=False):
+                if r in index:
+                    index[r].extend(p.tolist())
+                else:
+                    index[r] = p.tolist()
+                    heapq.heappush(queue, r)
+            continue
         places.sort()
         for done, i in enumerate(places):
             j = right[i]
@@ -145,7 +213,7 @@ def replay(pieces: list[bytes], v: dict[str, np.ndarray], pair_ranks: dict[int,
                     heapq.heappush(queue, now)
                 break
 
-    ids = np.array(token, np.int64)
+    ids = views[0]
     live = np.concatenate([[0], np.cumsum(ids >= 0)])
     kept = ids[ids >= 0].tolist()
     cuts = live[ends].tolist()

@@ -79,3 +79,23 @@ def test_query(spark):
         sha = hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert (r.n_tokens, r.ids_sha256) == (len(ids), sha)
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_long_lists_merge_as_single_positions_do(monkeypatch):
+    """Vocabularies at random, in which later merges make earlier ones possible and pairs overlap."""
+    rng = random.Random(5)
+    for _ in range(60):
+        single = [bytes([b]) for b in range(256)]
+        more: set[bytes] = set()
+        while len(more) < 40:
+            more.add(bytes(rng.choices(b"abc", k=rng.randint(2, 6))))
+        tokens = [*single, *rng.sample(sorted(more), 40)]
+        v = bpe.Ranks({t: i for i, t in enumerate(tokens)}).plain()
+        pair_ranks = dict(zip(v["pairs"].tolist(), v["merged"].tolist(), strict=True))
+        pieces = [bytes(rng.choices(b"abc", k=rng.randint(1, 30))) for _ in range(60)]
+        made = []
+        for long_list in (1, 4, 1 << 40):
+            monkeypatch.setattr(bpe, "LONG_LIST", long_list)
+            made.append(bpe.replay(pieces, v, pair_ranks))
+        assert made[0] == made[1] == made[2]
+        assert [b"".join(tokens[i] for i in ids) for ids in made[0]] == pieces
