@@ -228,28 +228,45 @@ def _encoder(shared, pattern: str, kept_bytes: int) -> Callable[[pa.RecordBatch,
     whole = {data[a:b]: i for a, b, i in zip(at, at[1:], v["ids"].tolist(), strict=False)}
     pair_ranks = dict(zip(v["pairs"].tolist(), v["merged"].tolist(), strict=True))
     cut = regex.compile(pattern)
-    known: dict[str, list[int]] = {}
+    # Known pieces by number; the ids of all of them in a row, and where each one's begin.
+    known: dict[str, int] = {}
+    flat, begin = array("i"), array("q", [0])
     size = 0
 
+    def learn(piece: str, ids: list[int]):
+        known[piece] = len(begin) - 1
+        flat.extend(ids)
+        begin.append(len(flat))
+
     def encode(column: pa.Array) -> pa.Array:
         nonlocal size
         texts = [cut.findall(t) if t else [] for t in column.to_pylist()]
         new = set().union(*texts).difference(known)
         if new and size > kept_bytes:
             known.clear()
+            del flat[:], begin[1:]
             size = 0
             new = set().union(*texts)
         raw = {p: p.encode() for p in new}
         size += sum(map(len, raw.values())) + PIECE_BYTES * len(raw)
         # A piece that is a token itself needs no merge.
-        known.update((p, [whole[b]]) for p, b in raw.items() if b in whole)
-        parts = [p for p, b in raw.items() if b not in whole]
+        parts = []
+        for p, b in raw.items():
+            if b in whole:
+                learn(p, [whole[b]])
+            else:
+                parts.append(p)
         if parts:
-            known.update(zip(parts, replay([raw[p] for p in parts], v, pair_ranks), strict=True))
-        ids, offsets = [], [0]
-        for pieces in texts:
-            ids.extend(chain.from_iterable(map(known.__getitem__, pieces)))
-            offsets.append(len(ids))
+            for p, ids in zip(parts, replay([raw[p] for p in parts], v, pair_ranks), strict=True):
+                learn(p, ids)
+        pieces = np.array([len(t) for t in texts], np.int64)
+        number = np.fromiter(map(known.__getitem__, chain.from_iterable(texts)), np.int64, pieces.sum())
+        del texts
+        at = np.array(begin)
+        first, count = at[number], np.diff(at)[number]
+        ends = np.concatenate([[0], np.cumsum(count)])
+        ids = np.array(flat)[np.arange(ends[-1]) + np.repeat(first - ends[:-1], count)]
+        offsets = ends[np.concatenate([[0], np.cumsum(pieces)])]
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
 
     return encode
