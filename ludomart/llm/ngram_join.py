@@ -12,17 +12,17 @@ one of those is equal; sets with more have them indexed too. No signature is dro
 
 Signatures are packed by range of their value; a group of ranges is sorted in one task, whose
 size the number of ranges bounds. Signatures of one set only end there. What is shared gives
-candidates in three rounds:
+candidates in two rounds:
 
 1. Each set is paired with the one it shares most signatures with, of the sets it meets in
    groups of a few and of the leaders of its large groups; the leader is the set that shares
    most there. Pairs are checked exactly and give components: a text and its thousands of copies
    are connected by then, at a pair for each copy.
-2. In large groups that several components share, each set is checked against the nearest set
-   of another component.
-3. All other pairs from distinct components are checked exactly where they may link: those of
+2. All other pairs from distinct components are checked exactly where they may link: those of
    small groups, each once for all its signatures, and those of large groups, where all
-   sets of one leader are looked at together, in blocks.
+   sets of one leader are looked at together, in blocks. Sets that a sketch rules out with all
+   others there end first; the rest meet again with their shingles, and a block gives no pairs
+   but links, each of which connects what was not connected in it before: fewer than its sets.
 
 A parity sketch (the odd sketch: bit i tells whether an odd number of shingles falls
 into it, so differing bits never outnumber differing shingles) rules out the pairs whose
@@ -41,6 +41,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 from math import erfc, exp, sqrt
 
 import numpy as np
@@ -59,11 +60,11 @@ RANGE_ROWS = 1_500_000
 # Signatures that a task packs at a time.
 PACK_ROWS = 1_000_000
 # Sets of a range that are numbered in the bits beside a signature.
-PACKED_SETS = 1 << 24
+PACKED_SETS = 1 << 32
 # Sets of a block in which pairs are checked.
 PAIR_BLOCK = 256
-# Members of a group that are compared in one block.
-BLOCK = 1024
+# Members of a group that are compared in one block, and their shingles where these are needed.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 21
 # Groups of up to so many sets give their pairs at once, each pair once for all its groups.
 SMALL = 8
 # Cost of a signature indexed, and of a pair looked at, for the choice of an allocation; share
@@ -241,8 +242,8 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
 def _packed(docs: DataFrame, ranges: int, key: str, text: str, wanted=None) -> DataFrame:
     """Signatures of whole texts (of keys in the filter ``wanted``) as arrays by range: the sets,
-    how many each has there, and forty bits of each, which within a range tell as many apart as a
-    task sorts: sets that agree by chance are told apart when they are checked."""
+    how many each has there, and the low half of each, which the range does not use: of the millions
+    that a task sorts a few hundred pairs agree by chance, and are told apart when they are checked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -280,8 +281,7 @@ def _by_range(held: list[tuple], ranges: int) -> pa.RecordBatch:
     bucket = (((sig >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)).astype(np.int32)
     order = np.lexsort((fp, bucket))
     sig, fp, bucket = sig[order], fp[order], bucket[order]
-    # The low bits are not used by the range.
-    low = sig.view(np.uint8).reshape(-1, 8)[:, :5]
+    low = sig.astype(np.uint32)
     cut = np.searchsorted(bucket, np.arange(ranges + 1))
     rows = ([], [], [], [])
     for b in np.flatnonzero(np.diff(cut)).tolist():
@@ -289,7 +289,8 @@ def _by_range(held: list[tuple], ranges: int) -> pa.RecordBatch:
         at = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
         rows[0].append(b)
         rows[1].append(part[at].tobytes())
-        rows[2].append(np.diff(np.append(at, len(part))).astype(np.uint32).tobytes())
+        count = np.diff(np.append(at, len(part)))
+        rows[2].append(count.astype(np.uint8 if count.max() < 256 else np.uint32).tobytes())
         rows[3].append(low[cut[b] : cut[b + 1]].tobytes())
     return pa.RecordBatch.from_arrays(
         [pa.array(rows[0], pa.int32()), *(pa.array(r, pa.binary()) for r in rows[1:])],
@@ -308,10 +309,10 @@ def _rows(pair: bool, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> Iterator[p
 
 
 def _unpacked(f: pa.Scalar, c: pa.Scalar, x: pa.Scalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    low = np.frombuffer(x.as_buffer(), np.uint8).reshape(-1, 5)
-    sig = np.zeros((len(low), 8), np.uint8)
-    sig[:, :5] = low
-    return sig.view(np.uint64).ravel(), np.frombuffer(f.as_buffer(), np.int64), np.frombuffer(c.as_buffer(), np.uint32)
+    sig = np.frombuffer(x.as_buffer(), np.uint32).astype(np.uint64)
+    fps = np.frombuffer(f.as_buffer(), np.int64)
+    raw = c.as_buffer()
+    return sig, fps, np.frombuffer(raw, np.uint8 if raw.size == len(fps) else np.uint32)
 
 
 def shared_signatures(
@@ -333,15 +334,15 @@ def shared_signatures(
                 counts.append(count)
         fps, place = np.unique(np.concatenate(ids), return_inverse=True)
         # Signature and number of the set in one number, so that one sort brings copies of a
-        # signature together: forty bits and twenty-four. More sets than that are sorted apart.
+        # signature together, half of it each. More sets than that are sorted apart.
         sig, owner = np.concatenate(sigs), np.repeat(place, np.concatenate(counts))
         del sigs, ids, counts, place
         if len(fps) <= packed_sets:
-            sig <<= np.uint64(24)
+            sig <<= np.uint64(32)
             sig |= owner.astype(np.uint64)
             sig.sort()
-            owner = (sig & np.uint64((1 << 24) - 1)).astype(np.int64)
-            sig >>= np.uint64(24)
+            owner = (sig & np.uint64((1 << 32) - 1)).astype(np.int64)
+            sig >>= np.uint64(32)
         else:
             order = np.lexsort((owner, sig))
             sig, owner = sig[order], owner[order]
@@ -368,7 +369,7 @@ def shared_signatures(
         top = np.maximum.reduceat(rank, begin) if len(begin) else rank
         lead = np.repeat(len(fps) - top % (len(fps) + 1), size)
         large = np.repeat(size > SMALL, size)
-        name = (sig.astype(np.int64) << 23) ^ bucket
+        name = (sig.astype(np.int64) << 31) ^ bucket
         yield from _rows(False, fps[owner[large]], fps[lead[large]], name[large])
 
     packed = _packed(docs, ranges, key, text, wanted).repartition(ranges, "bucket")
@@ -376,7 +377,8 @@ def shared_signatures(
 
 
 def _sets_of(docs: DataFrame, reps: DataFrame, key: str, text: str) -> DataFrame:
-    """(fp, elements) of the sets whose documents are in ``reps`` (doc_id, fp)."""
+    """(fp, elements) of the sets whose documents are in ``reps`` (doc_id, fp), once each although
+    a row may be repeated, and of a few others that the filter lets by; in partitions by ``fp``."""
 
     wanted = key_filter(reps, "doc_id")
 
@@ -386,29 +388,33 @@ def _sets_of(docs: DataFrame, reps: DataFrame, key: str, text: str) -> DataFrame
                 sets = Sets(part.column("_text"))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("doc_id").take(pa.array(sets.rows, pa.int64())),
                         pa.array(sets.fingerprints(), pa.int64()),
                         pa.array(sets.elements(), pa.binary()),
                     ],
-                    names=["doc_id", "fp", "elements"],
+                    names=["fp", "elements"],
                 )
 
-    own = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("_text"))
-    own = own.withColumn("_k", F.xxhash64("doc_id"))
-    found = own.mapInArrow(run, "doc_id bigint, fp bigint, elements binary")
-    # Exactly the wanted ones, once each although a row may be repeated.
-    return found.join(reps, ["doc_id", "fp"], "left_semi").groupBy("fp").agg(F.first("elements").alias("elements"))
+    own = docs.select(F.xxhash64(F.col(f"`{key}`").cast("long")).alias("_k"), F.col(f"`{text}`").alias("_text"))
+    return own.mapInArrow(run, "fp bigint, elements binary").groupBy("fp").agg(F.first("elements").alias("elements"))
+
+
+def _alike(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sets of shingles link."""
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    both = int((y[at] == x).sum())
+    return DEN * both >= NUM * (len(x) + len(y) - both)
 
 
 def verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame, key: str, text: str) -> DataFrame:
-    """Of ``pairs`` (a, b), those whose sets link.
+    """Of ``pairs`` (a, b), a stored table, those whose sets link.
 
     Pairs are put into cells, and a set goes to each of its cells once, however many pairs it
     has there: a cell is a pair of blocks of a group of pairs, or holds several small groups. A
     group is named by the least set next to either set of a pair, so pairs around a set, or of
     sets that are all alike, are together.
     """
-    pairs = stored(pairs, "pairs")
     count = pairs.count()
     near = pairs.union(pairs.select("b", "a")).groupBy("a").agg(F.min("b").alias("m"))
     near = near.select(F.col("a").alias("fp"), F.least("a", "m").alias("m"))
@@ -416,7 +422,6 @@ def verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame, key: str, text: s
     grouped = stored(grouped.select(F.least("ma", "mb").alias("g"), "a", "b"), "groups")
     member = grouped.select("g", F.col("a").alias("fp")).union(grouped.select("g", "b")).distinct()
     reps = stored(reps.join(member.select("fp").distinct(), "fp", "left_semi"), "wanted")
-    sets = stored(_sets_of(docs, reps, key, text), "sets")
     blocks = member.groupBy("g").agg(F.ceil(F.count("*") / PAIR_BLOCK).cast("long").alias("blocks"))
     cells = grouped.join(blocks, "g")
     s, t = (F.pmod(F.xxhash64(x), F.col("blocks")) for x in ("a", "b"))
@@ -430,21 +435,15 @@ def verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame, key: str, text: s
     )
     cells = stored(cells, "cells")
     there = cells.select("c", "i", "j", F.col("a").alias("fp")).union(cells.select("c", "i", "j", "b")).distinct()
-    there = there.join(sets, "fp")
+    there = there.join(_sets_of(docs, reps, key, text), "fp")
     # Names of its own: both sides come from one table.
     there = there.toDF("fp", "d", "k", "l", "elements")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         raw = right.column("elements")
         held = {f: np.frombuffer(e.as_buffer(), np.uint64) for f, e in zip(right.column("fp").to_pylist(), raw, strict=True)}
-        ok = []
-        for a, b in zip(left.column("a").to_pylist(), left.column("b").to_pylist(), strict=True):
-            x, y = held[a], held[b]
-            if len(x) > len(y):
-                x, y = y, x
-            at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-            both = int((y[at] == x).sum())
-            ok.append(DEN * both >= NUM * (len(x) + len(y) - both))
+        named = zip(left.column("a").to_pylist(), left.column("b").to_pylist(), strict=True)
+        ok = [_alike(held[a], held[b]) for a, b in named]
         return left.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     return cells.groupBy("c", "i", "j").cogroup(there.groupBy("d", "k", "l")).applyInArrow(run, "a bigint, b bigint")
@@ -476,77 +475,107 @@ def _folded(sketches: list[bytes]) -> np.ndarray:
     return out
 
 
-def _cross_pairs(rows: DataFrame, nearest: bool) -> DataFrame:
-    """Pairs (a, b, distance) of sets of one cell from distinct components that may link: all of
-    them with a < b, or for each set the nearest of the cell."""
+def _may_link(rows: DataFrame) -> DataFrame:
+    """(sig, fp) of the sets of a cell that may link with a set of another component there."""
 
-    def pairs(t: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    def found(t: pa.Table) -> np.ndarray:
         fp, comp, size, side = (t.column(c).to_numpy() for c in ("fp", "comp", "n", "side"))
         if len(fp) < 2 or (comp == comp[0]).all():
-            return
+            return fp[:0]
         bits = _folded(t.column("sketch").to_pylist())
         two = side.min() != side.max()
+        near = []
         for lo in range(0, len(fp), 256):
             cut = slice(lo, lo + 256)
             d = _distance(bits[cut], bits, size[cut], size)
             d[comp[cut, None] == comp[None, :]] = np.inf
             if two:  # of a cell of two blocks only pairs across are its own
                 d[side[cut, None] == side[None, :]] = np.inf
-            if nearest:
-                j = d.argmin(1)
-                i = np.flatnonzero(np.isfinite(d[np.arange(len(d)), j]))
-                j = j[i]
-            else:
-                i, j = np.nonzero(np.isfinite(d))
-                once = fp[lo + i] < fp[j]
-                i, j = i[once], j[once]
-            yield fp[lo + i], fp[j], d[i, j]
-
-    def out(found: list) -> pa.RecordBatch:
-        a, b, d = (np.concatenate([x[i] for x in found]) for i in range(3))
-        _, at = np.unique(np.stack([a, b], 1), axis=0, return_index=True)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(a[at], pa.int64()), pa.array(b[at], pa.int64()), pa.array(d[at], pa.float64())], names=["a", "b", "distance"]
-        )
+            near.append(np.isfinite(d).any(1))
+        return fp[np.concatenate(near)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, held = [], None
-        for batch in batches:
-            t = pa.Table.from_batches([batch])
-            held = t if held is None else pa.concat_tables([held, t])
+        held = None
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                t = pa.Table.from_batches([batch])
+                held = t if held is None else pa.concat_tables([held, t])
+            if held is None or not held.num_rows:
+                continue
             key = np.stack([held.column(c).to_numpy() for c in ("sig", "i", "j")], 1)
             change = np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1
-            if not len(change):
-                continue
-            for lo, hi in zip(np.append(0, change[:-1]).tolist(), change.tolist(), strict=True):
-                found.extend(pairs(held.slice(lo, hi - lo)))
-            held = held.slice(change[-1]).combine_chunks()
-            if sum(len(x[0]) for x in found) > 200_000:
-                yield out(found)
-                found = []
-        if held is not None and held.num_rows:
-            found.extend(pairs(held))
-        if found:
-            yield out(found)
+            # The last cell may go on in the next batch.
+            ends = change.tolist() if batch is not None else [*change.tolist(), len(key)]
+            for lo, hi in zip([0, *ends[:-1]], ends, strict=False):
+                fp = found(held.slice(lo, hi - lo))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(fp), key[lo, 0])), pa.array(fp)], names=["sig", "fp"])
+            if ends:
+                held = held.slice(ends[-1]).combine_chunks()
 
     cells = rows.select("sig", "i", "j", "fp", "comp", "n", "sketch", "side")
-    return cells.mapInArrow(run, "a bigint, b bigint, distance double")
+    return cells.mapInArrow(run, "sig bigint, fp bigint").distinct()
 
 
-def _cells(members: DataFrame, comp: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Rows of the cells that several components share, large cells as pairs of blocks. A cell
-    holds all sets that a leader leads: each group lies in the cell of its leader, so pairs meet
-    once for all their signatures of one leader."""
-    named = members.join(comp.toDF("fp", "comp"), "fp", "left")
-    named = stored(named.withColumn("comp", F.coalesce("comp", "fp")), "named")
-    mixed = named.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"))
-    rows = named.join(mixed.where("lo < hi").select("sig", "size"), "sig").join(sizes, "fp")
-    rows = rows.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+def _linked(rows: DataFrame) -> DataFrame:
+    """Links (a, b) between sets of a cell that, with ``comp``, connect what links there: fewer
+    than the cell has sets."""
+
+    def run(t: pa.Table) -> pa.Table:
+        fp, comp, side = (t.column(c).to_numpy() for c in ("fp", "comp", "side"))
+        held = [np.frombuffer(e.as_buffer(), np.uint64) for e in t.column("elements")]
+        size = np.array([len(x) for x in held])
+        two = side.min() != side.max()
+        # Sketches of one width, with fewer shingles to a bit than those that came here by.
+        width = 8 * _bits(int(size.max()))
+        bits = np.empty((len(held), width // 64), np.uint64)
+        for i, x in enumerate(held):
+            place = (mix(x ^ np.uint64(0x5BD1E995)) & np.uint64(width - 1)).astype(np.int64)
+            odd = (np.bincount(place, minlength=width) & 1).astype(np.uint8)
+            bits[i] = np.packbits(odd, bitorder="little").view(np.uint64)
+        name = np.unique(comp, return_inverse=True)[1]
+        a, b = [], []
+        for i in range(len(held)):
+            j = np.flatnonzero(name[i + 1 :] != name[i]) + i + 1
+            if two:
+                j = j[side[j] != side[i]]
+            j = j[np.minimum(size[j], size[i]) * DEN >= np.maximum(size[j], size[i]) * NUM]
+            differ = np.bitwise_count(bits[j] ^ bits[i]).sum(1, dtype=np.int64)
+            ok = differ * (DEN + NUM) <= (size[j] + size[i]) * (DEN - NUM)
+            for k in j[ok][np.argsort(differ[ok], kind="stable")].tolist():
+                if name[k] != name[i] and _alike(held[i], held[k]):
+                    a.append(fp[i])
+                    b.append(fp[k])
+                    name[name == name[k]] = name[i]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    cells = rows.select("sig", "i", "j", "fp", "comp", "side", "elements")
+    return cells.groupBy("sig", "i", "j").applyInArrow(run, "a bigint, b bigint")
+
+
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    """Rows once for each of their cells: a cell is a pair of the ``blocks`` of ``sig``."""
     rows = rows.withColumn("side", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.withColumns({"i": F.least("side", "other"), "j": F.greatest("side", "other")})
+    return rows.withColumns({"i": F.least("side", "other"), "j": F.greatest("side", "other")})
+
+
+def links_in_cells(cells: DataFrame, comp: DataFrame, content: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """Links (a, b) that connect the components of sets (sig, fp) that meet under a ``sig``. It
+    stands for all sets that a leader leads: each group lies with its leader, so pairs meet once
+    for all their signatures of one leader."""
+    named = cells.join(comp.toDF("fp", "comp"), "fp", "left")
+    named = stored(named.withColumn("comp", F.coalesce("comp", "fp")), "named")
+    mixed = named.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where("lo < hi")
+    mixed = mixed.select("sig", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    rows = _in_blocks(named.join(mixed, "sig").join(content.select("fp", "n", "sketch"), "fp"))
     rows = rows.select("sig", "i", "j", "fp", "comp", "n", "sketch", "side")
-    return rows.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
+    left = _may_link(rows.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j"))
+    left = stored(left.join(named, ["sig", "fp"]).join(content.select("fp", "n"), "fp"), "left")
+    parts = F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)
+    blocks = left.groupBy("sig").agg(F.ceil(parts).cast("int").alias("blocks"))
+    rows = _in_blocks(left.join(blocks, "sig")).select("sig", "i", "j", "fp", "comp", "side")
+    reps = content.select("doc_id", "fp").join(left.select("fp").distinct(), "fp", "left_semi")
+    return _linked(rows.join(_sets_of(docs, stored(reps, "wanted"), key, text), "fp"))
 
 
 def _near(pairs: DataFrame) -> DataFrame:
@@ -596,22 +625,13 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     links = stored(verify(first, docs, reps, key, text), "links")
     comp = stored(components(links, "components"), "components")
 
-    # Round 2: the nearest set of another component, by sketch, in large groups.
-    near = _cross_pairs(_cells(cells, comp, sizes), nearest=True)
-    near = near.join(first.union(first.select("b", "a")), ["a", "b"], "left_anti")
-    near = near.groupBy("a").agg(F.min_by("b", F.struct("distance", "b")).alias("b"))
-    second = stored(_in_order(near).distinct(), "pairs")
-    # What is connected already goes on as a link from each set to its component.
-    links = comp.toDF("a", "b").union(verify(second, docs, reps, key, text))
-    comp = stored(components(links, "components"), "components")
-
-    # Round 3: every other pair, of small groups and of large ones.
+    # Round 2: every other pair that components do not connect, of small groups and of large ones.
     named = comp.select(F.col("node").alias("a"), F.col("component").alias("c"))
     apart = both.join(named, "a", "left").join(named.toDF("b", "d"), "b", "left")
     apart = apart.where("NOT coalesce(c, a) <=> coalesce(d, b)").select("a", "b")
-    rest = apart.union(_cross_pairs(_cells(cells, comp, sizes), nearest=False).select("a", "b")).distinct()
-    rest = stored(rest.join(first.union(second), ["a", "b"], "left_anti"), "pairs")
-    links = comp.toDF("a", "b").union(verify(rest, docs, reps, key, text))
+    rest = stored(apart.join(first, ["a", "b"], "left_anti"), "pairs")
+    # What is connected already goes on as a link from each set to its component.
+    links = comp.toDF("a", "b").union(verify(rest, docs, reps, key, text)).union(links_in_cells(cells, comp, content, docs, key, text))
     comp = components(links, "components").toDF("fp", "comp")
 
     least = content.join(comp, "fp", "left").withColumn("comp", F.coalesce("comp", "fp"))

@@ -191,6 +191,35 @@ def test_most_of_the_rows_share_signatures(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == {d: (size[d], comp[d]) for d, _ in rows}
 
 
+def test_near_misses_of_a_large_group_are_not_listed_as_pairs(spark, monkeypatch):
+    """All sets share most segments and every two just fail to link, but for a few that do."""
+    rnd = random.Random(8)
+    word = lambda: f"w{rnd.randrange(10**6)}"
+    base = [word() for _ in range(150)]
+    rows = [(i, " ".join([*base[: 130 - i // 112], *(word() for _ in range(20 if i >= 112 else 22))])) for i in range(120)]
+    rows += [(i, " ".join([*base[:128], *(word() for _ in range(22))])) for i in range(120, 240)]
+    made, stored = {}, ngram_join.stored
+
+    def counted(df, tag):
+        out = stored(df, tag)
+        made[tag] = max(made.get(tag, 0), out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "stored", counted)
+    size, comp = jaccard_components(rows)
+    out = ngram_join.link(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == {d: (size[d], comp[d]) for d, _ in rows}
+    assert 1 < len(set(comp.values())) < 240
+    assert made["pairs"] <= 240 and made["left"] <= made["cells"]
+
+
+def test_links_of_a_cell_in_small_blocks(spark, documents, prose, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 3)
+    monkeypatch.setattr(ngram_join, "SMALL", 2)
+    _, comp = jaccard_components(prose)
+    assert all(r.component_id == comp[r.doc_id] for r in ngram_join.link(documents).collect())
+
+
 def test_sets_that_differ_by_the_limit_share_a_signature():
     rnd = random.Random(2)
     for n in (1, 2, 3, 4, 7, 9, 15, 40, 90, 300, 1200):
