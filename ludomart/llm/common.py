@@ -158,19 +158,23 @@ def components(edges: DataFrame, tag: str, a: str = "a", b: str = "b") -> DataFr
 FILTER_BITS = 1 << 24
 
 
-def key_filter(keys: DataFrame, key: str, bits: int = FILTER_BITS):
-    """A broadcast bitmap of ``bits`` bits in which every key of ``keys`` has two bits set."""
-    import numpy as np
-
+def _set_bits(keys: DataFrame, key: str, bits: int) -> DataFrame:
+    """(word, mask): two bits for every key, as those words of a bitmap that are not zero."""
     h = F.xxhash64(F.col(f"`{key}`"))
     bit = F.explode(F.array(F.pmod(h, F.lit(bits)), F.pmod(F.shiftright(h, 32), F.lit(bits))))
-    rows = (
+    return (
         keys.select(bit.alias("bit"))
         .select(F.shiftright("bit", 5).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("bit") % 32).cast("int")).alias("mask"))
         .groupBy("word")
         .agg(F.bit_or("mask").alias("mask"))
-        .toArrow()
     )
+
+
+def key_filter(keys: DataFrame, key: str, bits: int = FILTER_BITS):
+    """A broadcast bitmap of ``bits`` bits in which every key of ``keys`` has two bits set."""
+    import numpy as np
+
+    rows = _set_bits(keys, key, bits).toArrow()
     words = np.zeros(bits // 32, np.uint32)
     words[rows.column("word").to_numpy()] = rows.column("mask").to_numpy().astype(np.uint32)
     return keys.sparkSession.sparkContext.broadcast(words)
@@ -187,18 +191,18 @@ def in_filter(hashes: pa.Array, words) -> pa.Array:
     return pa.array(hit)
 
 
-def maybe_in(df: DataFrame, key: str, shared, inside: bool = True) -> DataFrame:
-    """Rows of ``df`` whose key has its bits set in a ``key_filter`` (or those whose has not):
-    no shuffle, and few rows too many where keys are few against the bits."""
-    (hashed,) = free(df, "_k")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.compute as pc
-
-        for batch in batches:
-            hit = in_filter(batch.column(hashed), shared.value)
-            part = batch.filter(hit if inside else pc.invert(hit))
-            if part.num_rows:
-                yield part.drop_columns([hashed])
-
-    return df.withColumn(hashed, F.xxhash64(F.col(f"`{key}`"))).mapInArrow(run, df.schema)
+def split_by_keys(df: DataFrame, key: str, keys: DataFrame, bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``df`` whose key is surely not in ``keys`` (a column of that name), and all others:
+    no shuffle of ``df``, whose rows do not leave the JVM, and few rows too many among the others
+    where keys are few against the bits. The words broadcast are ``bits // 32`` at most."""
+    hashed, *free_names = free(df, "_h", "_w", "_m", "_x", "_y")
+    w, m, x, y = free_names
+    words = F.broadcast(_set_bits(keys, key, bits).toDF(w, m))
+    own = df.withColumn(hashed, F.xxhash64(F.col(f"`{key}`")))
+    hit = F.lit(True)
+    for mask, h in ((x, F.col(hashed)), (y, F.shiftright(hashed, 32))):
+        bit = F.pmod(h, F.lit(bits))
+        own = own.join(words.withColumnRenamed(m, mask), F.shiftright(bit, 5) == F.col(w), "left").drop(w)
+        hit = hit & (F.call_function("getbit", F.coalesce(mask, F.lit(0).cast("long")), (bit % 32).cast("int")) == 1)
+    mine = [F.col(f"`{c}`") for c in df.columns]
+    return own.where(~hit).select(mine), own.where(hit).select(mine)

@@ -49,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ludomart.llm.common import components, free, in_filter, key_filter, maybe_in, steps, stored
+from ludomart.llm.common import components, free, in_filter, key_filter, split_by_keys, steps, stored
 from ludomart.llm.words import SPACE, mix, shingles, words
 
 SHINGLE = 5
@@ -645,9 +645,9 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     """``docs`` with the document of the least id of each component, and those that link with
     nothing; repeated rows of an id stay as they are."""
     gone = stored(link(docs, key, text).where("doc_id <> component_id").select("doc_id").distinct(), "gone")
-    shared = key_filter(gone, "doc_id")
     (number,) = free(docs, "_id")
+    gone = gone.toDF(number)
     own = docs.withColumn(number, F.col(f"`{key}`").cast("long"))
-    sure = maybe_in(own, number, shared, inside=False)
-    rest = maybe_in(own, number, shared).join(gone.toDF(number), number, "left_anti").select(own.columns)
+    sure, rest = split_by_keys(own, number, gone)
+    rest = rest.join(gone, number, "left_anti").select(own.columns)
     return sure.unionByName(rest).drop(number)

@@ -27,7 +27,7 @@ from ludomart.llm import (
     warc,
 )
 from ludomart.llm import queries as Q
-from ludomart.llm.common import components
+from ludomart.llm.common import components, split_by_keys, stored
 from ludomart.llm.words import ALNUM, SPACE, words
 from tests.oracle import connect, differences
 
@@ -220,6 +220,22 @@ def test_links_of_a_cell_in_small_blocks(spark, documents, prose, monkeypatch):
     assert all(r.component_id == comp[r.doc_id] for r in ngram_join.link(documents).collect())
 
 
+def test_documents_are_kept_without_python_workers(documents, prose):
+    given = stored(documents, "given")
+    kept = ngram_join.keep_one(given)
+    assert "InArrow" not in kept._jdf.queryExecution().executedPlan().toString()
+    _, comp = jaccard_components(prose)
+    want = collections.Counter(d for d, _ in prose if comp[d] == d)
+    assert collections.Counter(r.doc_id for r in kept.collect()) == want
+    keys = documents.select("doc_id").where("doc_id < 130").distinct()
+    # So few bits that other keys hit them too: they may be among the rest, never the other way.
+    for bits in (64, 1 << 24):
+        sure, rest = split_by_keys(documents, "doc_id", keys, bits)
+        assert sure.where("doc_id < 130").isEmpty() and sure.columns == documents.columns
+        assert sure.count() + rest.count() == len(prose)
+    assert rest.where("doc_id >= 130").isEmpty()
+
+
 def test_sets_that_differ_by_the_limit_share_a_signature():
     rnd = random.Random(2)
     for n in (1, 2, 3, 4, 7, 9, 15, 40, 90, 300, 1200):
