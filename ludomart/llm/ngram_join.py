@@ -42,7 +42,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import cache
 from itertools import chain
-from math import erfc, exp, sqrt
+from math import erfc, exp, log, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -592,6 +592,17 @@ def _near(pairs: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "n", "p", "q", "x", "y").mapInArrow(run, "a bigint, b bigint, n bigint")
 
 
+def _expected(content: DataFrame) -> float:
+    """About the number of signatures of all sets, from how many there are of each band's width."""
+    width = F.floor(F.log("n") / F.lit(log(DEN / NUM)))
+    total = 0.0
+    for r in content.groupBy(width.alias("w")).agg(F.count("*").alias("sets"), F.avg("n").alias("n")).collect():
+        band = int(np.searchsorted(bands(), r.n, side="right")) - 1
+        for n, one, _ in map(allocation, range(max(0, band - 1), band + 1)):
+            total += r.sets * (n + one * r.n / n)
+    return total
+
+
 def _in_order(pairs: DataFrame, *more: str) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), *more)
 
@@ -604,8 +615,7 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         "content",
     )
     reps = content.select("doc_id", "fp")
-    total = content.agg(F.sum("n")).first()[0] or 0
-    ranges = max(1, int(total // RANGE_ROWS) + 1)
+    ranges = int(_expected(content) // RANGE_ROWS) + 1
     # A text is indexed once, by its representative; what the filter lets by is one set again below.
     found = stored(shared_signatures(docs, ranges, key, text, key_filter(reps, "doc_id")), "shared")
     members = found.where("NOT pair").select(F.col("n").alias("sig"), F.col("a").alias("fp"), F.col("b").alias("lead"))
