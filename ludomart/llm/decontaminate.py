@@ -9,7 +9,8 @@ shorter item as a whole) mark the words they cover.
 Only the benchmark is sent to the tasks, in blocks of at most ``block_words`` words: a larger
 benchmark takes one pass over the texts for each block, which adds to what earlier passes
 found. Nothing is gathered from the texts, and no group is formed, so copies and frequent
-passages cost what their length costs.
+passages cost what their length costs: words that many items and many places share are gone
+through once for each place, not for each pair.
 
 Defined results: null and empty texts have no words and are clean; an item without words has
 no window; repeated items and repeated rows count each for itself (n_items counts distinct
@@ -23,6 +24,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField
@@ -33,6 +35,8 @@ from ludomart.llm.words import ALNUM, words
 WINDOW = 10
 BLOCK_WORDS = 1 << 20
 SHARD_BYTES = 3 << 20
+# Documents and items that are paired at a time.
+PAIRS = 1 << 20
 
 FIELDS = [
     StructField("n_words", LongType()),
@@ -130,7 +134,28 @@ def _lists(row: np.ndarray, values: pa.Array, n: int) -> pa.Array:
     return pa.ListArray.from_arrays(np.searchsorted(row, np.arange(n + 1)).astype(np.int32), values)
 
 
-def _search(items: Items) -> Callable[[pa.RecordBatch], dict[str, pa.Array]]:
+def _ranges(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges, one after the other."""
+    total = hi - lo
+    return np.repeat(lo - (np.cumsum(total) - total), total) + np.arange(int(total.sum()))
+
+
+def _crossed(left: np.ndarray, right: np.ndarray, keys: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of equal keys, 0 to ``keys`` - 1 and sorted on both sides, about ``PAIRS`` at a time."""
+    b = np.searchsorted(right, np.arange(keys + 1))
+    wide = np.diff(b)[left]
+    upto = np.cumsum(wide)
+    lo = 0
+    while lo < len(left):
+        hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + PAIRS, side="right")))
+        mine = np.arange(lo, hi)
+        yield np.repeat(mine, wide[lo:hi]), _ranges(b[left[mine]], b[left[mine] + 1])
+        lo = hi
+
+
+def _search(items: Items, pairs: bool = True) -> Callable[[pa.RecordBatch], dict[str, pa.Array]]:
+    """The function that adds ``FIELDS``; without ``pairs`` hit_items stay empty."""
+
     def work(part: pa.RecordBatch, text: str, before: dict[str, pa.Array] | None) -> dict[str, pa.Array]:
         h, first = words(part.column(text), ALNUM)
         n = part.num_rows
@@ -145,24 +170,33 @@ def _search(items: Items) -> Callable[[pa.RecordBatch], dict[str, pa.Array]]:
         seq[body] = h
         longest = np.zeros(n, np.int64)
         cover = np.zeros(size + 1, np.int64)
-        pairs = [np.empty(0, np.int64)]
+        pair = np.empty(0, np.int64)
         if size and len(items.words):
             order, _ = suffix_array(seq, items.depth)
             for d, suffix, lo, hi in matches(seq, order, items):
-                total = hi - lo
-                place = np.repeat(lo - (np.cumsum(total) - total), total) + np.arange(int(total.sum()))
-                where = order[place]
-                np.maximum.at(longest, doc[where], d)
-                whole = np.repeat(items.is_window[suffix] & (items.need[suffix] == d), total)
-                where, who = where[whole], np.repeat(items.item[suffix], total)[whole]
-                np.add.at(cover, where, 1)
+                # Suffixes that begin alike have one range, and other ranges are apart from it: each
+                # is gone through once, however many items hold its words.
+                at, first_of = np.unique(lo, return_index=True)
+                longest[doc[order[_ranges(at, hi[first_of])]]] = d
+                whole = items.is_window[suffix] & (items.need[suffix] == d)
+                if not whole.any():
+                    continue
+                at, first_of, own = np.unique(lo[whole], return_index=True, return_inverse=True)
+                end = hi[whole][first_of]
+                where = order[_ranges(at, end)]
+                cover[where] += 1  # a place lies in one range
                 np.add.at(cover, where + d, -1)
-                pairs.append(np.unique(doc[where] * len(items.ids) + who))
+                if not pairs:
+                    continue
+                m = len(items.ids)
+                docs = np.unique(np.repeat(np.arange(len(at)), end - at) * n + doc[where])
+                who = np.unique(own * m + items.item[suffix[whole]])
+                for a, b in _crossed(docs // n, who // m, len(at)):
+                    pair = np.union1d(pair, docs[a] % n * m + who[b] % m)
         hit = np.cumsum(cover[:-1]) > 0
         edge = np.diff(np.concatenate([[0], hit.view(np.int8), [0]]))
         begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         row = doc[begin]
-        pair = np.unique(np.concatenate(pairs))
         out = {
             "n_words": pa.array(count, pa.int64()),
             "longest_match": pa.array(longest, pa.int32()),
@@ -296,8 +330,8 @@ def remove(
         shared = docs.sparkSession.sparkContext.broadcast((*block, window))
 
         def make(shared=shared) -> Callable[[pa.RecordBatch], list]:
-            work = _search(Items(*shared.value))
-            return lambda part: [not x for x in work(part, text, None)["hit_items"].to_pylist()]
+            work = _search(Items(*shared.value), pairs=False)
+            return lambda part: pc.equal(pc.list_value_length(work(part, text, None)["hit_starts"]), 0)
 
         docs = keep_where(docs, text, make, SHARD_BYTES)
     return docs

@@ -15,6 +15,8 @@ ALNUM[0x30:0x3A] = ALNUM[0x41:0x5B] = ALNUM[0x61:0x7B] = ALNUM[0x80:] = True
 _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[0x41:0x5B] += 32
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+# Bytes whose words are hashed at a time.
+SLICE_BYTES = 1 << 19
 _powers = np.ones(1, np.uint64)
 
 
@@ -60,6 +62,19 @@ def words(column: pa.Array, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     """(hashes, first): a 64-bit hash of each word in lower case (A-Z only), never 0, and
     where the words of each row begin (one more entry at the end)."""
     raw, at = bytes_of(column)
+    # Rows in slices: several numbers of 64 bits for each byte are held of one slice only.
+    cuts = [0]
+    while cuts[-1] < len(at) - 1:
+        lo = cuts[-1]
+        cuts.append(max(lo + 1, int(np.searchsorted(at, at[lo] + SLICE_BYTES, side="right")) - 1))
+    found = [_words(raw[at[lo] : at[hi]], at[lo : hi + 1] - at[lo], inside) for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
+    if len(found) == 1:
+        return found[0]
+    count = np.concatenate([np.empty(0, np.int64), *(np.diff(first) for _, first in found)])
+    return np.concatenate([np.empty(0, np.uint64), *(h for h, _ in found)]), np.concatenate([[0], np.cumsum(count)])
+
+
+def _words(raw: np.ndarray, at: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(at) - 1
     if not len(raw):
         return np.empty(0, np.uint64), np.zeros(n + 1, np.int64)

@@ -7,6 +7,7 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +64,16 @@ def test_queries_equal_their_sql(spark, name):
     assert not differences(connect(SMALL), Q.QUERIES[name](spark, SMALL), oracle.ORACLE[name])
 
 
+@pytest.mark.parametrize("inside,split", [(SPACE, space_words), (ALNUM, alnum_words)])
+def test_words_agree_in_slices(inside, split, monkeypatch):
+    texts = ["Ab-c x y", None, "", "  ", "a" * 90 + " b", "one two", ""]
+    want = words(pa.array(texts), inside)
+    monkeypatch.setattr("ludomart.llm.words.SLICE_BYTES", 10)
+    got = words(pa.array(texts), inside)
+    assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(got, want, strict=True))
+    assert np.diff(got[1]).tolist() == [len(split(t)) for t in texts]
+
+
 @pytest.mark.parametrize("inside,split", [(SPACE, space_words), (ALNUM, alnum_words)])
 def test_words_agree_with_the_pattern(inside, split):
     texts = ["Ab-c É9 x\x0by z", None, "", "  ", "a" * 70_000 + " b", "a b", "B A", "é\té"]
@@ -549,6 +560,22 @@ def test_decontamination_equals_brute_force(spark, documents, prose, nothing):
     assert not any(r.contaminated for r in decontaminate.report(documents, bench.limit(0)).collect())
 
 
+def test_frequent_words_of_texts_and_items_are_not_paired():
+    texts = [" ".join(f"the x{i}" for i in range(k, k + 100)) for k in range(100)]
+    items = [" ".join(f"the y{k}q{i}" for i in range(15)) for k in range(100)] + [texts[3], texts[3]]
+    part = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    for pairs in (True, False):
+        work = decontaminate._search(decontaminate.Items(list(range(102)), items, 10), pairs)
+        tracemalloc.start()
+        out = work(part, "text", None)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 30e6
+        # Windows of text 3 are in those that share five numbers with it.
+        assert [bool(x) for x in out["hit_starts"].to_pylist()] == [abs(k - 3) <= 95 for k in range(100)]
+        assert [x == ["100", "101"] for x in out["hit_items"].to_pylist()] == [pairs and abs(k - 3) <= 95 for k in range(100)]
+
+
 def test_suffix_array_orders_suffixes():
     rnd = np.random.default_rng(1)
     seq = rnd.integers(1, 4, 300).astype(np.uint64)
