@@ -21,7 +21,8 @@ candidates in two rounds:
 2. All other pairs from distinct components are checked exactly where they may link: those of
    small groups, each once for all its signatures, and those of large groups, where all
    sets of one leader are looked at together, in blocks. Sets that a sketch rules out with all
-   others there end first; the rest meet again with their shingles, and a block gives no pairs
+   others there end first; the rest meet again with their shingles, once for all their leaders
+   (in clusters that the sketch connects) where that is less. A block gives no pairs
    but links, each of which connects what was not connected in it before: fewer than its sets.
 
 A parity sketch (the odd sketch: bit i tells whether an odd number of shingles falls
@@ -55,6 +56,9 @@ from ludomart.llm.words import SPACE, mix, shingles, words
 SHINGLE = 5
 # Similarity as a fraction; the bands below are laid out for it.
 NUM, DEN = 3, 4
+# Bytes of text of which a task holds the sets and signatures at a time; only these are filtered,
+# as a batch holds thousands of texts.
+SET_BYTES = 1 << 20
 # Signatures that one task sorts.
 RANGE_ROWS = 1_500_000
 # Signatures that a task packs at a time.
@@ -224,7 +228,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in steps(batch, "_text"):
+            for part in steps(batch, "_text", SET_BYTES):
                 n = part.num_rows
                 size, fp, sketch = [0] * n, [None] * n, [None] * n
                 sets = Sets(part.column("_text"))
@@ -247,12 +251,12 @@ def _packed(docs: DataFrame, ranges: int, key: str, text: str, wanted=None) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if wanted is not None:
-                batch = batch.filter(in_filter(batch.column("_k"), wanted.value))
             seen: set[int] = set()
             held: list[tuple] = []
             size = 0
-            for part in steps(batch, "_text"):
+            for part in steps(batch, "_text", SET_BYTES):
+                if wanted is not None:
+                    part = part.filter(in_filter(part.column("_k"), wanted.value))
                 sets = Sets(part.column("_text"))
                 if not len(sets.rows):
                     continue
@@ -384,8 +388,8 @@ def _sets_of(docs: DataFrame, reps: DataFrame, key: str, text: str) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in steps(batch.filter(in_filter(batch.column("_k"), wanted.value)), "_text"):
-                sets = Sets(part.column("_text"))
+            for part in steps(batch, "_text", SET_BYTES):
+                sets = Sets(part.filter(in_filter(part.column("_k"), wanted.value)).column("_text"))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(sets.fingerprints(), pa.int64()),
@@ -476,23 +480,30 @@ def _folded(sketches: list[bytes]) -> np.ndarray:
 
 
 def _may_link(rows: DataFrame) -> DataFrame:
-    """(sig, fp) of the sets of a cell that may link with a set of another component there."""
+    """(sig, fp, near) of the sets of a cell that may link with a set of another component there;
+    sets have the same ``near``, one of them, if such pairs connect them in the cell."""
 
-    def found(t: pa.Table) -> np.ndarray:
+    def found(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         fp, comp, size, side = (t.column(c).to_numpy() for c in ("fp", "comp", "n", "side"))
         if len(fp) < 2 or (comp == comp[0]).all():
-            return fp[:0]
+            return fp[:0], fp[:0]
         bits = _folded(t.column("sketch").to_pylist())
         two = side.min() != side.max()
-        near = []
+        name = np.arange(len(fp))
+        some = np.zeros(len(fp), bool)
         for lo in range(0, len(fp), 256):
             cut = slice(lo, lo + 256)
             d = _distance(bits[cut], bits, size[cut], size)
             d[comp[cut, None] == comp[None, :]] = np.inf
             if two:  # of a cell of two blocks only pairs across are its own
                 d[side[cut, None] == side[None, :]] = np.inf
-            near.append(np.isfinite(d).any(1))
-        return fp[np.concatenate(near)]
+            near = np.isfinite(d)
+            for i in np.flatnonzero(near.any(1)).tolist():
+                some[lo + i] = True
+                joined = name[near[i]]
+                if (joined != name[lo + i]).any():
+                    name[np.isin(name, joined)] = name[lo + i]
+        return fp[some], fp[name[some]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -507,13 +518,14 @@ def _may_link(rows: DataFrame) -> DataFrame:
             # The last cell may go on in the next batch.
             ends = change.tolist() if batch is not None else [*change.tolist(), len(key)]
             for lo, hi in zip([0, *ends[:-1]], ends, strict=False):
-                fp = found(held.slice(lo, hi - lo))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(fp), key[lo, 0])), pa.array(fp)], names=["sig", "fp"])
+                fp, near = found(held.slice(lo, hi - lo))
+                columns = [pa.array(x, pa.int64()) for x in (np.full(len(fp), key[lo, 0]), fp, near)]
+                yield pa.RecordBatch.from_arrays(columns, names=["sig", "fp", "near"])
             if ends:
                 held = held.slice(ends[-1]).combine_chunks()
 
     cells = rows.select("sig", "i", "j", "fp", "comp", "n", "sketch", "side")
-    return cells.mapInArrow(run, "sig bigint, fp bigint").distinct()
+    return cells.mapInArrow(run, "sig bigint, fp bigint, near bigint").distinct()
 
 
 def _linked(rows: DataFrame) -> DataFrame:
@@ -548,12 +560,30 @@ def _linked(rows: DataFrame) -> DataFrame:
                     name[name == name[k]] = name[i]
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    cells = rows.select("sig", "i", "j", "fp", "comp", "side", "elements")
-    return cells.groupBy("sig", "i", "j").applyInArrow(run, "a bigint, b bigint")
+    cells = rows.select("g", "sig", "i", "j", "fp", "comp", "side", "elements")
+    return cells.groupBy("g", "sig", "i", "j").applyInArrow(run, "a bigint, b bigint")
+
+
+def _blocks(rows: DataFrame, *by: str) -> DataFrame:
+    """Into how many blocks the sets of each group go, and how many rows their cells have."""
+    parts = F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)
+    blocks = rows.groupBy(*by).agg(F.ceil(parts).cast("int").alias("blocks"), F.count("*").alias("size"))
+    return blocks.select(*by, "blocks", (F.col("size") * F.col("blocks")).alias("rows"))
+
+
+def clusters(left: DataFrame) -> DataFrame:
+    """``left`` (sig, g, fp, ...) with one row for each set of a cluster ``g``, under sig 0, where
+    that gives cells of fewer rows than those of the leaders: sets that are all alike lead each other,
+    and their pairs meet under each of them."""
+    whole = _blocks(left.drop("sig").distinct(), "g").select("g", "rows")
+    led = _blocks(left, "g", "sig").groupBy("g").agg(F.sum("rows").alias("led"))
+    one = whole.join(led, "g").where("rows <= led").select("g", F.lit(0).cast("long").alias("one"))
+    left = left.join(one, "g", "left").withColumn("sig", F.coalesce("one", "sig"))
+    return left.drop("one").distinct()
 
 
 def _in_blocks(rows: DataFrame) -> DataFrame:
-    """Rows once for each of their cells: a cell is a pair of the ``blocks`` of ``sig``."""
+    """Rows once for each of their cells: a cell is a pair of the ``blocks`` of a group."""
     rows = rows.withColumn("side", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return rows.withColumns({"i": F.least("side", "other"), "j": F.greatest("side", "other")})
@@ -569,11 +599,12 @@ def links_in_cells(cells: DataFrame, comp: DataFrame, content: DataFrame, docs:
     mixed = mixed.select("sig", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
     rows = _in_blocks(named.join(mixed, "sig").join(content.select("fp", "n", "sketch"), "fp"))
     rows = rows.select("sig", "i", "j", "fp", "comp", "n", "sketch", "side")
-    left = _may_link(rows.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j"))
-    left = stored(left.join(named, ["sig", "fp"]).join(content.select("fp", "n"), "fp"), "left")
-    parts = F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)
-    blocks = left.groupBy("sig").agg(F.ceil(parts).cast("int").alias("blocks"))
-    rows = _in_blocks(left.join(blocks, "sig")).select("sig", "i", "j", "fp", "comp", "side")
+    near = stored(_may_link(rows.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")), "near")
+    # Pairs that may link connect sets to clusters, each pair within one.
+    of = components(near, "clusters", "fp", "near").toDF("fp", "g")
+    left = near.select("sig", "fp").distinct().join(named, ["sig", "fp"]).join(content.select("fp", "n"), "fp").join(of, "fp")
+    left = stored(clusters(stored(left, "left")), "left")
+    rows = _in_blocks(left.join(_blocks(left, "g", "sig"), ["g", "sig"])).select("g", "sig", "i", "j", "fp", "comp", "side")
     reps = content.select("doc_id", "fp").join(left.select("fp").distinct(), "fp", "left_semi")
     return _linked(rows.join(_sets_of(docs, stored(reps, "wanted"), key, text), "fp"))
 

@@ -224,6 +224,17 @@ def test_near_misses_of_a_large_group_are_not_listed_as_pairs(spark, monkeypatch
     assert made["pairs"] <= 240 and made["left"] <= made["cells"]
 
 
+def test_sets_that_lead_each_other_meet_once(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    alike = [(1 + lead, fp, fp, 10, 1) for lead in range(12) for fp in range(100, 108)]
+    # A long chain in which each set meets few others stays with its leaders.
+    chain = [(300 + k, 300 + k + i, 300 + k + i, 10, 2) for k in range(60) for i in range(2)]
+    left = spark.createDataFrame(alike + chain, "sig long, fp long, comp long, n long, g long")
+    out = [(r.g, r.sig, r.fp) for r in ngram_join.clusters(left).collect()]
+    assert sorted(x for x in out if x[0] == 1) == [(1, 0, fp) for fp in range(100, 108)]
+    assert sorted(x for x in out if x[0] == 2) == sorted((2, r[0], r[1]) for r in chain)
+
+
 def test_links_of_a_cell_in_small_blocks(spark, documents, prose, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK", 3)
     monkeypatch.setattr(ngram_join, "SMALL", 2)
