@@ -25,7 +25,7 @@ from ludomart.functions import (
 from ludomart.operators import batch_ids, dedupe_name, dedupe_pk, dense_id, lookup, profile, quality
 from ludomart.operators.ordering import ordered_blocks, sorted_ranges
 from ludomart.plans import dims, facts, harvest, insights, landing, pipeline
-from ludomart.session import tune, workspace
+from ludomart.session import freeing_shuffles, tune, workspace
 from ludomart.sources import (
     read_csv_split,
     read_json_split,
@@ -511,7 +511,7 @@ def land_dumps(spark: SparkSession, d: str) -> str:
         "atlas/games": fx.raw_atlas_games(spark, d),
         "atlas/reviews": fx.raw_reviews(spark, d),
     }
-    with ThreadPoolExecutor(len(csv) + len(arrays) + 1) as pool:
+    with freeing_shuffles(spark), ThreadPoolExecutor(len(csv) + len(arrays) + 1) as pool:
         jobs = [pool.submit(write_csv, df, f"{root}/{path}", packed=True) for path, df in csv.items()]
         jobs += [pool.submit(write_json_arrays, df, f"{root}/{path}", packed=True) for path, df in arrays.items()]
         # A folder for each category, as many as the column has.

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ludomart import schemas as S
 from ludomart.plans import landing
-from ludomart.session import tune
+from ludomart.session import freeing_shuffles, tune
 from ludomart.sources import read_json_objects, read_json_split, read_xml, write_csv, write_json_arrays
 
 
@@ -82,7 +82,7 @@ def run(
     names = list(jobs) if only is None else list(only)
     if unknown := set(names) - set(jobs):
         raise ValueError(f"no such dumps: {sorted(unknown)}")
-    with ThreadPoolExecutor(max(len(names), 1)) as pool:
+    with freeing_shuffles(spark), ThreadPoolExecutor(max(len(names), 1)) as pool:
         for job in [pool.submit(jobs[n]) for n in names]:
             job.result()
     return names

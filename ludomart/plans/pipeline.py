@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ludomart import schemas as S
 from ludomart.operators import quality
 from ludomart.plans import dims, facts
-from ludomart.session import tune
+from ludomart.session import freeing_shuffles, tune
 from ludomart.sources import read_csv_split, read_json_split, read_table, snapshots, write_table
 
 
@@ -135,10 +135,11 @@ def run(
         "time": time,
     }
     rows: dict[str, int] = {}
-    for stage in stages(DEPENDS if tables is None else tables):
-        with ThreadPoolExecutor(len(stage)) as pool:
-            jobs = {t: pool.submit(lambda t=t: build(spark, t, frames[t](), out)) for t in stage}
-            rows.update({t: job.result() for t, job in jobs.items()})
+    with freeing_shuffles(spark):
+        for stage in stages(DEPENDS if tables is None else tables):
+            with ThreadPoolExecutor(len(stage)) as pool:
+                jobs = {t: pool.submit(lambda t=t: build(spark, t, frames[t](), out)) for t in stage}
+                rows.update({t: job.result() for t, job in jobs.items()})
     return rows
 
 

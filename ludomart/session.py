@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -21,6 +23,10 @@ SQL_SETTINGS = {
     "spark.sql.json.enableExactStringParsing": "false",
 }
 
+# Spark removes the shuffle files of a job as it ends, not when the driver happens to collect
+# its garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _local_base: dict[str, str] = {}
 
 
@@ -71,3 +77,19 @@ def workspace(spark: SparkSession, tag: str) -> str:
         if base is None:
             base = _local_base[sc.applicationId] = tempfile.mkdtemp(prefix="ludomart-")
     return f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def freeing_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Within it, the shuffle files of a write or a collect are gone when it ends, so that a job
+    of many steps takes the disk of one step and not of all. The session's own choice holds again
+    after it."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
