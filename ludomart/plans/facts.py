@@ -40,10 +40,13 @@ def reviews_named(raw: DataFrame, games: DataFrame) -> DataFrame:
 
 
 def reviews(raw: DataFrame, games: DataFrame, bgg: DataFrame, users: DataFrame) -> DataFrame:
-    """Reviews with game name, the other source's id by name, and ``user_id``."""
-    named = reviews_named(raw, games)
+    """Reviews with game name, the other source's id by name, and ``user_id``. The name and
+    what hangs on it are put together among the games, so the reviews meet the games once."""
     ids = dedupe_name(bgg, "game_name", "bgg_game_id")
-    keyed = lookup(named, ids, "game_name", ["bgg_game_id"], spread_by=["review_id"])
+    own = games.select("atlas_game_id", "game_name")
+    named = lookup(own, ids, "game_name", ["bgg_game_id"], spread_by=["atlas_game_id"])
+    columns = ["game_name", "bgg_game_id"]
+    keyed = lookup(reviews_parsed(raw), named, "atlas_game_id", columns, spread_by=["review_id"])
     with_user = lookup(keyed, users, "atlas_user_id", ["user_id"], spread_by=["review_id"])
     return with_user.select(*TABLES["reviews"])
 
@@ -70,18 +73,24 @@ def prices_parsed(raw: DataFrame) -> DataFrame:
     )
 
 
-def prices(raw: DataFrame, games: DataFrame, bgg: DataFrame) -> DataFrame:
-    """Prices with the ids of both sources, by exact name."""
+def ids_by_name(games: DataFrame, bgg: DataFrame) -> DataFrame:
+    """The lowest id of each source by name, for the names of either."""
     atlas_ids = dedupe_name(games, "game_name", "atlas_game_id")
-    bgg_ids = dedupe_name(bgg, "game_name", "bgg_game_id")
-    spread = ["atlas_price_id"]
-    keyed = lookup(
-        prices_parsed(raw), atlas_ids, "game_name", ["atlas_game_id"], spread_by=spread
-    )
-    keyed = lookup(keyed, bgg_ids, "game_name", ["bgg_game_id"], spread_by=spread)
+    return atlas_ids.join(dedupe_name(bgg, "game_name", "bgg_game_id"), "game_name", "full")
+
+
+def prices_keyed(parsed: DataFrame, ids: DataFrame) -> DataFrame:
+    """Parsed prices with ``ids_by_name``, which they meet once for both sources."""
+    columns = ["atlas_game_id", "bgg_game_id"]
+    keyed = lookup(parsed, ids, "game_name", columns, spread_by=["atlas_price_id"])
     return keyed.select(*TABLES["prices"])
 
 
+def prices(raw: DataFrame, games: DataFrame, bgg: DataFrame) -> DataFrame:
+    """Prices with the ids of both sources, by exact name."""
+    return prices_keyed(prices_parsed(raw), ids_by_name(games, bgg))
+
+
 def lists_parsed(raw: DataFrame) -> DataFrame:
     """List items with a list id and a readable date. Takes either column name that
     the harvest has used for the list id."""

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ludomart import schemas as S
 from ludomart.operators import quality
 from ludomart.plans import dims, facts
-from ludomart.session import freeing_shuffles, tune
+from ludomart.session import empty, freeing_shuffles, tune, written
 from ludomart.sources import read_csv_split, read_json_split, read_table, snapshots, write_table
 
 
@@ -76,9 +76,19 @@ def run(
     Tables of one stage do not depend on each other and are built at the same
     time. A stage reads what the one before published; a table that is not built has to be
     published already. A dump may be one file or a folder of files.
+
+    The prices, the largest table, go to a working table between the dedupe and the lookup, so
+    that the shuffles of one are off the disk before the other's. Their ids by name are written
+    first, so that Spark knows their size before it plans the lookup.
     """
     tune(spark)
     src, out = input_dir.rstrip("/"), output_dir.rstrip("/")
+    working: dict[str, list[str]] = {}
+
+    def step(table: str, df: DataFrame) -> DataFrame:
+        back, path = written(df, f"{table}-step")
+        working.setdefault(table, []).append(path)
+        return back
 
     def published(table: str, *columns: str) -> DataFrame:
         return read_table(spark, out, table, *columns)
@@ -106,11 +116,13 @@ def run(
         )
 
     def prices() -> DataFrame:
-        return facts.prices(
-            read_json_split(spark, f"{src}/atlas/prices/*", S.ATLAS_PRICES),
+        ids = facts.ids_by_name(
             published("atlas_games", "atlas_game_id", "game_name"),
             published("bgg_games", "bgg_game_id", "game_name"),
         )
+        ids = step("prices", ids)
+        raw = read_json_split(spark, f"{src}/atlas/prices/*", S.ATLAS_PRICES)
+        return facts.prices_keyed(step("prices", facts.prices_parsed(raw)), ids)
 
     def lists() -> DataFrame:
         return facts.lists(
@@ -134,11 +146,18 @@ def run(
         "lists": lists,
         "time": time,
     }
+    def built(table: str) -> int:
+        try:
+            return build(spark, table, frames[table](), out)
+        finally:
+            for path in working.get(table, []):
+                empty(spark, path)
+
     rows: dict[str, int] = {}
     with freeing_shuffles(spark):
         for stage in stages(DEPENDS if tables is None else tables):
             with ThreadPoolExecutor(len(stage)) as pool:
-                jobs = {t: pool.submit(lambda t=t: build(spark, t, frames[t](), out)) for t in stage}
+                jobs = {t: pool.submit(built, t) for t in stage}
                 rows.update({t: job.result() for t, job in jobs.items()})
     return rows
 

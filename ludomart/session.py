@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # UTC makes text with a zone and text without one mean the same instant on every
 # host; the skew settings let AQE split a hot join key even where that costs an
@@ -93,3 +93,15 @@ def freeing_shuffles(spark: SparkSession) -> Iterator[None]:
             spark.conf.unset(SHUFFLE_CLEANUP)
         else:
             spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
+def written(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
+    """``df`` read back from a working table, and the table's path for ``empty``."""
+    path = workspace(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def empty(spark: SparkSession, path: str) -> None:
+    """Empty a working folder that no frame reads any more."""
+    spark.range(0, 0, 1, 1).write.mode("overwrite").parquet(path)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 
 from ludomart import schemas as S
 from ludomart.catalog import queries as Q
-from ludomart.plans import pipeline
+from ludomart.plans import facts, pipeline
 from ludomart.session import SHUFFLE_CLEANUP, freeing_shuffles
-from ludomart.sources import read_json_split, write_json_arrays
+from ludomart.sources import read_json_split, read_table, write_json_arrays
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -46,3 +48,32 @@ def test_files_of_many_ranges_are_read_alike_while_shuffles_are_freed(spark, tmp
         for _ in range(2):
             assert back.exceptAll(rows).count() == rows.exceptAll(back).count() == 0
             assert back.count() == rows.count()
+
+
+def lookups_of(df, key: str) -> int:
+    """Exchanges for a lookup that ship rows with the column ``key``."""
+    lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    return sum("hashpartitioning(_probe" in a and f"{key}#" in b for a, b in zip(lines, lines[1:], strict=False))
+
+
+def test_facts_meet_the_names_once(spark, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    assert lookups_of(Q.prices(spark, SMALL), "atlas_price_id") == 1
+    assert lookups_of(Q.reviews(spark, SMALL), "review_id") == 2  # by game and by user
+
+
+def test_ids_by_name_hold_the_names_of_either_source(spark):
+    games = spark.createDataFrame([("a", "G2"), ("a", "G1"), ("b", "G3"), (None, "G4")], "game_name STRING, atlas_game_id STRING")
+    bgg = spark.createDataFrame([("a", 2), ("c", 5), ("c", 4), (None, 1)], "game_name STRING, bgg_game_id INT")
+    found = sorted(map(tuple, facts.ids_by_name(games, bgg).select("game_name", "atlas_game_id", "bgg_game_id").collect()))
+    assert found == [("a", "G1", 2), ("b", "G3", None), ("c", None, 4)]
+
+
+def test_prices_pass_a_working_table_that_is_emptied(spark, tmp_path):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.glob("prices-step-*"))
+    pipeline.run(spark, Q.land_dumps(spark, SMALL), f"{tmp_path}/mart")
+    steps = set(shared.glob("prices-step-*")) - before
+    assert len(steps) == 2 and not any(spark.read.parquet(str(p)).count() for p in steps)
+    made, want = read_table(spark, f"{tmp_path}/mart", "prices").select(*S.TABLES["prices"]), Q.prices(spark, SMALL)
+    assert made.exceptAll(want).count() == want.exceptAll(made).count() == 0
