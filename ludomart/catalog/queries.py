@@ -25,7 +25,7 @@ from ludomart.functions import (
 from ludomart.operators import batch_ids, dedupe_name, dedupe_pk, dense_id, lookup, profile, quality
 from ludomart.operators.ordering import ordered_blocks, sorted_ranges
 from ludomart.plans import dims, facts, harvest, insights, landing, pipeline
-from ludomart.session import freeing_shuffles, tune, workspace
+from ludomart.session import empty, freeing_shuffles, tune, workspace
 from ludomart.sources import (
     read_csv_split,
     read_json_split,
@@ -761,14 +761,18 @@ def harvest_payloads(spark: SparkSession, d: str) -> str:
         *[F.array(c).alias(f"boardgame{tag}") for c, tag in tags.items()],
         F.struct(F.struct(F.col("users_rated").alias("usersrated"), F.col("average_rating").alias("average")).alias("ratings")).alias("statistics"),
     )
-    write_xml(xml, f"{root}/bgg/games", "boardgame", "boardgames")
-    lists = list_documents(spark, d)
-    write_xml(lists, f"{root}/bgg/lists", "geeklist", "lists")
-    write_json_arrays(fx.raw_accounts(spark, d), f"{root}/atlas/users", packed=True)
-    write_json_arrays(fx.raw_atlas_games(spark, d), f"{root}/atlas/games", packed=True)
-    write_json_arrays(fx.raw_nested_reviews(spark, d), f"{root}/atlas/reviews", packed=True)
-    payloads = price_payloads(spark, d).write.options(**PACKED)
-    payloads.option("maxRecordsPerFile", PAYLOADS_PER_FILE).text(f"{root}/atlas/prices")
+    payloads = price_payloads(spark, d).write.options(**PACKED).option("maxRecordsPerFile", PAYLOADS_PER_FILE)
+    arrays = {"users": fx.raw_accounts, "games": fx.raw_atlas_games, "reviews": fx.raw_nested_reviews}
+    jobs = [
+        lambda: payloads.text(f"{root}/atlas/prices"),
+        lambda: write_xml(xml, f"{root}/bgg/games", "boardgame", "boardgames"),
+        lambda: write_xml(list_documents(spark, d), f"{root}/bgg/lists", "geeklist", "lists"),
+        *[lambda t=t: write_json_arrays(arrays[t](spark, d), f"{root}/atlas/{t}", packed=True) for t in arrays],
+    ]
+    # The prices, which come first, beside all others one after the other.
+    with freeing_shuffles(spark), ThreadPoolExecutor(2) as pool:
+        for job in [pool.submit(job) for job in jobs]:
+            job.result()
     return root
 
 
@@ -777,7 +781,9 @@ def mart_from_harvest(spark, d):
     """From XML and nested JSON through the dumps to the published tables: rows of each, its
     distinct keys, and a sum over the names or dates that came all the way."""
     raw, out = workspace(spark, "raw"), workspace(spark, "mart")
-    harvest.run(spark, harvest_payloads(spark, d), raw, "15/01/2023 10:30:00")
+    payloads = harvest_payloads(spark, d)
+    harvest.run(spark, payloads, raw, "15/01/2023 10:30:00")
+    empty(spark, payloads)  # the dumps are written, and nothing reads these again
     pipeline.run(spark, raw, out)
     carried = {t: F.length("game_name") for t in S.TABLES if "game_name" in S.TABLES[t]}
     carried |= {"users": F.length("user_name"), "time": F.unix_timestamp("datetime")}

@@ -121,7 +121,12 @@ LIST_ITEM_ORDER = ["geeklist_id", "post_datetime", "bgg_game_id", "bgg_user_name
 
 def lists(raw: DataFrame, games: DataFrame) -> DataFrame:
     """List items with ``list_item_id`` 0..n-1 and the other source's id by name."""
-    numbered = dense_id(lists_parsed(raw), LIST_ITEM_ORDER, "list_item_id")
+    return lists_keyed(lists_parsed(raw), games)
+
+
+def lists_keyed(parsed: DataFrame, games: DataFrame) -> DataFrame:
+    """Parsed list items with ids. They are read twice, as their order is sampled first."""
+    numbered = dense_id(parsed, LIST_ITEM_ORDER, "list_item_id")
     atlas_ids = dedupe_name(games, "game_name", "atlas_game_id")
     keyed = lookup(
         numbered, atlas_ids, "game_name", ["atlas_game_id"], spread_by=["list_item_id"]

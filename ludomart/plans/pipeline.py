@@ -79,7 +79,8 @@ def run(
 
     The prices, the largest table, go to a working table between the dedupe and the lookup, so
     that the shuffles of one are off the disk before the other's. Their ids by name are written
-    first, so that Spark knows their size before it plans the lookup.
+    first, so that Spark knows their size before it plans the lookup. List items go to one
+    before they are numbered, which reads them twice.
     """
     tune(spark)
     src, out = input_dir.rstrip("/"), output_dir.rstrip("/")
@@ -125,8 +126,9 @@ def run(
         return facts.prices_keyed(step("prices", facts.prices_parsed(raw)), ids)
 
     def lists() -> DataFrame:
-        return facts.lists(
-            read_csv_split(spark, f"{src}/bgg/lists.csv", S.BGG_LISTS, {"geeklist": "geeklist_id"}),
+        raw = read_csv_split(spark, f"{src}/bgg/lists.csv", S.BGG_LISTS, {"geeklist": "geeklist_id"})
+        return facts.lists_keyed(
+            step("lists", facts.lists_parsed(raw)),
             published("atlas_games", "atlas_game_id", "game_name"),
         )
 

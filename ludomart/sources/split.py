@@ -7,7 +7,7 @@ record's end is a piece's end. A piece maps the state before it, (inside quotes,
 state after it: it may turn the first, and adds to the depth what depends on the first.
 
 Pass one composes the maps of all pieces of a range into one row for each range; a file of one
-range needs none. A running composition over the ranges of a file gives the state in which each
+range needs none, and is not opened for it where its name or size shows that it is one. A running composition over the ranges of a file gives the state in which each
 one begins. Pass two cuts each range into records, starting from that state, and hands them to ``from_csv`` or
 ``from_json``. Parts of records that cross a range's border, two for each range at most, are put
 together by a shuffle of their own; nothing else is shuffled.
@@ -107,12 +107,24 @@ _CSV = _Format("\n", _csv_maps, False, lambda text: F.regexp_replace(text, r"\r$
 _JSON = _Format("}", _json_maps, True, lambda text: F.concat(F.ltrim(text, F.lit("\ufeff \t\r\n[,")), F.lit("}")))
 
 
-def _pieces(spark: SparkSession, path: str, form: _Format, recursive: bool) -> DataFrame:
+# Endings of compressed text that Hadoop cannot read from the middle.
+_ONE_RANGE = r"\.(gz|deflate|snappy|lz4|zst)$"
+
+
+def _pieces(spark: SparkSession, path: str, form: _Format, recursive: bool, cut: bool = False) -> DataFrame:
+    """Pieces of all files, or with ``cut`` of those that have several ranges. Spark leaves a file
+    whole that is small, or has one of the endings; a condition on name and size alone keeps it
+    from being opened."""
     text = spark.read.option("lineSep", form.sep).option("recursiveFileLookup", recursive).text(path)
     meta = F.col("_metadata")
+    if cut:
+        conf = spark._jsparkSession.sessionState().conf()
+        least = min(conf.filesMaxPartitionBytes(), conf.filesOpenCostInBytes())
+        text = text.where((meta["file_size"] > least) & ~meta["file_name"].rlike(_ONE_RANGE))
     start = meta["file_block_start"]
     whole = (start == 0) & (meta["file_block_length"] >= meta["file_size"])
-    return text.select(meta["file_path"].alias("file"), start.alias("start"), whole.alias("whole"), "value")
+    rows = text.select(meta["file_path"].alias("file"), start.alias("start"), whole.alias("whole"), "value")
+    return rows.where("NOT whole") if cut else rows
 
 
 def _by_range(batch: pa.RecordBatch) -> Iterator[tuple[str, int, bool, pa.Array]]:
@@ -132,7 +144,7 @@ def _level(form: _Format, first: str) -> int:
 
 
 def _states(pieces: DataFrame, form: _Format) -> dict[str, dict[int, tuple[bool, int, int]]]:
-    """Pass one, over the files of several ranges: {file: {start of a range: (inside quotes,
+    """Pass one, over the pieces of files of several ranges: {file: {start of a range: (inside quotes,
     depth, depth at which records end)}}."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,7 +167,7 @@ def _states(pieces: DataFrame, form: _Format) -> dict[str, dict[int, tuple[bool,
                 {"file": [f for f, _ in held], "start": pa.array([s for _, s in held], pa.int64())} | columns
             )
 
-    ranges = pieces.where("NOT whole").mapInArrow(
+    ranges = pieces.mapInArrow(
         run, "file STRING, start LONG, flip BOOLEAN, outside LONG, inside LONG, level LONG"
     )
     order = Window.partitionBy("file").orderBy("start")
@@ -182,8 +194,8 @@ def _states(pieces: DataFrame, form: _Format) -> dict[str, dict[int, tuple[bool,
 _PARTS = "file STRING, value STRING, first BOOLEAN, start LONG, piece INT, opens BOOLEAN, closes BOOLEAN"
 
 
-def _cutter(form: _Format, states, parts: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Pass two: the whole records of ranges (file, value, first), or with ``parts`` what ranges
+def _cutter(form: _Format, states, parts: bool, columns: tuple[str, ...] = ("file", "value", "first")) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Pass two: ``columns`` of the whole records of ranges, or with ``parts`` what ranges
     hold of records that cross a border: part 0 or 1 of the range, and whether the record opens
     or closes there."""
 
@@ -204,10 +216,12 @@ def _cutter(form: _Format, states, parts: bool) -> Callable[[Iterator[pa.RecordB
                 part(0 if open_ else 1, not open_, False)
 
         def made(file: str | None, values: pa.Array, first: bool) -> pa.RecordBatch:
-            n = len(values)
-            return pa.RecordBatch.from_arrays(
-                [pa.repeat(pa.scalar(file, pa.string()), n), values, pa.repeat(pa.scalar(first), n)], names=["file", "value", "first"]
-            )
+            made = {"value": values}
+            if "file" in columns:
+                made["file"] = pa.repeat(pa.scalar(file, pa.string()), len(values))
+            if "first" in columns:
+                made["first"] = pa.repeat(pa.scalar(first), len(values))
+            return pa.RecordBatch.from_arrays([made[c] for c in columns], names=list(columns))
 
         def crossing() -> pa.RecordBatch:
             names = ["file", "value", "first", "start", "piece", "opens", "closes"]
@@ -277,14 +291,19 @@ def _cutter(form: _Format, states, parts: bool) -> Callable[[Iterator[pa.RecordB
     return run
 
 
-def _records(pieces: DataFrame, form: _Format) -> DataFrame:
-    """(file, value, first) of every record; ``first`` is true for a file's first one."""
-    planned = _states(pieces, form)
-    states = pieces.sparkSession.sparkContext.broadcast(planned)
-    records = pieces.mapInArrow(_cutter(form, states, False), "file STRING, value STRING, first BOOLEAN")
+def _records(spark: SparkSession, path: str, form: _Format, recursive: bool, *columns: str) -> DataFrame:
+    """Of every record its text, ``value``, and those of ``file`` and ``first`` (true for a file's
+    first record) that are in ``columns``."""
+    cut = _pieces(spark, path, form, recursive, cut=True)
+    planned = _states(cut, form)
+    states = spark.sparkContext.broadcast(planned)
+    names = ("value", *columns)
+    kinds = {"value": "STRING", "file": "STRING", "first": "BOOLEAN"}
+    schema = ", ".join(f"{c} {kinds[c]}" for c in names)
+    records = _pieces(spark, path, form, recursive).mapInArrow(_cutter(form, states, False, names), schema)
     if planned:  # else no file has a border
         # Written to no table: a task that runs again reads the same range and cuts it alike.
-        parts = pieces.where("NOT whole").mapInArrow(_cutter(form, states, True), _PARTS)
+        parts = cut.mapInArrow(_cutter(form, states, True), _PARTS)
         order = Window.partitionBy("file").orderBy("start", "piece")
         joined = (
             parts.withColumn("record", F.sum(F.col("opens").cast("int")).over(order))
@@ -297,7 +316,7 @@ def _records(pieces: DataFrame, form: _Format) -> DataFrame:
             .where("closed")  # else what follows the last record of a file
             .select("file", F.array_join("all.value", form.sep).alias("value"), "first")
         )
-        records = records.unionByName(joined)
+        records = records.unionByName(joined.select(*names))
     return records.withColumn("value", form.clean(F.col("value")))
 
 
@@ -313,7 +332,7 @@ def read_csv_split(
     options = {"escape": '"', "multiLine": "true"}
     names = spark.read.csv(path, header=True, **options).columns
     fields = ", ".join(f"c{i} STRING" for i in range(len(names)))
-    records = _records(_pieces(spark, path, _CSV, False), _CSV)
+    records = _records(spark, path, _CSV, False, "file", "first")
     row = F.from_csv("value", fields, options)
     rows = records.select("file", "first", F.explode(F.array(row)).alias("row"))
     cells = F.array(*[F.lower(F.coalesce(F.col(f"row.c{i}"), F.lit(f"_c{i}"))) for i in range(len(names))])
@@ -332,14 +351,14 @@ def read_json_split(
     A file holds an array of objects, one object, or objects one after the other. An object
     that cannot be read is a row of NULLs. ``file`` names a column for the file's path.
     """
-    records = _records(_pieces(spark, path, _JSON, recursive), _JSON)
-    # A record is parsed once: a filter on its fields cannot be pushed below a generator.
-    parsed = records.select("file", F.explode(F.array(F.from_json("value", json_raw(schema)))).alias("row"))
+    records = _records(spark, path, _JSON, recursive, *(["file"] if file else []))
     kept = [F.col("file").alias(file)] if file else []
+    # A record is parsed once: a filter on its fields cannot be pushed below a generator.
+    parsed = records.withColumn("row", F.explode(F.array(F.from_json("value", json_raw(schema)))))
     return parsed.select(*json_columns(schema, "row"), *kept)
 
 
 def read_json_objects(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
     """(file, value): the text of every object of such files, for payloads whose fields are
     not known ahead."""
-    return _records(_pieces(spark, path, _JSON, recursive), _JSON).drop("first")
+    return _records(spark, path, _JSON, recursive, "file").select("file", "value")
